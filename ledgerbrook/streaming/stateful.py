@@ -1,0 +1,117 @@
+"""Keyed state carried from batch to batch.
+
+Each batch is computed with the block-wise running totals of ``operators.ordered``, with the
+state left by the batch before as seed rows. A key that fills most of a batch is thereby
+spread over many tasks. Layout under ``root``::
+
+    out/batch_id=<n>     rows emitted by batch n
+    state/after=<n>      state per key after batch n (the last two are kept)
+    checkpoint           offsets of the query
+
+Batch n reads only ``state/after=<n-1>`` and overwrites its own folders, so a replayed batch
+gives the same rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ledgerbrook.operators.counting import category_totals, totals_map
+from ledgerbrook.operators.ordered import count_windows, running_sum
+from ledgerbrook.streaming.batches import batch_path, start
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _state_path(root: str, batch_id: int) -> str:
+    return f"{root}/state/after={batch_id}"
+
+
+def _before(spark: SparkSession, root: str, batch_id: int, initial: DataFrame | None) -> DataFrame | None:
+    return initial if batch_id == 0 else spark.read.parquet(_state_path(root, batch_id - 1))
+
+
+def _keep(spark: SparkSession, root: str, batch_id: int, state: DataFrame) -> None:
+    state.write.mode("overwrite").parquet(_state_path(root, batch_id))
+    if batch_id >= 2:
+        _delete(spark, _state_path(root, batch_id - 2))
+
+
+def running_sum_stream(
+    stream: DataFrame,
+    key: str,
+    order: Sequence[str],
+    value: str,
+    root: str,
+    initial: DataFrame | None = None,
+    interval: str | None = None,
+    blocks: int | None = None,
+) -> StreamingQuery:
+    """Emit the running sum of its key for every input row; ``initial`` (key, value) starts the sums.
+
+    Rows are ordered by ``order`` inside a batch and by batch across batches.
+    """
+
+    def work(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        before = _before(spark, root, batch_id, initial)
+        out = batch_path(f"{root}/out", batch_id)
+        rows = running_sum(
+            df, key, order, value, initial=before, blocks=blocks, stored_at=f"{root}/blocks"
+        )
+        rows.write.mode("overwrite").parquet(out)
+        sums = spark.read.parquet(out).select(key, value)
+        if before is not None:
+            sums = sums.unionByName(before.select(key, value))
+        _keep(spark, root, batch_id, sums.groupBy(key).agg(F.sum(value).alias(value)))
+
+    return start(stream.writeStream.foreachBatch(work), f"{root}/checkpoint", interval)
+
+
+def count_window_avg_stream(
+    stream: DataFrame,
+    key: str,
+    order: Sequence[str],
+    value: str,
+    root: str,
+    size: int = 2,
+    interval: str | None = None,
+    blocks: int | None = None,
+) -> StreamingQuery:
+    """Emit the truncated average after every ``size`` values of a key, across batches."""
+
+    def work(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        before = _before(spark, root, batch_id, None)
+        groups = count_windows(
+            df, key, order, value, size, before, blocks, stored_at=f"{root}/blocks"
+        )
+        groups.write.mode("overwrite").parquet(f"{root}/groups")
+        groups = spark.read.parquet(f"{root}/groups")
+        full = groups.where(F.col("filled") == size)
+        full.select(key, F.expr("total div filled").alias("average")).write.mode("overwrite").parquet(
+            batch_path(f"{root}/out", batch_id)
+        )
+        short = groups.where(F.col("filled") < size).select(key, "filled", "total")
+        _keep(spark, root, batch_id, short)
+
+    return start(stream.writeStream.foreachBatch(work), f"{root}/checkpoint", interval)
+
+
+def category_totals_stream(
+    stream: DataFrame, category: str, value: str, root: str, interval: str | None = None
+) -> StreamingQuery:
+    """Keep ever-growing totals per category; after each batch store their map and grand total."""
+
+    def work(df: DataFrame, batch_id: int) -> None:
+        totals_map(df, category).write.mode("overwrite").parquet(batch_path(f"{root}/out", batch_id))
+
+    totals = category_totals(stream, category, value)
+    writer = totals.writeStream.outputMode("complete").foreachBatch(work)
+    return start(writer, f"{root}/checkpoint", interval)
