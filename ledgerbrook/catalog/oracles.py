@@ -527,3 +527,53 @@ SQL["popular_users_seen"] = f"""
 WITH {VIEWS}
 SELECT c_name AS user_name FROM views JOIN customer ON c_custkey = user_id ORDER BY ts, user_id LIMIT 10
 """
+
+# Streams: one file is one batch; windows are emitted once the watermark has passed their end.
+
+BATCH = "CAST(0 AS INTEGER) AS batch_id"
+VIEW_ROWS = "events WHERE event_type <> 'signup'"
+CLOSED = "window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM {rows})"
+
+SQL["stream_batch_wordcount"] = f"WITH {WORD_COUNTS} SELECT word, n, {BATCH} FROM counts"
+SQL["stream_sql_wordcount"] = f"""
+WITH {SPACE_WORDS.format(table="conversations")} SELECT word, count(*) AS n, {BATCH} FROM words GROUP BY word
+"""
+SQL["stream_mod_count"] = f"""
+SELECT CAST(l_orderkey % 10 AS INTEGER) AS residue, count(*) AS n, {BATCH} FROM lineitem GROUP BY ALL
+"""
+SQL["stream_union_grep"] = f"""
+SELECT count(*) AS n, {BATCH} FROM (
+  SELECT text FROM documents UNION ALL SELECT text FROM conversations UNION ALL SELECT text FROM benchmark)
+WHERE contains(text, 'the')
+"""
+SQL["stream_denylist_wordcount"] = f"""
+WITH {WORD_COUNTS} SELECT {BATCH}, word, n FROM counts WHERE word NOT IN (SELECT word FROM deny)
+"""
+SQL["stream_denylist_dropped"] = f"""
+WITH {WORD_COUNTS}
+SELECT CAST(sum(n) AS BIGINT) AS dropped_total, CAST(0 AS INTEGER) AS last_batch
+FROM counts WHERE word IN (SELECT word FROM deny)
+"""
+SQL["stream_tumbling_count"] = f"""
+WITH days AS (
+  SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL)
+SELECT * FROM (SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, event_type, n FROM days)
+WHERE {CLOSED.format(rows="events")}
+"""
+SQL["stream_sliding_counts"] = f"SELECT * FROM ({SLIDING_COUNTS}) WHERE {CLOSED.format(rows=VIEW_ROWS)}"
+SQL["stream_error_rate"] = f"SELECT * FROM ({SQL['error_rate']}) WHERE {CLOSED.format(rows=VIEW_ROWS)}"
+SQL["stream_active_users"] = f"SELECT * FROM ({ACTIVE_USERS}) WHERE {CLOSED.format(rows=VIEW_ROWS)}"
+SQL["stream_static_join"] = f"""
+WITH {VIEWS} SELECT event_id, user_id, c_name AS user_name FROM views JOIN customer ON c_custkey = user_id
+"""
+SQL["stream_popular_users"] = f"SELECT *, {BATCH} FROM ({SQL['popular_users_seen']})"
+SQL["stream_category_totals"] = f"SELECT *, {BATCH} FROM ({SQL['category_totals_map']})"
+SQL["stream_running_sum"] = SQL["running_sum"]
+SQL["stream_log_totals"] = f"""
+WITH {LOG_LINES}
+SELECT event_id, severity,
+       CAST(sum(number) OVER (PARTITION BY severity ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT)
+         AS running_sum
+FROM log_values
+"""
+SQL["stream_count_window_avg"] = COUNT_WINDOWS.format(number="")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from ledgerbrook.catalog import batch, oracles
+from ledgerbrook.catalog import batch, oracles, streams
 from ledgerbrook.catalog.batch import Query
 
 
 def queries() -> dict[str, Query]:
-    return dict(batch.QUERIES)
+    return {**batch.QUERIES, **streams.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
