@@ -129,6 +129,11 @@ def na_fill(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     return df.fillna(dict(defaults))
 
 
+def na_fill_text(df: DataFrame, text: str = "") -> DataFrame:
+    """Replace null by ``text`` in every string column."""
+    return df.fillna(text)
+
+
 def typed_defaults(
     df: DataFrame, text: str = "-", columns: Sequence[str] | None = None
 ) -> DataFrame:

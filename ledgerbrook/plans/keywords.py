@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerbrook.operators import dictionary as d
 from ledgerbrook.operators.audit import with_audit
 from ledgerbrook.operators.relational import semi_join_master
+from ledgerbrook.session import materialise
 from ledgerbrook.sources.tables import partition_day
 
 CELL = "business_keywords"
@@ -42,6 +43,8 @@ def track_tables(
     day, the map only those in ``master``.
     """
     found = d.category_explode(partition_day(remarks, day), "honor_code", CELL, categories, default)
+    # Both tables are built from the labels; storing them saves matching all keywords twice.
+    found = materialise(found, "track-labels")
     tracks = d.category_ids(found)
     owned = semi_join_master(found, master, "honor_code")
     mapped = d.category_map(owned, tracks).select(

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, GroupedData, Row, SparkSession
+from pyspark.sql import DataFrame, GroupedData, Row, SparkSession, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -21,7 +21,10 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 class RunningSum(StatefulProcessor):
-    """Rows (key, value) in; (key, sum so far) out, one per row."""
+    """Rows (key, value) in; (key, total so far) out, one per row."""
+
+    def __init__(self, key_name: str):
+        self.key_name = key_name
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.sum = handle.getValueState("sum", "total bigint")
@@ -33,7 +36,7 @@ class RunningSum(StatefulProcessor):
         total = self.sum.get()[0] if self.sum.exists() else 0
         for row in rows:
             total += row[1]
-            yield Row(key=key[0], total=total)
+            yield Row(**{self.key_name: key[0], "total": total})
         self.sum.update((total,))
 
     def close(self) -> None:
@@ -43,8 +46,8 @@ class RunningSum(StatefulProcessor):
 class CountWindowAverage(StatefulProcessor):
     """Rows (key, value) in; (key, truncated average) out after every ``size`` rows."""
 
-    def __init__(self, size: int = 2):
-        self.size = size
+    def __init__(self, key_name: str, size: int = 2):
+        self.key_name, self.size = key_name, size
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.window = handle.getValueState("window", "filled bigint, total bigint")
@@ -55,7 +58,8 @@ class CountWindowAverage(StatefulProcessor):
             filled, total = filled + 1, total + row[1]
             if filled == self.size:
                 quotient = abs(total) // filled
-                yield Row(key=key[0], average=quotient if total >= 0 else -quotient)
+                average = quotient if total >= 0 else -quotient
+                yield Row(**{self.key_name: key[0], "average": average})
                 filled, total = 0, 0
         if filled:
             self.window.update((filled, total))
@@ -66,15 +70,19 @@ class CountWindowAverage(StatefulProcessor):
         pass
 
 
+def _output(stream: DataFrame, key: str, value: str) -> T.StructType:
+    return T.StructType([stream.schema[key], T.StructField(value, T.LongType())])
+
+
 def running_sums(stream: DataFrame, key: str, value: str, initial: DataFrame | None = None) -> DataFrame:
     grouped = stream.select(key, value).groupBy(key)
     seeds: GroupedData | None = initial.select(key, value).groupBy(key) if initial is not None else None
     return grouped.transformWithState(
-        RunningSum(), f"{key} string, total bigint", "Append", "None", seeds
+        RunningSum(key), _output(stream, key, "total"), "Append", "None", seeds
     )
 
 
 def count_window_averages(stream: DataFrame, key: str, value: str, size: int = 2) -> DataFrame:
     return stream.select(key, value).groupBy(key).transformWithState(
-        CountWindowAverage(size), f"{key} bigint, average bigint", "Append", "None"
+        CountWindowAverage(key, size), _output(stream, key, "average"), "Append", "None"
     )

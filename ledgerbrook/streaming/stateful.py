@@ -21,14 +21,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerbrook.operators.counting import category_totals, totals_map
 from ledgerbrook.operators.ordered import count_windows, running_sum
+from ledgerbrook.session import delete_path
 from ledgerbrook.streaming.batches import batch_path, start
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def _state_path(root: str, batch_id: int) -> str:
     return f"{root}/state/after={batch_id}"
 
@@ -40,7 +36,7 @@ def _before(spark: SparkSession, root: str, batch_id: int, initial: DataFrame |
 def _keep(spark: SparkSession, root: str, batch_id: int, state: DataFrame) -> None:
     state.write.mode("overwrite").parquet(_state_path(root, batch_id))
     if batch_id >= 2:
-        _delete(spark, _state_path(root, batch_id - 2))
+        delete_path(spark, _state_path(root, batch_id - 2))
 
 
 def running_sum_stream(

@@ -2,14 +2,14 @@ from __future__ import annotations
 
 import pytest
 
-from ledgerbrook.session import local_session
+from ledgerbrook.session import clear_scratch, local_session
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = local_session("8", shuffle_partitions=4, name="tests")
     session.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
     session.sparkContext.setLogLevel("ERROR")
-    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     yield session
+    clear_scratch(session)
     session.stop()

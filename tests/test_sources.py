@@ -1,0 +1,157 @@
+"""JDBC statements and options, Kafka options, session folders. No database or broker is started."""
+
+from __future__ import annotations
+
+import pytest
+
+from ledgerbrook import session
+from ledgerbrook.sources import jdbc, streams
+
+URL = {"url": "jdbc:none:x", "user": "u"}
+
+
+def test_kafka_options():
+    got = streams.kafka_options(["h1:9092", "h2:9092"], ["t1", "t2"], group_id="g")
+    assert got == {
+        "kafka.bootstrap.servers": "h1:9092,h2:9092", "subscribe": "t1,t2", "startingOffsets": "latest",
+        "kafka.group.id": "g",
+    }
+    secure = streams.kafka_options(
+        "h:1", "t", "earliest", security_protocol="SASL_PLAINTEXT",
+        sasl={"kerberos.service.name": "kafka", "mechanism": "GSSAPI"}, max_offsets_per_trigger=5,
+    )
+    assert secure["kafka.security.protocol"] == "SASL_PLAINTEXT"
+    assert secure["kafka.sasl.kerberos.service.name"] == "kafka"
+    assert secure["startingOffsets"] == "earliest" and secure["maxOffsetsPerTrigger"] == "5"
+
+
+@pytest.mark.parametrize("bad", [
+    {"servers": "", "topics": "t"}, {"servers": "h", "topics": []}, {"servers": "h", "topics": "t", "start": "middle"},
+    {"servers": "h", "topics": "t", "security_protocol": "NONE"},
+])
+def test_kafka_options_are_checked(bad):
+    with pytest.raises(ValueError):
+        streams.kafka_options(**bad)
+
+
+def test_scan_options():
+    assert jdbc.scan_options(URL, table="t") == {**URL, "dbtable": "t"}
+    assert jdbc.scan_options(URL, query="select id from t")["query"] == "select id from t"
+    split = jdbc.scan_options(URL, query="select id from t", partition_column="id", bounds=(0, 9), partitions=3)
+    assert split["dbtable"] == "(select id from t) t" and split["numPartitions"] == "3"
+    assert (split["partitionColumn"], split["lowerBound"], split["upperBound"]) == ("id", "0", "9")
+
+
+@pytest.mark.parametrize("bad", [{}, {"table": "t", "query": "q"}, {"table": "t", "partitions": 3}])
+def test_scan_options_are_checked(bad):
+    with pytest.raises(ValueError):
+        jdbc.scan_options(URL, **bad)
+
+
+def test_publish_keeps_the_table():
+    assert jdbc.publish_options(URL, "t") == {**URL, "dbtable": "t", "truncate": "true"}
+
+
+def test_merge_sql():
+    assert jdbc.merge_sql("t", "s", ["id", "a", "b"]) == (
+        'MERGE INTO t t USING s s ON t."id" = s."id" WHEN MATCHED THEN UPDATE SET "a" = s."a", "b" = s."b"'
+        ' WHEN NOT MATCHED THEN INSERT ("id", "a", "b") VALUES (s."id", s."a", s."b")'
+    )
+    assert jdbc.merge_sql("t", "s", ["id", "a"], dialect="mysql") == (
+        "INSERT INTO t (`id`, `a`) SELECT `id`, `a` FROM s ON DUPLICATE KEY UPDATE `a` = VALUES(`a`)"
+    )
+    with pytest.raises(ValueError):
+        jdbc.merge_sql("t", "s", ["a"])
+    with pytest.raises(ValueError):
+        jdbc.merge_sql("t", "s", ["id"], dialect="other")
+
+
+class Connection:
+    def __init__(self, fail_on=None):
+        self.log, self.fail_on = [], fail_on
+
+    def setAutoCommit(self, flag):
+        self.log.append(f"auto {flag}")
+
+    def createStatement(self):
+        return self
+
+    def execute(self, sql):
+        if sql == self.fail_on:
+            raise RuntimeError(sql)
+        self.log.append(sql)
+
+    def commit(self):
+        self.log.append("commit")
+
+    def rollback(self):
+        self.log.append("rollback")
+
+    def close(self):
+        self.log.append("close")
+
+
+def test_transaction():
+    good = Connection()
+    jdbc.run_transaction(good, ["one", "two"])
+    assert good.log == ["auto False", "one", "two", "commit", "close"]
+    bad = Connection("two")
+    with pytest.raises(RuntimeError):
+        jdbc.run_transaction(bad, ["one", "two"])
+    assert bad.log == ["auto False", "one", "rollback", "close"]
+
+
+def test_upsert_statements(spark, monkeypatch):
+    staged, ran = [], []
+    monkeypatch.setattr(jdbc, "replace_table", lambda df, options, table: staged.append(table))
+    df = spark.createDataFrame([("1", "x")], "id string, a string")
+    jdbc.upsert(df, URL, "target", run=lambda s, o, statements: ran.extend(statements))
+    assert staged[0].startswith("target_staging_")
+    assert ran == [jdbc.merge_sql("target", staged[0], ["id", "a"]), f"DROP TABLE {staged[0]}"]
+
+
+def test_shared_dir_is_the_configured_one(spark):
+    before = spark.conf.get(session.CHECKPOINT_DIR, None)
+    spark.conf.set(session.CHECKPOINT_DIR, "/shared/place/")
+    try:
+        assert session.shared_dir(spark) == "/shared/place"
+        assert session.scratch_path(spark, "x").startswith("/shared/place/ledgerbrook-")
+    finally:
+        if before is None:
+            spark.conf.unset(session.CHECKPOINT_DIR)
+        else:
+            spark.conf.set(session.CHECKPOINT_DIR, before)
+
+
+def test_scratch_is_cleared(spark, tmp_path):
+    before = spark.conf.get(session.CHECKPOINT_DIR, None)
+    spark.conf.set(session.CHECKPOINT_DIR, str(tmp_path))
+    try:
+        kept = session.materialise(spark.range(3).toDF("id"), "kept")
+        assert sorted(r.id for r in kept.collect()) == [0, 1, 2]
+        assert len(list(tmp_path.glob("ledgerbrook-*/kept-*"))) == 1
+        session.clear_scratch(spark)
+        assert list(tmp_path.iterdir()) == []
+    finally:
+        if before is None:
+            spark.conf.unset(session.CHECKPOINT_DIR)
+        else:
+            spark.conf.set(session.CHECKPOINT_DIR, before)
+
+
+def test_cluster_needs_a_shared_dir():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())
