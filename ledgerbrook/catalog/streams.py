@@ -121,9 +121,11 @@ def stream_active_users(spark, d):
 
 @query
 def stream_static_join(spark, d):
+    """Joined per batch, where AQE can split a hot user."""
+    users = batch.named_users(spark, d)
     views = clickstream.page_views(b.event_page_views(b.stream(spark, d, "events")))
-    seen = clickstream.users_seen(views, batch.named_users(spark, d))
-    return _appended(spark, "users-seen", seen.select("event_id", "user_id", "user_name"))
+    seen = _stored_batches(spark, "users-seen", views, lambda df: clickstream.users_seen(df, users))
+    return seen.select("event_id", "user_id", "user_name")
 
 
 @query

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerbrook.operators.relational import key_set
+
 # Fixed values of the audit columns.
 INSERT_OP = "bd_insert"
 INSERT_REMARK = "bd_insert-大数据首次插入"
@@ -36,7 +38,7 @@ def upsert_plan(source: DataFrame, target_ids: DataFrame, now: int, id_col: str
 
     Sets ``op_latest``, ``remark`` and ``update_time``; all other columns pass through.
     """
-    known = target_ids.select(id_col).distinct().withColumn("_known", F.lit(True))
+    known = key_set(target_ids, id_col).withColumn("_known", F.lit(True))
     update = F.col("_known").isNotNull()
     decided = source.join(known, id_col, "left").withColumns({
         "op_latest": F.when(update, UPDATE_OP).otherwise(INSERT_OP),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerbrook.operators.relational import anti_join, semi_join_master
+
 MAX_MAP_ENTRIES = 100_000
 
 
@@ -24,14 +26,14 @@ def table_count(df: DataFrame, count: str = "n") -> DataFrame:
 
 def denylist_filter(counts: DataFrame, deny: DataFrame, word: str = "word") -> DataFrame:
     """Counted words that are not on the deny list."""
-    return counts.join(deny.select(word), word, "left_anti")
+    return anti_join(counts, deny, word)
 
 
 def denylist_dropped(
     counts: DataFrame, deny: DataFrame, word: str = "word", count: str = "n", name: str = "dropped"
 ) -> DataFrame:
     """One row: how many occurrences the deny list drops."""
-    hit = counts.join(deny.select(word), word, "left_semi")
+    hit = semi_join_master(counts, deny, word)
     return hit.agg(F.coalesce(F.sum(count), F.lit(0)).cast("bigint").alias(name))
 
 

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerbrook.functions.records import strip_salt
+from ledgerbrook.operators.relational import semi_join_master
 
 
 def in_key_range(key: Column, start: str | None, stop: str | None) -> Column:
@@ -106,5 +107,4 @@ def point_lookup(
     table: DataFrame, keys: DataFrame, key: str = "rowkey", columns: Sequence[str] | None = None
 ) -> DataFrame:
     """All cells of the rows whose key is asked for; missing keys give no row."""
-    found = table.join(keys.select(key).distinct(), key, "left_semi")
-    return cells(found, key, columns)
+    return cells(semi_join_master(table, keys, key), key, columns)

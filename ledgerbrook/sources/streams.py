@@ -23,7 +23,7 @@ def text_files(spark: SparkSession, path: str, files_per_batch: int | None = Non
 
 
 def parquet_files(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, files_per_batch: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, files_per_batch: int | None = None
 ) -> DataFrame:
     """A parquet folder, or one parquet file of a folder, as a stream."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

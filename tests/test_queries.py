@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as driver
 import oracle
+from ledgerbrook.catalog import bindings
 
 SF_DIR = os.environ.get("TEST_SF_DIR", driver.SMOKE_DIR)
 
@@ -29,6 +30,12 @@ def test_every_query_has_sql():
     assert set(driver.oracle_sql()) == set(driver.queries())
 
 
+@pytest.mark.parametrize("name", sorted(bindings.SCHEMAS))
+def test_stated_schema_is_the_stored_one(spark, name):
+    stored = spark.read.parquet(f"{SF_DIR}/{name}.parquet")
+    assert stored.dtypes == bindings.table(spark, SF_DIR, name).dtypes
+
+
 def test_entry(spark):
     df = driver.entry(spark)
     assert df.count() > 0 and "total_score" in df.columns

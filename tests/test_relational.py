@@ -44,6 +44,13 @@ def test_hot_key_is_spread(spark):
     assert "_salt" in joined._jdf.queryExecution().analyzed().toString()
 
 
+def test_small_side_is_not_counted(sides):
+    left, right = sides
+    small = right.where("key = 1").limit(3)
+    joined = relational.left_join(left, small, "key", hot_rows=10**9)
+    assert "_salt" not in joined._jdf.queryExecution().analyzed().toString()
+
+
 def test_left_join_counts_given_keys(sides):
     left, right = sides
     got = relational.left_join(left, right, "key", hot_rows=5, key_rows=right.select("key"))
@@ -58,6 +65,14 @@ def test_semi_anti_presence(sides):
     assert [r.seen for r in flags] == [1, 1, 1, 1, 1, 1, 0, 0]
 
 
+def test_large_key_set_is_stored(sides):
+    left, right = sides
+    stored = relational.key_set(right, "key", large=0)
+    assert "key-set" in stored.inputFiles()[0]
+    assert rows_of(stored) == rows_of(relational.key_set(right, "key"))
+    assert rows_of(left.join(stored, "key", "left_anti")) == rows_of(relational.anti_join(left, right, "key"))
+
+
 def test_longest_by_key(spark):
     df = spark.createDataFrame(
         [("a", "x"), ("a", "yyy"), ("a", "zzz"), ("a", None), ("b", None), ("c", "")], "k string, t string"
