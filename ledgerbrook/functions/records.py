@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, functions as F, types as T
 
-from ledgerbrook.functions.text import first_number
+from ledgerbrook.functions.text import number
 
 PAGE_VIEW = T.StructType([
     T.StructField("url", T.StringType()),
@@ -13,6 +16,8 @@ PAGE_VIEW = T.StructType([
     T.StructField("user_id", T.LongType()),
 ])
 
+VIEW_LINE = r"(?s)\A[^\t]*(\t[+-]?\d+){3}(\t.*)?\z"
+
 # Severities in the order they are looked for, and the label of other lines.
 SEVERITIES = ["ERROR", "INFO", "WARNING"]
 OTHER_SEVERITY = "any"
@@ -26,12 +31,13 @@ def page_view(line: Column) -> Column:
     ])
 
 
-def is_page_view(view: Column) -> Column:
-    """True when every cell of a parsed page view is present."""
-    ok = F.lit(True)
-    for f in PAGE_VIEW.fields:
-        ok = ok & view[f.name].isNotNull()
-    return ok
+def is_page_view(line: Column) -> Column:
+    """True for a line with a text and three whole numbers that fit their types.
+
+    The pattern comes first: it is cheap, and spares the casts the malformed lines.
+    """
+    view = page_view(line)
+    return line.rlike(VIEW_LINE) & reduce(and_, [view[f.name].isNotNull() for f in PAGE_VIEW.fields])
 
 
 def page_view_line(url: Column, status: Column, zip_code: Column, user_id: Column) -> Column:
@@ -48,8 +54,9 @@ def severity(line: Column) -> Column:
 
 def severity_value(line: Column) -> Column:
     """The first number of a line with a known severity; 0 without number or severity."""
-    number = F.coalesce(first_number(line).try_cast("bigint"), F.lit(0).cast("bigint"))
-    return F.when(severity(line) == OTHER_SEVERITY, F.lit(0).cast("bigint")).otherwise(number)
+    zero = F.lit(0).cast("bigint")
+    found = F.coalesce(number(line, "bigint"), zero)
+    return F.when(severity(line) == OTHER_SEVERITY, zero).otherwise(found)
 
 
 def strip_salt(key: Column) -> Column:

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-from ledgerbrook.functions.text import first_match, first_number
+from ledgerbrook.functions.text import first_match, number
 
 Range = tuple[float, float, float]
 
@@ -49,13 +49,13 @@ def score_capital(text: Column) -> Column:
     """First number times the factor of the first non-digit run, then bucketed."""
     factors = F.create_map(*[F.lit(x) for pair in CAPITAL_UNITS.items() for x in pair])
     factor = F.coalesce(F.try_element_at(factors, first_match(text, r"\D+")), F.lit(1.0))
-    return range_bucket(first_number(text).try_cast("bigint") * factor, CAPITAL_RANGES)
+    return range_bucket(number(text, "bigint") * factor, CAPITAL_RANGES)
 
 
 def lenient_date(text: Column) -> Column:
     """The first ``yyyy-MM-dd``; months and days beyond their range roll over."""
     pattern = r"(\d{4})-(\d{2})-(\d{2})"
-    year, month, day = (F.regexp_extract(text, pattern, i).try_cast("int") for i in (1, 2, 3))
+    year, month, day = (number(text, "int", pattern, i) for i in (1, 2, 3))
     return F.date_add(F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1), day - 1)
 
 
@@ -65,14 +65,14 @@ def score_years(text: Column, as_of: Column) -> Column:
 
 
 def score_count(text: Column) -> Column:
-    return range_bucket(first_number(text).try_cast("double"), COUNT_RANGES)
+    return range_bucket(number(text, "double"), COUNT_RANGES)
 
 
 def score_headcount(text: Column) -> Column:
     """Midpoint of the first ``a-b`` range, bucketed."""
     pattern = r"(\d+)-(\d+)"
-    low = F.regexp_extract(text, pattern, 1).try_cast("double")
-    high = F.regexp_extract(text, pattern, 2).try_cast("double")
+    low = number(text, "double", pattern, 1)
+    high = number(text, "double", pattern, 2)
     return F.when(text == FEW_STAFF, FEW_STAFF_MARK).otherwise(
         range_bucket(low + (high - low) / 2, HEADCOUNT_RANGES)
     )
@@ -80,4 +80,4 @@ def score_headcount(text: Column) -> Column:
 
 def score_flag(text: Column, mark: float) -> Column:
     """``mark`` when the first number is above zero, else 0."""
-    return F.when(first_number(text.cast("string")).try_cast("double") > 0, float(mark)).otherwise(0.0)
+    return F.when(number(text.cast("string"), "double") > 0, float(mark)).otherwise(0.0)

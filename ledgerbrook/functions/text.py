@@ -49,9 +49,10 @@ def null_token(text: Column) -> Column:
 
 def longest(pieces: Column) -> Column:
     """The longest element of a string array; the first one wins a tie, none gives ``''``."""
-    return F.aggregate(
-        pieces, F.lit(""), lambda best, x: F.when(F.length(x) > F.length(best), x).otherwise(best)
+    ranked = F.transform(
+        pieces, lambda x, i: F.struct(F.length(x).alias("length"), (-i).alias("early"), x.alias("piece"))
     )
+    return F.coalesce(F.array_max(ranked)["piece"], F.lit(""))
 
 
 def longest_token(text: Column, delimiters: str = ",|，") -> Column:
@@ -91,6 +92,14 @@ def first_number(text: Column) -> Column:
     return first_match(text, r"\d+")
 
 
+def number(text: Column, kind: str, pattern: str = r"\d+", group: int = 0) -> Column:
+    """A group of the first match as a number; null without a match or when it does not fit.
+
+    The empty text of a missing match is made null first, as a failing cast is slow.
+    """
+    return F.nullif(F.regexp_extract(text, pattern, group), F.lit("")).try_cast(kind)
+
+
 def like_flag(text: Column, part: str) -> Column:
     """1 when ``text`` contains ``part``, else 0 (also for null)."""
     return F.when(text.contains(part), 1).otherwise(0)
@@ -107,4 +116,4 @@ def lower_words(text: Column) -> Column:
 
 def whole_number(text: Column) -> Column:
     """Text as int, with any fraction cut off; null when it is not a number or too large."""
-    return F.regexp_extract(trim_ws(text), r"\A([+-]?\d+)(\.\d*)?\z", 1).try_cast("int")
+    return number(trim_ws(text), "int", r"\A([+-]?\d+)(\.\d*)?\z", 1)

@@ -21,12 +21,12 @@ USER_WINDOW = (15, 2)
 def page_views(lines: DataFrame, line: str = "value") -> DataFrame:
     """Parse tab-separated lines; malformed ones are dropped. Other columns stay."""
     others = [c for c in lines.columns if c != line]
-    parsed = lines.select(*others, page_view(F.col(line)).alias("_view"))
-    return parsed.where(is_page_view(F.col("_view"))).select(*others, "_view.*")
+    good = lines.where(is_page_view(F.col(line)))
+    return good.select(*others, page_view(F.col(line)).alias("_view")).select(*others, "_view.*")
 
 
 def malformed_count(lines: DataFrame, line: str = "value") -> DataFrame:
-    bad = F.when(~is_page_view(page_view(F.col(line))), 1)
+    bad = F.when(~is_page_view(F.col(line)), 1)
     return lines.agg(F.count(bad).alias("malformed"))
 
 

@@ -106,11 +106,15 @@ def test_severity(spark):
 
 
 def test_page_view(spark):
-    cases = ["http://a\t200\t94709\t5", "http://a\tx\t1\t2", "short\t200", ""]
+    cases = [
+        "http://a\t200\t94709\t5", "http://a\tx\t1\t2", "short\t200", "", "\t-1\t+2\t3\tmore\n",
+        "u\t99999999999\t1\t2", "u\t 1\t1\t2", None,
+    ]
     got = one_column(spark, cases, records.page_view)
     assert tuple(got[0]) == ("http://a", 200, 94709, 5)
-    good = one_column(spark, cases, lambda c: records.is_page_view(records.page_view(c)))
-    assert good == [True, False, False, False]
+    assert tuple(got[4]) == ("", -1, 2, 3)
+    good = one_column(spark, cases, records.is_page_view)
+    assert good == [True, False, False, False, True, False, False, False]
     line = spark.range(1).select(
         records.page_view_line(F.lit("u"), F.lit(200), F.lit(1), F.lit(2)).alias("l")
     ).first()
