@@ -18,6 +18,7 @@ from ledgerbrook.operators import (
     windows,
 )
 from ledgerbrook.plans import address, keywords, profile, score
+from ledgerbrook.session import scratch_path
 from ledgerbrook.sources import tables
 from ledgerbrook.streaming import clickstream
 
@@ -48,6 +49,20 @@ def partition_day_scan(spark, d):
     return rows.select("event_id", "ptt_day", "user_id")
 
 
+@query
+def table_overwrite(spark, d):
+    """Events stored by day and overwritten by their later form; one day is read back."""
+    path = scratch_path(spark, "events-by-day")
+    events = b.table(spark, d, "events").select(
+        "event_id", "event_type", F.date_format("ts", "yyyyMMdd").alias("ptt_day")
+    )
+    tables.write_folder(events, path, ["ptt_day"])
+    named = events.withColumn("event_type", F.upper("event_type"))
+    tables.write_folder(named, path, ["ptt_day"])
+    stored = spark.read.schema(events.schema).parquet(path)
+    return tables.partition_day(stored, "20240110")
+
+
 def _wide_customers(spark, d):
     """Customers under a letter-number key, with text cells as in a wide-column table."""
     letter = F.char(65 + col("c_custkey") % 26)

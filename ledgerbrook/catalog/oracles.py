@@ -156,6 +156,10 @@ SQL["partition_day_scan"] = """
 SELECT event_id, strftime(ts, '%Y%m%d') AS ptt_day, user_id FROM events
 WHERE strftime(ts, '%Y%m%d') = '20240105' AND event_type = 'click'
 """
+SQL["table_overwrite"] = """
+SELECT event_id, upper(event_type) AS event_type, strftime(ts, '%Y%m%d') AS ptt_day FROM events
+WHERE strftime(ts, '%Y%m%d') = '20240110'
+"""
 SQL["key_range_scan"] = """
 SELECT * FROM (
   SELECT chr(CAST(65 + c_custkey % 26 AS INTEGER)) || '-' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS rowkey,

@@ -1,6 +1,7 @@
 """Stream queries: each reads its tables as a stream, works them off, and returns what was stored.
 
-Event times are cast to ``timestamp`` for the watermark and back for comparison.
+Event times are cast to ``timestamp`` for the watermark and back for comparison, in a session
+with time zone UTC. Window state is kept in RocksDB, outside the Java heap.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from ledgerbrook.operators import windows
 from ledgerbrook.session import scratch_path
 from ledgerbrook.sources.streams import union_streams
 from ledgerbrook.streaming import batches, clickstream, stateful
+from ledgerbrook.streaming.processors import use_rocksdb
 
 QUERIES: dict[str, Query] = {}
 DELAY = "1 hour"
@@ -36,6 +38,7 @@ def _stored_batches(spark, name: str, stream: DataFrame, transform: batches.Tran
 
 
 def _appended(spark, name: str, rows: DataFrame) -> DataFrame:
+    use_rocksdb(spark)
     root = scratch_path(spark, name)
     batches.append_rows(rows, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     stored = spark.read.schema(rows.schema).parquet(f"{root}/out")

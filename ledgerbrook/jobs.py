@@ -115,6 +115,20 @@ def upsert_job(run: Run) -> dict[str, DataFrame]:
     return {}
 
 
+def export_job(run: Run) -> dict[str, DataFrame]:
+    """Recreate JDBC tables from input tables, renamed by position as ``names`` says."""
+    for role, target in run.settings["outputs"].items():
+        names = run.settings.get("names", {}).get(role)
+        jdbc.replace_table(run.table(role), run.settings["jdbc"], target, names)
+    return {}
+
+
+def import_job(run: Run) -> dict[str, DataFrame]:
+    """Copy JDBC tables, named in ``sources``, to catalog tables."""
+    sources = run.settings["sources"]
+    return {role: jdbc.scan(run.spark, run.settings["jdbc"], table=t) for role, t in sources.items()}
+
+
 JOBS: dict[str, Callable[[Run], dict[str, DataFrame]]] = {
     "address": address_job,
     "capacity": capacity_job,
@@ -124,6 +138,8 @@ JOBS: dict[str, Callable[[Run], dict[str, DataFrame]]] = {
     "score": score_job,
     "publish": publish_job,
     "upsert": upsert_job,
+    "export": export_job,
+    "import": import_job,
 }
 
 

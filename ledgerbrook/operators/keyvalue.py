@@ -85,17 +85,25 @@ def salted_range_scan(
     return rows.withColumn(original, strip_salt(F.col(key))) if original else rows
 
 
-def cells(df: DataFrame, key: str, columns: Sequence[str] | None = None, family: str | None = None) -> DataFrame:
+def cells(
+    df: DataFrame,
+    key: str,
+    columns: Sequence[str] | None = None,
+    family: str | None = None,
+    timestamp: str | None = None,
+) -> DataFrame:
     """One row per cell: key, qualifier, value (as text); null cells are absent.
 
-    ``family`` adds the column family in front of the qualifier.
+    ``family`` adds the column family before the qualifier, ``timestamp`` names a column of
+    the row's version, kept beside each of its cells.
     """
-    names = list(columns or [c for c in df.columns if c != key])
-    text = df.select(key, *[F.col(c).cast("string").alias(c) for c in names])
-    out = text.unpivot(key, names, "qualifier", "value").where(F.col("value").isNotNull())
-    if family is None:
-        return out
-    return out.select(key, F.lit(family).alias("family"), "qualifier", "value")
+    ids = [key, timestamp] if timestamp else [key]
+    names = list(columns or [c for c in df.columns if c not in ids])
+    text = df.select(*ids, *[F.col(c).cast("string").alias(c) for c in names])
+    out = text.unpivot(ids, names, "qualifier", "value").where(F.col("value").isNotNull())
+    first = [F.col(key)] + ([F.lit(family).alias("family")] if family is not None else [])
+    version = [F.col(timestamp)] if timestamp else []
+    return out.select(*first, "qualifier", *version, "value")
 
 
 def reversed_keys(lines: DataFrame, line: str = "value", key: str = "rowkey") -> DataFrame:

@@ -42,7 +42,7 @@ class LineSource(DataSource):
         return "value string"
 
     def streamReader(self, schema: StructType) -> LineStreamReader:
-        return LineStreamReader(self.options["path"], int(self.options.get("rangeBytes", RANGE_BYTES)))
+        return LineStreamReader(_folder(self.options["path"]), int(self.options.get("rangeBytes", RANGE_BYTES)))
 
 
 class LineStreamReader(DataSourceStreamReader):
@@ -94,6 +94,11 @@ class LineStreamReader(DataSourceStreamReader):
         pass
 
 
+def _folder(path: str) -> str:
+    """Hadoop writes local paths as ``file:/x``, which is no URI to Arrow."""
+    return path.removeprefix("file:") if path.startswith("file:/") and path[6:7] != "/" else path
+
+
 def _batch(lines: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
 

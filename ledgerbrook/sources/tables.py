@@ -45,6 +45,14 @@ def dictionary_entries(lines: DataFrame, fields: str = "fields") -> DataFrame:
     return lines.select(F.col(fields)[0].alias("category"), F.explode(fields).alias("keyword"))
 
 
+def write_folder(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Overwrite a parquet folder; one sub-folder per value of the partition columns."""
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+
+
 def write_table(df: DataFrame, table: str, fmt: str | None = None, partition_by: Sequence[str] = ()) -> None:
     """Overwrite a managed table; ``fmt`` (such as ``hive``) defaults to the session's format."""
     writer = df.write.mode("overwrite")

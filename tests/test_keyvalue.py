@@ -71,6 +71,9 @@ def test_cells(spark):
     df = spark.createDataFrame([("k", "x", 5, None)], "rowkey string, a string, b int, c string")
     assert rows_of(kv.cells(df, "rowkey")) == [("k", "a", "x"), ("k", "b", "5")]
     assert rows_of(kv.cells(df, "rowkey", ["a"], family="f")) == [("k", "f", "a", "x")]
+    full = kv.cells(df.withColumn("at", F.lit(9)), "rowkey", family="f", timestamp="at")
+    assert full.columns == ["rowkey", "family", "qualifier", "at", "value"]
+    assert rows_of(full) == [("k", "f", "a", 9, "x"), ("k", "f", "b", 9, "5")]
 
 
 def test_point_lookup(spark):

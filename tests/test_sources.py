@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from ledgerbrook import session
+from ledgerbrook import jobs, session
 from ledgerbrook.sources import jdbc, streams
 
 URL = {"url": "jdbc:none:x", "user": "u"}
@@ -110,48 +110,65 @@ def test_upsert_statements(spark, monkeypatch):
     assert ran == [jdbc.merge_sql("target", staged[0], ["id", "a"]), f"DROP TABLE {staged[0]}"]
 
 
-def test_shared_dir_is_the_configured_one(spark):
-    before = spark.conf.get(session.CHECKPOINT_DIR, None)
-    spark.conf.set(session.CHECKPOINT_DIR, "/shared/place/")
-    try:
-        assert session.shared_dir(spark) == "/shared/place"
-        assert session.scratch_path(spark, "x").startswith("/shared/place/ledgerbrook-")
-    finally:
-        if before is None:
-            spark.conf.unset(session.CHECKPOINT_DIR)
-        else:
-            spark.conf.set(session.CHECKPOINT_DIR, before)
-
-
-def test_scratch_is_cleared(spark, tmp_path):
-    before = spark.conf.get(session.CHECKPOINT_DIR, None)
-    spark.conf.set(session.CHECKPOINT_DIR, str(tmp_path))
-    try:
-        kept = session.materialise(spark.range(3).toDF("id"), "kept")
-        assert sorted(r.id for r in kept.collect()) == [0, 1, 2]
-        assert len(list(tmp_path.glob("ledgerbrook-*/kept-*"))) == 1
-        session.clear_scratch(spark)
-        assert list(tmp_path.iterdir()) == []
-    finally:
-        if before is None:
-            spark.conf.unset(session.CHECKPOINT_DIR)
-        else:
-            spark.conf.set(session.CHECKPOINT_DIR, before)
+@pytest.fixture
+def profile_table(spark):
+    spark.createDataFrame([("1", None, None), ("2", "b", 5)], "id string, name string, n int").createOrReplaceTempView("t_profile")
+    return {"inputs": {"profile": "t_profile"}, "now": 9, "jdbc": URL, "outputs": {"profile": "target"}}
 
 
-def test_cluster_needs_a_shared_dir():
-    class Context:
-        master = "spark://host:7077"
+def test_upsert_job(spark, monkeypatch, profile_table):
+    calls = []
+    ids = spark.createDataFrame([("2",)], "id string")
+    monkeypatch.setattr(jdbc, "scan", lambda spark, options, table: ids)
+    monkeypatch.setattr(jdbc, "upsert", lambda df, options, table, dialect: calls.append((df, table, dialect)))
+    jobs.run_job(spark, "upsert", {**profile_table, "dialect": "mysql"})
+    (df, table, dialect), = calls
+    assert (table, dialect) == ("target", "mysql")
+    got = {r.id: r for r in df.collect()}
+    assert (got["1"].name, got["1"].n, got["1"].op_latest, got["1"].update_time) == ("", 0, "bd_insert", 0)
+    assert (got["2"].n, got["2"].op_latest, got["2"].update_time) == (5, "bd_update", 9)
+
+
+def test_publish_export_import_jobs(spark, monkeypatch, profile_table, tmp_path):
+    calls = []
+    monkeypatch.setattr(jdbc, "publish", lambda frames, options: calls.append({t: df.count() for t, df in frames.items()}))
+    jobs.run_job(spark, "publish", profile_table)
+    assert calls == [{"target": 2}]
+    monkeypatch.setattr(jdbc, "replace_table", lambda df, options, table, names: calls.append((table, names)))
+    jobs.run_job(spark, "export", {**profile_table, "names": {"profile": ["a", "b", "c"]}})
+    assert calls[-1] == ("target", ["a", "b", "c"])
+    monkeypatch.setattr(jdbc, "scan", lambda spark, options, table: spark.table("t_profile"))
+    made = jobs.JOBS["import"](jobs.Run(spark, {"sources": {"copy": "there"}, "jdbc": URL}, []))
+    assert made["copy"].count() == 2
+
+
+class Settings:
+    """A session stand-in with fixed settings."""
+
+    def __init__(self, folder, master):
+        self.folder, self.master = folder, master
+        self.conf = self.sparkContext = self
 
-        def getCheckpointDir(self):
-            return None
+    def get(self, key, default=None):
+        return self.folder if key == session.CHECKPOINT_DIR else default
 
-    class Conf:
-        def get(self, key, default=None):
-            return default
+    def getCheckpointDir(self):
+        return None
 
-    class Session:
-        sparkContext, conf = Context(), Conf()
 
+def test_shared_dir_is_the_configured_one():
+    assert session.shared_dir(Settings("hdfs://shared/place/", "spark://host:7077")) == "hdfs://shared/place"
+
+
+def test_cluster_needs_a_shared_dir():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_dir(Session())
+        session.shared_dir(Settings(None, "spark://host:7077"))
+
+
+def test_scratch_is_cleared(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    kept = session.materialise(spark.range(3).toDF("id"), "kept")
+    assert sorted(r.id for r in kept.collect()) == [0, 1, 2]
+    assert len(list(tmp_path.glob("ledgerbrook-*/kept-*"))) == 1
+    session.clear_scratch(spark)
+    assert list(tmp_path.iterdir()) == []
