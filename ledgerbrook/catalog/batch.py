@@ -450,15 +450,25 @@ def category_totals_map(spark, d):
 # Ordered operators
 
 
-@query
-def running_sum(spark, d):
+def _running_sum(spark, d, **layout):
     values = b.event_values(b.table(spark, d, "events"))
     initial = b.table(spark, d, "supplier").agg(F.count(F.lit(1)).alias("k"))
     initial = initial.select(F.lit("click").alias("event_type"), "k")
-    out = ordered.running_sum(values, "event_type", ["ts", "event_id"], "k", initial=initial)
+    out = ordered.running_sum(values, "event_type", ["ts", "event_id"], "k", initial=initial, **layout)
     return out.select("event_id", "event_type", "k", "running_sum")
 
 
+@query
+def running_sum(spark, d):
+    return _running_sum(spark, d)
+
+
+@query
+def running_sum_hot_keys(spark, d):
+    """The running sum with every event type treated as a hot key and cut into blocks."""
+    return _running_sum(spark, d, hot_rows=100, blocks=12)
+
+
 @query
 def count_window_avg(spark, d):
     values = b.event_values(b.table(spark, d, "events"))

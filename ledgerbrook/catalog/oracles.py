@@ -453,6 +453,7 @@ SELECT event_id, event_type, k,
             + CASE WHEN event_type = 'click' THEN (SELECT count(*) FROM supplier) ELSE 0 END AS BIGINT) AS running_sum
 FROM event_values
 """
+SQL["running_sum_hot_keys"] = SQL["running_sum"]
 COUNT_WINDOWS = f"""
 WITH {EVENT_VALUES},
 numbered AS (

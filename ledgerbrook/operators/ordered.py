@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from ledgerbrook.operators.hot import HOT_ROWS, hot_keys
 from ledgerbrook.session import materialise
 
 BLOCK = "_block"
@@ -19,17 +23,61 @@ def running_totals(
     totals: Mapping[str, Column],
     blocks: int | None = None,
     stored_at: str | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Add running sums per key, in ``order``, computed block by block.
+    """Add running sums per key in ``order``, which must be unique within a key.
 
-    The rows are range-partitioned by key and order, so a hot key is cut into many
-    blocks. Each block sums on its own; a key that continues from earlier blocks then
-    gets their total added. Only the last key of a block can continue, so that
-    table has at most one row per block and is safe to broadcast.
+    ``totals`` maps a new column to the summed (non-null) expression. With no keys the
+    whole table is one sequence. Keys of up to ``hot_rows`` rows are summed by a window; the
+    rows of larger ones, and of a sequence without keys, block by block.
+    """
+    if not keys:
+        return _block_totals(df, keys, order, totals, blocks, stored_at)
+    hot = hot_keys(df, keys, hot_rows)
+    if hot is None:
+        return _window_totals(df, keys, order, totals)
+    names = {k: f"_hot_{k}" for k in keys}
+    listed = materialise(
+        hot.select(*[F.col(k).alias(n) for k, n in names.items()]), "hot-keys",
+        stored_at and f"{stored_at}-keys",
+    )
+    is_hot = reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    cold_rows = df.join(F.broadcast(listed), is_hot, "left_anti")
+    hot_part = df.join(F.broadcast(listed), is_hot, "left_semi")
+    return _window_totals(cold_rows, keys, order, totals).unionByName(
+        _block_totals(hot_part, keys, order, totals, blocks, stored_at)
+    )
+
+
+def _window_totals(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], totals: Mapping[str, Column]
+) -> DataFrame:
+    steps = {f"_step_{name}": expr for name, expr in totals.items()}
+    so_far = _so_far(keys, order)
+    sums = [F.sum(f"_step_{name}").over(so_far).alias(name) for name in totals]
+    return df.withColumns(steps).select(*df.columns, *sums)
+
+
+def _so_far(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _block_totals(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    totals: Mapping[str, Column],
+    blocks: int | None,
+    stored_at: str | None,
+) -> DataFrame:
+    """Running sums with every key cut into many blocks.
 
-    ``order`` must be unique within a key. ``totals`` maps a new column to the summed
-    (non-null) expression. With no keys the whole table is one sequence. The sorted blocks are
-    stored in the shared folder, or at ``stored_at`` when the caller reuses one place.
+    The rows are range-partitioned by key and order and stored with their block number. Each
+    block sums on its own; a key that continues from earlier blocks then gets their total
+    added. Only the last key of a block can continue, so that table has at most one row
+    per block and is safe to broadcast. The blocks are stored in the shared folder, or at
+    ``stored_at`` when the caller reuses one place.
     """
     by = [*keys, *order]
     ranged = df.repartitionByRange(blocks, *by) if blocks else df.repartitionByRange(*by)
@@ -47,21 +95,16 @@ def running_totals(
         .agg(*[F.sum(f"_step_{name}").alias(f"_carry_{name}") for name in totals])
     )
     # One row per block from here on.
-    so_far = Window.partitionBy(HEAD).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, 0)
     carried = tail_sums.select(
-        BLOCK, HEAD, *[F.sum(f"_carry_{n}").over(so_far).alias(f"_carry_{n}") for n in totals]
+        BLOCK,
+        HEAD,
+        *[F.sum(f"_carry_{n}").over(_so_far([HEAD], [BLOCK])).alias(f"_carry_{n}") for n in totals],
     )
     carries = carried.select(
-        F.lead(BLOCK).over(Window.orderBy(BLOCK)).alias(BLOCK),
-        HEAD,
-        *[f"_carry_{n}" for n in totals],
+        F.lead(BLOCK).over(Window.orderBy(BLOCK)).alias(BLOCK), HEAD, *[f"_carry_{n}" for n in totals]
     ).where(F.col(BLOCK).isNotNull())
 
-    within = (
-        Window.partitionBy(BLOCK, *keys)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    within = _so_far([BLOCK, *keys], order)
     summed = rows.withColumns({n: F.sum(f"_step_{n}").over(within) for n in totals})
     continues = key.eqNullSafe(F.col(HEAD))
     joined = summed.join(F.broadcast(carries), BLOCK, "left")
@@ -78,24 +121,24 @@ def running_sum(
     value: str,
     name: str = "running_sum",
     initial: DataFrame | None = None,
-    blocks: int | None = None,
-    stored_at: str | None = None,
+    **layout: Any,
 ) -> DataFrame:
     """One running total per input row; ``initial`` (key, value) rows seed the totals.
 
-    Seeds enter the sequence before the first row of their key and are not emitted.
+    Seeds enter the sequence before the first row of their key and are not emitted. ``layout`` is
+    passed to ``running_totals``, here and in the functions below.
     """
     if initial is None:
-        return running_totals(df, [key], order, {name: F.col(value)}, blocks, stored_at)
+        return running_totals(df, [key], order, {name: F.col(value)}, **layout)
     seeds = initial.select(key, value, F.lit(0).alias("_turn"))
     rows = df.withColumn("_turn", F.lit(1)).unionByName(seeds, allowMissingColumns=True)
-    out = running_totals(rows, [key], ["_turn", *order], {name: F.col(value)}, blocks, stored_at)
+    out = running_totals(rows, [key], ["_turn", *order], {name: F.col(value)}, **layout)
     return out.where(F.col("_turn") == 1).drop("_turn")
 
 
-def surrogate_ids(df: DataFrame, name: str, id_col: str = "id", blocks: int | None = None) -> DataFrame:
+def surrogate_ids(df: DataFrame, name: str, id_col: str = "id", **layout: Any) -> DataFrame:
     """Dense ids 1..n over distinct ``name`` values, in name order."""
-    numbered = running_totals(df, [], [name], {id_col: F.lit(1).cast("bigint")}, blocks)
+    numbered = running_totals(df, [], [name], {id_col: F.lit(1).cast("bigint")}, **layout)
     return numbered.select(id_col, *df.columns)
 
 
@@ -106,8 +149,7 @@ def count_windows(
     value: str,
     size: int = 2,
     initial: DataFrame | None = None,
-    blocks: int | None = None,
-    stored_at: str | None = None,
+    **layout: Any,
 ) -> DataFrame:
     """Cut each key's rows, in order, into groups of ``size``.
 
@@ -122,7 +164,7 @@ def count_windows(
         seeds = initial.select(key, "filled", "total", F.lit(0).alias("_turn"))
         rows = rows.withColumn("_turn", F.lit(1)).unionByName(seeds, allowMissingColumns=True)
         by = ["_turn", *by]
-    seen = running_totals(rows, [key], by, {"_seen": F.col("filled")}, blocks, stored_at)
+    seen = running_totals(rows, [key], by, {"_seen": F.col("filled")}, **layout)
     window_no = F.expr(f"(_seen - 1) div {int(size)}").alias("window_no")
     return seen.groupBy(key, window_no).agg(
         F.sum("filled").alias("filled"), F.sum("total").alias("total")
@@ -135,10 +177,10 @@ def count_window_avg(
     order: Sequence[str],
     value: str,
     size: int = 2,
-    blocks: int | None = None,
+    **layout: Any,
 ) -> DataFrame:
     """Truncated average of every ``size`` consecutive values of a key; a short rest emits nothing."""
-    groups = count_windows(df, key, order, value, size, None, blocks)
+    groups = count_windows(df, key, order, value, size, **layout)
     return groups.where(F.col("filled") == size).select(
         key, "window_no", F.expr("total div filled").alias("average")
     )

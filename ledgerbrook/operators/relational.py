@@ -11,11 +11,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerbrook.operators.hot import HOT_ROWS, estimated_bytes, hot_keys
 from ledgerbrook.session import materialise
 
-# Rows of one key that are worth spreading, and the least a row takes in a size estimate.
-HOT_ROWS = 5_000_000
-ROW_BYTES = 8
 # Inputs above this size have their distinct keys stored.
 LARGE_BYTES = 4 << 30
 
@@ -28,7 +26,7 @@ def key_set(df: DataFrame, on: str | Sequence[str], large: int = LARGE_BYTES) ->
     shuffle on both sides, which AQE needs to split a hot key of the other side.
     """
     keys = df.select(*([on] if isinstance(on, str) else on)).distinct()
-    return materialise(keys, "key-set") if _estimated_bytes(df) > large else keys
+    return materialise(keys, "key-set") if estimated_bytes(df) > large else keys
 
 
 def semi_join_master(df: DataFrame, master: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -65,39 +63,22 @@ def inner_join(left: DataFrame, right: DataFrame, on: str, hot_rows: int = HOT_R
     return _checked_join(left, right, on, "inner", hot_rows, None)
 
 
-def _estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate, but no more than all inputs together.
-
-    Without column statistics a join is estimated as the product of its sides.
-    """
-    plan = df._jdf.queryExecution().optimizedPlan()
-    inputs = plan.collectLeaves()
-    sizes = [inputs.apply(i).stats().sizeInBytes() for i in range(inputs.size())]
-    return min(int(str(plan.stats().sizeInBytes())), sum(int(str(s)) for s in sizes))
-
-
 def _checked_join(
     left: DataFrame, right: DataFrame, on: str, how: str, hot_rows: int, key_rows: DataFrame | None
 ) -> DataFrame:
     """Join on ``on``, spreading right-side keys with more than ``hot_rows`` rows.
 
     Spark can neither split the null-supplying side of an outer join, nor a side whose
-    partitioning a following join reuses. So the right side's rows are counted per key first,
-    unless Catalyst's size estimate leaves no room for that many rows. Without a hot key the plain join runs and keeps its partitioning for the next one. With
+    partitioning a following join reuses. So a large right side is counted per key first. Without a hot key the plain join runs and keeps its partitioning for the next one. With
     hot keys, their right rows are spread over salts and only their left rows are repeated
-    once per salt. The table of hot keys has at most (right rows / hot_rows) rows, hence
-    the broadcast. Salts follow from the input partition and the row, so a retry repeats them.
+    once per salt. Salts follow from the input partition and the row, so a retry repeats them.
     """
-    if _estimated_bytes(right) < hot_rows * ROW_BYTES:
-        return left.join(right, on, how)
-    keys = (right if key_rows is None else key_rows).where(F.col(on).isNotNull())
-    counts = keys.groupBy(on).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = counts.where(F.col("_rows") > hot_rows).select(
-        on, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_salts")
-    )
-    if hot.isEmpty():
+    rows = (right if key_rows is None else key_rows).where(F.col(on).isNotNull())
+    hot = hot_keys(rows, [on], hot_rows)
+    if hot is None:
         return left.join(right, on, how)
-    hot = materialise(hot, "hot-keys")
+    per_key = F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_salts")
+    hot = materialise(hot.select(on, per_key), "hot-keys")
     salts = F.coalesce("_salts", F.lit(1))
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *right.columns), salts).cast("int")
     right_salted = (

@@ -15,6 +15,7 @@ gives the same rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -47,7 +48,7 @@ def running_sum_stream(
     root: str,
     initial: DataFrame | None = None,
     interval: str | None = None,
-    blocks: int | None = None,
+    **layout: Any,
 ) -> StreamingQuery:
     """Emit the running sum of its key for every input row; ``initial`` (key, value) starts the sums.
 
@@ -59,7 +60,7 @@ def running_sum_stream(
         before = _before(spark, root, batch_id, initial)
         out = batch_path(f"{root}/out", batch_id)
         rows = running_sum(
-            df, key, order, value, initial=before, blocks=blocks, stored_at=f"{root}/blocks"
+            df, key, order, value, initial=before, stored_at=f"{root}/blocks", **layout
         )
         rows.write.mode("overwrite").parquet(out)
         sums = spark.read.parquet(out).select(key, value)
@@ -78,7 +79,7 @@ def count_window_avg_stream(
     root: str,
     size: int = 2,
     interval: str | None = None,
-    blocks: int | None = None,
+    **layout: Any,
 ) -> StreamingQuery:
     """Emit the truncated average after every ``size`` values of a key, across batches."""
 
@@ -86,7 +87,7 @@ def count_window_avg_stream(
         spark = df.sparkSession
         before = _before(spark, root, batch_id, None)
         groups = count_windows(
-            df, key, order, value, size, before, blocks, stored_at=f"{root}/blocks"
+            df, key, order, value, size, before, stored_at=f"{root}/blocks", **layout
         )
         groups.write.mode("overwrite").parquet(f"{root}/groups")
         groups = spark.read.parquet(f"{root}/groups")

@@ -37,25 +37,43 @@ def sequential(rows, initial=()):
     return sorted(out)
 
 
-@pytest.mark.parametrize("blocks", [None, 1, 3, 16])
-def test_running_sum(spark, blocks):
+# No hot key, the one hot key, and every key by blocks.
+LAYOUTS = [
+    {}, {"hot_rows": 60}, {"hot_rows": 60, "blocks": 7}, {"hot_rows": 0}, {"hot_rows": 0, "blocks": 1},
+    {"hot_rows": 0, "blocks": 16},
+]
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_running_sum(spark, layout):
     rows = skewed(400)
     df = spark.createDataFrame(rows, "key string, seq int, value int").repartition(5)
-    got = ordered.running_sum(df, "key", ["seq"], "value", blocks=blocks)
+    got = ordered.running_sum(df, "key", ["seq"], "value", **layout)
     shown = rows_of(got, F.coalesce("key", F.lit("None")), "seq", "running_sum")
     assert shown == sequential(rows)
 
 
-@pytest.mark.parametrize("blocks", [1, 16])
-def test_running_sum_with_initial(spark, blocks):
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_running_sum_with_initial(spark, layout):
     rows = skewed(300, 9)
     initial = {"hot": 1000, "k3": 7, "absent": 5}
     df = spark.createDataFrame(rows, "key string, seq int, value bigint")
     seeds = spark.createDataFrame(list(initial.items()), "key string, value bigint")
-    got = ordered.running_sum(df, "key", ["seq"], "value", initial=seeds, blocks=blocks)
+    got = ordered.running_sum(df, "key", ["seq"], "value", initial=seeds, **layout)
     assert rows_of(got, F.coalesce("key", F.lit("None")), "seq", "running_sum") == sequential(rows, initial)
 
 
+def test_two_keys(spark):
+    rows = [("a", i % 2 if i % 5 else None, i, i) for i in range(120)]
+    df = spark.createDataFrame(rows, "k string, g int, seq int, v bigint").repartition(4)
+    plain = ordered.running_totals(df, ["k", "g"], ["seq"], {"s": F.col("v"), "n": F.lit(1)})
+    cut = ordered.running_totals(
+        df, ["k", "g"], ["seq"], {"s": F.col("v"), "n": F.lit(1)}, blocks=9, hot_rows=30
+    )
+    assert rows_of(cut, "seq", "s", "n") == rows_of(plain, "seq", "s", "n")
+    assert cut.where("n = 48").count() == 2
+
+
 def test_running_sum_hello(spark):
     words = [("hello", 1, 1), ("hello", 2, 1), ("x", 3, 1), ("hello", 4, 1)]
     df = spark.createDataFrame(words, "key string, seq int, value int")
@@ -73,12 +91,12 @@ def test_surrogate_ids(spark, blocks):
     assert got == list(enumerate(sorted(names, key=lambda n: n.encode()), 1))
 
 
-@pytest.mark.parametrize("blocks", [None, 1, 16])
+@pytest.mark.parametrize("layout", LAYOUTS[:1] + LAYOUTS[2:3] + LAYOUTS[5:])
 @pytest.mark.parametrize("size", [2, 3])
-def test_count_window_avg(spark, blocks, size):
+def test_count_window_avg(spark, layout, size):
     rows = skewed(300, 5)
     df = spark.createDataFrame(rows, "key string, seq int, value int")
-    got = ordered.count_window_avg(df, "key", ["seq"], "value", size, blocks)
+    got = ordered.count_window_avg(df, "key", ["seq"], "value", size, **layout)
     groups = defaultdict(list)
     for key, _, value in sorted(rows, key=lambda r: r[1]):
         groups[str(key)].append(value)

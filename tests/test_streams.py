@@ -124,7 +124,7 @@ def test_running_sum_stream(spark, tmp_path, root):
     stream = keyed_files(spark, str(tmp_path / "in"), rows, 4)
     seeds = spark.createDataFrame([("hot", 100), ("never", 1)], "key string, value bigint")
     stateful.running_sum_stream(
-        stream, "key", ["seq"], "value", root, seeds, blocks=5
+        stream, "key", ["seq"], "value", root, seeds, blocks=5, hot_rows=20
     ).awaitTermination()
     out = batches.read_batches(spark, f"{root}/out")
     assert out.select("batch_id").distinct().count() == 4
@@ -151,7 +151,7 @@ def test_running_sum_stream_replays_a_batch(spark, tmp_path, root):
 def test_count_window_stream(spark, tmp_path, root, size):
     rows = make_rows(150)
     stream = keyed_files(spark, str(tmp_path / "in"), rows, 4)
-    stateful.count_window_avg_stream(stream, "key", ["seq"], "value", root, size).awaitTermination()
+    stateful.count_window_avg_stream(stream, "key", ["seq"], "value", root, size, hot_rows=20, blocks=4).awaitTermination()
     whole = spark.createDataFrame(rows, "key string, seq int, value bigint")
     twin = ordered.count_window_avg(whole, "key", ["seq"], "value", size)
     assert rows_of(batches.read_batches(spark, f"{root}/out"), "key", "average") == rows_of(twin, "key", "average")
