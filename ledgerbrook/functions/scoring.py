@@ -38,10 +38,12 @@ FEW_STAFF_MARK = 0.8
 
 
 def range_bucket(number: Column, ranges: Sequence[Range]) -> Column:
-    number = number.cast("double")
-    mark = F.when(number.isNull() | (number == 0), 0.0)
-    for low, high, value in ranges:
-        mark = mark.when((number > float(low)) & (number <= float(high)), float(value))
+    """The mark of the range that holds ``number``; ranges ascend without gaps."""
+    if any(low != before for (_, before, _), (low, _, _) in zip(ranges, ranges[1:])):
+        raise ValueError("ranges must follow each other without gaps")
+    mark = F.when(number.isNull() | (number <= float(ranges[0][0])), 0.0)
+    for _, high, value in ranges:
+        mark = mark.when(number <= float(high), float(value))
     return mark.otherwise(0.0)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -67,6 +68,11 @@ def test_range_bucket_model(spark, values):
     assert got == [model(v, scoring.CAPITAL_RANGES) for v in values]
 
 
+def test_ranges_must_join_up(spark):
+    with pytest.raises(ValueError):
+        scoring.range_bucket(F.lit(1.0), [(0, 5, 1.0), (6, 7, 2.0)])
+
+
 def test_best_company_scores_100():
     top = [max(m for _, _, m in r) for r in (
         scoring.CAPITAL_RANGES, scoring.HEADCOUNT_RANGES, scoring.YEARS_RANGES, scoring.COUNT_RANGES
