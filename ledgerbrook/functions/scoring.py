@@ -38,7 +38,10 @@ FEW_STAFF_MARK = 0.8
 
 
 def range_bucket(number: Column, ranges: Sequence[Range]) -> Column:
-    """The mark of the range that holds ``number``; ranges ascend without gaps."""
+    """The mark of the range that holds ``number``; ranges ascend without gaps.
+
+    Meant for a stored or projected column, as every range looks at ``number``.
+    """
     if any(low != before for (_, before, _), (low, _, _) in zip(ranges, ranges[1:])):
         raise ValueError("ranges must follow each other without gaps")
     mark = F.when(number.isNull() | (number <= float(ranges[0][0])), 0.0)
@@ -47,11 +50,21 @@ def range_bucket(number: Column, ranges: Sequence[Range]) -> Column:
     return mark.otherwise(0.0)
 
 
-def score_capital(text: Column) -> Column:
-    """First number times the factor of the first non-digit run, then bucketed."""
+def _bucket_once(number: Column, ranges: Sequence[Range]) -> Column:
+    """``range_bucket`` of an expression, which is worked out once and not per range."""
+    marks = F.transform(F.array(number.cast("double")), lambda x: range_bucket(x, ranges))
+    return F.get(marks, F.lit(0))
+
+
+def capital_amount(text: Column) -> Column:
+    """First number times the factor of the first non-digit run."""
     factors = F.create_map(*[F.lit(x) for pair in CAPITAL_UNITS.items() for x in pair])
     factor = F.coalesce(F.try_element_at(factors, first_match(text, r"\D+")), F.lit(1.0))
-    return range_bucket(number(text, "bigint") * factor, CAPITAL_RANGES)
+    return number(text, "bigint") * factor
+
+
+def score_capital(text: Column) -> Column:
+    return _bucket_once(capital_amount(text), CAPITAL_RANGES)
 
 
 def lenient_date(text: Column) -> Column:
@@ -61,23 +74,32 @@ def lenient_date(text: Column) -> Column:
     return F.date_add(F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1), day - 1)
 
 
+def years_old(text: Column, as_of: Column) -> Column:
+    """Age in 365-day years on ``as_of``; negative for dates in the future."""
+    return F.datediff(as_of, lenient_date(text)) / F.lit(365.0)
+
+
 def score_years(text: Column, as_of: Column) -> Column:
-    """Age in 365-day years on ``as_of``; dates in the future score 0."""
-    return range_bucket(F.datediff(as_of, lenient_date(text)) / F.lit(365.0), YEARS_RANGES)
+    return _bucket_once(years_old(text, as_of), YEARS_RANGES)
 
 
 def score_count(text: Column) -> Column:
-    return range_bucket(number(text, "double"), COUNT_RANGES)
+    return _bucket_once(number(text, "double"), COUNT_RANGES)
 
 
-def score_headcount(text: Column) -> Column:
-    """Midpoint of the first ``a-b`` range, bucketed."""
+def headcount_middle(text: Column) -> Column:
+    """Midpoint of the first ``a-b`` range."""
     pattern = r"(\d+)-(\d+)"
     low = number(text, "double", pattern, 1)
-    high = number(text, "double", pattern, 2)
-    return F.when(text == FEW_STAFF, FEW_STAFF_MARK).otherwise(
-        range_bucket(low + (high - low) / 2, HEADCOUNT_RANGES)
-    )
+    return low + (number(text, "double", pattern, 2) - low) / 2
+
+
+def few_staff_or(text: Column, mark: Column) -> Column:
+    return F.when(text == FEW_STAFF, FEW_STAFF_MARK).otherwise(mark)
+
+
+def score_headcount(text: Column) -> Column:
+    return few_staff_or(text, _bucket_once(headcount_middle(text), HEADCOUNT_RANGES))
 
 
 def score_flag(text: Column, mark: float) -> Column:

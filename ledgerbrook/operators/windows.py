@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from math import gcd
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def _seconds(n: int) -> str:
@@ -89,14 +89,24 @@ def error_rates(
 def active_users(df: DataFrame, ts: str, length: int, slide: int, user: str) -> DataFrame:
     """Distinct users per sliding window.
 
-    Users are made distinct per pane, then per window, and counted last.
+    Users are made distinct per pane first. In a batch, each pane of a user then counts only in
+    the windows that do not reach back to the user's pane before, so users are never
+    copied into windows for another shuffle. A stream has no order to look back in, and makes
+    users distinct per window.
     """
-    pane = gcd(length, slide)
-    seen = F.count(F.lit(1)).alias("_seen")
-    panes = df.groupBy(F.window(ts, _seconds(pane)), user).agg(seen)
-    users = panes.groupBy(
-        F.window("window", _seconds(length), _seconds(slide)).alias("window"), user
-    ).agg(seen)
+    covering = F.window("window", _seconds(length), _seconds(slide))
+    panes = df.groupBy(F.window(ts, _seconds(gcd(length, slide))), user).agg(
+        F.count(F.lit(1)).alias("_seen")
+    )
+    if df.isStreaming:
+        users = panes.groupBy(covering.alias("window"), user).agg(F.count(F.lit(1)).alias("_seen"))
+    else:
+        before = F.lag("window.start").over(Window.partitionBy(user).orderBy("window.start"))
+        users = (
+            panes.withColumn("_before", before)
+            .select(covering.alias("window"), user, "_before")
+            .where(F.col("_before").isNull() | (F.col("window.start") > F.col("_before")))
+        )
     active = users.groupBy("window").agg(F.count(user).alias("active_users"))
     return active.select(
         *_window_bounds(), "active_users", active_text(F.col("active_users")).alias("label")

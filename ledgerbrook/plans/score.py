@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerbrook.functions import scoring
-from ledgerbrook.functions.text import like_flag
+from ledgerbrook.functions.text import like_flag, number
 from ledgerbrook.operators.relational import (
     anti_join,
     inner_join,
@@ -40,28 +41,31 @@ def candidates(remarks: DataFrame, register: DataFrame, customers: DataFrame, da
     return anti_join(listed, customers.select("company_name"), "company_name")
 
 
-def _score(name: str, as_of: Column) -> Column:
-    value = F.col(name)
-    if name == "reg_capital":
-        return scoring.score_capital(value)
-    if name == "scale_count":
-        return scoring.score_headcount(value)
-    if name == "establish_date":
-        return scoring.score_years(value, as_of)
-    if name == "website_total":
-        return scoring.score_count(value)
-    return scoring.score_flag(value, scoring.FLAG_MARKS[name])
+def add_scores(companies: DataFrame, as_of: Column) -> DataFrame:
+    """Beside every scored column its score, and the total.
 
+    The numbers behind the range scores are projected first, so that each is read from
+    its text once and then compared with all its ranges.
+    """
+    numbers = {
+        "reg_capital": (scoring.capital_amount(F.col("reg_capital")), scoring.CAPITAL_RANGES),
+        "scale_count": (scoring.headcount_middle(F.col("scale_count")), scoring.HEADCOUNT_RANGES),
+        "establish_date": (scoring.years_old(F.col("establish_date"), as_of), scoring.YEARS_RANGES),
+        "website_total": (number(F.col("website_total"), "double"), scoring.COUNT_RANGES),
+    }
+    read = companies.withColumns({f"_{name}": value for name, (value, _) in numbers.items()})
+    scores = {name: scoring.range_bucket(F.col(f"_{name}"), r) for name, (_, r) in numbers.items()}
+    scores["scale_count"] = scoring.few_staff_or(F.col("scale_count"), scores["scale_count"])
+    for name, mark in scoring.FLAG_MARKS.items():
+        scores[name] = scoring.score_flag(F.col(name), mark)
 
-def add_scores(companies: DataFrame, as_of: Column) -> DataFrame:
-    """Beside every scored column its score, and the total; all in one projection."""
     types = dict(companies.dtypes)
     columns: list[str | Column] = ["company_name", "honor_code"]
     for name in SCORED:
         empty = F.lit("") if types[name] == "string" else F.lit(0).cast(types[name])
-        columns += [F.coalesce(F.col(name), empty).alias(name), _score(name, as_of).alias(f"{name}_score")]
-    total = reduce(lambda a, b: a + b, [F.col(f"{name}_score") for name in SCORED])
-    return companies.select(*columns).withColumn("total_score", total)
+        columns += [F.coalesce(F.col(name), empty).alias(name), scores[name].alias(f"{name}_score")]
+    total = reduce(add, [F.col(f"{name}_score") for name in SCORED])
+    return read.select(*columns).withColumn("total_score", total)
 
 
 def company_score(tables: Mapping[str, DataFrame], list_day: str, day: str, as_of: Column) -> DataFrame:

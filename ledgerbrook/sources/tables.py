@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F
 
 from ledgerbrook.functions.text import java_split
 
@@ -45,19 +45,19 @@ def dictionary_entries(lines: DataFrame, fields: str = "fields") -> DataFrame:
     return lines.select(F.col(fields)[0].alias("category"), F.explode(fields).alias("keyword"))
 
 
+def _writer(df: DataFrame, partition_by: Sequence[str]) -> DataFrameWriter:
+    """An overwriting writer; rows of a partition are brought together, large ones stay split."""
+    if not partition_by:
+        return df.write.mode("overwrite")
+    return df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
+
+
 def write_folder(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Overwrite a parquet folder; one sub-folder per value of the partition columns."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    _writer(df, partition_by).parquet(path)
 
 
 def write_table(df: DataFrame, table: str, fmt: str | None = None, partition_by: Sequence[str] = ()) -> None:
     """Overwrite a managed table; ``fmt`` (such as ``hive``) defaults to the session's format."""
-    writer = df.write.mode("overwrite")
-    if fmt:
-        writer = writer.format(fmt)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+    writer = _writer(df, partition_by)
+    (writer.format(fmt) if fmt else writer).saveAsTable(table)
