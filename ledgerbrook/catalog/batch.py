@@ -356,8 +356,11 @@ def keyword_dictionary(spark, d):
 
 @query
 def surrogate_ids(spark, d):
+    """Ids over all distinct lines, always by blocks."""
     lines = F.explode(text.java_split(col("text"), "\n")).alias("line")
-    return ordered.surrogate_ids(b.table(spark, d, "documents").select(lines).distinct(), "line")
+    distinct = b.table(spark, d, "documents").select(lines).distinct()
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return ordered.surrogate_ids(distinct, "line", blocks=partitions)
 
 
 @query

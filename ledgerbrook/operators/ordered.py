@@ -9,7 +9,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from ledgerbrook.operators.hot import HOT_ROWS, hot_keys
+from ledgerbrook.operators.hot import HOT_ROWS, ROW_BYTES, estimated_bytes, hot_keys
 from ledgerbrook.session import materialise
 
 BLOCK = "_block"
@@ -28,10 +28,13 @@ def running_totals(
     """Add running sums per key in ``order``, which must be unique within a key.
 
     ``totals`` maps a new column to the summed (non-null) expression. With no keys the
-    whole table is one sequence. Keys of up to ``hot_rows`` rows are summed by a window; the
-    rows of larger ones, and of a sequence without keys, block by block.
+    whole table is one sequence. Keys of up to ``hot_rows`` rows, and a sequence whose estimated
+    size has no room for more, are summed by a window; the rows of larger ones block by block.
     """
     if not keys:
+        small = blocks is None and estimated_bytes(df) < hot_rows * ROW_BYTES
+        if small:
+            return _window_totals(df, keys, order, totals)
         return _block_totals(df, keys, order, totals, blocks, stored_at)
     hot = hot_keys(df, keys, hot_rows)
     if hot is None:

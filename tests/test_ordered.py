@@ -91,6 +91,14 @@ def test_surrogate_ids(spark, blocks):
     assert got == list(enumerate(sorted(names, key=lambda n: n.encode()), 1))
 
 
+def test_small_tables_need_no_blocks(spark, tmp_path):
+    spark.range(50).select(F.format_string("n%02d", "id").alias("name")).write.parquet(str(tmp_path / "t"))
+    names = spark.read.parquet(str(tmp_path / "t"))
+    small, cut = ordered.surrogate_ids(names, "name"), ordered.surrogate_ids(names, "name", blocks=4)
+    assert "_block" not in small._jdf.queryExecution().analyzed().toString()
+    assert rows_of(small, "id", "name") == rows_of(cut, "id", "name")
+
+
 @pytest.mark.parametrize("layout", LAYOUTS[:1] + LAYOUTS[2:3] + LAYOUTS[5:])
 @pytest.mark.parametrize("size", [2, 3])
 def test_count_window_avg(spark, layout, size):
