@@ -42,7 +42,7 @@ from ledgerbrook.session import materialise
 SHINGLE = 5
 #: Links need 100 * overlap >= PERCENT * union.
 PERCENT = 75
-GROUPS = 64
+GROUPS = 256
 BANDS, ROWS = 40, 4
 TILE = 20_000
 #: Points of a leaf and children of a node.
@@ -70,7 +70,7 @@ def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
 
 def point(found: np.ndarray) -> bytes:
     """Group sizes as little-endian integers of the least width that holds them."""
-    sizes = np.bincount((found >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
+    sizes = np.bincount((found >> np.uint64(56)).astype(np.int64), minlength=GROUPS)
     return sizes.astype("<u1" if sizes.max() < 256 else "<u2" if sizes.max() < 65536 else "<u4").tobytes()
 
 
@@ -221,20 +221,28 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Second round: all pairs of a tile within the bound whose components differ."""
+    """Second round: all pairs of a tile within the bound whose components differ.
+
+    Two points may share many tiles; the one of their first equal band names the pair. A piece that
+    meets another one only looks at pairs across.
+    """
     a, b = [], []
-    for _, _, ids, points, component in _tiles(batches, ["key", "piece", "id", "point", "component"]):
+    names = ["key", "piece", "id", "point", "component", "bands", "band", "part", "alone"]
+    for _, _, ids, points, component, keys, band, part, alone in _tiles(batches, names):
         keep = np.unique(ids, return_index=True)[1]
-        ids, points, component = ids[keep], points[keep], component[keep]
+        ids, points, component, keys, part = ids[keep], points[keep], component[keep], np.stack(keys[keep]), part[keep]
         if len(ids) < 2 or (component == component[0]).all():
             continue
         counts = np.stack([coordinates(p) for p in points])
         sizes = counts.sum(axis=1)
         tree = RTree(counts, ids)
-        labels = component[tree.order]
+        labels, sides, bands_of = component[tree.order], part[tree.order], keys[tree.order]
         for i in range(len(ids)):
             found = tree.all(counts[i], sizes[i])
             found = found[(tree.ids[found] < ids[i]) & (labels[found] != component[i])]
+            if not alone[0]:
+                found = found[sides[found] != part[i]]
+            found = found[(bands_of[found] == keys[i]).argmax(axis=1) == band[0]]
             a += [int(ids[i])] * len(found)
             b += tree.ids[found].tolist()
             if len(a) > 50_000:
@@ -289,32 +297,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .agg(F.min("id").alias("class_id"), F.first("point").alias("point"), F.first("bands").alias("bands")),
         "jaccard-classes",
     )
-    keys = classes.select(F.explode("bands").alias("key"), F.col("class_id").alias("id"))
+    keys = classes.select(F.posexplode("bands").alias("band", "key"), F.col("class_id").alias("id"))
     shared = keys.groupBy("key").agg(F.count("*").alias("k"), F.min("id").alias("pivot")).filter("k > 1")
     tiled = materialise(
         keys.join(shared, "key").withColumn("cut", F.ceil(F.col("k") / TILE).cast("int")), "jaccard-tiles"
     )
-    points = classes.select(F.col("class_id").alias("id"), "point")
+    points = classes.select(F.col("class_id").alias("id"), "point", "bands")
     ids = tiled.select("id").distinct()
     sets = _sets(docs, ids, id_col, text_col)
 
     # The pieces of a cut tile all get the tile's smallest id.
     piece = F.when(F.col("cut") > 1, F.pmod(F.xxhash64("id"), F.col("cut"))).otherwise(0).cast("long")
     pieces = F.when(F.col("id") == F.col("pivot"), F.sequence(F.lit(0).cast("long"), F.col("cut").cast("long") - 1)).otherwise(F.array(piece))
-    first = tiled.withColumn("piece", F.explode(pieces)).join(points, "id")
+    first = tiled.withColumn("piece", F.explode(pieces)).join(points.drop("bands"), "id")
     links = materialise(verified(_in_tiles(first).mapInArrow(_near, "a long, b long"), sets), "jaccard-links")
     linked = components(links)
 
     label = F.coalesce("component", "id")
     labelled = tiled.join(linked, F.col("id") == F.col("node"), "left").withColumn("component", label).drop("node")
     mixed_tiles = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
-    # Every pair of a cut tile's pieces meets once: a piece is sent to its pairs with all others.
+    # Every pair of a cut tile's pieces meets once: a piece is sent to itself and to its pairs with all others.
     other = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("cut").cast("long") - 1),
-        lambda j: F.least(piece, j) * F.col("cut") + F.greatest(piece, j),
+        lambda j: F.struct((F.least("part", j) * F.col("cut") + F.greatest("part", j)).alias("piece"), (j == F.col("part")).alias("alone")),
+    )
+    second = (
+        labelled.join(mixed_tiles, "key", "left_semi").withColumn("part", piece).withColumn("other", F.explode(other))
+        .select("key", "other.*", "id", "component", "band", "part").join(points, "id")
     )
-    second = labelled.join(mixed_tiles, "key", "left_semi").withColumn("piece", F.explode(other)).join(points, "id")
-    more = verified(_in_tiles(second, "component").mapInArrow(_between, "a long, b long"), sets)
+    sent = _in_tiles(second, "component", "bands", "band", "part", "alone")
+    more = verified(sent.mapInArrow(_between, "a long, b long"), sets)
     joined_up = components(links.unionByName(more))
 
     grouped = classes.select("n", "s1", "s2", "class_id").join(joined_up, F.col("class_id") == F.col("node"), "left")
