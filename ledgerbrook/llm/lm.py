@@ -23,6 +23,7 @@ rows. Other columns are ignored. Words are matched by 64-bit hash.
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -38,7 +39,8 @@ from ledgerbrook.session import materialise
 BLOCK_BYTES = 16 << 20
 #: Longest context in words.
 DEPTH = 3
-#: Least shares of all tokens: of a word in contexts, of a context, of a context with its next token.
+#: Least shares of all tokens: of a word in contexts, of a context, of a context with its next token. The
+#: first one bounds the heavy words by 5,000, so a digit fits into 16 bits and a gram of 4 into 64.
 HEAVY_SHARE, STATE_SHARE, PAIR_SHARE = 2e-4, 2e-5, 2e-6
 #: Nats by which a context's distribution has to differ from its shorter state's.
 DIVERGENCE = 0.02
@@ -93,6 +95,18 @@ def _find(sorted_codes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.n
     return sorted_codes[at] == codes, at
 
 
+def gram_codes(digits: np.ndarray, k: int, size: int) -> np.ndarray:
+    """Codes of the k digits before each position after the first; -1 where one is missing."""
+    n = len(digits) - 1
+    code, ok = np.zeros(n, np.int64), np.ones(n, bool)
+    for back in range(1, k + 1):
+        part = np.full(n, -1, np.int64)
+        part[back - 1 :] = digits[: n - back + 1]
+        ok &= part >= 0
+        code += part * size ** (back - 1)
+    return np.where(ok, code, -1)
+
+
 class Tree:
     """Word states. A gram of heavy words is coded as a number in base ``size``; the edge of a text is
     the last digit. Level k holds contexts of k words: their codes and what falling back costs, and the
@@ -107,22 +121,11 @@ class Tree:
         found, at = _find(self.heavy, keys)
         return np.where(found, at, -1)
 
-    def contexts(self, digits: np.ndarray, k: int) -> np.ndarray:
-        """Codes of the k digits before each position after the first; -1 where one is missing."""
-        n = len(digits) - 1
-        code, ok = np.zeros(n, np.int64), np.ones(n, bool)
-        for back in range(1, k + 1):
-            part = np.full(n, -1, np.int64)
-            part[back - 1 :] = digits[: n - back + 1]
-            ok &= part >= 0
-            code += part * self.size ** (back - 1)
-        return np.where(ok, code, -1)
-
     def score(self, digits: np.ndarray, root: np.ndarray) -> np.ndarray:
         """log10 probabilities of the tokens after the first digit, the edge; ``root`` are those of the root."""
         out = root.copy()
         for k, (codes, back, grams, log) in enumerate(self.levels, 1):
-            context = self.contexts(digits, k)
+            context = gram_codes(digits, k, self.size)
             state, at = _find(codes, context)
             state &= context >= 0
             listed, where = _find(grams, context * self.size + digits[1:])
@@ -167,15 +170,15 @@ def _sorted(rows: pa.Table, key: str, value: str) -> tuple[np.ndarray, np.ndarra
 
 
 def grow_tree(blocked: DataFrame, by_word: DataFrame, totals: dict) -> Tree:
-    """The word tree of the training texts, one pass over them for each level."""
+    """The word tree of the training texts: their heavy words are stored as digits once, then counted level by level."""
     n = totals["words"] + totals["texts"]
     heavy, count = _sorted(by_word.filter(F.col("c") >= max(2.0, HEAVY_SHARE * n)).toArrow(), "word", "c")
     total = np.append(count, totals["texts"]).astype(float)
     tree = Tree(heavy, total / max(n, 1) * (1 - totals["unknown"]))
-    texts = blocked.filter(~F.col("held_out")).select("text")
+    digits = _digits(blocked.filter(~F.col("held_out")).select("text"), heavy)
     contexts = np.arange(tree.size, dtype=np.int64)
     for k in range(1, DEPTH + 1):
-        grams, counts = _sorted(_followers(texts, tree, contexts, k, max(2.0, PAIR_SHARE * n)), "gram", "n")
+        grams, counts = _sorted(_followers(digits, tree.size, contexts, k, max(2.0, PAIR_SHARE * n)), "gram", "n")
         tree.grow(contexts, total, grams, counts)
         # A gram that does not end a text is a context of the next level.
         longer = (counts >= STATE_SHARE * n) & (grams % tree.size != tree.edge)
@@ -185,31 +188,45 @@ def grow_tree(blocked: DataFrame, by_word: DataFrame, totals: dict) -> Tree:
     return tree
 
 
-def _followers(texts: DataFrame, tree: Tree, contexts: np.ndarray, k: int, least: float) -> pa.Table:
-    """Counts of (context of k words, next token), of those that occur at least so often."""
-    sent = texts.sparkSession.sparkContext.broadcast((tree, contexts))
+def _digits(texts: DataFrame, heavy: np.ndarray) -> DataFrame:
+    """The digits of each text, 16 bits each, between two edges; -1 for words that are not heavy."""
+    sent = texts.sparkSession.sparkContext.broadcast(heavy)
 
-    def count(batches):
-        tree, contexts = sent.value
-        index = {key: i for i, key in enumerate(tree.heavy.tolist())}
-        place: dict[bytes, int] = {}
+    def write(batches):
+        index = {key: i for i, key in enumerate(sent.value.tolist())}
+        edge, place = len(index), {}
         for batch in batches:
-            codes = [np.empty(0, np.int64)]
+            out = []
             for text in batch.column(0):
                 words = tokens(text.as_py())
                 if len(place) > 300_000:
                     place.clear()
                 for w in {*words}.difference(place):
                     place[w] = index.get(word_key(w), -1)
-                digits = np.fromiter((tree.edge, *map(place.__getitem__, words), tree.edge), np.int64, len(words) + 2)
-                before = tree.contexts(digits, k)
-                ok = (before >= 0) & (digits[1:] >= 0)
-                codes.append(before[ok] * tree.size + digits[1:][ok])
-            grams, times = np.unique(np.concatenate(codes), return_counts=True)
-            kept, _ = _find(contexts, grams // tree.size)
+                out.append(array("h", [edge, *map(place.__getitem__, words), edge]).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["digits"])
+
+    return materialise(texts.mapInArrow(write, "digits binary"), "lm-digits")
+
+
+def _followers(digits: DataFrame, size: int, contexts: np.ndarray, k: int, least: float) -> pa.Table:
+    """Counts of (context of k words, next token), of those that occur at least so often."""
+    sent = digits.sparkSession.sparkContext.broadcast(contexts)
+
+    def count(batches):
+        contexts = sent.value
+        for batch in batches:
+            parts = [np.empty(0, np.int64)]
+            for text in batch.column(0):
+                found = np.frombuffer(text.as_buffer(), np.int16).astype(np.int64)
+                before = gram_codes(found, k, size)
+                ok = (before >= 0) & (found[1:] >= 0)
+                parts.append(before[ok] * size + found[1:][ok])
+            grams, times = np.unique(np.concatenate(parts), return_counts=True)
+            kept, _ = _find(contexts, grams // size)
             yield pa.RecordBatch.from_arrays([pa.array(grams[kept]), pa.array(times[kept])], names=["gram", "n"])
 
-    counted = texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    counted = digits.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     return counted.filter(F.col("n") >= least).toArrow()
 
 
