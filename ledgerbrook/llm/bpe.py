@@ -30,13 +30,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerbrook.llm.common import few_rows
+
 #: The pattern that splits normalised text into words, a fixed value of the vocabulary.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 END = "</w>"
 #: Stands for the end of a word inside the automaton; no byte is written as this character.
 MARK = "\x00"
-#: Distinct words whose ids a task keeps; a memory bound only.
-CACHE = 500_000
+#: Distinct words whose ids a task keeps, and tokens pairs whose test; memory bounds only.
+CACHE, PAIRS = 250_000, 250_000
 
 
 def byte_letters() -> list[str]:
@@ -73,7 +75,7 @@ class Vocabulary:
             self.merge_rank.setdefault((ids[left], ids[right]), rank)
             if made not in self.parts:
                 self.parts[made], self.rank[made] = (ids[left], ids[right]), rank
-        self._apart: dict[tuple[int, int], bool] = {}
+        self._apart: dict[int, bool] = {}
         self.automaton = ahocorasick.Automaton()
         for token, i in ids.items():
             marked = token[: -len(END)] + MARK if token.endswith(END) else token
@@ -110,10 +112,10 @@ class Vocabulary:
 
     def apart(self, left: int, right: int) -> bool:
         """Whether two neighbouring tokens stay two tokens."""
-        key = (left, right)
+        key = left << 32 | right
         found = self._apart.get(key)
         if found is None:
-            if len(self._apart) > 1_000_000:
+            if len(self._apart) > PAIRS:
                 self._apart.clear()
             found = self._apart[key] = self._crossing(left, right, 1 << 60) is None
         return found
@@ -136,7 +138,7 @@ class Vocabulary:
             if start:
                 if not length[start]:
                     continue
-                free = known.get((last[start], token))
+                free = known.get(last[start] << 32 | token)
                 if free is None:
                     free = apart(last[start], token)
                 if not free:
@@ -243,7 +245,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), ids if with_ids else b""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             found = [digests(t.as_py()) for t in batch.column(1)]
             columns = list(zip(*found, strict=True)) if found else [[], [], [], []]
             arrays = [batch.column(0), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.string())]

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +28,13 @@ def importable(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = f"{known}:{root}" if known else root
 
 
+def few_rows(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that a task holds the results of few texts at once."""
+    for whole in batches:
+        for start in range(0, whole.num_rows, rows):
+            yield whole.slice(start, rows)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -8,7 +8,7 @@ import xxhash
 #: Odd constants of the mixing steps.
 A, B, C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 #: Distinct words whose hash a task keeps; a memory bound only.
-CACHE = 500_000
+CACHE = 250_000
 
 
 class _Words(dict):

@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerbrook.llm.common import few_rows
 from ledgerbrook.llm.components import components
 from ledgerbrook.llm.hashing import joined, mixed, signed, windows, word_hashes
 from ledgerbrook.session import materialise
@@ -153,7 +154,7 @@ def features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     salt = np.uint64(0x51)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             n, s1, s2, points, keys = [], [], [], [], []
             for text in batch.column(1):
                 found = shingles(text.as_py())
@@ -269,7 +270,7 @@ def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFr
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             found = [signed(shingles(t.as_py())) for t in batch.column(1)]
             offsets = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
             flat = np.concatenate(found) if found else np.empty(0, np.int64)

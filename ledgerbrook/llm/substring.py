@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerbrook.llm.common import few_rows
 from ledgerbrook.llm.hashing import joined, signed, windows, word_hashes
 from ledgerbrook.session import materialise
 
@@ -69,7 +70,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             taken, parts = [], []
             for i, text in enumerate(batch.column(1)):
                 words = _words(text.as_py())
@@ -98,7 +99,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     asked = open_rows.groupBy("id").agg(F.collect_list(F.struct("anchor", "first", "n")).alias("asked"))
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             taken, anchor, full, start = [], [], [], []
             for i, (text, wanted) in enumerate(zip(batch.column(1), batch.column(2), strict=True)):
                 hashes = windows(word_hashes(_words(text.as_py())), window)
@@ -149,7 +150,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     name = "kept_sha256" if digest else "kept"
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             counts, gone, texts = [], [], []
             for text, found in zip(batch.column(1), batch.column(2), strict=True):
                 words = _words(text.as_py())
