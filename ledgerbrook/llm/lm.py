@@ -148,7 +148,7 @@ class Tree:
         """Add the next level from counted contexts and grams, both sorted by code."""
         _, owner = _find(contexts, grams // self.size)
         p, q = counts / np.maximum(totals[owner], 1), self.shorter(grams)
-        gain = np.bincount(owner, p * np.log(np.maximum(p, 1e-300) / q), len(contexts))
+        gain = np.bincount(owner, p * np.log(np.maximum(p, 1e-300) / q), len(contexts)).astype(float)
         # What is not listed counts as one symbol.
         rest, rest_q = 1 - np.bincount(owner, p, len(contexts)), 1 - np.bincount(owner, q, len(contexts))
         more = (rest > 1e-9) & (rest_q > 1e-9)

@@ -8,7 +8,7 @@ from collections import Counter
 import cases
 import corpus_pipeline
 import pytest
-from oracle import compare
+from oracle import connect, differences
 from test_llm_dedup import brute_jaccard
 from test_llm_native import targets
 from tokenizers import Tokenizer
@@ -21,7 +21,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_equals_its_sql(spark, name):
-    compare(spark, queries.QUERIES[name], queries.SQL[name], SF_DIR)
+    assert differences(queries.QUERIES[name](spark, SF_DIR), connect(SF_DIR), queries.SQL[name]) == []
 
 
 @pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.SQL)))
