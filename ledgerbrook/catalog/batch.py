@@ -51,16 +51,25 @@ def partition_day_scan(spark, d):
 
 @query
 def table_overwrite(spark, d):
-    """Events stored by day and overwritten by their later form; one day is read back."""
+    """A table of events by day, overwritten by its later form and read back whole."""
     path = scratch_path(spark, "events-by-day")
+    name = path.rpartition("/")[2].replace("-", "_")
     events = b.table(spark, d, "events").select(
         "event_id", "event_type", F.date_format("ts", "yyyyMMdd").alias("ptt_day")
     )
-    tables.write_folder(events, path, ["ptt_day"])
+    tables.write_table(events, name, partition_by=["ptt_day"], path=path)
     named = events.withColumn("event_type", F.upper("event_type"))
-    tables.write_folder(named, path, ["ptt_day"])
-    stored = spark.read.schema(events.schema).parquet(path)
-    return tables.partition_day(stored, "20240110")
+    tables.write_table(named, name, partition_by=["ptt_day"], path=path)
+    return spark.table(name).select("event_id", "event_type", "ptt_day")
+
+
+@query
+def dictionary_load(spark, d):
+    """Categories written as tab-separated lines, the category first, and loaded again."""
+    path = scratch_path(spark, "dictionary")
+    parts = b.table(spark, d, "part").groupBy("p_type").agg(F.sort_array(F.collect_set("p_brand")).alias("brands"))
+    parts.select(F.concat_ws("\t", "p_type", F.concat_ws("\t", "brands")).alias("value")).write.text(path)
+    return tables.load_dictionary(spark, path)
 
 
 def _wide_customers(spark, d):
@@ -77,8 +86,10 @@ def _wide_customers(spark, d):
 
 @query
 def key_range_scan(spark, d):
+    path = scratch_path(spark, "customers-by-key")
+    keyvalue.write_by_key(_wide_customers(spark, d), "rowkey", path)
     return keyvalue.key_range_scan(
-        _wide_customers(spark, d), "rowkey", "C-", "H-00000500", {"age": "int", "uuid": "string"}
+        spark.read.parquet(path), "rowkey", "C-", "H-00000500", {"age": "int", "uuid": "string"}
     )
 
 
@@ -88,7 +99,10 @@ def salted_range_scan(spark, d):
     salt = (col("user_id") % 8).cast("string")
     key = F.concat_ws("-", salt, F.lpad(col("event_id").cast("string"), 8, "0"))
     salted = b.table(spark, d, "events").select(salt.alias("salt"), key.alias("rowkey"), "event_type")
-    rows = keyvalue.salted_range_scan(salted, "rowkey", salts, "00000100", "00004000", original="id")
+    path = scratch_path(spark, "events-salted")
+    keyvalue.write_salted(salted, "rowkey", path)
+    stored = spark.read.schema("rowkey string, event_type string, salt string").parquet(path)
+    rows = keyvalue.salted_range_scan(stored, "rowkey", salts, "00000100", "00004000", original="id")
     return rows.select("rowkey", "id", "event_type")
 
 
@@ -426,7 +440,8 @@ def upsert_plan(spark, d):
 
 @query
 def wordcount_space(spark, d):
-    return counting.word_counts(b.table(spark, d, "documents"), text.space_words(col("text")))
+    lines = b.table(spark, d, "documents").select(F.explode(text.java_split(col("text"), "\n")).alias("line"))
+    return counting.word_counts(lines, text.space_words(col("line")))
 
 
 def _deny(spark, d):
@@ -446,15 +461,14 @@ def denylist_dropped(spark, d):
 @query
 def category_totals_map(spark, d):
     values = b.event_values(b.table(spark, d, "events"))
-    totals = counting.totals_map(counting.category_totals(values, "event_type", "k"), "event_type")
-    return totals.select(F.explode("totals").alias("event_type", "total"), "grand_total")
+    return counting.with_grand_total(counting.category_totals(values, "event_type", "k"))
 
 
 # Ordered operators
 
 
-def _running_sum(spark, d, **layout):
-    values = b.event_values(b.table(spark, d, "events"))
+def _running_sum(spark, d, value: str = "k", **layout):
+    values = b.event_values(b.table(spark, d, "events")).withColumn("k", F.expr(value))
     initial = b.table(spark, d, "supplier").agg(F.count(F.lit(1)).alias("k"))
     initial = initial.select(F.lit("click").alias("event_type"), "k")
     out = ordered.running_sum(values, "event_type", ["ts", "event_id"], "k", initial=initial, **layout)
@@ -468,8 +482,14 @@ def running_sum(spark, d):
 
 @query
 def running_sum_hot_keys(spark, d):
-    """The running sum with every event type treated as a hot key and cut into blocks."""
-    return _running_sum(spark, d, hot_rows=100, blocks=12)
+    """The running sum with every event type cut into twelve blocks."""
+    return _running_sum(spark, d, blocks=12)
+
+
+@query
+def running_sum_nulls(spark, d):
+    """The running sum over values of which a third are null; they count as 0."""
+    return _running_sum(spark, d, "CASE WHEN event_id % 3 <> 0 THEN k END", blocks=7)
 
 
 @query

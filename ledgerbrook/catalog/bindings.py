@@ -1,7 +1,8 @@
 """Inputs of the pipelines, derived from the driver's tables.
 
 The company tables are not part of the test data, so customers stand for companies and
-parts for companies with keywords. Every frame covers its whole source table.
+parts for companies with keywords. Frames cover their whole source table, but for the roles that
+are a choice of rows by nature: urgent orders, large purchases, good documents, parts of the largest size.
 """
 
 from __future__ import annotations
@@ -10,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerbrook.functions.records import page_view_line
 from ledgerbrook.functions.text import first_number
-from ledgerbrook.sources.streams import parquet_files
 
 DAY = "20240105"
 NOW = 1704412800
@@ -41,10 +41,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return parquet_files(spark, f"{sf_dir}/{name}.parquet", SCHEMAS[name])
-
-
 def company(id_col: str) -> Column:
     return F.concat(F.lit("Customer#"), F.lpad(F.col(id_col).cast("string"), 9, "0"))
 

@@ -1,24 +1,28 @@
-"""Stream queries: each reads its tables as a stream, works them off, and returns what was stored.
+"""Stream queries: their tables arrive part by part, and after every part the query is started again.
 
-Event times are cast to ``timestamp`` for the watermark and back for comparison, in a session
-with time zone UTC. Window state is kept in RocksDB, outside the Java heap.
+A table is written to a folder in ``PARTS`` goes, in the order of one column. After each go the query
+runs from its checkpoint until it has read what is there, so every query spans several batches
+and restarts, and what it carries over is compared with SQL over the whole table. Results that belong to
+single batches are added up over the batches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ledgerbrook.catalog import batch, bindings as b
 from ledgerbrook.catalog.batch import Query
-from ledgerbrook.functions import records
+from ledgerbrook.functions import records, text
 from ledgerbrook.operators import windows
 from ledgerbrook.session import scratch_path
-from ledgerbrook.sources.streams import union_streams
-from ledgerbrook.streaming import batches, clickstream, stateful
-from ledgerbrook.streaming.processors import use_rocksdb
+from ledgerbrook.sources.streams import parquet_files, text_files, union_streams
+from ledgerbrook.streaming import batches, clickstream, processors, stateful
 
 QUERIES: dict[str, Query] = {}
-DELAY = "1 hour"
+PARTS = 4
 col = F.col
 
 
@@ -27,162 +31,250 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def _texts(spark, d, *names: str) -> list[DataFrame]:
-    return [b.stream(spark, d, n).select(col("text").alias("value")) for n in names]
+def _parts(table: DataFrame, order: Column) -> list[DataFrame]:
+    """The table cut into ``PARTS`` at quantiles of ``order``; rows that tie stay together."""
+    shares = [i / PARTS for i in range(1, PARTS)]
+    bounds = table.select(F.percentile_approx(order, shares)).first()[0] or []
+    cuts = [None, *bounds, None]
+    out = []
+    for low, high in zip(cuts, cuts[1:]):
+        part = table
+        if low is not None:
+            part = part.where(order > low)
+        if high is not None:
+            part = part.where((order <= high) | order.isNull() if low is None else order <= high)
+        out.append(part)
+    return out
+
+
+def _fed(
+    spark, d, name: str, order: str, run: Callable[[DataFrame], StreamingQuery], files_per_batch: int | None = None
+) -> None:
+    """Feed a table part by part to the query that ``run`` starts on the stream of its rows."""
+    table = b.table(spark, d, name)
+    folder = scratch_path(spark, f"feed-{name}")
+    by = F.unix_micros(col(order).cast("timestamp")) if order == "ts" else col(order)
+    for part in _parts(table, by):
+        part.write.mode("append").parquet(folder)
+        run(parquet_files(spark, folder, b.SCHEMAS[name], files_per_batch)).awaitTermination()
+
+
+def _stored_batches(
+    spark, d, name: str, order: str, transform: batches.Transform, shape=lambda df: df, files_per_batch: int | None = None
+) -> DataFrame:
+    """What a transformation stores of every batch of a fed table."""
+    root = scratch_path(spark, f"batches-{name}")
+
+    def run(stream: DataFrame) -> StreamingQuery:
+        return batches.store_batches(shape(stream), transform, f"{root}/out", f"{root}/checkpoint")
+
+    _fed(spark, d, name, order, run, files_per_batch)
+    return batches.read_batches(spark, f"{root}/out")
 
 
-def _stored_batches(spark, name: str, stream: DataFrame, transform: batches.Transform) -> DataFrame:
-    root = scratch_path(spark, name)
-    batches.store_batches(stream, transform, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    return batches.read_batches(spark, f"{root}/out")
+def _added_up(stored: DataFrame, *keys: str) -> DataFrame:
+    return stored.groupBy(*keys).agg(F.sum("n").alias("n"))
 
 
-def _appended(spark, name: str, rows: DataFrame) -> DataFrame:
-    use_rocksdb(spark)
-    root = scratch_path(spark, name)
-    batches.append_rows(rows, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    stored = spark.read.schema(rows.schema).parquet(f"{root}/out")
-    times = [c for c, t in stored.dtypes if t == "timestamp"]
-    return stored.withColumns({c: col(c).cast("timestamp_ntz") for c in times})
+def _lines(df: DataFrame) -> DataFrame:
+    """One row per line of the texts."""
+    return df.select(F.explode(text.java_split(col("text"), "\n")).alias("value"))
 
 
 @query
 def stream_batch_wordcount(spark, d):
-    (lines,) = _texts(spark, d, "documents")
-    return _stored_batches(spark, "batch-wordcount", lines, batches.space_word_counts)
+    stored = _stored_batches(spark, d, "documents", "doc_id", batches.space_word_counts, _lines)
+    return _added_up(stored, "word")
 
 
 @query
 def stream_sql_wordcount(spark, d):
-    (lines,) = _texts(spark, d, "conversations")
-    return _stored_batches(spark, "sql-wordcount", lines, batches.sql_word_counts)
+    stored = _stored_batches(spark, d, "conversations", "conv_id", batches.sql_word_counts, _lines)
+    return _added_up(stored, "word")
 
 
 @query
 def stream_mod_count(spark, d):
-    numbers = b.stream(spark, d, "lineitem").select(col("l_orderkey").alias("value"))
-    return _stored_batches(spark, "mod-count", numbers, batches.residue_counts)
+    """A queue of batches: every file is one."""
+    numbers = lambda df: df.select(col("l_orderkey").alias("value"))
+    stored = _stored_batches(spark, d, "lineitem", "l_orderkey", batches.residue_counts, numbers, files_per_batch=1)
+    return _added_up(stored, "residue")
 
 
 @query
-def stream_union_grep(spark, d):
-    lines = union_streams(_texts(spark, d, "documents", "conversations", "benchmark"))
-    return _stored_batches(spark, "union-grep", lines, lambda df: batches.grep_count(df, "the"))
+def stream_text_files(spark, d):
+    """Text files that appear in a folder, one batch per part."""
+    root = scratch_path(spark, "text-files")
+    lines = _lines(b.table(spark, d, "conversations")).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(PARTS)))
+    for part in range(PARTS):
+        lines.where(col("part") == part).select("value").write.mode("append").text(f"{root}/in")
+        stream = text_files(spark, f"{root}/in")
+        batches.store_batches(stream, batches.space_word_counts, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return _added_up(batches.read_batches(spark, f"{root}/out"), "word")
 
 
-def _denylist_batches(spark, d):
-    (lines,) = _texts(spark, d, "documents")
+@query
+def stream_union_grep(spark, d):
+    """Three tables as one stream."""
+    root = scratch_path(spark, "union-grep")
+    names = {"documents": "doc_id", "conversations": "conv_id", "benchmark": "item_id"}
+    parts = {n: _parts(b.table(spark, d, n), col(order)) for n, order in names.items()}
+    for i in range(PARTS):
+        for n in names:
+            parts[n][i].write.mode("append").parquet(f"{root}/{n}")
+        lines = union_streams([_lines(parquet_files(spark, f"{root}/{n}", b.SCHEMAS[n])) for n in names])
+        count = lambda df: batches.grep_count(df, "the")
+        batches.store_batches(lines, count, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return batches.read_batches(spark, f"{root}/out").agg(F.sum("n").alias("n"))
+
+
+def _denylist(spark, d) -> str:
+    root = scratch_path(spark, "denylist")
     deny = batch._deny(spark, d)
-    return _stored_batches(
-        spark, "denylist", lines, lambda df: batches.denylist_counts(df, deny)
-    )
+    _fed(spark, d, "documents", "doc_id", lambda df: batches.denylist_stream(_lines(df), deny, root))
+    return root
 
 
 @query
 def stream_denylist_wordcount(spark, d):
-    kept = _denylist_batches(spark, d).where("NOT dropped")
-    return kept.select("batch_id", "word", "n")
+    stored = batches.read_batches(spark, f"{_denylist(spark, d)}/out")
+    return _added_up(stored.where("NOT dropped"), "word")
 
 
 @query
 def stream_denylist_dropped(spark, d):
-    return batches.dropped_total(_denylist_batches(spark, d))
+    """The counter as it stands after the last batch."""
+    return batches.dropped_total(spark, _denylist(spark, d))
 
 
-def _watermarked(df: DataFrame) -> DataFrame:
-    return df.withColumn("ts", col("ts").cast("timestamp")).withWatermark("ts", DELAY)
+def _views(df: DataFrame) -> DataFrame:
+    return clickstream.page_views(b.event_page_views(df))
 
 
-def _view_stream(spark, d) -> DataFrame:
-    lines = b.event_page_views(b.stream(spark, d, "events"))
-    return _watermarked(clickstream.page_views(lines))
+def _panes(spark, d, transform: batches.Transform, shape=_views) -> DataFrame:
+    """Partial sums of the panes, one set per batch; they add up to whole windows when read."""
+    return _stored_batches(spark, d, "events", "ts", transform, shape).drop("batch_id")
 
 
 @query
 def stream_tumbling_count(spark, d):
-    events = _watermarked(b.stream(spark, d, "events").select("ts", "event_type"))
-    return _appended(spark, "tumbling", windows.tumbling_counts(events, "ts", 24 * b.HOUR, "event_type"))
+    sums = {"n": F.lit(1).cast("bigint")}
+    panes = _panes(spark, d, lambda df: windows.pane_sums(df, "ts", 24 * b.HOUR, None, ["event_type"], sums), lambda df: df)
+    return windows.from_panes(panes, 24 * b.HOUR, None, ["event_type"], ["n"])
 
 
 @query
 def stream_sliding_counts(spark, d):
-    counts = clickstream.sliding_page_counts(_view_stream(spark, d), 10 * b.HOUR, 2 * b.HOUR)
-    return _appended(spark, "sliding", counts)
+    sums = {"n": F.lit(1).cast("bigint")}
+    panes = _panes(spark, d, lambda df: windows.pane_sums(df, "ts", 10 * b.HOUR, 2 * b.HOUR, ["url"], sums))
+    return windows.from_panes(panes, 10 * b.HOUR, 2 * b.HOUR, ["url"], ["n"])
 
 
 @query
 def stream_error_rate(spark, d):
-    rates = clickstream.error_rate_per_zip(_view_stream(spark, d), 30 * b.HOUR, 2 * b.HOUR)
-    return _appended(spark, "error-rate", rates)
+    sums = windows.status_sums("status")
+    panes = _panes(spark, d, lambda df: windows.pane_sums(df, "ts", 30 * b.HOUR, 2 * b.HOUR, ["zip_code"], sums))
+    return windows.labelled_rates(windows.from_panes(panes, 30 * b.HOUR, 2 * b.HOUR, ["zip_code"], [*sums]), "zip_code")
 
 
 @query
 def stream_active_users(spark, d):
-    users = clickstream.active_user_count(_view_stream(spark, d), 15 * b.HOUR, 2 * b.HOUR)
-    return _appended(spark, "active-users", users)
+    panes = _panes(spark, d, lambda df: windows.user_panes(df, "ts", 15 * b.HOUR, 2 * b.HOUR, "user_id"))
+    return windows.active_from_panes(panes, 15 * b.HOUR, 2 * b.HOUR, "user_id")
 
 
 @query
 def stream_static_join(spark, d):
     """Joined per batch, where AQE can split a hot user."""
     users = batch.named_users(spark, d)
-    views = clickstream.page_views(b.event_page_views(b.stream(spark, d, "events")))
-    seen = _stored_batches(spark, "users-seen", views, lambda df: clickstream.users_seen(df, users))
+    seen = _stored_batches(spark, d, "events", "ts", lambda df: clickstream.users_seen(df, users), _views)
     return seen.select("event_id", "user_id", "user_name")
 
 
 @query
 def stream_popular_users(spark, d):
+    """The first known users of every batch; batches follow in time, so the first one has the first of all."""
     users = batch.named_users(spark, d)
-    views = clickstream.page_views(b.event_page_views(b.stream(spark, d, "events")))
-    return _stored_batches(
-        spark, "popular-users", views, lambda df: clickstream.popular_users_seen(df, users)
-    )
+    stored = _stored_batches(spark, d, "events", "ts", lambda df: clickstream.popular_users_seen(df, users), _views)
+    return stored.where("batch_id = 0").select("user_name")
 
 
 @query
 def stream_category_totals(spark, d):
+    """The totals as they stand after the last batch."""
     root = scratch_path(spark, "category-totals")
-    values = b.event_values(b.stream(spark, d, "events"))
-    stateful.category_totals_stream(values, "event_type", "k", root).awaitTermination()
-    totals = batches.read_batches(spark, f"{root}/out")
-    return totals.select("batch_id", F.explode("totals").alias("event_type", "total"), "grand_total")
 
+    def run(stream: DataFrame) -> StreamingQuery:
+        with processors.rocksdb(spark):
+            return stateful.category_totals_stream(b.event_values(stream), "event_type", "k", root)
 
-@query
-def stream_running_sum(spark, d):
+    _fed(spark, d, "events", "ts", run)
+    stored = batches.read_batches(spark, f"{root}/out")
+    last = stored.agg(F.max("batch_id")).first()[0]
+    return stored.where(col("batch_id") == last).select("event_type", "total", "grand_total")
+
+
+def _running_sum(spark, d, value: Column):
     root = scratch_path(spark, "running-sum")
     initial = b.table(spark, d, "supplier").agg(F.count(F.lit(1)).alias("k"))
     initial = initial.select(F.lit("click").alias("event_type"), "k")
-    values = b.event_values(b.stream(spark, d, "events"))
-    stateful.running_sum_stream(
-        values, "event_type", ["ts", "event_id"], "k", root, initial
-    ).awaitTermination()
+
+    def run(stream: DataFrame) -> StreamingQuery:
+        values = b.event_values(stream).withColumn("k", value)
+        return stateful.running_sum_stream(values, "event_type", ["ts", "event_id"], "k", root, initial)
+
+    _fed(spark, d, "events", "ts", run)
     return batches.read_batches(spark, f"{root}/out").select("event_id", "event_type", "k", "running_sum")
 
 
+@query
+def stream_running_sum(spark, d):
+    return _running_sum(spark, d, col("k"))
+
+
+@query
+def stream_running_sum_nulls(spark, d):
+    """The running sum over values of which a third are null."""
+    return _running_sum(spark, d, F.when(col("event_id") % 3 != 0, col("k")))
+
+
 @query
 def stream_log_totals(spark, d):
     """Running totals per severity over log lines."""
     root = scratch_path(spark, "log-totals")
-    lines = b.log_lines(b.stream(spark, d, "events"))
-    values = lines.select(
-        "event_id",
-        "ts",
-        records.severity(col("value")).alias("severity"),
-        records.severity_value(col("value")).alias("number"),
-    )
-    stateful.running_sum_stream(
-        values, "severity", ["ts", "event_id"], "number", root
-    ).awaitTermination()
+
+    def run(stream: DataFrame) -> StreamingQuery:
+        values = b.log_lines(stream).select(
+            "event_id", "ts", records.severity(col("value")).alias("severity"),
+            records.severity_value(col("value")).alias("number"),
+        )
+        return stateful.running_sum_stream(values, "severity", ["ts", "event_id"], "number", root)
+
+    _fed(spark, d, "events", "ts", run)
     return batches.read_batches(spark, f"{root}/out").select("event_id", "severity", "running_sum")
 
 
 @query
 def stream_count_window_avg(spark, d):
     root = scratch_path(spark, "count-window")
-    values = b.event_values(b.stream(spark, d, "events"))
-    stateful.count_window_avg_stream(
-        values, "event_type", ["ts", "event_id"], "k", root
-    ).awaitTermination()
+
+    def run(stream: DataFrame) -> StreamingQuery:
+        values = b.event_values(stream)
+        return stateful.count_window_avg_stream(values, "event_type", ["ts", "event_id"], "k", root)
+
+    _fed(spark, d, "events", "ts", run)
     return batches.read_batches(spark, f"{root}/out").select("event_type", "average")
+
+
+@query
+def stream_keyed_sums(spark, d):
+    """Running sums on Spark's keyed state; the last one per user is what it keeps."""
+    root = scratch_path(spark, "keyed-sums")
+
+    def run(stream: DataFrame) -> StreamingQuery:
+        with processors.rocksdb(spark):
+            sums = processors.running_sums(b.event_values(stream), "user_id", "k")
+            return batches.append_rows(sums, f"{root}/out", f"{root}/checkpoint")
+
+    _fed(spark, d, "events", "ts", run)
+    return spark.read.parquet(f"{root}/out").groupBy("user_id").agg(F.max("total").alias("total"))

@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerbrook.operators.relational import anti_join, semi_join_master
 
-MAX_MAP_ENTRIES = 100_000
-
 
 def word_counts(df: DataFrame, words: Column, word: str = "word", count: str = "n") -> DataFrame:
     """Count every element of an array column."""
@@ -41,15 +39,7 @@ def category_totals(df: DataFrame, category: str, value: str, total: str = "tota
     return df.groupBy(category).agg(F.sum(value).alias(total))
 
 
-def totals_map(totals: DataFrame, category: str, total: str = "total") -> DataFrame:
-    """All totals in one map with their grand total.
-
-    One map is meant for a short list of categories. More than MAX_MAP_ENTRIES stop the
-    job; use the rows of ``category_totals`` then.
-    """
-    small = totals.limit(MAX_MAP_ENTRIES + 1)
-    entries = F.array_sort(F.collect_list(F.struct(category, total)))
-    checked = F.when(F.count(F.lit(1)) <= MAX_MAP_ENTRIES, F.map_from_entries(entries)).otherwise(
-        F.raise_error("too many categories for one map")
-    )
-    return small.agg(checked.alias("totals"), F.sum(total).alias("grand_total"))
+def with_grand_total(totals: DataFrame, total: str = "total") -> DataFrame:
+    """Every row beside the sum of all rows, which is an aggregate of one row."""
+    grand = totals.agg(F.sum(total).alias("grand_total")).scalar()
+    return totals.withColumn("grand_total", grand)

@@ -1,39 +1,47 @@
-"""Size estimates and hot keys, shared by joins and ordered operators.
+"""Hot keys of joins: keys with more rows or bytes than one task should handle.
 
-A key is hot when it has more rows than one task should handle. Whether there is one only decides
-the plan; the result is the same either way.
+Keys are counted exactly. Whether there is a hot one decides the plan only; the result is the same.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-# Rows of one key that are worth spreading, and the least a row takes in a size estimate.
-HOT_ROWS = 5_000_000
-ROW_BYTES = 8
+from ledgerbrook.session import materialise
 
+# Rows and bytes of one key that are worth spreading over several tasks.
+HOT_ROWS = 5_000_000
+HOT_BYTES = 1 << 30
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate, but no more than all inputs together.
 
-    Without column statistics a join is estimated as the product of its sides.
-    """
-    plan = df._jdf.queryExecution().optimizedPlan()
-    inputs = plan.collectLeaves()
-    sizes = [inputs.apply(i).stats().sizeInBytes() for i in range(inputs.size())]
-    return min(int(str(plan.stats().sizeInBytes())), sum(int(str(s)) for s in sizes))
+def row_bytes(df: DataFrame) -> Column:
+    """About what a row takes: the length of its texts and 8 bytes for every other column."""
+    widths = [
+        F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) if kind in ("string", "binary") else F.lit(8)
+        for name, kind in df.dtypes
+    ]
+    return reduce(add, widths).cast("bigint")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows and their ``_rows``; None when there is none.
+def hot_keys(sides: Sequence[DataFrame], key: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """(key, salts, hot) for the keys that are hot in any of ``sides``; None when there is none.
 
-    At most (rows / hot_rows) keys can be hot, so the result is safe to broadcast. Rows are
-    counted only when Catalyst's size estimate leaves room for that many.
+    ``salts`` is how many parts the key's largest side is worth, ``hot`` the positions of the sides in
+    which the key is hot. All sides are counted in one job. At most (rows / ``hot_rows``) + (bytes /
+    ``HOT_BYTES``) keys can be hot, so the result is safe to broadcast.
     """
-    if estimated_bytes(df) < hot_rows * ROW_BYTES:
+    counts = [
+        side.where(F.col(key).isNotNull()).select(key, row_bytes(side).alias("_bytes")).groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_rows"), F.sum("_bytes").alias("_bytes")).withColumn("_side", F.lit(i))
+        for i, side in enumerate(sides)
+    ]
+    parts = F.ceil(F.greatest(F.col("_rows") / F.lit(hot_rows), F.col("_bytes") / F.lit(HOT_BYTES))).cast("int")
+    large = reduce(DataFrame.unionByName, counts).withColumn("_salts", parts).where(F.col("_salts") > 1)
+    stored = materialise(large.select(key, "_side", "_salts"), "hot-keys")
+    if stored.isEmpty():
         return None
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = counts.where(F.col("_rows") > hot_rows)
-    return None if hot.isEmpty() else hot
+    return stored.groupBy(key).agg(F.max("_salts").alias("_salts"), F.collect_set("_side").alias("_hot"))

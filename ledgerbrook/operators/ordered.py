@@ -9,7 +9,6 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from ledgerbrook.operators.hot import HOT_ROWS, ROW_BYTES, estimated_bytes, hot_keys
 from ledgerbrook.session import materialise
 
 BLOCK = "_block"
@@ -23,42 +22,23 @@ def running_totals(
     totals: Mapping[str, Column],
     blocks: int | None = None,
     stored_at: str | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add running sums per key in ``order``, which must be unique within a key.
 
-    ``totals`` maps a new column to the summed (non-null) expression. With no keys the
-    whole table is one sequence. Keys of up to ``hot_rows`` rows, and a sequence whose estimated
-    size has no room for more, are summed by a window; the rows of larger ones block by block.
-    """
-    if not keys:
-        small = blocks is None and estimated_bytes(df) < hot_rows * ROW_BYTES
-        if small:
-            return _window_totals(df, keys, order, totals)
-        return _block_totals(df, keys, order, totals, blocks, stored_at)
-    hot = hot_keys(df, keys, hot_rows)
-    if hot is None:
-        return _window_totals(df, keys, order, totals)
-    names = {k: f"_hot_{k}" for k in keys}
-    listed = materialise(
-        hot.select(*[F.col(k).alias(n) for k, n in names.items()]), "hot-keys",
-        stored_at and f"{stored_at}-keys",
-    )
-    is_hot = reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
-    cold_rows = df.join(F.broadcast(listed), is_hot, "left_anti")
-    hot_part = df.join(F.broadcast(listed), is_hot, "left_semi")
-    return _window_totals(cold_rows, keys, order, totals).unionByName(
-        _block_totals(hot_part, keys, order, totals, blocks, stored_at)
-    )
-
+    ``totals`` maps a new column to the summed expression; a null counts as 0. With no keys the
+    whole table is one sequence. Sums of floating-point numbers would depend on where the blocks
+    are cut, so such an expression is refused: cast it to a decimal.
 
-def _window_totals(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], totals: Mapping[str, Column]
-) -> DataFrame:
-    steps = {f"_step_{name}": expr for name, expr in totals.items()}
-    so_far = _so_far(keys, order)
-    sums = [F.sum(f"_step_{name}").over(so_far).alias(name) for name in totals]
-    return df.withColumns(steps).select(*df.columns, *sums)
+    Every key is cut into blocks, at every size: the rows are range-partitioned by key and order and
+    stored with their block number. Each block sums on its own; a key that continues from earlier
+    blocks then gets their total added. Only the last key of a block can continue, so that table has
+    at most one row per block and is safe to broadcast. The blocks are stored in the shared folder,
+    or at ``stored_at`` when the caller reuses one place.
+    """
+    kinds = df.select(*[expr.alias(name) for name, expr in totals.items()]).dtypes
+    if inexact := [name for name, kind in kinds if kind in ("float", "double")]:
+        raise TypeError(f"cast {', '.join(inexact)} to a decimal: floating-point sums depend on their order")
+    return _block_totals(df, keys, order, totals, blocks, stored_at)
 
 
 def _so_far(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
@@ -74,17 +54,9 @@ def _block_totals(
     blocks: int | None,
     stored_at: str | None,
 ) -> DataFrame:
-    """Running sums with every key cut into many blocks.
-
-    The rows are range-partitioned by key and order and stored with their block number. Each
-    block sums on its own; a key that continues from earlier blocks then gets their total
-    added. Only the last key of a block can continue, so that table has at most one row
-    per block and is safe to broadcast. The blocks are stored in the shared folder, or at
-    ``stored_at`` when the caller reuses one place.
-    """
     by = [*keys, *order]
     ranged = df.repartitionByRange(blocks, *by) if blocks else df.repartitionByRange(*by)
-    steps = {f"_step_{name}": expr for name, expr in totals.items()}
+    steps = {f"_step_{name}": F.coalesce(expr, F.lit(0)) for name, expr in totals.items()}
     rows = materialise(
         ranged.withColumns({**steps, BLOCK: F.spark_partition_id()}), "ordered-blocks", stored_at
     )

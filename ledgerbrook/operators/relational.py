@@ -11,22 +11,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerbrook.operators.hot import HOT_ROWS, estimated_bytes, hot_keys
+from ledgerbrook.operators.hot import HOT_ROWS, hot_keys
 from ledgerbrook.session import materialise
 
-# Inputs above this size have their distinct keys stored.
-LARGE_BYTES = 4 << 30
 
-
-def key_set(df: DataFrame, on: str | Sequence[str], large: int = LARGE_BYTES) -> DataFrame:
+def key_set(df: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """The distinct keys of ``df``, for semi, anti and flag joins.
 
-    Distinct keys combine before the shuffle, so a hot key of ``df`` is no burden. A large
-    set is stored: its size is then known for a broadcast, and its join reads a plain
-    shuffle on both sides, which AQE needs to split a hot key of the other side.
+    Distinct keys combine before the shuffle, so a hot key of ``df`` is no burden.
     """
-    keys = df.select(*([on] if isinstance(on, str) else on)).distinct()
-    return materialise(keys, "key-set") if estimated_bytes(df) > large else keys
+    return df.select(*([on] if isinstance(on, str) else on)).distinct()
 
 
 def semi_join_master(df: DataFrame, master: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -44,56 +38,71 @@ def left_join_unique(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     return left.join(right, on, "left")
 
 
-def left_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: str,
-    hot_rows: int = HOT_ROWS,
-    key_rows: DataFrame | None = None,
-) -> DataFrame:
-    """Left outer join; duplicates on the right fan out.
+def left_join(left: DataFrame, right: DataFrame, on: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Left outer join; duplicates on the right fan out."""
+    return left_joins(left, [right], on, hot_rows)
+
 
-    ``key_rows`` may name a cheaper frame with the right side's keys, for counting them.
+def left_joins(left: DataFrame, sides: Sequence[DataFrame], on: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Left outer joins to several sides on one key, one after the other.
+
+    Rows without a key go around the joins. Keys of all inputs are counted once; without a hot
+    one the plain joins run and share one shuffle of the left rows. A hot key's rows carry a salt
+    through all joins, see ``_salted_chain``.
     """
-    return _checked_join(left, right, on, "left", hot_rows, key_rows)
+    rows = left.where(F.col(on).isNotNull())
+    hot = hot_keys([rows, *sides], on, hot_rows)
+    if hot is None:
+        joined = reduce(lambda out, side: out.join(side, on, "left"), sides, rows)
+    else:
+        joined = _salted_chain(rows, sides, on, hot, "left")
+    return joined.unionByName(left.where(F.col(on).isNull()), allowMissingColumns=True)
 
 
 def inner_join(left: DataFrame, right: DataFrame, on: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Inner equi join; duplicates on both sides fan out."""
-    return _checked_join(left, right, on, "inner", hot_rows, None)
+    hot = hot_keys([left, right], on, hot_rows)
+    return left.join(right, on, "inner") if hot is None else _salted_chain(left, [right], on, hot, "inner")
 
 
-def _checked_join(
-    left: DataFrame, right: DataFrame, on: str, how: str, hot_rows: int, key_rows: DataFrame | None
-) -> DataFrame:
-    """Join on ``on``, spreading right-side keys with more than ``hot_rows`` rows.
+def _salted(df: DataFrame, on: str, hot: DataFrame, side: int) -> DataFrame:
+    """``df`` with ``_salt``: rows of keys that are hot in this side get a random one, all others 0.
 
-    Spark can neither split the null-supplying side of an outer join, nor a side whose
-    partitioning a following join reuses. So a large right side is counted per key first. Without a hot key the plain join runs and keeps its partitioning for the next one. With
-    hot keys, their right rows are spread over salts and only their left rows are repeated
-    once per salt. Salts follow from the input partition and the row, so a retry repeats them.
+    Random salts are stored, so a retry or a lost executor cannot change them, and equal rows
+    are spread as well as different ones.
     """
-    rows = (right if key_rows is None else key_rows).where(F.col(on).isNotNull())
-    hot = hot_keys(rows, [on], hot_rows)
-    if hot is None:
-        return left.join(right, on, how)
-    per_key = F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_salts")
-    hot = materialise(hot.select(on, per_key), "hot-keys")
-    salts = F.coalesce("_salts", F.lit(1))
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *right.columns), salts).cast("int")
-    right_salted = (
-        right.withColumn("_matched", F.lit(True))
-        .join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", spread)
-        .drop("_salts")
-    )
-    left_salted = left.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
-    )
-    joined = left_salted.join(right_salted, [on, "_salt"], how)
-    # A hot key has matches; a repeat of its left row that met an empty salt is no result.
-    whole = joined.where(F.col("_salts").isNull() | F.col("_matched").isNotNull())
-    return whole.drop("_salt", "_salts", "_matched")
+    mine = F.broadcast(hot.where(F.array_contains("_hot", side)).select(on, "_salts"))
+    spread = df.join(mine, on).withColumn("_salt", F.floor(F.rand() * F.col("_salts")).cast("int")).drop("_salts")
+    rest = df.join(mine, on, "left_anti").withColumn("_salt", F.lit(0))
+    return rest.unionByName(materialise(spread, "salted-rows"))
+
+
+def _salted_chain(rows: DataFrame, sides: Sequence[DataFrame], on: str, hot: DataFrame, how: str) -> DataFrame:
+    """The joins with hot keys cut into parts by (key, salt).
+
+    Where a side's key is hot, its rows are spread and the left rows repeated once per salt; where it
+    is not, the left rows keep the salt they have, from their own spreading or from a side before, and
+    the side's few rows are repeated per salt. So rows that fan out in one join stay spread in the next.
+    """
+    every = F.broadcast(hot.select(on, "_salts", "_hot"))
+    out = _salted(rows, on, hot, 0)
+    for i, side in enumerate(sides, 1):
+        here = F.coalesce(F.array_contains("_hot", i), F.lit(False))
+        all_salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+        left = (
+            out.join(every, on, "left").withColumn("_repeated", here)
+            .withColumn("_salt", F.explode(F.when(here, all_salts).otherwise(F.array("_salt"))))
+            .drop("_salts", "_hot")
+        )
+        right = (
+            _salted(side, on, hot, i).join(every, on, "left")
+            .withColumn("_salt", F.explode(F.when(here, F.array("_salt")).otherwise(all_salts)))
+            .drop("_salts", "_hot").withColumn("_matched", F.lit(True))
+        )
+        joined = left.join(right, [on, "_salt"], how)
+        # A hot key has matches; a repeat of its left row that met an empty salt is no result.
+        out = joined.where(~F.col("_repeated") | F.col("_matched").isNotNull()).drop("_repeated", "_matched")
+    return out.drop("_salt")
 
 
 def presence_flag(df: DataFrame, present: DataFrame, on: str, flag: str) -> DataFrame:
@@ -113,10 +122,8 @@ def nonnull_count(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
 
 def longest_by_key(df: DataFrame, key: str, text: str, name: str | None = None) -> DataFrame:
     """The longest text per key, the alphabetically last one on a tie; nulls never win."""
-    rank = F.struct(F.length(text), F.col(text))
-    return df.groupBy(key).agg(
-        F.max_by(text, F.when(F.col(text).isNotNull(), rank)).alias(name or text)
-    )
+    longest = F.max(F.when(F.col(text).isNotNull(), F.struct(F.length(text).alias("size"), F.col(text).alias("text"))))
+    return df.groupBy(key).agg(longest.alias("_longest")).select(key, F.col("_longest.text").alias(name or text))
 
 
 def top1_per_key(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:

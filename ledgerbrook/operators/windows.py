@@ -46,6 +46,27 @@ def window_sums(
     return windows.select(*_window_bounds(), *keys, *sums)
 
 
+def pane_sums(
+    df: DataFrame, ts: str, length: int, slide: int | None, keys: Sequence[str], sums: Mapping[str, Column]
+) -> DataFrame:
+    """Sums per pane and key, to be stored; those of several batches add up in ``from_panes``."""
+    panes = df.groupBy(F.window(ts, _seconds(gcd(length, slide or length))), *keys).agg(
+        *[F.sum(expr).alias(name) for name, expr in sums.items()]
+    )
+    return panes.select(F.col("window.start").alias("pane"), *keys, *sums)
+
+
+def from_panes(
+    panes: DataFrame, length: int, slide: int | None, keys: Sequence[str], sums: Sequence[str]
+) -> DataFrame:
+    """Sums per window and key of stored pane sums. A window covers whole panes, so their starts tell."""
+    whole = panes.groupBy("pane", *keys).agg(*[F.sum(name).alias(name) for name in sums])
+    windows = whole.groupBy(F.window("pane", _seconds(length), _seconds(slide or length)), *keys).agg(
+        *[F.sum(name).alias(name) for name in sums]
+    )
+    return windows.select(*_window_bounds(), *keys, *sums)
+
+
 def tumbling_counts(df: DataFrame, ts: str, length: int, value: str, count: str = "n") -> DataFrame:
     return window_sums(df, ts, length, None, [value], {count: F.lit(1).cast("bigint")})
 
@@ -77,9 +98,17 @@ def error_rates(
     df: DataFrame, ts: str, length: int, slide: int, key: str, status: str, threshold: float = 0.05
 ) -> DataFrame:
     """Error ratio per sliding window and key, with its highlighted text."""
-    one = F.lit(1).cast("bigint")
+    return labelled_rates(window_sums(df, ts, length, slide, [key], status_sums(status)), key, threshold)
+
+
+def status_sums(status: str) -> dict[str, Column]:
+    """What an error ratio is made of: bad statuses and all."""
     bad = F.when(F.col(status) != 200, 1).otherwise(0).cast("bigint")
-    sums = window_sums(df, ts, length, slide, [key], {"bad": bad, "total": one})
+    return {"bad": bad, "total": F.lit(1).cast("bigint")}
+
+
+def labelled_rates(sums: DataFrame, key: str, threshold: float = 0.05) -> DataFrame:
+    """Windows with bad and total, their ratio and its text."""
     ratio = error_ratio(F.col("bad"), F.col("total"))
     return sums.withColumn("ratio", ratio).withColumn(
         "label", ratio_text(F.col(key).cast("string"), F.col("ratio"), threshold)
@@ -94,19 +123,32 @@ def active_users(df: DataFrame, ts: str, length: int, slide: int, user: str) ->
     copied into windows for another shuffle. A stream has no order to look back in, and makes
     users distinct per window.
     """
+    if not df.isStreaming:
+        return active_from_panes(user_panes(df, ts, length, slide, user), length, slide, user)
     covering = F.window("window", _seconds(length), _seconds(slide))
-    panes = df.groupBy(F.window(ts, _seconds(gcd(length, slide))), user).agg(
-        F.count(F.lit(1)).alias("_seen")
+    panes = df.groupBy(F.window(ts, _seconds(gcd(length, slide))), user).agg(F.count(F.lit(1)).alias("_seen"))
+    users = panes.groupBy(covering.alias("window"), user).agg(F.count(F.lit(1)).alias("_seen"))
+    return _active(users, user)
+
+
+def user_panes(df: DataFrame, ts: str, length: int, slide: int, user: str) -> DataFrame:
+    """The distinct users of every pane, to be stored; several batches may name the same ones."""
+    pane = F.window(ts, _seconds(gcd(length, slide)))
+    return df.select(pane.alias("window"), user).select(F.col("window.start").alias("pane"), user).distinct()
+
+
+def active_from_panes(panes: DataFrame, length: int, slide: int, user: str) -> DataFrame:
+    """Distinct users per sliding window of stored panes; users' rows are not copied for another shuffle."""
+    before = F.lag("pane").over(Window.partitionBy(user).orderBy("pane"))
+    users = (
+        panes.select("pane", user).distinct().withColumn("_before", before)
+        .select(F.window("pane", _seconds(length), _seconds(slide)).alias("window"), user, "_before")
+        .where(F.col("_before").isNull() | (F.col("window.start") > F.col("_before")))
     )
-    if df.isStreaming:
-        users = panes.groupBy(covering.alias("window"), user).agg(F.count(F.lit(1)).alias("_seen"))
-    else:
-        before = F.lag("window.start").over(Window.partitionBy(user).orderBy("window.start"))
-        users = (
-            panes.withColumn("_before", before)
-            .select(covering.alias("window"), user, "_before")
-            .where(F.col("_before").isNull() | (F.col("window.start") > F.col("_before")))
-        )
+    return _active(users, user)
+
+
+def _active(users: DataFrame, user: str) -> DataFrame:
     active = users.groupBy("window").agg(F.count(user).alias("active_users"))
     return active.select(
         *_window_bounds(), "active_users", active_text(F.col("active_users")).alias("label")

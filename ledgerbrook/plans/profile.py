@@ -15,8 +15,8 @@ from ledgerbrook.functions.text import (
 )
 from ledgerbrook.operators.audit import with_audit
 from ledgerbrook.operators.relational import (
-    left_join,
     left_join_unique,
+    left_joins,
     longest_by_key,
     na_fill,
     semi_join_master,
@@ -98,12 +98,8 @@ def company_profile(
     statistics = of_day("statistics")
     described = descriptions(statistics, semi_join_master(ads, names, "company_name"))
     industry = of_day("register").select("honor_code", F.col("field").alias("industry"))
-    wide = left_join(master, industry, "honor_code")
-    wide = left_join(wide, described, "honor_code", key_rows=statistics)
-    for side in (contact, rights):
-        wide = left_join(wide, side, "honor_code")
-    for side in (logo, place("baidu", "bd"), place("gaode", "gd").drop("gd_address")):
-        wide = left_join(wide, side, "company_name")
+    wide = left_joins(master, [industry, described, contact, rights], "honor_code")
+    wide = left_joins(wide, [logo, place("baidu", "bd"), place("gaode", "gd").drop("gd_address")], "company_name")
     return na_fill(
         with_audit(
             wide.select(

@@ -13,8 +13,7 @@ from ledgerbrook.functions.text import like_flag, number
 from ledgerbrook.operators.relational import (
     anti_join,
     inner_join,
-    left_join,
-    left_join_unique,
+    left_joins,
     nonnull_count,
     presence_flag,
     semi_join_master,
@@ -103,8 +102,6 @@ def company_score(tables: Mapping[str, DataFrame], list_day: str, day: str, as_o
     )
 
     rows = inner_join(names, registered, "company_name")
-    for side in (tags, rights, finance):
-        rows = left_join(rows, side, "company_name")
-    rows = left_join_unique(rows, products, "company_name")
+    rows = left_joins(rows, [tags, rights, finance, products], "company_name")
     rows = presence_flag(rows, recruiting, "company_name", "has_recruit")
     return add_scores(rows.withColumn("tag_gaoxin", F.coalesce("tag_gaoxin", F.lit(0))), as_of)

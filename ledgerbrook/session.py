@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -27,14 +29,17 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, name: str = "le
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Only a local-mode session may go without the setting; it gets a temporary folder.
+    Without the setting it is the session's warehouse folder, which a cluster shares as well; a session
+    of one machine gets a temporary folder that goes when Python ends.
     """
     configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
     folder = tempfile.mkdtemp(prefix="ledgerbrook-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 

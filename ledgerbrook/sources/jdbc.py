@@ -136,12 +136,14 @@ def upsert(
     """Upsert rows whose audit columns ``operators.audit.upsert_plan`` has set.
 
     Executors fill a staging table in parallel, then one MERGE makes all rows visible at
-    once. A failed try leaves the target as it was and can be repeated.
+    once. A failed try leaves the target as it was and can be repeated. One row per id goes in, since
+    a MERGE refuses repeated source ids. The target needs a unique key on the id: without one the
+    MySQL form would insert rows it should update.
     """
     staging = f"{table}_staging_{uuid.uuid4().hex[:12]}"
-    replace_table(planned, options, staging)
     spark = planned.sparkSession
     try:
+        replace_table(planned.dropDuplicates([id_col]), options, staging)
         run(spark, options, [merge_sql(table, staging, planned.columns, id_col, dialect)])
     finally:
-        run(spark, options, [f"DROP TABLE {staging}"])
+        run(spark, options, [f"DROP TABLE IF EXISTS {staging}"])

@@ -57,7 +57,11 @@ def write_folder(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     _writer(df, partition_by).parquet(path)
 
 
-def write_table(df: DataFrame, table: str, fmt: str | None = None, partition_by: Sequence[str] = ()) -> None:
-    """Overwrite a managed table; ``fmt`` (such as ``hive``) defaults to the session's format."""
+def write_table(
+    df: DataFrame, table: str, fmt: str | None = None, partition_by: Sequence[str] = (), path: str | None = None
+) -> None:
+    """Overwrite a managed table, or one at ``path``; ``fmt`` (such as ``hive``) defaults to the session's format."""
     writer = _writer(df, partition_by)
+    if path:
+        writer = writer.option("path", path)
     (writer.format(fmt) if fmt else writer).saveAsTable(table)

@@ -73,20 +73,35 @@ def grep_count(df: DataFrame, part: str, text: str = "value") -> DataFrame:
 
 
 def denylist_counts(df: DataFrame, deny: DataFrame, text: str = "value") -> DataFrame:
-    """Word counts of a batch with a flag for words on the deny list.
-
-    The dropped total over all batches is the sum of the flagged counts when read back, so
-    it survives restarts and replays.
-    """
+    """Word counts of a batch with a flag for words on the deny list."""
     listed = deny.select("word").distinct().withColumn("dropped", F.lit(True))
     counts = space_word_counts(df, text).join(listed, "word", "left")
     return counts.withColumn("dropped", F.coalesce("dropped", F.lit(False)))
 
 
-def dropped_total(batches: DataFrame) -> DataFrame:
-    """Words dropped so far, after each batch."""
-    per_batch = batches.groupBy("batch_id").agg(
-        F.coalesce(F.sum(F.when(F.col("dropped"), F.col("n"))), F.lit(0)).cast("bigint").alias("dropped")
-    )
-    total = per_batch.agg(F.sum("dropped").alias("dropped_total"), F.max("batch_id").alias("last_batch"))
-    return total
+def denylist_stream(
+    stream: DataFrame, deny: DataFrame, root: str, text: str = "value", interval: str | None = None
+) -> StreamingQuery:
+    """Store every batch's flagged word counts under ``root/out`` and the carried counter of dropped words.
+
+    The counter after batch n is the one after n-1 and the batch's own, so no batch reads the history.
+    """
+
+    def work(df: DataFrame, batch_id: int) -> None:
+        spark, out = df.sparkSession, batch_path(f"{root}/out", batch_id)
+        denylist_counts(df, deny, text).write.mode("overwrite").parquet(out)
+        dropped = spark.read.parquet(out).where("dropped").select(F.col("n").alias("dropped_total"))
+        if batch_id:
+            before = spark.read.parquet(f"{root}/dropped/after={batch_id - 1}")
+            dropped = dropped.unionByName(before.select("dropped_total"))
+        total = dropped.agg(F.coalesce(F.sum("dropped_total"), F.lit(0)).cast("bigint").alias("dropped_total"))
+        total.coalesce(1).write.mode("overwrite").parquet(f"{root}/dropped/after={batch_id}")
+
+    return start(stream.writeStream.foreachBatch(work), f"{root}/checkpoint", interval)
+
+
+def dropped_total(spark: SparkSession, root: str) -> DataFrame:
+    """The counter after the last batch; ``after`` says which one that is."""
+    counters = spark.read.parquet(f"{root}/dropped")
+    last = counters.agg(F.max_by("dropped_total", "after").alias("dropped_total"))
+    return last

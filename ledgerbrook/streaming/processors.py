@@ -1,15 +1,16 @@
-"""Record-at-a-time processors on Spark's own keyed state (RocksDB state store).
+"""Keyed processors on Spark's own state (RocksDB state store), a frame of rows at a time.
 
-For keys of moderate size that need a row out as soon as a row comes in. All rows of a key
-pass through one task in arrival order; ``streaming.stateful`` spreads large keys and defines
-an order.
+For keys of moderate size that need rows out as soon as rows come in. All rows of a key pass
+through one task in arrival order; ``streaming.stateful`` spreads large keys and defines an order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, GroupedData, Row, SparkSession, types as T
+import pandas as pd
+from pyspark.sql import DataFrame, GroupedData, SparkSession, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -20,23 +21,36 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set(STATE_STORE, ROCKSDB)
 
 
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """RocksDB state for queries started inside; the session's setting comes back afterwards."""
+    before = spark.conf.get(STATE_STORE)
+    use_rocksdb(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
 class RunningSum(StatefulProcessor):
-    """Rows (key, value) in; (key, total so far) out, one per row."""
+    """Rows (key, value) in; (key, total so far) out, one per row. A null value counts as 0."""
 
-    def __init__(self, key_name: str):
-        self.key_name = key_name
+    def __init__(self, key_name: str, value_name: str):
+        self.key_name, self.value_name = key_name, value_name
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.sum = handle.getValueState("sum", "total bigint")
 
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.sum.update((initialState[1],))
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self.sum.update((int(initialState[self.value_name].fillna(0).sum()),))
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         total = self.sum.get()[0] if self.sum.exists() else 0
-        for row in rows:
-            total += row[1]
-            yield Row(**{self.key_name: key[0], "total": total})
+        for frame in rows:
+            sums = total + frame[self.value_name].fillna(0).astype("int64").cumsum()
+            if len(sums):
+                total = int(sums.iloc[-1])
+            yield pd.DataFrame({self.key_name: [key[0]] * len(sums), "total": sums.to_numpy()})
         self.sum.update((total,))
 
     def close(self) -> None:
@@ -46,21 +60,26 @@ class RunningSum(StatefulProcessor):
 class CountWindowAverage(StatefulProcessor):
     """Rows (key, value) in; (key, truncated average) out after every ``size`` rows."""
 
-    def __init__(self, key_name: str, size: int = 2):
-        self.key_name, self.size = key_name, size
+    def __init__(self, key_name: str, value_name: str, size: int = 2):
+        self.key_name, self.value_name, self.size = key_name, value_name, size
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.window = handle.getValueState("window", "filled bigint, total bigint")
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         filled, total = self.window.get() if self.window.exists() else (0, 0)
-        for row in rows:
-            filled, total = filled + 1, total + row[1]
-            if filled == self.size:
-                quotient = abs(total) // filled
-                average = quotient if total >= 0 else -quotient
-                yield Row(**{self.key_name: key[0], "average": average})
-                filled, total = 0, 0
+        for frame in rows:
+            values = frame[self.value_name].fillna(0).astype("int64").to_numpy()
+            number = (filled + pd.RangeIndex(len(values)).to_numpy()) // self.size
+            sums = pd.Series(values).groupby(number).sum()
+            if len(sums):
+                sums.iloc[0] += total
+                done, filled = divmod(filled + len(values), self.size)
+                total = int(sums.iloc[-1]) if filled else 0
+                sums = sums.iloc[:done]
+            quotients = sums.abs() // self.size
+            averages = quotients.where(sums >= 0, -quotients)
+            yield pd.DataFrame({self.key_name: [key[0]] * len(averages), "average": averages.to_numpy(dtype="int64")})
         if filled:
             self.window.update((filled, total))
         else:
@@ -77,12 +96,12 @@ def _output(stream: DataFrame, key: str, value: str) -> T.StructType:
 def running_sums(stream: DataFrame, key: str, value: str, initial: DataFrame | None = None) -> DataFrame:
     grouped = stream.select(key, value).groupBy(key)
     seeds: GroupedData | None = initial.select(key, value).groupBy(key) if initial is not None else None
-    return grouped.transformWithState(
-        RunningSum(key), _output(stream, key, "total"), "Append", "None", seeds
+    return grouped.transformWithStateInPandas(
+        RunningSum(key, value), _output(stream, key, "total"), "Append", "None", seeds
     )
 
 
 def count_window_averages(stream: DataFrame, key: str, value: str, size: int = 2) -> DataFrame:
-    return stream.select(key, value).groupBy(key).transformWithState(
-        CountWindowAverage(key, size), _output(stream, key, "average"), "Append", "None"
+    return stream.select(key, value).groupBy(key).transformWithStateInPandas(
+        CountWindowAverage(key, value, size), _output(stream, key, "average"), "Append", "None"
     )

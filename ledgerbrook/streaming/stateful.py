@@ -1,15 +1,16 @@
 """Keyed state carried from batch to batch.
 
-Each batch is computed with the block-wise running totals of ``operators.ordered``, with the
-state left by the batch before as seed rows. A key that fills most of a batch is thereby
-spread over many tasks. Layout under ``root``::
+Each batch is computed with the block-wise running totals of ``operators.ordered``, with the state
+of the batch's own keys as seed rows. A key that fills most of a batch is thereby spread over
+many tasks. Layout under ``root``::
 
-    out/batch_id=<n>     rows emitted by batch n
-    state/after=<n>      state per key after batch n (the last two are kept)
-    checkpoint           offsets of the query
+    out/batch_id=<n>      rows emitted by batch n
+    state/after=<n>       newest state of the keys that batch n changed
+    base/after=<n>        newest state of all keys, every COMPACT batches; -1 is the initial state
+    checkpoint            offsets of the query
 
-Batch n reads only ``state/after=<n-1>`` and overwrites its own folders, so a replayed batch
-gives the same rows.
+Batch n reads the last base before it and the changes since, and overwrites its own folders, so a
+replayed batch gives the same rows. It writes state of its own keys only.
 """
 
 from __future__ import annotations
@@ -20,24 +21,43 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerbrook.operators.counting import category_totals, totals_map
+from ledgerbrook.operators.counting import category_totals, with_grand_total
 from ledgerbrook.operators.ordered import count_windows, running_sum
-from ledgerbrook.session import delete_path
 from ledgerbrook.streaming.batches import batch_path, start
 
+# Batches from one table of all states to the next.
+COMPACT = 50
 
-def _state_path(root: str, batch_id: int) -> str:
-    return f"{root}/state/after={batch_id}"
 
+def _newest(spark: SparkSession, root: str, batch_id: int, schema: str, key: str, only: DataFrame | None) -> DataFrame:
+    """State per key before a batch, of all keys or of those in ``only``."""
+    base = batch_id // COMPACT * COMPACT - 1
+    rows = spark.read.schema(schema).parquet(f"{root}/base/after={base}").withColumn("after", F.lit(base))
+    if changes := [f"{root}/state/after={n}" for n in range(base + 1, batch_id)]:
+        since = spark.read.schema(f"{schema}, after int").option("basePath", f"{root}/state").parquet(*changes)
+        rows = rows.unionByName(since)
+    if only is not None:
+        keys = only.select(F.col(key).alias("_key")).distinct()
+        rows = rows.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+    values = [c for c in rows.columns if c not in (key, "after")]
+    best = rows.groupBy(key).agg(F.max_by(F.struct(*values), "after").alias("_state"))
+    return best.select(key, *[f"_state.{c}" for c in values])
 
-def _before(spark: SparkSession, root: str, batch_id: int, initial: DataFrame | None) -> DataFrame | None:
-    return initial if batch_id == 0 else spark.read.parquet(_state_path(root, batch_id - 1))
 
+def _keep(spark: SparkSession, root: str, batch_id: int, schema: str, key: str, changed: DataFrame) -> None:
+    changed.write.mode("overwrite").parquet(f"{root}/state/after={batch_id}")
+    if (batch_id + 1) % COMPACT == 0:
+        whole = _newest(spark, root, batch_id, schema, key, None)
+        newer = spark.read.schema(schema).parquet(f"{root}/state/after={batch_id}")
+        gone = newer.select(F.col(key).alias("_key"))
+        rest = whole.join(gone, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+        rest.unionByName(newer).write.mode("overwrite").parquet(f"{root}/base/after={batch_id}")
 
-def _keep(spark: SparkSession, root: str, batch_id: int, state: DataFrame) -> None:
-    state.write.mode("overwrite").parquet(_state_path(root, batch_id))
-    if batch_id >= 2:
-        delete_path(spark, _state_path(root, batch_id - 2))
+
+def _begin(spark: SparkSession, root: str, batch_id: int, schema: str, initial: DataFrame | None) -> None:
+    if batch_id == 0:
+        rows = spark.createDataFrame([], schema) if initial is None else initial
+        rows.write.mode("overwrite").parquet(f"{root}/base/after=-1")
 
 
 def running_sum_stream(
@@ -52,21 +72,21 @@ def running_sum_stream(
 ) -> StreamingQuery:
     """Emit the running sum of its key for every input row; ``initial`` (key, value) starts the sums.
 
-    Rows are ordered by ``order`` inside a batch and by batch across batches.
+    Rows are ordered by ``order`` inside a batch and by batch across batches; a null value counts as 0.
     """
+    schema = f"{key} {dict(stream.dtypes)[key]}, {value} bigint"
 
     def work(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        before = _before(spark, root, batch_id, initial)
+        seeds = None if initial is None else initial.select(key, F.col(value).cast("bigint").alias(value))
+        _begin(spark, root, batch_id, schema, seeds)
+        before = _newest(spark, root, batch_id, schema, key, df)
         out = batch_path(f"{root}/out", batch_id)
-        rows = running_sum(
-            df, key, order, value, initial=before, stored_at=f"{root}/blocks", **layout
-        )
+        rows = running_sum(df, key, order, value, initial=before, stored_at=f"{root}/blocks", **layout)
         rows.write.mode("overwrite").parquet(out)
-        sums = spark.read.parquet(out).select(key, value)
-        if before is not None:
-            sums = sums.unionByName(before.select(key, value))
-        _keep(spark, root, batch_id, sums.groupBy(key).agg(F.sum(value).alias(value)))
+        sums = spark.read.parquet(out).select(key, F.col(value).cast("bigint").alias(value)).unionByName(before)
+        changed = sums.groupBy(key).agg(F.coalesce(F.sum(value), F.lit(0)).alias(value))
+        _keep(spark, root, batch_id, schema, key, changed)
 
     return start(stream.writeStream.foreachBatch(work), f"{root}/checkpoint", interval)
 
@@ -82,21 +102,26 @@ def count_window_avg_stream(
     **layout: Any,
 ) -> StreamingQuery:
     """Emit the truncated average after every ``size`` values of a key, across batches."""
+    schema = f"{key} {dict(stream.dtypes)[key]}, filled bigint, total bigint"
 
     def work(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        before = _before(spark, root, batch_id, None)
-        groups = count_windows(
-            df, key, order, value, size, before, stored_at=f"{root}/blocks", **layout
-        )
+        _begin(spark, root, batch_id, schema, None)
+        before = _newest(spark, root, batch_id, schema, key, df).where("filled > 0")
+        groups = count_windows(df, key, order, value, size, before, stored_at=f"{root}/blocks", **layout)
         groups.write.mode("overwrite").parquet(f"{root}/groups")
         groups = spark.read.parquet(f"{root}/groups")
         full = groups.where(F.col("filled") == size)
         full.select(key, F.expr("total div filled").alias("average")).write.mode("overwrite").parquet(
             batch_path(f"{root}/out", batch_id)
         )
-        short = groups.where(F.col("filled") < size).select(key, "filled", "total")
-        _keep(spark, root, batch_id, short)
+        # A key whose last group is full starts anew.
+        last = F.max_by(F.struct("filled", "total"), "window_no").alias("_last")
+        short = F.col("_last.filled") < size
+        changed = groups.groupBy(key).agg(last).select(
+            key, *[F.when(short, F.col(f"_last.{c}")).otherwise(F.lit(0)).cast("bigint").alias(c) for c in ("filled", "total")]
+        )
+        _keep(spark, root, batch_id, schema, key, changed)
 
     return start(stream.writeStream.foreachBatch(work), f"{root}/checkpoint", interval)
 
@@ -104,10 +129,14 @@ def count_window_avg_stream(
 def category_totals_stream(
     stream: DataFrame, category: str, value: str, root: str, interval: str | None = None
 ) -> StreamingQuery:
-    """Keep ever-growing totals per category; after each batch store their map and grand total."""
+    """Keep ever-growing totals per category; after each batch store them beside their grand total."""
 
     def work(df: DataFrame, batch_id: int) -> None:
-        totals_map(df, category).write.mode("overwrite").parquet(batch_path(f"{root}/out", batch_id))
+        # Stored first, since both the rows and their sum are read.
+        totals = batch_path(f"{root}/totals", batch_id)
+        df.write.mode("overwrite").parquet(totals)
+        stored = df.sparkSession.read.schema(df.schema).parquet(totals)
+        with_grand_total(stored, "total").write.mode("overwrite").parquet(batch_path(f"{root}/out", batch_id))
 
     totals = category_totals(stream, category, value)
     writer = totals.writeStream.outputMode("complete").foreachBatch(work)

@@ -37,11 +37,7 @@ def sequential(rows, initial=()):
     return sorted(out)
 
 
-# No hot key, the one hot key, and every key by blocks.
-LAYOUTS = [
-    {}, {"hot_rows": 60}, {"hot_rows": 60, "blocks": 7}, {"hot_rows": 0}, {"hot_rows": 0, "blocks": 1},
-    {"hot_rows": 0, "blocks": 16},
-]
+LAYOUTS = [{}, {"blocks": 1}, {"blocks": 4}, {"blocks": 16}]
 
 
 @pytest.mark.parametrize("layout", LAYOUTS)
@@ -68,7 +64,7 @@ def test_two_keys(spark):
     df = spark.createDataFrame(rows, "k string, g int, seq int, v bigint").repartition(4)
     plain = ordered.running_totals(df, ["k", "g"], ["seq"], {"s": F.col("v"), "n": F.lit(1)})
     cut = ordered.running_totals(
-        df, ["k", "g"], ["seq"], {"s": F.col("v"), "n": F.lit(1)}, blocks=9, hot_rows=30
+        df, ["k", "g"], ["seq"], {"s": F.col("v"), "n": F.lit(1)}, blocks=9
     )
     assert rows_of(cut, "seq", "s", "n") == rows_of(plain, "seq", "s", "n")
     assert cut.where("n = 48").count() == 2
@@ -91,15 +87,25 @@ def test_surrogate_ids(spark, blocks):
     assert got == list(enumerate(sorted(names, key=lambda n: n.encode()), 1))
 
 
-def test_small_tables_need_no_blocks(spark, tmp_path):
-    spark.range(50).select(F.format_string("n%02d", "id").alias("name")).write.parquet(str(tmp_path / "t"))
-    names = spark.read.parquet(str(tmp_path / "t"))
-    small, cut = ordered.surrogate_ids(names, "name"), ordered.surrogate_ids(names, "name", blocks=4)
-    assert "_block" not in small._jdf.queryExecution().analyzed().toString()
-    assert rows_of(small, "id", "name") == rows_of(cut, "id", "name")
+@pytest.mark.parametrize("blocks", [1, 4, 16])
+def test_nulls_count_as_zero(spark, blocks):
+    """Keys that start with nulls, end with them, or hold nothing else."""
+    rows = [(f"k{i % 3}", i, None if i < 20 or i % 3 == 2 or i % 4 == 0 else i) for i in range(60)]
+    df = spark.createDataFrame(rows, "key string, seq int, value bigint").repartition(5)
+    got = ordered.running_sum(df, "key", ["seq"], "value", blocks=blocks)
+    assert rows_of(got, "key", "seq", "running_sum") == sequential([(k, s, v or 0) for k, s, v in rows])
 
 
-@pytest.mark.parametrize("layout", LAYOUTS[:1] + LAYOUTS[2:3] + LAYOUTS[5:])
+def test_floating_point_sums_need_a_decimal(spark):
+    df = spark.createDataFrame([("a", i, 0.1 * i) for i in range(40)], "key string, seq int, value double").repartition(4)
+    with pytest.raises(TypeError, match="decimal"):
+        ordered.running_sum(df, "key", ["seq"], "value")
+    exact = df.withColumn("value", F.col("value").cast("decimal(20,6)"))
+    results = [rows_of(ordered.running_sum(exact, "key", ["seq"], "value", blocks=n), "seq", "running_sum") for n in (1, 4, 16)]
+    assert results[0] == results[1] == results[2]
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
 @pytest.mark.parametrize("size", [2, 3])
 def test_count_window_avg(spark, layout, size):
     rows = skewed(300, 5)

@@ -44,17 +44,31 @@ def test_hot_key_is_spread(spark):
     assert "_salt" in joined._jdf.queryExecution().analyzed().toString()
 
 
-def test_small_side_is_not_counted(sides):
-    left, right = sides
-    small = right.where("key = 1").limit(3)
-    joined = relational.left_join(left, small, "key", hot_rows=10**9)
-    assert "_salt" not in joined._jdf.queryExecution().analyzed().toString()
+def test_equal_rows_get_different_salts(spark):
+    right = spark.createDataFrame([(1, "same")] * 1000, "key int, r string").repartition(2)
+    hot = relational.hot_keys([right], "key", 100)
+    salted = relational._salted(right, "key", hot, 0)
+    assert salted.select("_salt").distinct().count() == hot.first()["_salts"] == 10
 
 
-def test_left_join_counts_given_keys(sides):
-    left, right = sides
-    got = relational.left_join(left, right, "key", hot_rows=5, key_rows=right.select("key"))
-    assert rows_of(got) == rows_of(left.join(right, "key", "left"))
+@pytest.mark.parametrize("hot_rows", [1, 9, 40, 10**6])
+def test_chains_with_hot_left_rows_and_without_keys(spark, hot_rows):
+    """Nine left rows in ten share a key, or have none; sides are unique, hot or empty for it."""
+    left = spark.createDataFrame([(1 if i % 10 else i, i) for i in range(300)] + [(None, i) for i in range(300, 330)], "key int, l int").repartition(4)
+    one = spark.createDataFrame([(1, "a"), (10, "b")], "key int, x string")
+    many = spark.createDataFrame([(1, i) for i in range(25)] + [(20, 7), (None, 1)], "key int, y int")
+    last = spark.createDataFrame([(1, 0.5), (30, 1.5), (None, 9.5)], "key int, z double")
+    got = relational.left_joins(left, [one, many, last], "key", hot_rows=hot_rows)
+    plain = left.join(one, "key", "left").join(many, "key", "left").join(last, "key", "left")
+    assert got.columns == plain.columns and rows_of(got) == rows_of(plain)
+
+
+def test_hot_left_rows_stay_spread_through_a_chain(spark):
+    left = spark.createDataFrame([(1 if i % 10 else i, i) for i in range(2000)], "key int, l int")
+    sides = [spark.createDataFrame([(1, f"v{n}")], f"key int, c{n} string") for n in range(3)]
+    hot = relational.hot_keys([left, *sides], "key", 100)
+    salts = relational._salted(left, "key", hot, 0).where("key = 1").groupBy("_salt").count().collect()
+    assert len(salts) == 18 and max(r["count"] for r in salts) <= 2 * 1800 / 18
 
 
 def test_semi_anti_presence(sides):
@@ -65,14 +79,6 @@ def test_semi_anti_presence(sides):
     assert [r.seen for r in flags] == [1, 1, 1, 1, 1, 1, 0, 0]
 
 
-def test_large_key_set_is_stored(sides):
-    left, right = sides
-    stored = relational.key_set(right, "key", large=0)
-    assert "key-set" in stored.inputFiles()[0]
-    assert rows_of(stored) == rows_of(relational.key_set(right, "key"))
-    assert rows_of(left.join(stored, "key", "left_anti")) == rows_of(relational.anti_join(left, right, "key"))
-
-
 def test_longest_by_key(spark):
     df = spark.createDataFrame(
         [("a", "x"), ("a", "yyy"), ("a", "zzz"), ("a", None), ("b", None), ("c", "")], "k string, t string"
@@ -121,17 +127,11 @@ def test_upsert_plan(spark):
     }
 
 
-def test_totals_map(spark):
-    totals = spark.createDataFrame([("B", 3), ("A", 4)], "category string, total bigint")
-    row = counting.totals_map(totals, "category").first()
-    assert row.totals == {"A": 4, "B": 3} and row.grand_total == 7
-
-
-def test_totals_map_refuses_long_lists(spark, monkeypatch):
-    monkeypatch.setattr(counting, "MAX_MAP_ENTRIES", 3)
-    totals = spark.range(5).select(F.col("id").cast("string").alias("category"), F.col("id").alias("total"))
-    with pytest.raises(Exception, match="too many categories"):
-        counting.totals_map(totals, "category").collect()
+def test_grand_total_of_many_categories(spark):
+    totals = spark.range(300_000).select(F.col("id").cast("string").alias("category"), F.lit(1).cast("bigint").alias("total"))
+    summed = counting.with_grand_total(totals)
+    assert summed.select("grand_total").distinct().collect() == [(300_000,)]
+    assert summed.count() == 300_000 and summed.where("category = '7'").first() == ("7", 1, 300_000)
 
 
 def test_denylist(spark):

@@ -107,7 +107,23 @@ def test_upsert_statements(spark, monkeypatch):
     df = spark.createDataFrame([("1", "x")], "id string, a string")
     jdbc.upsert(df, URL, "target", run=lambda s, o, statements: ran.extend(statements))
     assert staged[0].startswith("target_staging_")
-    assert ran == [jdbc.merge_sql("target", staged[0], ["id", "a"]), f"DROP TABLE {staged[0]}"]
+    assert ran == [jdbc.merge_sql("target", staged[0], ["id", "a"]), f"DROP TABLE IF EXISTS {staged[0]}"]
+
+
+def test_a_failed_staging_write_leaves_no_table(spark, monkeypatch):
+    """The staging table goes even if filling it fails, and repeated ids go in once."""
+    ran, rows = [], []
+
+    def fill(df, options, table):
+        rows.extend(df.collect())
+        raise OSError("disk full")
+
+    monkeypatch.setattr(jdbc, "replace_table", fill)
+    df = spark.createDataFrame([("1", "x"), ("1", "y"), ("2", "z")], "id string, a string")
+    with pytest.raises(OSError, match="disk full"):
+        jdbc.upsert(df, URL, "target", run=lambda s, o, statements: ran.extend(statements))
+    assert len(ran) == 1 and ran[0].startswith("DROP TABLE IF EXISTS target_staging_")
+    assert sorted(r.id for r in rows) == ["1", "2"]
 
 
 @pytest.fixture
@@ -160,9 +176,10 @@ def test_shared_dir_is_the_configured_one():
     assert session.shared_dir(Settings("hdfs://shared/place/", "spark://host:7077")) == "hdfs://shared/place"
 
 
-def test_cluster_needs_a_shared_dir():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_dir(Settings(None, "spark://host:7077"))
+def test_cluster_without_the_setting_uses_its_warehouse(monkeypatch):
+    settings = Settings(None, "spark://host:7077")
+    monkeypatch.setattr(settings.conf, "get", lambda key, default=None: {"spark.sql.warehouse.dir": "hdfs://wh/"}.get(key, default))
+    assert session.shared_dir(settings) == "hdfs://wh"
 
 
 def test_scratch_is_cleared(spark, tmp_path, monkeypatch):
