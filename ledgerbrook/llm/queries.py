@@ -107,8 +107,7 @@ FROM d LEFT JOIN g USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 SQL["op4_jaccard_join"] = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                    '[^ 	-
-]+') AS ws FROM documents),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS k
       FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM d WHERE len(ws) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),

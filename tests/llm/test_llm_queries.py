@@ -7,6 +7,7 @@ from collections import Counter
 
 import cases
 import corpus_pipeline
+import duckdb
 import pytest
 from oracle import connect, differences
 from test_llm_dedup import brute_jaccard
@@ -24,6 +25,15 @@ def test_query_equals_its_sql(spark, name):
     assert differences(queries.QUERIES[name](spark, SF_DIR), connect(SF_DIR), queries.SQL[name]) == []
 
 
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_equals_its_sql_on_awkward_rows(spark, tmp_path, name):
+    data = [r for r in cases.unique(cases.rows(n=40)) if len(r[1] or "") < 10_000]  # the SQL copies a text per window
+    cases.table(spark, data).write.parquet(str(tmp_path / "documents.parquet"))
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert differences(queries.QUERIES[name](spark, str(tmp_path)), connection, queries.SQL[name]) == []
+
+
 @pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.SQL)))
 def test_query_gives_one_row_per_input_row(spark, name):
     got = queries.QUERIES[name](spark, SF_DIR)
