@@ -76,6 +76,24 @@ def hinted(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if small(df) else df
 
 
+def join_spread(rows: DataFrame, unique: DataFrame, keys: list[str], count: str, place: list[Column]) -> DataFrame:
+    """``rows`` inner joined with ``unique``, which has one row per key and the number of its rows in ``count``.
+
+    A key with more rows than an average partition is cut into so many parts that none is larger. The
+    part follows from ``place``, columns that tell a key's rows apart, so a retry deals them alike. Fewer
+    keys than there are partitions can be that large, which bounds what is broadcast and repeated.
+    ``count`` is dropped; the result does not depend on it.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mean = max(1.0, (unique.agg(F.sum(count)).first()[0] or 0) / parts)
+    cut = unique.withColumn("__parts", F.ceil(F.col(count) / mean).cast("int")).drop(count)
+    large = F.broadcast(cut.filter("__parts > 1").select(*keys, "__parts"))
+    part = F.coalesce(F.pmod(F.xxhash64(*place), F.col("__parts")).cast("int"), F.lit(0))
+    dealt = rows.join(large, keys, "left").withColumn("__part", part).drop("__parts")
+    repeated = cut.withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1))).drop("__parts")
+    return dealt.join(repeated, [*keys, "__part"]).drop("__part")
+
+
 def running(df: DataFrame, group: str, order: list[str], sums: dict[str, Column], name: str) -> DataFrame:
     """Add to each row, per entry of ``sums``, the sum over the rows of its group that come before it.
 

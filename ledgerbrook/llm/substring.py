@@ -6,7 +6,8 @@ they stand, and only anchors (about one position in thirteen) are counted. Ancho
 document alone end there. The others are extended to twice the length, first as segments, which are
 the neighbouring windows of one anchor taken together: where whole segments repeat, all their windows
 do, and one representative of each different segment goes on. Its single windows meet last. Candidates
-are compared as 128 bits: the anchor's 64 and the window's or segment's 64.
+are compared as 128 bits: the anchor's 64 and the window's or segment's 64. Counts are combined before
+they are shuffled, and a passage that very many documents share is joined in parts of average size.
 
 Defined results: a null text has no words; texts shorter than a window lose nothing; windows are judged
 on the input; a window that repeats inside one document alone stays; rows with a null id are compared
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerbrook.llm.common import few_rows
+from ledgerbrook.llm.common import few_rows, join_spread
 from ledgerbrook.llm.hashing import joined, signed, windows, word_hashes
 from ledgerbrook.session import materialise
 
@@ -87,15 +88,18 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
 
     schema = f"anchor long, segment long, id {kind}, first int, n int"
     level = materialise(rows.filter("id is not null").mapInArrow(cut, schema), "substring-anchors")
-    alone = level.groupBy("anchor").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    repeated = alone.filter("low < high").select("anchor")
-    level = materialise(level.join(repeated, "anchor"), "substring-repeated")
+    place = [F.col("id"), F.col("first")]
+    alone = level.groupBy("anchor").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("k"))
+    repeated = materialise(alone.filter("low < high").select("anchor", "k"), "substring-anchors-repeated")
+    level = materialise(join_spread(level, repeated, ["anchor"], "k", place), "substring-repeated")
 
-    distinct = materialise(level.groupBy("anchor", "segment").agg(F.min("id").alias("low")), "substring-segments")
-    several = distinct.groupBy("anchor").agg(F.count("*").alias("k")).filter("k > 1").select("anchor")
-    placed = level.join(distinct, ["anchor", "segment"])
+    distinct = materialise(
+        level.groupBy("anchor", "segment").agg(F.min("id").alias("low"), F.count("*").alias("k")), "substring-segments"
+    )
+    several = materialise(distinct.groupBy("anchor").agg(F.count("*").alias("k")).filter("k > 1"), "substring-several")
+    placed = join_spread(level, distinct, ["anchor", "segment"], "k", place)
     whole = placed.filter("low < id").select("id", "first", "n")
-    open_rows = placed.filter("low = id").join(several, "anchor", "left_semi")
+    open_rows = join_spread(placed.filter("low = id"), several, ["anchor"], "k", place)
     asked = open_rows.groupBy("id").agg(F.collect_list(F.struct("anchor", "first", "n")).alias("asked"))
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,8 +126,9 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     single = materialise(
         rows.join(asked, "id").mapInArrow(extend, f"anchor long, window long, id {kind}, first int"), "substring-windows"
     )
-    lowest = single.groupBy("anchor", "window").agg(F.min("id").alias("low"))
-    alike = single.join(lowest, ["anchor", "window"]).filter("low < id").select("id", "first", F.lit(1).alias("n"))
+    lowest = single.groupBy("anchor", "window").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("k"))
+    met = materialise(lowest.filter("low < high").select("anchor", "window", "low", "k"), "substring-met")
+    alike = join_spread(single, met, ["anchor", "window"], "k", place).filter("low < id").select("id", "first", F.lit(1).alias("n"))
     return whole.unionByName(alike).groupBy("id").agg(F.collect_list(F.struct("first", "n")).alias("ranges"))
 
 
