@@ -53,6 +53,12 @@ BLOCK = frozenset(
     "dl dt dd table caption thead tbody tfoot tr td th form fieldset legend figure figcaption details summary dialog hr menu "
     "option select button label center hgroup search".split()
 )
+#: What an article is made of besides plain paragraphs, and what foreign blocks are made of.
+OWN_FORMS = (
+    "p", "div", "h2", "h3", "h4", "ul li", "ul li", "ol li", "ul li p", "blockquote", "blockquote p", "pre", "pre code", "table tr td", "table tbody tr td",
+    "table thead tr th", "figure figcaption", "dl dt", "dl dd", "section h2", "section p", "div p",
+)
+FOREIGN_FORMS = ("", "", "p", "p", "li", "div", "ul li", "h1", "h2", "h3", "h4", "table tr td", "a", "span")
 #: Opening one of these ends an open element of the same set.
 CLOSES = {t: s for s in ({"li"}, {"dt", "dd"}, {"tr"}, {"td", "th"}, {"option"}, {"thead", "tbody", "tfoot"}) for t in s}
 # Names that mark an article, and names that mark what is not the article.
@@ -286,13 +292,22 @@ def padded(pages: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 
 def changed(page: list[tuple[Leaf, bool]], words: list[str], draws: np.random.Generator) -> list[tuple[Leaf, bool]]:
-    """The page in another form: its article in another container, and foreign blocks put in."""
+    """The page in another form: its article in another container and with blocks of other kinds, foreign blocks put in."""
     containers = (("main",), ("div", ".content"), ("div", ".post", ".body"), ("div", ".entry"), ("section", ".story"), ("div",), ("article",), ())
     container = containers[draws.integers(len(containers))]
+
+    def some(least: int, most: int) -> str:
+        start, size = int(draws.integers(0, len(words))), int(draws.integers(least, most))
+        return " ".join(words[start : start + size]) or "x"
+
     out = []
     for (path, text, linked), label in page:
         new = tuple(y for x in path for y in (container if x in ("article", "main") else (x,)))
         out.append(((new, text, linked), label))
+        if label and draws.random() < 0.2:
+            form = str(draws.choice(OWN_FORMS)).split()
+            for _ in range(draws.integers(1, 4)):
+                out.append(((("html", "body", *container, *form), some(1, 30), float(draws.random() < 0.1)), True))
     others = sorted(OTHER_NAMES)
     for _ in range(draws.integers(0, 4)):
         inner = container if draws.random() < 0.5 else ()
@@ -300,16 +315,28 @@ def changed(page: list[tuple[Leaf, bool]], words: list[str], draws: np.random.Ge
         if draws.random() < 0.3:
             name = (str(draws.choice(("aside", "form", "nav", "footer"))),)
         linked = float(draws.random() < 0.4)
-        start = int(draws.integers(0, len(words)))
         run = []
         for _ in range(draws.integers(1, 6)):
-            size = int(draws.integers(1, 40))
-            run.append(((("html", "body", *inner, *map(str, name), str(draws.choice(("p", "li", "div")))), " ".join(words[start : start + size]) or "x", linked), False))
+            form = str(draws.choice(FOREIGN_FORMS)).split()
+            run.append(((("html", "body", *inner, *map(str, name), *form), some(1, 40), linked), False))
         at = int(draws.integers(0, len(out) + 1))
         out[at:at] = run
+    if draws.random() < 0.4:
+        # The site's own header comes before everything else of the body.
+        run = [((("html", "body", "header", *str(draws.choice(FOREIGN_FORMS)).split()), some(1, 8), 0.0), False) for _ in range(draws.integers(1, 4))]
+        at = next((i for i, ((path, _, _), _) in enumerate(out) if "body" in path), len(out))
+        out[at:at] = run
+    if container and draws.random() < 0.3:
+        # An article's header holds its heads.
+        out = [((_in_header(leaf[0]), *leaf[1:]), label) if label else (leaf, label) for leaf, label in out]
     return out
 
 
+def _in_header(path: tuple[str, ...]) -> tuple[str, ...]:
+    """The path of a head of the article, put into a header."""
+    return (*path[:-1], "header", path[-1]) if path[-1] == "h1" else path
+
+
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> dict[str, np.ndarray] | None:
     """Weights of a labeller trained on a seeded draw of pages that mark their article up."""
     rows = pages.select(F.col(html_col).alias("html"), uniform(F.col(id_col), "html").alias("u")).filter(
