@@ -240,6 +240,19 @@ def test_page_texts_of_other_forms(spark):
     assert sum(r["text"] == data[r["page_id"]][3] for r in got) >= 0.9 * len(data)
 
 
+def test_page_texts_of_articles_with_other_blocks(spark):
+    """Heads, lists, quotes and code in articles, which no training page has; comments inside them go."""
+    data = pages()
+    frame = spark.createDataFrame([r[:3] for r in data], "page_id long, url string, html string")
+    weights = html.fit(frame)
+    more = "<h2>Second head</h2><p>Some words that follow it.<ul><li>first thing<li>second thing</ul><blockquote>what they said</blockquote><pre>x = 1</pre>"
+    gone = "<section class=comments><p>nice read</p></section><table>"
+    other = [(r[0], r[1], r[2].replace("<table>", more + gone)) for r in data]
+    got = html.extract(spark.createDataFrame(other, frame.schema), weights).collect()
+    added = " Second head Some words that follow it. first thing second thing what they said x = 1 a b"
+    assert sum(r["text"] == data[r["page_id"]][3].removesuffix(" a b") + added for r in got) >= 0.9 * len(data)
+
+
 def test_page_texts_without_training_pages(spark):
     frame = spark.createDataFrame([(1, "<p>a</p><p>b")], "page_id long, html string")
     assert html.fit(frame) is None
