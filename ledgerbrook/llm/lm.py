@@ -2,50 +2,57 @@
 
 Symbols are the words seen in training, the end of a text, and one symbol for all unknown words. The
 tree's root is the distribution of all tokens, with the share of words seen once set aside for unknown
-ones. A context of up to DEPTH frequent words (the start of a text counts as one) becomes a state if it
-carries a least share of all tokens and if the distribution of what follows diverges from that of its
-longest shorter state; it is smoothed into that distribution. Every token is scored by the longest
-state that fits, so a text's score is the log10 probability of its token sequence.
-
-Documents are dealt into blocks of bounded size. A block counts its words once; counts meet by word,
-come back to the blocks that asked, and every block scores its documents with its own words' counts.
-So neither the vocabulary nor the corpus is ever in one place. The tree grows level by level: each level
-counts what follows the contexts that the level before found frequent, where the texts lie. Counts cover
-all training texts; only the tree is sent to all tasks, and shares bound it: at most 1 / HEAVY_SHARE
-words and 1 / PAIR_SHARE entries a level.
+ones. A context of up to DEPTH known words (the start of a text counts as one) becomes a state if it was
+seen CONTEXT_LEAST times and if the distribution of what follows diverges from that of its longest
+shorter state; it lists the tokens that follow it GRAM_LEAST times, and is smoothed into that shorter
+distribution. Every token is scored by the longest state that fits, so a text's score is the log10
+probability of its token sequence. The two bounds are counts, not shares, so the tree grows with the input.
+
+Every task packs its documents into blocks of bounded size: the block's own words, and the texts as places
+among them. Words and then, level by level, grams are counted per block; counts meet by word or gram and
+come back to the blocks that hold it, and so do the states, by their context. A block scores its documents
+with its own words, grams and states. So neither the vocabulary, nor the corpus, nor the tree is ever in one
+place. A gram is counted only where its two shorter grams are frequent enough, which loses none.
 
 Defined results: a null text counts as empty and has one token, its end; words are counted in whole
 texts; documents held out by the fold teach nothing; without training documents all counts are 0; a
 null id folds like the empty id; repeated rows are scored and counted each; an empty table gives no
-rows. Other columns are ignored. Words are matched by 64-bit hash.
+rows. Other columns are ignored. Words and grams are matched by 64-bit hash.
 """
 
 from __future__ import annotations
 
 import math
 from array import array
-from collections import Counter
+from collections.abc import Callable, Iterator
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerbrook.llm.common import empty_if_null, fold
-from ledgerbrook.session import materialise
+from ledgerbrook.llm.common import fold
+from ledgerbrook.session import delete_path, materialise
 
-#: Bytes of text in a block; its distinct words are held by one task.
-BLOCK_BYTES = 16 << 20
+#: Bytes of text in a block, and what a row adds to it; its distinct words and grams are held by one task.
+BLOCK_BYTES, ROW_BYTES = 16 << 20, 16
 #: Longest context in words.
 DEPTH = 3
-#: Least shares of all tokens: of a word in contexts, of a context, of a context with its next token. The
-#: first one bounds the heavy words by 5,000, so a digit fits into 16 bits and a gram of 4 into 64.
-HEAVY_SHARE, STATE_SHARE, PAIR_SHARE = 2e-4, 2e-5, 2e-6
+#: Least counts of a context, and of a context with its next token.
+CONTEXT_LEAST, GRAM_LEAST = 4, 2
 #: Nats by which a context's distribution has to differ from its shorter state's.
 DIVERGENCE = 0.02
 ADD = 0.1
 
+#: Every pass stores its result, so its shuffle files can go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+FOUND = "block long, gram long, n long, total double, gain double, listed double, q double, entries long"
+
 
 def tokens(text: str | None) -> list[bytes]:
     """Words with A-Z in lower case; bytes.split() knows exactly the six ASCII white-space characters."""
@@ -57,34 +64,54 @@ def word_key(word: bytes) -> int:
     return key - (1 << 64) if key >= 1 << 63 else key
 
 
-def blocks(docs: DataFrame, id_col: str, text_col: str, folds: int) -> DataFrame:
-    """id, text, held_out and the block, dealt by the id's hash."""
-    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    n = max(1, math.ceil(size / BLOCK_BYTES))
-    return docs.select(
-        F.col(id_col).alias("id"), F.col(text_col).alias("text"), (fold(F.col(id_col), folds) == 0).alias("held_out"),
-        F.pmod(F.xxhash64(empty_if_null(F.col(id_col).cast("string"))), F.lit(n)).alias("block"),
-    )
+#: The start and the end of a text; no word has a space.
+EDGE = word_key(b" ")
 
 
-def _count_block(table: pa.Table) -> pa.Table:
-    """Training counts of a block's words (0 for words of held-out texts alone); null: training texts."""
-    block = table.column("block")[0].as_py()
-    train, other, texts = Counter(), set(), 0
-    for text, held_out in zip(table.column("text"), table.column("held_out"), strict=True):
-        words = tokens(text.as_py())
-        if held_out.as_py():
-            other.update(words)
-        else:
-            train.update(words)
-            texts += 1
-    other.difference_update(train)
-    keys = [*map(word_key, train), *map(word_key, other), None]
-    return pa.table({
-        "block": pa.array([block] * len(keys), pa.int64()),
-        "word": pa.array(keys, pa.int64()),
-        "n": pa.array([*train.values(), *[0] * len(other), texts], pa.int64()),
-    })
+def blocks(docs: DataFrame, id_col: str, text_col: str, folds: int) -> DataFrame:
+    """One stored row per block. A task's rows fill its blocks as they come, so no id can fill one."""
+    kind = dict(docs.dtypes)[id_col]
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (fold(F.col(id_col), folds) == 0).alias("held_out"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, squeeze = TaskContext.get().partitionId() << 32, zstandard.ZstdCompressor(level=1)
+
+        def close():
+            keys = np.fromiter((EDGE, *map(word_key, index)), np.int64, len(index) + 1)
+            found = pa.concat_arrays(ids)
+            one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int64()), one(found), one(pa.array(held, pa.bool_())), one(pa.array(sizes, pa.int32())),
+                 pa.array([keys.tobytes()], pa.binary()), pa.array([squeeze.compress(seq.tobytes())], pa.binary())],
+                names=["block", "ids", "held", "sizes", "words", "places"],
+            )
+
+        index, ids, held, sizes, seq, size = {}, [], [], [], array("i"), 0
+        for batch in batches:
+            start = 0
+            for i, (text, out) in enumerate(zip(batch.column(1), batch.column(2), strict=True), 1):
+                words = tokens(text.as_py())
+                for w in words:
+                    if w not in index:
+                        index[w] = len(index) + 1
+                seq.append(0)
+                seq.extend(map(index.__getitem__, words))
+                seq.append(0)
+                held.append(out.as_py())
+                sizes.append(len(words) + 1)
+                size += ROW_BYTES + sum(map(len, words)) + len(words)
+                if size >= BLOCK_BYTES:
+                    ids.append(batch.column(0).slice(start, i - start))
+                    yield close()
+                    block += 1
+                    start, index, ids, held, sizes, seq, size = i, {}, [], [], [], array("i"), 0
+            if start < batch.num_rows:
+                ids.append(batch.column(0).slice(start))
+        if sizes:
+            yield close()
+
+    schema = f"block long, ids array<{kind}>, held array<boolean>, sizes array<int>, words binary, places binary"
+    return materialise(rows.mapInArrow(pack, schema), "lm-blocks")
 
 
 def _find(sorted_codes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,27 +122,201 @@ def _find(sorted_codes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.n
     return sorted_codes[at] == codes, at
 
 
-def gram_codes(digits: np.ndarray, k: int, size: int) -> np.ndarray:
-    """Codes of the k digits before each position after the first; -1 where one is missing."""
-    n = len(digits) - 1
-    code, ok = np.zeros(n, np.int64), np.ones(n, bool)
-    for back in range(1, k + 1):
-        part = np.full(n, -1, np.int64)
-        part[back - 1 :] = digits[: n - back + 1]
-        ok &= part >= 0
-        code += part * size ** (back - 1)
-    return np.where(ok, code, -1)
+def extend(codes: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Codes of the grams one word longer; a single word is its own code."""
+    x = codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + keys.view(np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))).view(np.int64)
+
+
+class Level:
+    """What is known of grams of one length: count, whether the block reports it, and its state as a context."""
+
+    def __init__(self, rows: pa.Table):
+        gram = rows.column("gram").to_numpy()
+        order = np.argsort(gram)
+        self.gram = gram[order]
+        self.n, self.remainder, self.whole = (rows.column(c).to_numpy().astype(float)[order] for c in ("n", "remainder", "whole"))
+        self.mine = rows.column("mine").to_numpy(zero_copy_only=False).astype(bool)[order]
+
+
+def known_levels(rows: pa.Table) -> list[Level]:
+    level = rows.column("level").to_numpy()
+    return [Level(rows.filter(pa.array(level == k))) for k in range(DEPTH + 1)]
+
+
+class Walk:
+    """Texts as keys, each after its start; all arrays are by position."""
+
+    def __init__(self, words: np.ndarray, places: np.ndarray, depth: np.ndarray, levels: list[Level]):
+        self.words, self.places, self.depth, self.levels = words, places, depth, levels
+        self.keys = words[places]
+        self.codes = [self.keys]
+        found, at = _find(levels[0].gram, words)
+        self.where = [np.where(found, at, -1)[places]]  # of the word, then of longer grams, in their level
+
+    def count(self, level: int) -> np.ndarray:
+        at = self.where[level]
+        return np.where(at >= 0, np.append(self.levels[level].n, 0.0)[at], 0.0)
+
+    def longer(self, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions that may end a frequent gram of ``level`` words and one more, and the grams' codes."""
+        n = self.count(level - 1)
+        at = 1 + np.flatnonzero((n[:-1] >= CONTEXT_LEAST) & (n[1:] >= GRAM_LEAST) & (self.depth[1:] >= level))
+        return at, extend(self.codes[-1][at - 1], self.keys[at])
+
+    def step(self, level: int) -> None:
+        """Look up the grams of ``level`` words and one more."""
+        at, code = self.longer(level)
+        found, place = _find(self.levels[level].gram, code)
+        where, codes = np.full(len(self.keys), -1, np.int64), np.zeros(len(self.keys), np.int64)
+        where[at], codes[at] = np.where(found, place, -1), code
+        self.where.append(where)
+        self.codes.append(codes)
+
+    def probabilities(self, root: np.ndarray, depth: int) -> np.ndarray:
+        """Of every token after states of at most ``depth`` words; those of starts mean nothing."""
+        p = root.copy()
+        for k in range(1, depth + 1):
+            if len(self.where) <= k:
+                self.step(k)
+            of, before = self.levels[k - 1], np.append(-1, self.where[k - 1][:-1])
+            whole = np.where((before >= 0) & (self.depth >= k), np.append(of.whole, 0.0)[before], 0.0)
+            state = whole > 0
+            p[state] = (self.count(k)[state] + of.remainder[before[state]] * p[state]) / whole[state]
+        return p
+
+
+def opened(row: pa.Table, levels: list[Level]) -> tuple[Walk, np.ndarray, np.ndarray]:
+    """(the texts of a block, their numbers of tokens, whether each is held out)."""
+    sizes = row.column("sizes")[0].values.to_numpy()
+    held = row.column("held")[0].values.to_numpy(zero_copy_only=False)
+    places = np.frombuffer(zstandard.ZstdDecompressor().decompress(row.column("places")[0].as_py()), np.int32)
+    starts = np.cumsum(sizes + 1) - (sizes + 1)
+    depth = np.arange(len(places)) - np.repeat(starts, sizes + 1)
+    return Walk(np.frombuffer(row.column("words")[0].as_py(), np.int64), places, depth, levels), sizes, held
+
+
+def roots(walk: Walk, totals: dict) -> np.ndarray:
+    n, count = totals["words"] + totals["texts"], walk.count(0)
+    return np.where(count > 0, count / max(n, 1) * (1 - totals["unknown"]), totals["unknown"])
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Training counts of each block's words (0 for words of held-out texts alone); the edge counts texts."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = pa.Table.from_batches([batch.slice(i, 1)])
+            words = np.frombuffer(row.column("words")[0].as_py(), np.int64)
+            places = np.frombuffer(zstandard.ZstdDecompressor().decompress(row.column("places")[0].as_py()), np.int32)
+            held = row.column("held")[0].values.to_numpy(zero_copy_only=False)
+            train = np.repeat(~held, row.column("sizes")[0].values.to_numpy() + 1)
+            n = np.bincount(places[train], minlength=len(words))
+            n[0] = (~held).sum()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(words), batch.column(0)[i].as_py(), np.int64)), pa.array(words), pa.array(n.astype(np.int64))],
+                names=["block", "gram", "n"],
+            )
+
+
+def _grams(level: int, totals: dict) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Counts of a block's grams of ``level`` words and one more; and of contexts one word shorter, what
+    the grams that this block reports add to their distributions."""
+
+    def run(row: pa.Table, known: pa.Table) -> pa.Table:
+        out = pa.schema([("block", pa.int64()), ("gram", pa.int64()), ("n", pa.int64()), *[(c, pa.float64()) for c in ("total", "gain", "listed", "q")], ("entries", pa.int64())])
+        block, tables = row.column("block")[0].as_py(), []
+
+        def add(**columns: np.ndarray) -> None:
+            size = len(columns["gram"])
+            columns["block"] = np.full(size, block, np.int64)
+            tables.append(pa.table([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in out], schema=out))
+
+        walk, sizes, held = opened(row, known_levels(known))
+        for k in range(1, level):
+            if k == level - 1:
+                q = walk.probabilities(roots(walk, totals), k - 1)
+            if len(walk.where) <= k:
+                walk.step(k)
+        if level > 1:
+            k, of = level - 1, walk.levels[level - 1]
+            at = np.flatnonzero(walk.where[k] >= 0)
+            at = at[of.mine[walk.where[k][at]]]
+            _, first = np.unique(walk.where[k][at], return_index=True)
+            at = at[first]
+            n, total, q = of.n[walk.where[k][at]], walk.count(k - 1)[at - 1], q[at]
+            contexts, place, owner = np.unique(walk.codes[k - 1][at - 1], return_index=True, return_inverse=True)
+            p, several = n / total, lambda x: np.bincount(owner, x, len(contexts)).astype(float)
+            add(gram=contexts, total=total[place], gain=several(p * np.log(p / q)), listed=several(n), q=several(q),
+                entries=np.bincount(owner, minlength=len(contexts)))
+        if level <= DEPTH:
+            at, code = walk.longer(level)
+            grams, owner = np.unique(code, return_inverse=True)
+            train = np.repeat(~held, sizes + 1)[at]
+            add(gram=grams, n=np.bincount(owner[train], minlength=len(grams)))
+        return pa.concat_tables(tables)
+
+    return run
+
+
+def _states(pieces: DataFrame) -> DataFrame:
+    """(gram, remainder, whole) of the contexts that become states; what is not listed counts as one symbol."""
+    sums = pieces.groupBy("gram").agg(F.max("total").alias("total"), *[F.sum(c).alias(c) for c in ("gain", "listed", "q", "entries")])
+    rest, rest_q = 1 - F.col("listed") / F.col("total"), 1 - F.col("q")
+    more = F.when((rest > 1e-9) & (rest_q > 1e-9), rest * F.log(rest / rest_q)).otherwise(0.0)
+    whole = F.col("total") + F.col("entries") + 1
+    kept = sums.filter(F.col("gain") + more >= DIVERGENCE)
+    return materialise(kept.select("gram", (whole - F.col("listed")).alias("remainder"), whole.alias("whole")), "lm-states")
+
+
+def _known(counted: DataFrame, level: int, least: int) -> DataFrame:
+    """Rows of the grams that were counted often enough, in all blocks that hold them; one block reports each."""
+    every = Window.partitionBy("gram")
+    none = F.lit(0.0)
+    rows = counted.select("block", "gram", F.sum("n").over(every).alias("n"), (F.col("block") == F.min("block").over(every)).alias("mine"))
+    return materialise(
+        rows.filter(F.col("n") >= least).select("block", F.lit(level).alias("level"), "gram", "n", "mine", none.alias("remainder"), none.alias("whole")),
+        "lm-known",
+    )
+
+
+def _with_states(known: DataFrame, states: DataFrame) -> DataFrame:
+    joined = known.drop("remainder", "whole").join(states, "gram", "left").fillna(0.0, ["remainder", "whole"])
+    return joined.select("block", "level", "gram", "n", "mine", "remainder", "whole")
+
+
+def _drop(stored: DataFrame) -> None:
+    """Delete a stored table that nothing reads any more."""
+    path = stored.inputFiles()
+    if path:
+        delete_path(stored.sparkSession, path[0].rsplit("/", 1)[0])
+
+
+def _cogroup(blocked: DataFrame, levels: list[DataFrame], run: Callable, schema: str, columns: list[str]) -> DataFrame:
+    known = reduce(DataFrame.unionByName, levels)
+    return blocked.select("block", *columns).groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, schema)
 
 
 class Tree:
-    """Word states. A gram of heavy words is coded as a number in base ``size``; the edge of a text is
-    the last digit. Level k holds contexts of k words: their codes and what falling back costs, and the
-    codes and log10 probabilities of the grams (context, next) that are listed."""
+    """The stored tree. The tables are joined to blocks; only ``digits`` and ``score``, which are there to
+    look into small trees, read them on the driver. A digit is a word's place among the known ones."""
+
+    def __init__(self, levels: list[DataFrame]):
+        self.levels = levels  # known grams by block, from single words on
+
+    @cached_property
+    def _tables(self) -> list[Level]:
+        once = [level.dropDuplicates(["gram"]) for level in self.levels]
+        return known_levels(reduce(DataFrame.unionByName, once).toArrow())
 
-    def __init__(self, heavy: np.ndarray, shares: np.ndarray):
-        self.heavy, self.size, self.edge = heavy, len(heavy) + 1, len(heavy)
-        self.shares = shares  # of the root, by digit
-        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+    @cached_property
+    def heavy(self) -> np.ndarray:
+        return self._tables[0].gram[self._tables[0].gram != EDGE]
+
+    @property
+    def edge(self) -> int:
+        return len(self.heavy)
 
     def digits(self, keys: np.ndarray) -> np.ndarray:
         found, at = _find(self.heavy, keys)
@@ -123,161 +324,68 @@ class Tree:
 
     def score(self, digits: np.ndarray, root: np.ndarray) -> np.ndarray:
         """log10 probabilities of the tokens after the first digit, the edge; ``root`` are those of the root."""
-        out = root.copy()
-        for k, (codes, back, grams, log) in enumerate(self.levels, 1):
-            context = gram_codes(digits, k, self.size)
-            state, at = _find(codes, context)
-            state &= context >= 0
-            listed, where = _find(grams, context * self.size + digits[1:])
-            listed &= state & (digits[1:] >= 0)
-            out = np.where(listed, log[where] if len(log) else 0.0, out + np.where(state, back[at] if len(back) else 0.0, 0.0))
-        return out
-
-    def shorter(self, grams: np.ndarray) -> np.ndarray:
-        """Probabilities of the grams' last digits after all their other digits but the first."""
-        following = grams % self.size
-        p = np.log10(np.maximum(self.shares[following], 1e-300))
-        for k, (codes, back, listed, log) in enumerate(self.levels, 1):
-            tail = grams % self.size ** (k + 1)
-            state, at = _find(codes, tail // self.size)
-            here, where = _find(listed, tail)
-            p = np.where(here & state, log[where] if len(log) else 0.0, p + np.where(state, back[at] if len(back) else 0.0, 0.0))
-        return 10.0**p
-
-    def grow(self, contexts: np.ndarray, totals: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> None:
-        """Add the next level from counted contexts and grams, both sorted by code."""
-        _, owner = _find(contexts, grams // self.size)
-        p, q = counts / np.maximum(totals[owner], 1), self.shorter(grams)
-        gain = np.bincount(owner, p * np.log(np.maximum(p, 1e-300) / q), len(contexts)).astype(float)
-        # What is not listed counts as one symbol.
-        rest, rest_q = 1 - np.bincount(owner, p, len(contexts)), 1 - np.bincount(owner, q, len(contexts))
-        more = (rest > 1e-9) & (rest_q > 1e-9)
-        gain[more] += rest[more] * np.log(rest[more] / rest_q[more])
-        state = gain >= DIVERGENCE
-        entries = np.bincount(owner, minlength=len(contexts))
-        whole = totals + entries + 1
-        left = whole - np.bincount(owner, counts, len(contexts))
-        log = np.log10((counts + left[owner] * q) / whole[owner])
-        back = np.log10(left / whole)
-        kept = state[owner] if len(owner) else np.zeros(0, bool)
-        self.levels.append((contexts[state], back[state], grams[kept], log[kept]))
-
-
-def _sorted(rows: pa.Table, key: str, value: str) -> tuple[np.ndarray, np.ndarray]:
-    keys, values = rows.column(key).to_numpy(), rows.column(value).to_numpy()
-    order = np.argsort(keys)
-    return keys[order], values[order]
-
-
-def grow_tree(blocked: DataFrame, by_word: DataFrame, totals: dict) -> Tree:
-    """The word tree of the training texts: their heavy words are stored as digits once, then counted level by level."""
-    n = totals["words"] + totals["texts"]
-    heavy, count = _sorted(by_word.filter(F.col("c") >= max(2.0, HEAVY_SHARE * n)).toArrow(), "word", "c")
-    total = np.append(count, totals["texts"]).astype(float)
-    tree = Tree(heavy, total / max(n, 1) * (1 - totals["unknown"]))
-    digits = _digits(blocked.filter(~F.col("held_out")).select("text"), heavy)
-    contexts = np.arange(tree.size, dtype=np.int64)
-    for k in range(1, DEPTH + 1):
-        grams, counts = _sorted(_followers(digits, tree.size, contexts, k, max(2.0, PAIR_SHARE * n)), "gram", "n")
-        tree.grow(contexts, total, grams, counts)
-        # A gram that does not end a text is a context of the next level.
-        longer = (counts >= STATE_SHARE * n) & (grams % tree.size != tree.edge)
-        contexts, total = grams[longer], counts[longer].astype(float)
-        if not len(contexts):
-            break
-    return tree
-
-
-def _digits(texts: DataFrame, heavy: np.ndarray) -> DataFrame:
-    """The digits of each text, 16 bits each, between two edges; -1 for words that are not heavy."""
-    sent = texts.sparkSession.sparkContext.broadcast(heavy)
-
-    def write(batches):
-        index = {key: i for i, key in enumerate(sent.value.tolist())}
-        edge, place = len(index), {}
-        for batch in batches:
-            out = []
-            for text in batch.column(0):
-                words = tokens(text.as_py())
-                if len(place) > 300_000:
-                    place.clear()
-                for w in {*words}.difference(place):
-                    place[w] = index.get(word_key(w), -1)
-                out.append(array("h", [edge, *map(place.__getitem__, words), edge]).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["digits"])
-
-    return materialise(texts.mapInArrow(write, "digits binary"), "lm-digits")
-
-
-def _followers(digits: DataFrame, size: int, contexts: np.ndarray, k: int, least: float) -> pa.Table:
-    """Counts of (context of k words, next token), of those that occur at least so often."""
-    sent = digits.sparkSession.sparkContext.broadcast(contexts)
-
-    def count(batches):
-        contexts = sent.value
-        for batch in batches:
-            parts = [np.empty(0, np.int64)]
-            for text in batch.column(0):
-                found = np.frombuffer(text.as_buffer(), np.int16).astype(np.int64)
-                before = gram_codes(found, k, size)
-                ok = (before >= 0) & (found[1:] >= 0)
-                parts.append(before[ok] * size + found[1:][ok])
-            grams, times = np.unique(np.concatenate(parts), return_counts=True)
-            kept, _ = _find(contexts, grams // size)
-            yield pa.RecordBatch.from_arrays([pa.array(grams[kept]), pa.array(times[kept])], names=["gram", "n"])
-
-    counted = digits.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return counted.filter(F.col("n") >= least).toArrow()
+        words = np.concatenate((self.heavy, [EDGE, word_key(b"unknown words")]))
+        walk = Walk(words, np.asarray(digits), np.arange(len(digits)), self._tables)
+        return np.log10(walk.probabilities(np.append(1.0, 10.0**root), DEPTH)[1:])
 
 
 def train(blocked: DataFrame) -> tuple[Tree, DataFrame, dict]:
     """(tree, training counts by block and word, totals) of documents in blocks."""
-    counted = materialise(blocked.groupBy("block").applyInArrow(_count_block, "block long, word long, n long"), "lm-counts")
-    words = counted.filter("word is not null")
-    by_word = materialise(words.groupBy("word").agg(F.sum("n").alias("c")).filter("c > 0"), "lm-words")
-    texts = counted.filter("word is null").agg(F.sum("n")).first()[0] or 0
-    sums = by_word.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.count_if(F.col("c") == 1).alias("once")).first()
-    totals = {"texts": texts, "words": sums["n"] or 0, "distinct": sums["v"]}
-    totals["unknown"] = (sums["once"] + 1) / (totals["words"] + texts + 2)
-    return grow_tree(blocked, by_word, totals), words.select("block", "word").join(by_word, "word"), totals
+    conf = blocked.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        return _train(blocked)
+    finally:
+        conf.set(CLEANUP, before) if before is not None else conf.unset(CLEANUP)
+
+
+def _train(blocked: DataFrame) -> tuple[Tree, DataFrame, dict]:
+    counts = blocked.select("block", "held", "sizes", "words", "places").mapInArrow(_count_words, "block long, gram long, n long")
+    words = _known(counts, 0, 1)
+    one = words.filter("mine")
+    sums = one.agg(
+        F.sum(F.when(F.col("gram") != EDGE, F.col("n"))).alias("n"), F.count_if(F.col("gram") != EDGE).alias("v"),
+        F.count_if((F.col("gram") != EDGE) & (F.col("n") == 1)).alias("once"), F.sum(F.when(F.col("gram") == EDGE, F.col("n"))).alias("texts"),
+    ).first()
+    totals = {"texts": sums["texts"] or 0, "words": sums["n"] or 0, "distinct": sums["v"]}
+    totals["unknown"] = (sums["once"] + 1) / (totals["words"] + totals["texts"] + 2)
+    levels = [words]
+    for k in range(1, DEPTH + 2):
+        found = _cogroup(blocked, levels, _grams(k, totals), FOUND, ["held", "sizes", "words", "places"])
+        if k > 1:
+            found = materialise(found, "lm-grams")
+            before, levels[k - 2] = levels[k - 2], _with_states(levels[k - 2], _states(found.filter("total is not null")))
+        if k <= DEPTH:
+            levels.append(_known(found.filter("n is not null"), k, GRAM_LEAST))
+        if k > 1:
+            levels[k - 2] = materialise(levels[k - 2], "lm-known")
+            _drop(before)
+            _drop(found)
+    known = levels[0].filter(F.col("gram") != EDGE).select("block", F.col("gram").alias("word"), F.col("n").alias("c"))
+    return Tree(levels), known, totals
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10) -> DataFrame:
     """Train on the documents whose fold is not 0 and score all: one row per document."""
     kind = dict(docs.dtypes)[id_col]
     blocked = blocks(docs, id_col, text_col, folds)
-    tree, known, totals = train(blocked)
-    sent = docs.sparkSession.sparkContext.broadcast(tree)
-    words_n, texts_n, unknown = totals["words"], totals["texts"], totals["unknown"]
-    n, v = words_n + texts_n, totals["distinct"] + (texts_n > 0)
+    tree, _, totals = train(blocked)
+    n, v = totals["words"] + totals["texts"], totals["distinct"] + (totals["texts"] > 0)
     whole = n + ADD * (v + 1)
 
-    def run(texts: pa.Table, counts: pa.Table) -> pa.Table:
-        tree = sent.value
-        keys, c = _sorted(counts, "word", "c")
-        index: dict[bytes, int] = {}
-        for t in texts.column("text"):
-            for w in set(tokens(t.as_py())).difference(index):
-                index[w] = len(index)
-        asked = np.fromiter(map(word_key, index), np.int64, len(index))
-        hit, at = _find(keys, asked)
-        counted = np.append(np.where(hit, c[at] if len(c) else 0, 0), texts_n)  # the end is the last word
-        base = np.log10((counted + ADD) / whole)
-        root = np.log10(np.where(counted > 0, counted / max(n, 1) * (1 - unknown), unknown))
-        digits = np.append(tree.digits(asked), tree.edge)
-        rows = []
-        for t in texts.column("text"):
-            words = tokens(t.as_py())
-            i = np.fromiter((*map(index.__getitem__, words), len(index)), np.int64, len(words) + 1)
-            scores = tree.score(np.append(tree.edge, digits[i]), root[i])
-            rows.append((len(i), int((counted[i] > 0).sum()), float(base[i].sum()), float(scores.sum())))
-        columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
+    def run(row: pa.Table, known: pa.Table) -> pa.Table:
+        walk, sizes, held = opened(row, known_levels(known))
+        counted = walk.count(0)
+        token, starts = walk.depth > 0, np.cumsum(sizes) - sizes
+        each = lambda x: np.add.reduceat(x[token], starts)
+        ids = row.column("ids")[0].values
         return pa.table({
-            "id": texts.column("id"), "held_out": texts.column("held_out"), "n_tokens": pa.array(columns[0], pa.int64()),
-            "n_known": pa.array(columns[1], pa.int64()), "train_tokens": pa.array([n] * len(rows), pa.int64()),
-            "base_score": pa.array(columns[2], pa.float64()), "score": pa.array(columns[3], pa.float64()),
+            "id": ids, "held_out": pa.array(held, pa.bool_()), "n_tokens": pa.array(sizes.astype(np.int64)),
+            "n_known": pa.array(each((counted > 0).astype(np.int64))), "train_tokens": pa.array([n] * len(ids), pa.int64()),
+            "base_score": pa.array(each(np.log10((counted + ADD) / whole))),
+            "score": pa.array(each(np.log10(walk.probabilities(roots(walk, totals), DEPTH)))),
         })
 
     schema = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    scored = blocked.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, schema)
-    return scored.withColumnRenamed("id", id_col)
+    return _cogroup(blocked, tree.levels, run, schema, ["ids", "held", "sizes", "words", "places"]).withColumnRenamed("id", id_col)

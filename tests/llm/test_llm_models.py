@@ -183,6 +183,23 @@ def test_lm_beats_its_base_and_adds_up(spark):
         assert math.isclose(total, 1.0, rel_tol=1e-6)
 
 
+def test_lm_learns_what_follows_rare_words(spark):
+    """Pairs of words that each make up some 0.01 % of the tokens are states with their followers listed."""
+    draws = random.Random(8)
+    rows = [(i, [f"c{draws.randint(0, 300)}" for _ in range(200)]) for i in range(400) if not held(i)]
+    for k in range(0, 240):
+        rows[k][1][50:50] = [f"u{k % 40}", f"v{k % 40}"]
+    blocked = lm.blocks(cases.table(spark, [(i, " ".join(w), None, None, None) for i, w in rows], extra=False), "doc_id", "text", 10)
+    tree, known, totals = lm.train(blocked)
+    n = totals["words"] + totals["texts"]
+    counts = {r["word"]: r["c"] for r in known.select("word", "c").distinct().collect()}
+    for k in range(40):
+        pair = np.array([lm.word_key(f"{x}{k}".encode()) for x in "uv"])
+        assert [counts[x] for x in pair.tolist()] == [6, 6] and 6 < 2e-4 * n
+        root = np.log10(np.array([6, 6]) / n)
+        assert 10 ** tree.score(np.append(tree.edge, tree.digits(pair)), root)[-1] > 0.5
+
+
 def test_lm_without_training_texts(spark):
     only_held = [(i, "some words here", None, None, None) for i in range(200) if held(i)][:5]
     got = lm.score(cases.table(spark, only_held)).collect()
