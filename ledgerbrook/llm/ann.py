@@ -1,11 +1,12 @@
 """Approximate nearest neighbours by largest inner product: NN-descent and greedy graph search.
 
 The graph holds up to K neighbours per different vector. It starts from a few random partitions, whose
-pieces are compared inside, and then improves in rounds of joins: every vector gathers its neighbours
-and a sample of the vectors it is a neighbour of, compares them with each other, and tells each of
-them of closer ones; a pair meets again only if one of it is new. A search starts at the query's own
-node, expands the best unexpanded candidates of its list of BEAM, and ends when the whole list is
-expanded. Graph and search compare 8-bit copies of the vectors; results are scored on the originals in
+pieces are compared inside, and then improves in rounds of joins until the lists have settled: every
+vector gathers its neighbours and all vectors it is a neighbour of, compares them with each other, and
+tells each of them of closer ones; a pair meets again only if one of it is new. A vector in more than
+REVERSE lists does so in parts, each with its neighbours and so many of those vectors. A search starts at
+the query's own node, expands the best unexpanded candidates of its list of BEAM, and ends when the whole
+list is expanded. The number of partitions grows with the logarithm of that of the vectors. Graph and search compare 8-bit copies of the vectors; results are scored on the originals in
 double precision.
 
 Equal vectors are one node, so a vector that is very common costs as much as any other, and results
@@ -20,6 +21,7 @@ are fewer than asked for; an empty table gives no rows. Other columns are ignore
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -28,16 +30,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerbrook.llm.common import join_spread
 from ledgerbrook.session import materialise
 
-#: Neighbours per node, sampled reverse neighbours, and nodes that gather one node, at most.
-K, REVERSE, GATHERED = 40, 20, 120
-#: Random partitions, vectors per piece, and vectors sampled to lay the planes.
+#: Neighbours per node, and reverse neighbours that meet in one part of it, at most.
+K, REVERSE = 40, 40
+#: Random partitions at least, vectors per piece, and vectors sampled to lay the planes.
 TREES, PIECE, PLANE_SAMPLE = 8, 800, 512
-#: Rounds of improvement end when fewer than this share of all neighbours changed, or after so many.
-SETTLED, ROUNDS = 0.02, 4
-#: Candidates a search keeps, those it expands at once, those scored exactly, and its most steps.
-BEAM, EXPAND, EXACT, STEPS = 160, 64, 64, 12
+#: Rounds of improvement end when fewer than this share of all neighbours changed.
+SETTLED = 0.02
+#: Candidates a search keeps, those it expands at once, and those scored exactly.
+BEAM, EXPAND, EXACT = 160, 64, 64
 SEED = 7
 
 LISTS = "id long, ids array<long>, scores array<float>, fresh array<boolean>"
@@ -144,12 +147,13 @@ def _merged(lists: DataFrame, name: str) -> DataFrame:
 def first_graph(nodes: DataFrame, count: int) -> DataFrame:
     """Lists from random partitions: vectors on the same side of all planes are compared."""
     bits = max(0, math.ceil(math.log2(max(1, count / PIECE))))
+    trees = max(TREES, 2 * bits)
     share = min(1.0, 2 * PLANE_SAMPLE / max(1, count))
     sample = nodes.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).select("id", "vector").limit(4 * PLANE_SAMPLE)
     points = np.array([r["vector"] for r in sorted(sample.collect(), key=lambda r: r["id"])], np.float32)
     draws = np.random.default_rng(SEED)
     if bits and len(points) > 1:
-        a, b = (draws.integers(0, len(points), TREES * bits) for _ in range(2))
+        a, b = (draws.integers(0, len(points), trees * bits) for _ in range(2))
         planes = (points[a] - points[b]).T
         offsets = ((points[a] + points[b]) / 2 * (points[a] - points[b])).sum(axis=1)
     else:
@@ -161,12 +165,12 @@ def first_graph(nodes: DataFrame, count: int) -> DataFrame:
             if not n:
                 continue
             ids, small, scale = (batch.column(i) for i in range(3))
-            code = np.zeros((n, TREES), np.int64)
+            code = np.zeros((n, trees), np.int64)
             if bits:
                 side = _matrix(small.to_numpy(zero_copy_only=False), scale.to_numpy()) @ planes > offsets
-                code = side.reshape(n, TREES, bits) @ (1 << np.arange(bits, dtype=np.int64))
-            code += np.arange(TREES, dtype=np.int64) << bits
-            again = pa.array(np.repeat(np.arange(n), TREES))
+                code = side.reshape(n, trees, bits) @ (1 << np.arange(bits, dtype=np.int64))
+            code += np.arange(trees, dtype=np.int64) << bits
+            again = pa.array(np.repeat(np.arange(n), trees))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(code.ravel()), ids.take(again), small.take(again), scale.take(again)], names=["leaf", "id", "small", "scale"]
             )
@@ -197,15 +201,20 @@ def improve(graph: DataFrame, nodes: DataFrame, step: int) -> DataFrame:
         "v", F.col("e.ids").alias("u"), F.col("e.fresh").alias("fresh")
     )
     drawn = Window.partitionBy("u").orderBy(F.xxhash64("v", "u", F.lit(step)))
-    edges = edges.withColumn("r", F.row_number().over(drawn)).filter(F.col("r") <= GATHERED)
-    ends = F.array(
-        F.struct(F.col("v").alias("center"), F.col("u").alias("m")),
-        F.when(F.col("r") <= REVERSE, F.struct(F.col("u").alias("center"), F.col("v").alias("m"))),
+    back = edges.withColumn("part", F.floor((F.row_number().over(drawn) - 1) / REVERSE))
+    parts = back.groupBy("u").agg(F.max("part").alias("last")).withColumnRenamed("u", "id")
+    own = graph.join(parts, "id", "left").select(
+        F.col("id").alias("center"), F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("last", F.lit(0)))).alias("part"), "ids", "fresh"
+    ).select("center", "part", F.explode(F.arrays_zip("ids", "fresh")).alias("e"))
+    members = materialise(
+        own.select("center", "part", F.col("e.ids").alias("m"), F.col("e.fresh").alias("fresh"))
+        .unionByName(back.select(F.col("u").alias("center"), "part", F.col("v").alias("m"), "fresh")), "ann-members",
     )
-    members = edges.withColumn("end", F.explode(ends)).filter("end is not null").select("end.center", "end.m", "fresh")
     bound = F.when(F.size("scores") < K, F.lit(float("-inf"))).otherwise(F.array_min("scores")).cast("float")
-    known = nodes.select("id", "small", "scale").join(graph.select("id", bound.alias("bound")), "id")
-    gathered = members.join(known, F.col("m") == F.col("id")).select("center", "m", "small", "scale", "bound", "fresh")
+    known = nodes.select("id", "small", "scale").join(graph.select("id", bound.alias("bound")), "id").withColumnRenamed("id", "m")
+    known = materialise(known.join(members.groupBy("m").agg(F.count("*").alias("times")), "m"), "ann-known")
+    gathered = join_spread(members, known, ["m"], "times", [F.col("center"), F.col("part")])
+    gathered = gathered.select("center", "part", "m", "small", "scale", "bound", "fresh")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to, of, value, held = [], [], [], 0
@@ -225,7 +234,7 @@ def improve(graph: DataFrame, nodes: DataFrame, step: int) -> DataFrame:
                 for s, e in zip(starts.tolist(), ends.tolist(), strict=True)
             ])
 
-        for g in _groups(batches):
+        for g in _groups(batches, 2):
             ids, keep = np.unique(g["m"].to_numpy(), return_index=True)
             if len(ids) < 2:
                 continue
@@ -246,7 +255,7 @@ def improve(graph: DataFrame, nodes: DataFrame, step: int) -> DataFrame:
         if held:
             yield flush()
 
-    met = gathered.repartition("center").sortWithinPartitions("center").mapInArrow(meet, LISTS)
+    met = gathered.repartition("center", "part").sortWithinPartitions("center", "part").mapInArrow(meet, LISTS)
     seen = graph.withColumn("fresh", F.transform("ids", lambda _: F.lit(False)))
     return _merged(seen.unionByName(met), "ann-graph")
 
@@ -255,10 +264,10 @@ def build(nodes: DataFrame) -> DataFrame:
     """The neighbour graph of all nodes."""
     count = nodes.count()
     graph = first_graph(nodes, count)
-    for step in range(ROUNDS):
+    for step in itertools.count():
         graph = improve(graph, nodes, step)
         news = graph.agg(F.sum(F.size(F.filter("fresh", lambda f: f)))).first()[0] or 0
-        if news < SETTLED * K * count:
+        if news <= SETTLED * K * count:
             break
     return graph
 
@@ -299,7 +308,7 @@ def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame) -> DataFrame:
             out.append((g["id"][0].as_py(), ids[place], scores[place], ~np.isin(ids[place], known)))
         yield _list_batch(out)
 
-    for _ in range(STEPS):
+    while True:
         todo = F.slice(F.filter(F.arrays_zip("ids", "fresh"), lambda e: e["fresh"]), 1, EXPAND)
         frontier = state.select(F.col("id").alias("query"), F.explode(F.transform(todo, lambda e: e["ids"])).alias("id"))
         if frontier.isEmpty():

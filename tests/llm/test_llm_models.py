@@ -341,6 +341,22 @@ def test_nearest_recall_ties_and_awkward_rows(spark):
     assert hits >= 0.9 * 20 * len(lists)
 
 
+def test_nearest_recall_with_many_pieces(spark, monkeypatch):
+    """Some 40 pieces a partition, and one vector near the direction of most others, so in most lists."""
+    monkeypatch.setattr(ann, "PIECE", 60)
+    draws = np.random.default_rng(17)
+    x = draws.normal(size=(2400, 16)).astype(np.float32)
+    x[7] = 4 * x[:1200].mean(axis=0) / np.linalg.norm(x[:1200].mean(axis=0))
+    x[:1200] += x[7] / 4
+    frame = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
+    got = ann.nearest(frame, F.col("vec_id") % 20 == 0).collect()
+    hits = 0
+    for q in range(0, 2400, 20):
+        scores = x.astype(np.float64) @ x[q].astype(np.float64)
+        hits += len({i for i in np.argsort(-scores, kind="stable") if i != q and scores[i] >= np.sort(scores[np.arange(2400) != q])[-20]} & {r["vec_id"] for r in got if r["query_id"] == q})
+    assert len(got) == 20 * 120 and hits >= 0.95 * 20 * 120
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 9])
 def test_nearest_in_tiny_tables(spark, n):
     data = [(i * 20, [float(i), 1.0]) for i in range(n)]
