@@ -200,6 +200,15 @@ def test_lm_learns_what_follows_rare_words(spark):
         assert 10 ** tree.score(np.append(tree.edge, tree.digits(pair)), root)[-1] > 0.5
 
 
+def test_lm_blocks_of_one_id(spark, monkeypatch):
+    """Rows that share an id, or have none, fill several blocks."""
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 2_000)
+    rows = [(None if i % 2 else 5, f"some words of row {i} " * 10, None, None, None) for i in range(200)]
+    docs = cases.table(spark, rows, extra=False)
+    assert lm.blocks(docs, "doc_id", "text", 10).select("block").distinct().count() >= 10
+    assert lm.score(docs).count() == 200
+
+
 def test_lm_without_training_texts(spark):
     only_held = [(i, "some words here", None, None, None) for i in range(200) if held(i)][:5]
     got = lm.score(cases.table(spark, only_held)).collect()
