@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerbrook.llm import ann, bpe, exact_dedup, html, jaccard, langid, lm, mixing, sharding, substring
+from ledgerbrook.llm import ann, bpe, exact_dedup, html, jaccard, langid, lm, mixing, negatives, sharding, substring
 from ledgerbrook.llm.common import documents, fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,13 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", fold(F.col("doc_id"), 3) == 1)
 
 
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of other labels just below the first five of each anchor's label; every 100th id is an anchor."""
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0, label)
+
+
 QUERIES: dict[str, Query] = {
     "op1_nn_descent": nearest_vectors,
     "op2_bpe": bpe_round_trip,
@@ -83,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op8_source_mix": source_mix,
     "op9_kd_shards": kd_sharding,
     "op10_language_id": language_id,
+    "op11_hard_negatives": hard_negatives,
 }
 
 #: The six ASCII white-space characters end a word.
@@ -140,3 +148,17 @@ r AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN t
 SELECT doc_id, size, source_size, target,
        CAST((floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
 FROM r"""
+
+SQL["op11_hard_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same,
+        CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS s
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT a, b, s FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5),
+n AS (SELECT p.a AS anchor_id, p.b AS positive_id, n.b AS negative_id, p.s AS positive_score, n.s AS negative_score,
+        CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.s DESC, n.b) AS INTEGER) AS rank
+      FROM p JOIN s n ON n.a = p.a AND NOT n.same AND 80 * p.s <= 100 * n.s AND 100 * n.s <= 100 * p.s)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5"""
