@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerbrook.llm import ann, bpe, exact_dedup, html, jaccard, langid, lm, mixing, negatives, sharding, substring
+from ledgerbrook.llm import ann, bpe, decontaminate, exact_dedup, html, jaccard, langid, lm, mixing, negatives, sharding, substring
 from ledgerbrook.llm.common import documents, fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,11 @@ def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0, label)
 
 
+def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside ten-word windows of benchmark items."""
+    return decontaminate.report(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_nn_descent": nearest_vectors,
     "op2_bpe": bpe_round_trip,
@@ -91,6 +96,7 @@ QUERIES: dict[str, Query] = {
     "op9_kd_shards": kd_sharding,
     "op10_language_id": language_id,
     "op11_hard_negatives": hard_negatives,
+    "op13_decontaminate": benchmark_leaks,
 }
 
 #: The six ASCII white-space characters end a word.
@@ -162,3 +168,25 @@ n AS (SELECT p.a AS anchor_id, p.b AS positive_id, n.b AS negative_id, p.s AS po
         CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.s DESC, n.b) AS INTEGER) AS rank
       FROM p JOIN s n ON n.a = p.a AND NOT n.same AND 80 * p.s <= 100 * n.s AND 100 * n.s <= 100 * p.s)
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5"""
+
+#: Words of ASCII letters and digits and of everything beyond ASCII.
+PLAIN_WORDS_SQL = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    r" '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+SQL["op13_decontaminate"] = rf"""
+WITH i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {PLAIN_WORDS_SQL} AS ws FROM benchmark),
+iw AS (SELECT DISTINCT item, n, array_to_string(ws[p:p + n - 1], ' ') AS k
+       FROM (SELECT item, ws, least(len(ws), 10) AS n, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS p FROM i WHERE len(ws) > 0)),
+d AS (SELECT doc_id, {PLAIN_WORDS_SQL} AS ws FROM documents),
+dw AS (SELECT doc_id, n, p, array_to_string(ws[p:p + n - 1], ' ') AS k
+       FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM iw) WHERE len(ws) >= n)),
+h AS (SELECT doc_id, n, p, item FROM dw JOIN iw USING (n, k)),
+w AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM h) GROUP BY doc_id),
+s AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+      FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+       n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN w USING (doc_id) LEFT JOIN s USING (doc_id)"""
