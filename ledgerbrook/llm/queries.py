@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerbrook.llm import ann, bpe, decontaminate, exact_dedup, html, jaccard, langid, lm, mixing, negatives, sharding, substring
+from ledgerbrook.llm import ann, bpe, decontaminate, exact_dedup, html, jaccard, langid, lm, mixing, negatives, repair, sharding, substring
 from ledgerbrook.llm.common import documents, fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,11 @@ def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0, label)
 
 
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after seeded damage."""
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")), F.col("copies"))
+
+
 def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside ten-word windows of benchmark items."""
     return decontaminate.report(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
@@ -96,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op9_kd_shards": kd_sharding,
     "op10_language_id": language_id,
     "op11_hard_negatives": hard_negatives,
+    "op12_conversation_repair": conversation_repair,
     "op13_decontaminate": benchmark_leaks,
 }
 
@@ -190,3 +196,62 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
        n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN w USING (doc_id) LEFT JOIN s USING (doc_id)"""
+
+
+def _repair_sql() -> str:
+    """The cheapest edits turn by turn: per last emitted role (z none, s, u, a) nine digits of cost and the audit."""
+    byte = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    spelt = "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')"
+    crc = (f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split({spelt}, ''), lambda x: CAST(ascii(x) AS BIGINT))),"
+           f" lambda c, b: {byte}), 4294967295)")
+
+    def on(state: str, cost: str, letter: str) -> str:
+        return f"CASE WHEN {state} = '~' THEN '~' ELSE lpad(CAST(CAST(left({state}, 9) AS INT) + {cost} AS VARCHAR), 9, '0') || substr({state}, 10) || '{letter}' END"
+
+    def if_(condition: str, state: str) -> str:
+        return f"CASE WHEN {condition} THEN {state} ELSE '~' END"
+
+    stays, late = "NOT gone", "CASE WHEN late THEN 5 ELSE 0 END"
+    keep = {r: if_(f"{stays} AND x = '{r}'", on(source, late, "K")) for r, source in (("s", "z"), ("a", "u1"))}
+    keep_u = if_(f"{stays} AND x = 'u'", f"least({on('z', late, 'K')}, {on('s', late, 'K')}, {on('a1', late, 'K')})")
+    role_u = if_(stays, f"least({', '.join(on(q, f'1 + {late}', 'R') for q in ('z', 's', 'a1'))})")
+    role_a = if_(stays, on("u1", f"1 + {late}", "R"))
+    return rf"""
+WITH RECURSIVE o AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc} % 20 AS kind FROM conversations),
+m AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM o WHERE kind <> 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, left(role, 1) AS x,
+        trim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again FROM m),
+r AS (SELECT *, body = '' AS blank, body <> '' AND again AS dup, body <> '' AND NOT again AND right(body, 1) NOT IN ('.', '!', '?') AS late,
+        body = '' OR again AS gone, lag(x) OVER (PARTITION BY conv_id ORDER BY i) || x AS pair FROM n),
+w AS (SELECT DISTINCT conv_id, 0::BIGINT AS i, '000000000' AS z, '~' AS s, '~' AS u, '~' AS a FROM o
+  UNION ALL
+  SELECT conv_id, i, {on("z", "2", "D")} AS z, least({on("s", "2", "D")}, {keep["s"]}) AS s,
+    least({on("u1", "2", "D")}, {keep_u}, {role_u}) AS u, least({on("a1", "2", "D")}, {keep["a"]}, {role_a}) AS a
+  FROM (SELECT *, least(a, {on("u1", "5", "I")}) AS a1 FROM (
+    SELECT r.conv_id, r.i, r.x, r.gone, r.late, w.z, w.s, w.a, least(w.u, {on("w.z", "5", "I")}, {on("w.s", "5", "I")}, {on("w.a", "5", "I")}) AS u1
+    FROM w JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1))),
+e AS (SELECT conv_id, least(z, a, {on("u", "5", "I")}, {on("s", "10", "II")}) AS best FROM w
+      QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+b AS (SELECT conv_id, CAST(left(best, 9) AS BIGINT) AS cost, substr(best, 10) AS audit FROM e),
+l AS (SELECT conv_id, p, substr(audit, p, 1) AS edit,
+        count(*) FILTER (substr(audit, p, 1) <> 'I') OVER (PARTITION BY conv_id ORDER BY p) AS i
+      FROM (SELECT conv_id, audit, unnest(range(1, len(audit) + 1)) AS p FROM b)),
+t AS (SELECT l.conv_id, p, edit, r.role, r.text, count(*) FILTER (edit <> 'D' AND NOT (edit = 'K' AND r.x = 's'))
+        OVER (PARTITION BY l.conv_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+      FROM l LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM l.conv_id AND r.i = l.i AND edit <> 'I'),
+y AS (SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN before % 2 = 0 THEN 'user' ELSE 'assistant' END
+        || ':' || coalesce(text, ''), chr(10) ORDER BY p) AS whole FROM t WHERE edit <> 'D' GROUP BY conv_id),
+k AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank,
+        count_if(dup) AS duplicate, count_if(late) AS truncated, count_if(pair NOT IN ('su', 'ua', 'au')) AS illegal
+      FROM r GROUP BY conv_id)
+SELECT b.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, cost, audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM b LEFT JOIN k ON k.conv_id IS NOT DISTINCT FROM b.conv_id LEFT JOIN y ON y.conv_id IS NOT DISTINCT FROM b.conv_id"""
+
+
+SQL["op12_conversation_repair"] = _repair_sql()
