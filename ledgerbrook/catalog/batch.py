@@ -119,7 +119,22 @@ def point_lookup(spark, d):
     lines = b.table(spark, d, "orders").select(
         F.concat_ws(",", F.reverse(col("o_custkey").cast("string")), "o_orderpriority").alias("value")
     )
-    return keyvalue.point_lookup(customers, keyvalue.reversed_keys(lines))
+    path = scratch_path(spark, "customers-by-bucket")
+    keyvalue.write_for_lookup(customers, "rowkey", path, buckets=8)
+    return keyvalue.stored_point_lookup(spark.read.parquet(path), keyvalue.reversed_keys(lines), buckets=8)
+
+
+@query
+def rare_point_lookup(spark, d):
+    """Customers of the largest orders, by keys that reach the stored table's scan, and by keys that are nobody's."""
+    customers = b.table(spark, d, "customer").select(
+        col("c_custkey").cast("string").alias("rowkey"), "c_name", "c_mktsegment"
+    )
+    path = scratch_path(spark, "customers-by-bucket")
+    keyvalue.write_for_lookup(customers, "rowkey", path, buckets=8)
+    asked = b.table(spark, d, "orders").where("o_totalprice > 490000").select(col("o_custkey").cast("string").alias("rowkey"))
+    absent = asked.select(F.concat(F.lit("0"), "rowkey").alias("rowkey"))
+    return keyvalue.stored_point_lookup(spark.read.parquet(path), asked.unionByName(absent), buckets=8)
 
 
 @query

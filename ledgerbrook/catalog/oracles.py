@@ -198,6 +198,13 @@ WITH found AS (
 SELECT rowkey, 'c_name' AS qualifier, c_name AS value FROM found
 UNION ALL SELECT rowkey, 'c_mktsegment', c_mktsegment FROM found
 """
+SQL["rare_point_lookup"] = """
+WITH found AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS rowkey, c_name, c_mktsegment FROM customer
+  WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 490000))
+SELECT rowkey, 'c_name' AS qualifier, c_name AS value FROM found
+UNION ALL SELECT rowkey, 'c_mktsegment', c_mktsegment FROM found
+"""
 SQL["cells_unpivot"] = """
 SELECT p_partkey, 'f' AS family, 'p_brand' AS qualifier, p_brand AS value FROM part
 UNION ALL SELECT p_partkey, 'f', 'p_type', p_type FROM part

@@ -9,6 +9,12 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerbrook.functions.records import strip_salt
 from ledgerbrook.operators.relational import semi_join_master
+from ledgerbrook.session import materialise
+
+#: Folders of a table stored for point reads; column that names them.
+BUCKETS, BUCKET = 64, "bucket"
+#: Keys that are handed to the scan as values; more are joined.
+FEW_KEYS = 1_000
 
 
 def in_key_range(key: Column, start: str | None, stop: str | None) -> Column:
@@ -111,8 +117,58 @@ def reversed_keys(lines: DataFrame, line: str = "value", key: str = "rowkey") ->
     return lines.select(F.reverse(F.split(line, ",", 2)[0]).alias(key))
 
 
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+
+
+def write_for_lookup(
+    df: DataFrame, key: str, path: str, buckets: int = BUCKETS, group_bytes: int | None = None, bucket: str = BUCKET
+) -> None:
+    """Store a table for point reads: a folder per bucket of the key's hash, files sorted by key.
+
+    Every row group carries a Bloom filter of its keys, sized by their number, beside its least and greatest key.
+    ``group_bytes`` is the size of a row group. A bucket larger than a partition should be is split over several files.
+    """
+    writer = (
+        df.withColumn(bucket, _bucket(key, buckets)).hint("rebalance", bucket).sortWithinPartitions(bucket, key)
+        .write.mode("overwrite").partitionBy(bucket)
+        .option(f"parquet.bloom.filter.enabled#{key}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+    )
+    if group_bytes:
+        writer = writer.option("parquet.block.size", group_bytes).option("parquet.page.size.row.check.min", 100)
+    writer.parquet(path)
+
+
+def rows_of_keys(
+    stored: DataFrame, keys: DataFrame, key: str = "rowkey", buckets: int = BUCKETS, few: int = FEW_KEYS, bucket: str = BUCKET
+) -> DataFrame:
+    """Rows of a table written by ``write_for_lookup`` whose key is among ``keys``.
+
+    Up to ``few`` different keys reach the scan as values: other buckets' folders are not listed, and row groups whose
+    bounds or Bloom filter rule all of them out are not read. More keys are joined, which leaves out the
+    folders that hold none of them once the keys are known. The rows are the same.
+    """
+    asked = keys.select(F.col(key).alias("_key")).dropna().distinct()
+    asked = materialise(asked.withColumn("_bucket", _bucket("_key", buckets)), "asked-keys")
+    known = asked.limit(few + 1).collect()
+    if len(known) <= few:
+        folders = sorted({r["_bucket"] for r in known})
+        return stored.where(F.col(bucket).isin(folders) & F.col(key).isin([r["_key"] for r in known])).drop(bucket)
+    # A stated test lets the planner prune folders by these keys.
+    asked = asked.where("length(cast(_key AS string)) >= 0")
+    same = (F.col(bucket) == F.col("_bucket")) & (F.col(key) == F.col("_key"))
+    return stored.join(asked, same, "left_semi").drop(bucket)
+
+
 def point_lookup(
     table: DataFrame, keys: DataFrame, key: str = "rowkey", columns: Sequence[str] | None = None
 ) -> DataFrame:
     """All cells of the rows whose key is asked for; missing keys give no row."""
     return cells(semi_join_master(table, keys, key), key, columns)
+
+
+def stored_point_lookup(
+    stored: DataFrame, keys: DataFrame, key: str = "rowkey", columns: Sequence[str] | None = None, **layout: int
+) -> DataFrame:
+    """The point lookup on a table written by ``write_for_lookup``, which is not scanned as a whole."""
+    return cells(rows_of_keys(stored, keys, key, **layout), key, columns)
