@@ -610,6 +610,14 @@ SELECT event_id, severity,
 FROM log_values
 """
 SQL["stream_count_window_avg"] = COUNT_WINDOWS.format(number="")
+SQL["stream_keyed_averages"] = f"""
+WITH {EVENT_VALUES},
+numbered AS (
+  SELECT user_id, k, (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) // 3 AS window_no
+  FROM event_values)
+SELECT user_id, CAST(sum(k) // 3 AS BIGINT) AS average FROM numbered GROUP BY user_id, window_no HAVING count(*) = 3
+"""
+SQL["stream_recovery"] = SQL["stream_sql_wordcount"]
 SQL["stream_keyed_sums"] = f"""
 WITH {EVENT_VALUES} SELECT user_id, CAST(sum(k) AS BIGINT) AS total FROM event_values GROUP BY user_id
 """

@@ -19,7 +19,7 @@ from ledgerbrook.functions import records, text
 from ledgerbrook.operators import windows
 from ledgerbrook.session import scratch_path
 from ledgerbrook.sources.streams import parquet_files, text_files, union_streams
-from ledgerbrook.streaming import batches, clickstream, processors, stateful
+from ledgerbrook.streaming import batches, clickstream, processors, totals
 
 QUERIES: dict[str, Query] = {}
 PARTS = 4
@@ -48,15 +48,22 @@ def _parts(table: DataFrame, order: Column) -> list[DataFrame]:
 
 
 def _fed(
-    spark, d, name: str, order: str, run: Callable[[DataFrame], StreamingQuery], files_per_batch: int | None = None
+    spark, d, name: str, order: str, run: Callable[[DataFrame], StreamingQuery], files_per_batch: int | None = None,
+    recover: bool = False, starts: int = PARTS,
 ) -> None:
-    """Feed a table part by part to the query that ``run`` starts on the stream of its rows."""
+    """Feed a table part by part to the query that ``run`` starts on the stream of its rows.
+
+    With fewer ``starts`` than parts several parts wait for each start.
+    """
     table = b.table(spark, d, name)
     folder = scratch_path(spark, f"feed-{name}")
     by = F.unix_micros(col(order).cast("timestamp")) if order == "ts" else col(order)
-    for part in _parts(table, by):
+    for number, part in enumerate(_parts(table, by), 1):
         part.write.mode("append").parquet(folder)
-        run(parquet_files(spark, folder, b.SCHEMAS[name], files_per_batch)).awaitTermination()
+        if number % (PARTS // starts):
+            continue
+        begin = lambda: run(parquet_files(spark, folder, b.SCHEMAS[name], files_per_batch))
+        batches.run_recovering(begin, 3 if recover else 1)
 
 
 def _stored_batches(
@@ -206,25 +213,52 @@ def stream_category_totals(spark, d):
 
     def run(stream: DataFrame) -> StreamingQuery:
         with processors.rocksdb(spark):
-            return stateful.category_totals_stream(b.event_values(stream), "event_type", "k", root)
+            return totals.category_totals_stream(b.event_values(stream), "event_type", "k", root)
 
     _fed(spark, d, "events", "ts", run)
-    stored = batches.read_batches(spark, f"{root}/out")
-    last = stored.agg(F.max("batch_id")).first()[0]
-    return stored.where(col("batch_id") == last).select("event_type", "total", "grand_total")
+    return totals.current_totals(spark, root, "event_type")
+
+
+@query
+def stream_recovery(spark, d):
+    """Word counts of a stream whose second batch fails once after it was stored, and is replayed."""
+    root = scratch_path(spark, "recovery")
+    failed: list[int] = []
+
+    def fail_once(batch_id: int) -> None:
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("stopped after the rows were stored")
+
+    def run(stream: DataFrame) -> StreamingQuery:
+        lines = _lines(stream)
+        return batches.store_batches(lines, batches.space_word_counts, f"{root}/out", f"{root}/checkpoint", after=fail_once)
+
+    _fed(spark, d, "conversations", "conv_id", run, recover=True)
+    return _added_up(batches.read_batches(spark, f"{root}/out"), "word")
+
+
+def _kept(spark, d, name: str, transform: Callable[[DataFrame], DataFrame], starts: int = 2) -> DataFrame:
+    """Rows that a transformation with keyed state emits over all parts of the events, a batch per file."""
+    root = scratch_path(spark, name)
+
+    def run(stream: DataFrame) -> StreamingQuery:
+        with processors.rocksdb(spark):
+            return batches.append_rows(transform(stream), f"{root}/out", f"{root}/checkpoint")
+
+    _fed(spark, d, "events", "ts", run, files_per_batch=1, starts=starts)
+    return spark.read.parquet(f"{root}/out")
 
 
 def _running_sum(spark, d, value: Column):
-    root = scratch_path(spark, "running-sum")
     initial = b.table(spark, d, "supplier").agg(F.count(F.lit(1)).alias("k"))
     initial = initial.select(F.lit("click").alias("event_type"), "k")
 
-    def run(stream: DataFrame) -> StreamingQuery:
-        values = b.event_values(stream).withColumn("k", value)
-        return stateful.running_sum_stream(values, "event_type", ["ts", "event_id"], "k", root, initial)
+    def sums(stream: DataFrame) -> DataFrame:
+        values = b.event_values(stream).withColumn("k", value).drop("user_id")
+        return processors.running_sums(values, "event_type", ["ts", "event_id"], "k", initial)
 
-    _fed(spark, d, "events", "ts", run)
-    return batches.read_batches(spark, f"{root}/out").select("event_id", "event_type", "k", "running_sum")
+    return _kept(spark, d, "running-sum", sums).select("event_id", "event_type", "k", "running_sum")
 
 
 @query
@@ -241,40 +275,41 @@ def stream_running_sum_nulls(spark, d):
 @query
 def stream_log_totals(spark, d):
     """Running totals per severity over log lines."""
-    root = scratch_path(spark, "log-totals")
 
-    def run(stream: DataFrame) -> StreamingQuery:
+    def sums(stream: DataFrame) -> DataFrame:
         values = b.log_lines(stream).select(
             "event_id", "ts", records.severity(col("value")).alias("severity"),
             records.severity_value(col("value")).alias("number"),
         )
-        return stateful.running_sum_stream(values, "severity", ["ts", "event_id"], "number", root)
+        return processors.running_sums(values, "severity", ["ts", "event_id"], "number")
 
-    _fed(spark, d, "events", "ts", run)
-    return batches.read_batches(spark, f"{root}/out").select("event_id", "severity", "running_sum")
+    return _kept(spark, d, "log-totals", sums).select("event_id", "severity", "running_sum")
 
 
 @query
 def stream_count_window_avg(spark, d):
-    root = scratch_path(spark, "count-window")
+    def averages(stream: DataFrame) -> DataFrame:
+        return processors.count_window_averages(b.event_values(stream), "event_type", ["ts", "event_id"], "k")
 
-    def run(stream: DataFrame) -> StreamingQuery:
-        values = b.event_values(stream)
-        return stateful.count_window_avg_stream(values, "event_type", ["ts", "event_id"], "k", root)
+    return _kept(spark, d, "count-window", averages)
 
-    _fed(spark, d, "events", "ts", run)
-    return batches.read_batches(spark, f"{root}/out").select("event_type", "average")
+
+@query
+def stream_keyed_averages(spark, d):
+    """Averages of every three values of a user; a window that waits 60 days for its next value is forgotten."""
+
+    def averages(stream: DataFrame) -> DataFrame:
+        waits = ("ts", 60 * 24 * b.HOUR)
+        return processors.count_window_averages(b.event_values(stream), "user_id", ["ts", "event_id"], "k", 3, waits, "1 day")
+
+    return _kept(spark, d, "keyed-averages", averages, starts=PARTS)
 
 
 @query
 def stream_keyed_sums(spark, d):
-    """Running sums on Spark's keyed state; the last one per user is what it keeps."""
-    root = scratch_path(spark, "keyed-sums")
+    """Running sums per user; the last one is what the state keeps."""
 
-    def run(stream: DataFrame) -> StreamingQuery:
-        with processors.rocksdb(spark):
-            sums = processors.running_sums(b.event_values(stream), "user_id", "k")
-            return batches.append_rows(sums, f"{root}/out", f"{root}/checkpoint")
+    def sums(stream: DataFrame) -> DataFrame:
+        return processors.running_sums(b.event_values(stream), "user_id", ["ts", "event_id"], "k", total="total")
 
-    _fed(spark, d, "events", "ts", run)
-    return spark.read.parquet(f"{root}/out").groupBy("user_id").agg(F.max("total").alias("total"))
+    return _kept(spark, d, "keyed-sums", sums).groupBy("user_id").agg(F.max("total").alias("total"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -26,14 +27,41 @@ def batch_path(out: str, batch_id: int) -> str:
 
 
 def store_batches(
-    stream: DataFrame, transform: Transform, out: str, checkpoint: str, interval: str | None = None
+    stream: DataFrame,
+    transform: Transform,
+    out: str,
+    checkpoint: str,
+    interval: str | None = None,
+    mode: str = "append",
+    after: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
-    """Apply a batch transformation to every micro-batch, without carry-over between batches."""
+    """Apply a batch transformation to every micro-batch, without carry-over between batches.
+
+    ``after`` is called with the batch's number once its rows are stored and before the batch counts as done.
+    """
 
     def work(df: DataFrame, batch_id: int) -> None:
         transform(df).write.mode("overwrite").parquet(batch_path(out, batch_id))
+        if after:
+            after(batch_id)
+
+    return start(stream.writeStream.outputMode(mode).foreachBatch(work), checkpoint, interval)
 
-    return start(stream.writeStream.foreachBatch(work), checkpoint, interval)
+
+def run_recovering(begin: Callable[[], StreamingQuery], attempts: int = 3) -> int:
+    """Run a query until it ends; after a failure start it again from its checkpoint. Returns the number of failures.
+
+    A failed batch is replayed as a whole, so its work has to overwrite what it left, as ``store_batches`` does.
+    The failure of the last attempt is raised.
+    """
+    for failures in range(attempts):
+        try:
+            begin().awaitTermination()
+            return failures
+        except StreamingQueryException:
+            if failures + 1 == attempts:
+                raise
+    raise ValueError("at least one attempt is needed")
 
 
 def append_rows(stream: DataFrame, out: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
@@ -56,10 +84,9 @@ def space_word_counts(df: DataFrame, text: str = "value") -> DataFrame:
 
 
 def sql_word_counts(df: DataFrame, text: str = "value") -> DataFrame:
-    """Word count as SQL over a temporary view of the batch."""
+    """Word count as SQL over the batch, which no other stream of the session sees."""
     words = df.select(F.explode(space_words(F.col(text))).alias("word"))
-    words.createOrReplaceTempView("words")
-    return df.sparkSession.sql("SELECT word, count(*) AS n FROM words GROUP BY word")
+    return df.sparkSession.sql("SELECT word, count(*) AS n FROM {words} GROUP BY word", words=words)
 
 
 def residue_counts(df: DataFrame, number: str = "value", divisor: int = 10) -> DataFrame:

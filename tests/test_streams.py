@@ -6,12 +6,13 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ledgerbrook.operators import ordered, windows
 from ledgerbrook.sources import streams
 from ledgerbrook.sources.lines import LineSource
-from ledgerbrook.streaming import batches, processors, stateful
+from ledgerbrook.streaming import batches, processors, totals
 
 
 def write_lines(folder, name, lines):
@@ -116,66 +117,114 @@ def make_rows(n=240):
     return [("hot" if rng.random() < 0.6 else f"k{rng.randrange(8)}", i, rng.randrange(-20, 50)) for i in range(n)]
 
 
-def test_running_sum_stream(spark, tmp_path, root):
+def state(spark, root, transform, folder="out"):
+    """Run a stateful query over what is there and give all rows that it has stored."""
+    with processors.rocksdb(spark):
+        batches.append_rows(transform, f"{root}/{folder}", f"{root}/cp").awaitTermination()
+    return spark.read.parquet(f"{root}/{folder}")
+
+
+def test_running_sums_over_batches(spark, tmp_path, root):
+    """Sums go on across batches, start from the initial state, and follow the order of each batch's frame."""
     rows = make_rows()
-    stream = keyed_files(spark, str(tmp_path / "in"), rows, 4)
-    seeds = spark.createDataFrame([("hot", 100), ("never", 1)], "key string, value bigint")
-    stateful.running_sum_stream(
-        stream, "key", ["seq"], "value", root, seeds, blocks=5
-    ).awaitTermination()
-    out = batches.read_batches(spark, f"{root}/out")
-    assert out.select("batch_id").distinct().count() == 4
+    shuffled = [r for i in range(4) for r in random.Random(i).sample(rows[60 * i:60 * i + 60], 60)]
+    stream = keyed_files(spark, str(tmp_path / "in"), shuffled, 4)
+    seeds = spark.createDataFrame([("hot", 100), ("hot", 1), ("never", 1)], "key string, value bigint")
+    out = state(spark, root, processors.running_sums(stream, "key", ["seq"], "value", seeds))
     whole = spark.createDataFrame(rows, "key string, seq int, value bigint")
-    twin = ordered.running_sum(whole, "key", ["seq"], "value", initial=seeds)
-    assert rows_of(out, "key", "seq", "running_sum") == rows_of(twin, "key", "seq", "running_sum")
+    twin = ordered.running_sum(whole, "key", ["seq"], "value", initial=seeds.groupBy("key").agg(F.sum("value").alias("value")))
+    assert rows_of(out, "key", "seq", "value", "running_sum") == rows_of(twin, "key", "seq", "value", "running_sum")
 
 
-def test_running_sum_stream_replays_a_batch(spark, tmp_path, root):
+def test_running_sums_of_null_keys_nulls_and_large_values(spark, tmp_path, root):
+    rows = [(None, 0, 1 << 60), (None, 1, None), ("a", 2, (1 << 53) + 1), ("a", 3, None), ("a", 4, 1), (None, 5, 5)]
+    stream = keyed_files(spark, str(tmp_path / "in"), rows, 2)
+    got = {r["seq"]: (r["key"], r["value"], r["running_sum"]) for r in state(spark, root, processors.running_sums(stream, "key", ["seq"], "value")).collect()}
+    big, odd = 1 << 60, (1 << 53) + 1
+    assert got == {0: (None, big, big), 1: (None, None, big), 2: ("a", odd, odd), 3: ("a", None, odd), 4: ("a", 1, odd + 1), 5: (None, 5, big + 5)}
+
+
+def test_state_is_spark_s_own_and_a_replayed_batch_starts_from_it(spark, tmp_path, root):
+    """The state folder holds changelogs of changed keys; a batch whose commit was lost gives the same rows."""
     rows = make_rows(120)
     stream = keyed_files(spark, str(tmp_path / "in"), rows, 3)
-    run = lambda: stateful.running_sum_stream(stream, "key", ["seq"], "value", root).awaitTermination()
-    run()
-    before = rows_of(batches.read_batches(spark, f"{root}/out"), "key", "seq", "running_sum")
-    for f in (tmp_path / "root" / "checkpoint" / "commits").glob("*2*"):
+    transform = processors.running_sums(stream, "key", ["seq"], "value")
+    before = rows_of(state(spark, root, transform))
+    assert list((tmp_path / "root" / "cp" / "state").rglob("*.changelog"))
+    for f in (tmp_path / "root" / "cp" / "commits").glob("*2*"):
         f.unlink()
-    run()
-    assert rows_of(batches.read_batches(spark, f"{root}/out"), "key", "seq", "running_sum") == before
+    after = state(spark, root, transform)
+    # The file sink knows that batch 2 was written and keeps its rows once.
+    assert rows_of(after) == before
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != processors.ROCKSDB["spark.sql.streaming.stateStore.providerClass"]
 
 
-@pytest.mark.parametrize("size", [2, 3])
-def test_count_window_stream(spark, tmp_path, root, size):
-    rows = make_rows(150)
+@pytest.mark.parametrize("size", [1, 2, 3])
+def test_count_windows_over_batches(spark, tmp_path, root, size):
+    rows = [(k, i, v if i % 7 else None) for k, i, v in make_rows(150)]
     stream = keyed_files(spark, str(tmp_path / "in"), rows, 4)
-    stateful.count_window_avg_stream(stream, "key", ["seq"], "value", root, size, blocks=4).awaitTermination()
-    whole = spark.createDataFrame(rows, "key string, seq int, value bigint")
+    out = state(spark, root, processors.count_window_averages(stream, "key", ["seq"], "value", size))
+    whole = spark.createDataFrame([(k, i, v or 0) for k, i, v in rows], "key string, seq int, value bigint")
     twin = ordered.count_window_avg(whole, "key", ["seq"], "value", size)
-    assert rows_of(batches.read_batches(spark, f"{root}/out"), "key", "average") == rows_of(twin, "key", "average")
+    assert rows_of(out, "key", "average") == rows_of(twin, "key", "average")
 
 
-def test_category_totals_stream(spark, tmp_path, root):
-    rows = make_rows(90)
-    stream = keyed_files(spark, str(tmp_path / "in"), rows, 3)
-    stateful.category_totals_stream(stream, "key", "value", root).awaitTermination()
-    last = batches.read_batches(spark, f"{root}/out").where("batch_id = 2").collect()
-    totals = Counter()
+def test_open_count_windows_are_forgotten(spark, tmp_path, root):
+    """A window of two values that waits longer than its time to live starts anew; a filled one is cleared."""
+    folder = str(tmp_path / "in")
+    schema = "key string, seq int, s bigint, value bigint"
+    def feed(name, *rows):
+        spark.createDataFrame([(k, i, s, v) for i, (k, s, v) in enumerate(rows)], schema).coalesce(1).write.parquet(f"{folder}/{name}")
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/*").withColumn("ts", F.timestamp_seconds(F.col("s") + 1000))
+        averages = processors.count_window_averages(stream, "key", ["seq"], "value", 2, ("ts", 100))
+        return rows_of(state(spark, root, averages))
+    assert feed(0, ("k", 0, 10), ("k", 10, 20), ("k", 20, 30), ("x", 20, 7)) == [("k", 15)]
+    assert feed(1, ("x", 100, 9)) == [("k", 15), ("x", 8)]  # in time
+    assert feed(2, ("y", 130, 1)) == [("k", 15), ("x", 8)]  # the watermark passes k's 30
+    assert feed(3, ("k", 140, 50)) == [("k", 15), ("x", 8)]
+    assert feed(4, ("k", 150, 70)) == [("k", 15), ("k", 60), ("x", 8)]
+
+
+def test_category_totals_write_what_changes(spark, tmp_path, root):
+    """A batch of ten rows over many categories writes at most ten totals and the grand total."""
+    rows = [(f"k{i % 400:03d}", i, i) for i in range(1200)]
+    rows += [(f"k{i % 3:03d}" if i % 5 else None, i, 10) for i in range(10)]
+    stream = keyed_files(spark, str(tmp_path / "in"), rows[:1200], 1)
+    with processors.rocksdb(spark):
+        totals.category_totals_stream(stream, "key", "value", root).awaitTermination()
+        spark.createDataFrame(rows[1200:], "key string, seq int, value bigint").coalesce(1).write.parquet(f"{tmp_path}/in/01")
+        totals.category_totals_stream(stream, "key", "value", root).awaitTermination()
+    changes = batches.read_batches(spark, f"{root}/changes")
+    assert changes.where("batch_id = 0").count() == 401 and changes.where("batch_id = 1").count() == 5
+    got = totals.current_totals(spark, root, "key").collect()
+    expected = Counter()
     for key, _, value in rows:
-        totals[key] += value
-    assert {r.key: r.total for r in last} == dict(totals)
-    assert {r.grand_total for r in last} == {sum(totals.values())}
+        expected[key] += value
+    assert {r.key: r.total for r in got} == dict(expected)
+    assert {r.grand_total for r in got} == {sum(expected.values())}
 
 
-def test_state_is_written_for_changed_keys_only(spark, tmp_path, root, monkeypatch):
-    """Ten rows over 100,000 keys write ten states, also past a compaction, and nothing is forgotten."""
-    monkeypatch.setattr(stateful, "COMPACT", 2)
-    seeds = spark.range(100_000).select(F.format_string("k%05d", "id").alias("key"), F.lit(5).cast("bigint").alias("value"))
-    rows = [(f"k{(i * 7919) % 100_000:05d}" if i % 10 else "k00001", i, i) for i in range(50)]
-    stream = keyed_files(spark, str(tmp_path / "in"), rows, 5)
-    stateful.running_sum_stream(stream, "key", ["seq"], "value", root, seeds).awaitTermination()
-    for n in range(5):
-        assert spark.read.parquet(f"{root}/state/after={n}").count() <= 10
-    assert spark.read.parquet(f"{root}/base/after=3").count() == 100_000
-    twin = ordered.running_sum(spark.createDataFrame(rows, "key string, seq int, value bigint"), "key", ["seq"], "value", initial=seeds)
-    assert rows_of(batches.read_batches(spark, f"{root}/out"), "key", "seq", "running_sum") == rows_of(twin, "key", "seq", "running_sum")
+def test_a_failed_batch_is_replayed(spark, tmp_path, root):
+    """The batch fails after its write: started again, it overwrites its rows, and the stream goes on."""
+    folder = tmp_path / "in"
+    failures = []
+    def fail_once(batch_id):
+        if not failures:
+            failures.append(batch_id)
+            raise RuntimeError("after the write")
+    def begin():
+        return batches.store_batches(
+            streams.text_files(spark, str(folder)), batches.space_word_counts, f"{root}/out", f"{root}/cp", after=fail_once
+        )
+    write_lines(folder, "1.txt", ["a b a"])
+    assert batches.run_recovering(begin) == 1 and failures == [0]
+    write_lines(folder, "2.txt", ["a"])
+    assert batches.run_recovering(begin) == 0
+    assert per_batch(batches.read_batches(spark, f"{root}/out"), "word", "n") == {0: [("a", 2), ("b", 1)], 1: [("a", 1)]}
+    failures.clear()
+    write_lines(folder, "3.txt", ["c"])
+    with pytest.raises(StreamingQueryException):
+        batches.run_recovering(begin, attempts=1)
 
 
 def test_watermark_drops_late_rows(spark, tmp_path, root):
@@ -227,25 +276,3 @@ def test_line_source_follows_growing_files(spark, tmp_path, root):
     run()
     both = Counter(r.value for r in batches.read_batches(spark, f"{root}/out").collect())
     assert both == Counter(["one", "", "drei ü", "unfinished", "last", "b1"])
-
-
-def test_running_sum_processor(spark, tmp_path, root):
-    processors.use_rocksdb(spark)
-    folder = tmp_path / "in"
-    write_lines(folder, "1.txt", ["hello", "hello", "x", "hello"])
-    words = streams.text_files(spark, str(folder)).select(F.col("value").alias("word"), F.lit(1).cast("bigint").alias("n"))
-    seeds = spark.createDataFrame([("hello", 1), ("world", 1)], "word string, n bigint")
-    sums = processors.running_sums(words, "word", "n", seeds)
-    batches.append_rows(sums, f"{root}/out", f"{root}/cp").awaitTermination()
-    assert rows_of(spark.read.parquet(f"{root}/out")) == [("hello", 2), ("hello", 3), ("hello", 4), ("x", 1)]
-
-
-def test_count_window_processor(spark, tmp_path, root):
-    processors.use_rocksdb(spark)
-    folder = str(tmp_path / "in")
-    for i, part in enumerate([[3, 5, 7], [4, 2, 3, 9]]):
-        spark.createDataFrame([(1, v) for v in part], "key bigint, value bigint").coalesce(1).write.parquet(f"{folder}/{i}")
-    stream = spark.readStream.schema("key bigint, value bigint").option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
-    averages = processors.count_window_averages(stream, "key", "value")
-    batches.append_rows(averages, f"{root}/out", f"{root}/cp").awaitTermination()
-    assert rows_of(spark.read.parquet(f"{root}/out")) == [(1, 2), (1, 4), (1, 5)]
