@@ -573,6 +573,7 @@ SQL["stream_sql_wordcount"] = f"""
 WITH {SPACE_WORDS.format(table="conversations")} SELECT word, count(*) AS n FROM words GROUP BY word
 """
 SQL["stream_text_files"] = SQL["stream_sql_wordcount"]
+SQL["stream_followed_lines"] = SQL["stream_sql_wordcount"]
 SQL["stream_mod_count"] = "SELECT CAST(l_orderkey % 10 AS INTEGER) AS residue, count(*) AS n FROM lineitem GROUP BY ALL"
 SQL["stream_union_grep"] = """
 SELECT count(*) AS n FROM (
@@ -595,6 +596,11 @@ SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, event_type, n
 SQL["stream_sliding_counts"] = SLIDING_COUNTS
 SQL["stream_error_rate"] = SQL["error_rate"]
 SQL["stream_active_users"] = ACTIVE_USERS
+SQL["stream_late_rows"] = """
+WITH seen AS (SELECT max(ts) - INTERVAL 1 HOUR AS watermark FROM events WHERE event_id % 2 = 0),
+tagged AS (SELECT event_type, event_id % 2 = 1 AND date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 DAY <= watermark AS late FROM events, seen)
+SELECT event_type, count(*) FILTER (NOT late) AS n_on_time, count(*) FILTER (late) AS n_late FROM tagged GROUP BY event_type
+"""
 SQL["stream_static_join"] = f"""
 WITH {VIEWS} SELECT event_id, user_id, c_name AS user_name FROM views JOIN customer ON c_custkey = user_id
 """

@@ -17,9 +17,10 @@ from ledgerbrook.catalog import batch, bindings as b
 from ledgerbrook.catalog.batch import Query
 from ledgerbrook.functions import records, text
 from ledgerbrook.operators import windows
-from ledgerbrook.session import scratch_path
+from ledgerbrook.session import importable, scratch_path
+from ledgerbrook.sources.lines import LineSource, append_lines
 from ledgerbrook.sources.streams import parquet_files, text_files, union_streams
-from ledgerbrook.streaming import batches, clickstream, processors, totals
+from ledgerbrook.streaming import batches, clickstream, event_time, processors, totals
 
 QUERIES: dict[str, Query] = {}
 PARTS = 4
@@ -120,6 +121,19 @@ def stream_text_files(spark, d):
     return _added_up(batches.read_batches(spark, f"{root}/out"), "word")
 
 
+@query
+def stream_followed_lines(spark, d):
+    """Lines appended to a few files part by part."""
+    importable(spark)
+    spark.dataSource.register(LineSource)
+    root = scratch_path(spark, "followed-lines")
+    for part in _parts(b.table(spark, d, "conversations"), col("conv_id")):
+        append_lines(_lines(part), f"{root}/in", PARTS - 1)
+        stream = spark.readStream.format("followed_lines").option("rangeBytes", 1 << 20).load(f"{root}/in")
+        batches.store_batches(stream, batches.space_word_counts, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return _added_up(batches.read_batches(spark, f"{root}/out"), "word")
+
+
 @query
 def stream_union_grep(spark, d):
     """Three tables as one stream."""
@@ -158,36 +172,72 @@ def _views(df: DataFrame) -> DataFrame:
     return clickstream.page_views(b.event_page_views(df))
 
 
-def _panes(spark, d, transform: batches.Transform, shape=_views) -> DataFrame:
-    """Partial sums of the panes, one set per batch; they add up to whole windows when read."""
-    return _stored_batches(spark, d, "events", "ts", transform, shape).drop("batch_id")
+def _finished(spark, d, made: event_time.EventTimeWindows, shape=_views) -> DataFrame:
+    """The windows of the fed events, all of them finished, with times as the tables have them."""
+    table = b.table(spark, d, "events")
+    folder = scratch_path(spark, "feed-events")
+    for number, part in enumerate(_parts(table, F.unix_micros(col("ts").cast("timestamp"))), 1):
+        part.write.mode("append").parquet(folder)
+        if number % 2 == 0:
+            made.run(shape(parquet_files(spark, folder, b.SCHEMAS["events"], files_per_batch=1)))
+    made.end(spark)
+    bounds = {c: col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
+    return made.finished(spark).withColumns(bounds)
+
+
+def _summed(spark, name: str, length: int, slide: int, key: str, kind: str, sums: dict[str, Column]):
+    """Windows of sums per key, an hour being late."""
+    schema = ", ".join([f"pane timestamp_ntz, {key} {kind}", *(f"{s} bigint" for s in sums)])
+    return event_time.EventTimeWindows(
+        scratch_path(spark, name), "ts", length, slide, b.HOUR,
+        lambda df: windows.pane_sums(df, "ts", length, slide, [key], sums), schema,
+        lambda panes: windows.from_panes(panes, length, slide, [key], [*sums]),
+    )
 
 
 @query
 def stream_tumbling_count(spark, d):
     sums = {"n": F.lit(1).cast("bigint")}
-    panes = _panes(spark, d, lambda df: windows.pane_sums(df, "ts", 24 * b.HOUR, None, ["event_type"], sums), lambda df: df)
-    return windows.from_panes(panes, 24 * b.HOUR, None, ["event_type"], ["n"])
+    made = _summed(spark, "tumbling", 24 * b.HOUR, 24 * b.HOUR, "event_type", "string", sums)
+    return _finished(spark, d, made, lambda df: df)
 
 
 @query
 def stream_sliding_counts(spark, d):
-    sums = {"n": F.lit(1).cast("bigint")}
-    panes = _panes(spark, d, lambda df: windows.pane_sums(df, "ts", 10 * b.HOUR, 2 * b.HOUR, ["url"], sums))
-    return windows.from_panes(panes, 10 * b.HOUR, 2 * b.HOUR, ["url"], ["n"])
+    return _finished(spark, d, _summed(spark, "sliding", 10 * b.HOUR, 2 * b.HOUR, "url", "string", {"n": F.lit(1).cast("bigint")}))
 
 
 @query
 def stream_error_rate(spark, d):
-    sums = windows.status_sums("status")
-    panes = _panes(spark, d, lambda df: windows.pane_sums(df, "ts", 30 * b.HOUR, 2 * b.HOUR, ["zip_code"], sums))
-    return windows.labelled_rates(windows.from_panes(panes, 30 * b.HOUR, 2 * b.HOUR, ["zip_code"], [*sums]), "zip_code")
+    made = _summed(spark, "error-rate", 30 * b.HOUR, 2 * b.HOUR, "zip_code", "int", windows.status_sums("status"))
+    return windows.labelled_rates(_finished(spark, d, made), "zip_code")
 
 
 @query
 def stream_active_users(spark, d):
-    panes = _panes(spark, d, lambda df: windows.user_panes(df, "ts", 15 * b.HOUR, 2 * b.HOUR, "user_id"))
-    return windows.active_from_panes(panes, 15 * b.HOUR, 2 * b.HOUR, "user_id")
+    length, slide = 15 * b.HOUR, 2 * b.HOUR
+    made = event_time.EventTimeWindows(
+        scratch_path(spark, "active-users"), "ts", length, slide, b.HOUR,
+        lambda df: windows.user_panes(df, "ts", length, slide, "user_id"), "pane timestamp_ntz, user_id bigint",
+        lambda panes: windows.active_from_panes(panes, length, slide, "user_id"),
+    )
+    return _finished(spark, d, made)
+
+
+@query
+def stream_late_rows(spark, d):
+    """Events of which the odd ones arrive after all even ones: how many were on time, and how many late, per type."""
+    sums = {"n": F.lit(1).cast("bigint")}
+    made = _summed(spark, "late", 24 * b.HOUR, 24 * b.HOUR, "event_type", "string", sums)
+    table, folder = b.table(spark, d, "events"), scratch_path(spark, "feed-late")
+    for turn in range(2):
+        # First the even events, then the odd ones: all but the last of these come after their panes.
+        table.where(col("event_id") % 2 == turn).coalesce(1).write.mode("append").parquet(folder)
+        made.run(parquet_files(spark, folder, b.SCHEMAS["events"]))
+    made.end(spark)
+    late = made.late(spark).groupBy("event_type").agg(F.count(F.lit(1)).alias("n_late"))
+    on_time = made.finished(spark).groupBy("event_type").agg(F.sum("n").alias("n_on_time"))
+    return on_time.join(late, "event_type", "full").na.fill(0, ["n_on_time", "n_late"])
 
 
 @query
@@ -200,10 +250,10 @@ def stream_static_join(spark, d):
 
 @query
 def stream_popular_users(spark, d):
-    """The first known users of every batch; batches follow in time, so the first one has the first of all."""
+    """The first known users of every batch, and of these the first of all."""
     users = batch.named_users(spark, d)
-    stored = _stored_batches(spark, d, "events", "ts", lambda df: clickstream.popular_users_seen(df, users), _views)
-    return stored.where("batch_id = 0").select("user_name")
+    stored = _stored_batches(spark, d, "events", "ts", lambda df: clickstream.first_users_seen(df, users), _views)
+    return clickstream.first_users(stored).select("user_name")
 
 
 @query
@@ -240,6 +290,7 @@ def stream_recovery(spark, d):
 
 def _kept(spark, d, name: str, transform: Callable[[DataFrame], DataFrame], starts: int = 2) -> DataFrame:
     """Rows that a transformation with keyed state emits over all parts of the events, a batch per file."""
+    importable(spark)
     root = scratch_path(spark, name)
 
     def run(stream: DataFrame) -> StreamingQuery:

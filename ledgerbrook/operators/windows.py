@@ -59,9 +59,13 @@ def pane_sums(
 def from_panes(
     panes: DataFrame, length: int, slide: int | None, keys: Sequence[str], sums: Sequence[str]
 ) -> DataFrame:
-    """Sums per window and key of stored pane sums. A window covers whole panes, so their starts tell."""
-    whole = panes.groupBy("pane", *keys).agg(*[F.sum(name).alias(name) for name in sums])
-    windows = whole.groupBy(F.window("pane", _seconds(length), _seconds(slide or length)), *keys).agg(
+    """Sums per window and key of stored pane sums. A window covers whole panes, so their starts tell.
+
+    A stream of them has to be watermarked on ``pane``; it keeps state of open windows only.
+    """
+    if not panes.isStreaming:
+        panes = panes.groupBy("pane", *keys).agg(*[F.sum(name).alias(name) for name in sums])
+    windows = panes.groupBy(F.window("pane", _seconds(length), _seconds(slide or length)), *keys).agg(
         *[F.sum(name).alias(name) for name in sums]
     )
     return windows.select(*_window_bounds(), *keys, *sums)
@@ -138,7 +142,13 @@ def user_panes(df: DataFrame, ts: str, length: int, slide: int, user: str) -> Da
 
 
 def active_from_panes(panes: DataFrame, length: int, slide: int, user: str) -> DataFrame:
-    """Distinct users per sliding window of stored panes; users' rows are not copied for another shuffle."""
+    """Distinct users per sliding window of stored panes; users' rows are not copied for another shuffle.
+
+    A stream has no order to look back in, and makes users distinct per window.
+    """
+    if panes.isStreaming:
+        covering = F.window("pane", _seconds(length), _seconds(slide)).alias("window")
+        return _active(panes.groupBy(covering, user).agg(F.count(F.lit(1)).alias("_seen")), user)
     before = F.lag("pane").over(Window.partitionBy(user).orderBy("pane"))
     users = (
         panes.select("pane", user).distinct().withColumn("_before", before)

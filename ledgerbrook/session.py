@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +27,14 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, name: str = "le
     )
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it; a cluster has it installed or as ``--py-files``."""
+    root = str(Path(__file__).resolve().parents[1])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{known}:{root}" if known else root
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 

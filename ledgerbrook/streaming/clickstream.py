@@ -51,9 +51,19 @@ def users_seen(views: DataFrame, users: DataFrame) -> DataFrame:
     return views.join(users.select("user_id", "user_name"), "user_id", "inner")
 
 
+def first_users(seen: DataFrame, n: int = 10) -> DataFrame:
+    """The first ``n`` views of known users in time order."""
+    return seen.orderBy("ts", "user_id").limit(n)
+
+
+def first_users_seen(views: DataFrame, users: DataFrame, n: int = 10) -> DataFrame:
+    """``ts, user_id, user_name`` of the first ``n`` known users of a batch; of several batches' the first ``n`` are those of all."""
+    return first_users(users_seen(views, users), n).select("ts", "user_id", "user_name")
+
+
 def popular_users_seen(views: DataFrame, users: DataFrame, n: int = 10) -> DataFrame:
-    """The first ``n`` known users of a batch in time order, for use per batch."""
-    return users_seen(views, users).orderBy("ts", "user_id").limit(n).select("user_name")
+    """The names of the first ``n`` known users of a batch in time order."""
+    return first_users_seen(views, users, n).select("user_name")
 
 
 METRICS: dict[str, Callable[..., DataFrame]] = {

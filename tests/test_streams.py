@@ -10,14 +10,14 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ledgerbrook.operators import ordered, windows
-from ledgerbrook.sources import streams
-from ledgerbrook.sources.lines import LineSource
+from ledgerbrook.sources import lines, streams
 from ledgerbrook.streaming import batches, processors, totals
+from ledgerbrook.streaming.event_time import EventTimeWindows
 
 
-def write_lines(folder, name, lines):
+def write_lines(folder, name, values):
     folder.mkdir(exist_ok=True)
-    (folder / name).write_text("".join(f"{x}\n" for x in lines), encoding="utf-8")
+    (folder / name).write_bytes("".join(f"{x}\n" for x in values).encode())
 
 
 def rows_of(df, *columns):
@@ -240,6 +240,57 @@ def test_watermark_drops_late_rows(spark, tmp_path, root):
     assert got == [(0.0, 2), (10.0, 2), (30.0, 1), (40.0, 1)]
 
 
+def counted(spark, root, length, slide, delay):
+    sums = {"n": F.lit(1).cast("bigint")}
+    return EventTimeWindows(
+        root, "ts", length, slide, delay, lambda df: windows.pane_sums(df, "ts", length, slide, ["v"], sums), "pane timestamp, v string, n bigint",
+        lambda panes: windows.from_panes(panes, length, slide, ["v"], ["n"]),
+    )
+
+
+def minutes(spark, folder, *batch):
+    for number, part in enumerate(batch):
+        rows = spark.createDataFrame([(m, "x") for m in part], "m int, v string").coalesce(1)
+        rows.select(F.timestamp_seconds(F.col("m") * 60 + 600_000_000).alias("ts"), "v").write.parquet(f"{folder}/{number}")
+    return spark.readStream.schema("ts timestamp, v string").option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
+
+
+def test_windows_end_and_late_rows_are_kept_apart(spark, tmp_path, root):
+    parts = [[0, 1, 12], [11, 30], [45], [2, 90, None, 41], [55, 80, 200]]
+    made = counted(spark, root, 600, 600, 300)
+    made.run(minutes(spark, str(tmp_path / "in"), *parts))
+    open_ones = made.finished(spark).agg(F.sum("n")).first()[0]
+    made.end(spark)
+    start = ((F.unix_timestamp("window_start") - 600_000_000) / 60).cast("int")
+    # Batch 3 has a watermark of 40, batch 4 one of 85, which the pane of 80 outlasts.
+    assert rows_of(made.finished(spark).select(start, "n")) == [(0, 2), (10, 2), (30, 1), (40, 2), (80, 1), (90, 1), (200, 1)]
+    late = made.late(spark).select("batch_id", ((F.unix_timestamp("ts") - 600_000_000) / 60).cast("int").alias("m")).collect()
+    assert sorted((r.batch_id, r.m is None, r.m or 0) for r in late) == [(3, False, 2), (3, True, 0), (4, False, 55)]
+    assert open_ones < 10 == made.finished(spark).agg(F.sum("n")).first()[0]
+    made.end(spark)
+    assert made.finished(spark).agg(F.sum("n")).first()[0] == 10
+
+
+def test_sliding_windows_of_a_stream_and_its_bounded_panes(spark, tmp_path, root):
+    """Over many batches the windows equal those of the table; what is stored of panes and state stays small."""
+    draws = random.Random(1)
+    parts = [[60 * i + draws.randrange(60) for _ in range(40)] for i in range(9)]
+    made = counted(spark, root, 3600, 1200, 3600)
+    stream = minutes(spark, str(tmp_path / "in"), *parts[:6])
+    made.run(stream)
+    kept = []
+    for number, part in enumerate(parts[6:], 6):
+        rows = spark.createDataFrame([(m, "x") for m in part], "m int, v string").coalesce(1)
+        rows.select(F.timestamp_seconds(F.col("m") * 60 + 600_000_000).alias("ts"), "v").write.parquet(f"{tmp_path}/in/{number}")
+        made.run(stream)
+        kept.append(len(list((tmp_path / "root" / "panes").rglob("*.parquet"))))
+    made.end(spark)
+    whole = spark.createDataFrame([(m, "x") for p in parts for m in p], "m int, v string")
+    whole = whole.select(F.timestamp_seconds(F.col("m") * 60 + 600_000_000).alias("ts"), "v")
+    assert rows_of(made.finished(spark)) == rows_of(windows.sliding_counts(whole, "ts", 3600, 1200, "v"))
+    assert made.late(spark).count() == 0 and max(kept[1:]) <= 4
+
+
 def test_recovery_after_stop(spark, tmp_path, root):
     folder = tmp_path / "in"
     write_lines(folder, "1.txt", ["a", "b"])
@@ -257,22 +308,56 @@ def test_recovery_after_stop(spark, tmp_path, root):
     assert rows_of(spark.read.parquet(f"{root}/out")) == [("a",), ("b",), ("c",)]
 
 
+def followed(spark, folder, root, **options):
+    stream = spark.readStream.format("followed_lines").options(**options).load(str(folder))
+    batches.store_batches(stream, lambda df: df, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return Counter(r.value for r in batches.read_batches(spark, f"{root}/out").collect())
+
+
 def test_line_source_follows_growing_files(spark, tmp_path, root):
-    spark.dataSource.register(LineSource)
+    spark.dataSource.register(lines.LineSource)
     folder = tmp_path / "in"
     write_lines(folder, "a.log", ["one", "", "drei ü"])
     with open(folder / "a.log", "a", encoding="utf-8") as f:
         f.write("unfin")
-    def run():
-        # Ranges of 4 bytes cut every line somewhere.
-        stream = spark.readStream.format("followed_lines").option("rangeBytes", 4).load(str(folder))
-        batches.store_batches(stream, lambda df: df, f"{root}/out", f"{root}/cp").awaitTermination()
-    run()
-    first = Counter(r.value for r in batches.read_batches(spark, f"{root}/out").collect())
-    assert first == Counter(["one", "", "drei ü"])
+    # Ranges of 4 bytes cut every line somewhere.
+    assert followed(spark, folder, root, rangeBytes=4) == Counter(["one", "", "drei ü"])
     with open(folder / "a.log", "a", encoding="utf-8") as f:
         f.write("ished\nlast\n")
     write_lines(folder, "b.log", ["b1"])
-    run()
-    both = Counter(r.value for r in batches.read_batches(spark, f"{root}/out").collect())
-    assert both == Counter(["one", "", "drei ü", "unfinished", "last", "b1"])
+    assert followed(spark, folder, root, rangeBytes=4) == Counter(["one", "", "drei ü", "unfinished", "last", "b1"])
+
+
+def test_line_source_opens_files_that_grew(tmp_path, monkeypatch):
+    """The driver opens none; a batch has ranges of changed files only, each of which opens its own file once."""
+    opened = []
+    real = lines.opened
+    monkeypatch.setattr(lines, "opened", lambda fs, path: opened.append(path.rpartition("/")[2]) or real(fs, path))
+    for i in range(50):
+        write_lines(tmp_path / "in", f"{i:02d}.log", [f"line {k} of {i}" for k in range(20)])
+    reader = lines.LineSource({"path": str(tmp_path / "in"), "rangeBytes": "100"}).streamReader(None)
+    first = reader.latestOffset()
+    assert len(reader.partitions(reader.initialOffset(), first)) >= 50 and opened == []
+    with open(tmp_path / "in" / "07.log", "a", encoding="utf-8") as f:
+        f.write("more\nand ")
+    second = reader.latestOffset()
+    ranges = reader.partitions(first, second)
+    assert opened == [] and [r.path.rpartition("/")[2] for r in ranges] == ["07.log"]
+    assert [v for r in ranges for batch in reader.read(r) for v in batch["value"].to_pylist()] == ["more"] and opened == ["07.log"]
+    with open(tmp_path / "in" / "07.log", "a", encoding="utf-8") as f:
+        f.write("more\n")
+    third = reader.latestOffset()
+    assert [v for r in reader.partitions(second, third) for batch in reader.read(r) for v in batch["value"].to_pylist()] == ["and more"]
+    assert reader.partitions(third, reader.latestOffset()) == []
+    write_lines(tmp_path / "in", "07.log", ["new"])  # a file that was replaced begins anew
+    assert [v for r in reader.partitions(third, reader.latestOffset()) for batch in reader.read(r) for v in batch["value"].to_pylist()] == ["new"]
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 64, 10_000])
+def test_byte_ranges_give_every_line_once(tmp_path, monkeypatch, size):
+    monkeypatch.setattr(lines, "BLOCK_BYTES", 5)
+    text = ["", "a", "ü" * 40, "x\ry", "", "日本語 text", "last"]
+    write_lines(tmp_path / "in", "f", text)
+    reader = lines.LineSource({"path": str(tmp_path / "in"), "rangeBytes": str(size)}).streamReader(None)
+    ranges = reader.partitions(reader.initialOffset(), reader.latestOffset())
+    assert [v for r in ranges for batch in reader.read(r) for v in batch["value"].to_pylist()] == text
