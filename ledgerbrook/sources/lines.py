@@ -83,7 +83,7 @@ class LineStreamReader(DataSourceStreamReader):
                 cut = block.rfind(b"\n")
                 if cut >= 0:
                     if carried is None:
-                        carried = _line_head(f, partition.start)
+                        carried = _line_head(f, position)
                     yield _lines(b"".join([*carried, block[:cut]]))
                     carried = [block[cut + 1 :]]
                 elif carried is not None:
