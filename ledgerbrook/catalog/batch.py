@@ -51,15 +51,15 @@ def partition_day_scan(spark, d):
 
 @query
 def table_overwrite(spark, d):
-    """A table of events by day, overwritten by its later form and read back whole."""
+    """A table of events by day, one day of which is overwritten by its later form; all days are read back."""
     path = scratch_path(spark, "events-by-day")
     name = path.rpartition("/")[2].replace("-", "_")
     events = b.table(spark, d, "events").select(
         "event_id", "event_type", F.date_format("ts", "yyyyMMdd").alias("ptt_day")
     )
     tables.write_table(events, name, partition_by=["ptt_day"], path=path)
-    named = events.withColumn("event_type", F.upper("event_type"))
-    tables.write_table(named, name, partition_by=["ptt_day"], path=path)
+    later = tables.partition_day(events, b.DAY).withColumn("event_type", F.upper("event_type"))
+    tables.overwrite_days(later, name)
     return spark.table(name).select("event_id", "event_type", "ptt_day")
 
 

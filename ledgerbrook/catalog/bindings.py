@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerbrook.functions.records import page_view_line
 from ledgerbrook.functions.text import first_number
+from ledgerbrook.session import materialise
 
 DAY = "20240105"
 NOW = 1704412800
@@ -150,6 +151,8 @@ def company_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         count_if("o_totalprice > 450000", "finance_total"),
         F.count(F.lit(1)).cast("string").alias("website_total"),
     )
+    # Three inputs are made of it, so it is computed once.
+    per_customer = materialise(per_customer, "per-customer")
     keyed = per_customer.select(
         company("o_custkey").alias("company_name"), code("o_custkey").alias("honor_code"), "*"
     )

@@ -171,7 +171,8 @@ SELECT event_id, strftime(ts, '%Y%m%d') AS ptt_day, user_id FROM events
 WHERE strftime(ts, '%Y%m%d') = '20240105' AND event_type = 'click'
 """
 SQL["table_overwrite"] = """
-SELECT event_id, upper(event_type) AS event_type, strftime(ts, '%Y%m%d') AS ptt_day FROM events
+SELECT event_id, CASE WHEN strftime(ts, '%Y%m%d') = '20240105' THEN upper(event_type) ELSE event_type END AS event_type,
+       strftime(ts, '%Y%m%d') AS ptt_day FROM events
 """
 SQL["dictionary_load"] = """
 WITH brands AS (SELECT DISTINCT p_type, p_brand FROM part)

@@ -6,12 +6,12 @@ measured size allows it, and split skewed partitions of the others.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerbrook.operators.hot import HOT_ROWS, hot_keys
+from ledgerbrook.operators.hot import HOT_ROWS, hot_keys, is_broadcast
 from ledgerbrook.session import materialise
 
 
@@ -38,31 +38,45 @@ def left_join_unique(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     return left.join(right, on, "left")
 
 
-def left_join(left: DataFrame, right: DataFrame, on: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def left_join(left: DataFrame, right: DataFrame, on: str, hot_rows: int | None = None) -> DataFrame:
     """Left outer join; duplicates on the right fan out."""
     return left_joins(left, [right], on, hot_rows)
 
 
-def left_joins(left: DataFrame, sides: Sequence[DataFrame], on: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def left_joins(
+    left: DataFrame, sides: Sequence[DataFrame], on: str, hot_rows: int | None = None, unique: Collection[int] = ()
+) -> DataFrame:
     """Left outer joins to several sides on one key, one after the other.
 
-    Rows without a key go around the joins. Keys of all inputs are counted once; without a hot
-    one the plain joins run and share one shuffle of the left rows. A hot key's rows carry a salt
-    through all joins, see ``_salted_chain``.
+    Rows without a key go around the joins; see ``join_chain`` for the others.
     """
     rows = left.where(F.col(on).isNotNull())
-    hot = hot_keys([rows, *sides], on, hot_rows)
-    if hot is None:
-        joined = reduce(lambda out, side: out.join(side, on, "left"), sides, rows)
-    else:
-        joined = _salted_chain(rows, sides, on, hot, "left")
+    joined = join_chain(rows, [(side, "left") for side in sides], on, hot_rows, unique)
     return joined.unionByName(left.where(F.col(on).isNull()), allowMissingColumns=True)
 
 
-def inner_join(left: DataFrame, right: DataFrame, on: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def join_chain(
+    left: DataFrame, sides: Sequence[tuple[DataFrame, str]], on: str, hot_rows: int | None = None, unique: Collection[int] = ()
+) -> DataFrame:
+    """Joins to (side, "inner" or "left") on one key, one after the other.
+
+    Where Catalyst broadcasts all sides, as their sizes tell it, the plain joins run. Otherwise, or with ``hot_rows``
+    given, keys of all inputs are looked at once, see ``hot_keys``; without a hot one the plain joins run and share
+    one shuffle of the left rows. A hot key's rows carry a salt through all joins, see ``_salted_chain``. ``unique`` are
+    the positions of inputs, 0 the left one, that have one row per key by construction, such as aggregates.
+    """
+    if hot_rows is None and all(is_broadcast(side) for side, _ in sides):
+        hot = None
+    else:
+        hot = hot_keys([left, *(side for side, _ in sides)], on, hot_rows or HOT_ROWS, unique)
+    if hot is None:
+        return reduce(lambda out, step: out.join(step[0], on, step[1]), sides, left)
+    return _salted_chain(left, sides, on, hot)
+
+
+def inner_join(left: DataFrame, right: DataFrame, on: str, hot_rows: int | None = None) -> DataFrame:
     """Inner equi join; duplicates on both sides fan out."""
-    hot = hot_keys([left, right], on, hot_rows)
-    return left.join(right, on, "inner") if hot is None else _salted_chain(left, [right], on, hot, "inner")
+    return join_chain(left, [(right, "inner")], on, hot_rows)
 
 
 def _salted(df: DataFrame, on: str, hot: DataFrame, side: int) -> DataFrame:
@@ -77,7 +91,7 @@ def _salted(df: DataFrame, on: str, hot: DataFrame, side: int) -> DataFrame:
     return rest.unionByName(materialise(spread, "salted-rows"))
 
 
-def _salted_chain(rows: DataFrame, sides: Sequence[DataFrame], on: str, hot: DataFrame, how: str) -> DataFrame:
+def _salted_chain(rows: DataFrame, sides: Sequence[tuple[DataFrame, str]], on: str, hot: DataFrame) -> DataFrame:
     """The joins with hot keys cut into parts by (key, salt).
 
     Where a side's key is hot, its rows are spread and the left rows repeated once per salt; where it
@@ -86,7 +100,7 @@ def _salted_chain(rows: DataFrame, sides: Sequence[DataFrame], on: str, hot: Dat
     """
     every = F.broadcast(hot.select(on, "_salts", "_hot"))
     out = _salted(rows, on, hot, 0)
-    for i, side in enumerate(sides, 1):
+    for i, (side, how) in enumerate(sides, 1):
         here = F.coalesce(F.array_contains("_hot", i), F.lit(False))
         all_salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
         left = (

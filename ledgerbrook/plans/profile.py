@@ -21,6 +21,7 @@ from ledgerbrook.operators.relational import (
     na_fill,
     semi_join_master,
 )
+from ledgerbrook.session import materialise
 from ledgerbrook.sources.tables import partition_day
 
 # Defaults of profile columns that a side without a match leaves null.
@@ -98,7 +99,8 @@ def company_profile(
     statistics = of_day("statistics")
     described = descriptions(statistics, semi_join_master(ads, names, "company_name"))
     industry = of_day("register").select("honor_code", F.col("field").alias("industry"))
-    wide = left_joins(master, [industry, described, contact, rights], "honor_code")
+    # Stored between the two chains: the second one looks at its keys before it joins.
+    wide = materialise(left_joins(master, [industry, described, contact, rights], "honor_code"), "profile-by-code")
     wide = left_joins(wide, [logo, place("baidu", "bd"), place("gaode", "gd").drop("gd_address")], "company_name")
     return na_fill(
         with_audit(

@@ -12,8 +12,7 @@ from ledgerbrook.functions import scoring
 from ledgerbrook.functions.text import like_flag, number
 from ledgerbrook.operators.relational import (
     anti_join,
-    inner_join,
-    left_joins,
+    join_chain,
     nonnull_count,
     presence_flag,
     semi_join_master,
@@ -101,7 +100,8 @@ def company_score(tables: Mapping[str, DataFrame], list_day: str, day: str, as_o
         ]
     )
 
-    rows = inner_join(names, registered, "company_name")
-    rows = left_joins(rows, [tags, rights, finance, products], "company_name")
+    sides = [(registered, "inner"), *((side, "left") for side in (tags, rights, finance, products))]
+    # The names are distinct and the products counted per name.
+    rows = join_chain(names, sides, "company_name", unique=(0, 5))
     rows = presence_flag(rows, recruiting, "company_name", "has_recruit")
     return add_scores(rows.withColumn("tag_gaoxin", F.coalesce("tag_gaoxin", F.lit(0))), as_of)

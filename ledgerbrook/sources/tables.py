@@ -65,3 +65,23 @@ def write_table(
     if path:
         writer = writer.option("path", path)
     (writer.format(fmt) if fmt else writer).saveAsTable(table)
+
+
+def overwrite_days(df: DataFrame, table: str, columns: Sequence[str] = (PARTITION,)) -> None:
+    """Replace the partitions of an existing table that ``df`` has rows of; all others stay.
+
+    New files come to their place once all of them are written, so a write that fails leaves every day as it was.
+    Works for the session's format and for Hive tables, whose partitions have to be dynamic.
+    """
+    spark = df.sparkSession
+    ordered = df.select(*spark.table(table).columns)
+    rows = ordered.hint("rebalance", *columns)
+    settings = {"spark.sql.sources.partitionOverwriteMode": "dynamic", "hive.exec.dynamic.partition.mode": "nonstrict"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        rows.write.mode("overwrite").insertInto(table)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

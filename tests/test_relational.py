@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerbrook.operators import audit, counting, relational
+from ledgerbrook.operators import audit, counting, hot, relational
 
 
 def rows_of(df, *columns):
@@ -46,9 +46,9 @@ def test_hot_key_is_spread(spark):
 
 def test_equal_rows_get_different_salts(spark):
     right = spark.createDataFrame([(1, "same")] * 1000, "key int, r string").repartition(2)
-    hot = relational.hot_keys([right], "key", 100)
-    salted = relational._salted(right, "key", hot, 0)
-    assert salted.select("_salt").distinct().count() == hot.first()["_salts"] == 10
+    found = relational.hot_keys([right], "key", 100)
+    salted = relational._salted(right, "key", found, 0)
+    assert salted.select("_salt").distinct().count() == found.first()["_salts"] == 10
 
 
 @pytest.mark.parametrize("hot_rows", [1, 9, 40, 10**6])
@@ -66,8 +66,8 @@ def test_chains_with_hot_left_rows_and_without_keys(spark, hot_rows):
 def test_hot_left_rows_stay_spread_through_a_chain(spark):
     left = spark.createDataFrame([(1 if i % 10 else i, i) for i in range(2000)], "key int, l int")
     sides = [spark.createDataFrame([(1, f"v{n}")], f"key int, c{n} string") for n in range(3)]
-    hot = relational.hot_keys([left, *sides], "key", 100)
-    salts = relational._salted(left, "key", hot, 0).where("key = 1").groupBy("_salt").count().collect()
+    found = relational.hot_keys([left, *sides], "key", 100)
+    salts = relational._salted(left, "key", found, 0).where("key = 1").groupBy("_salt").count().collect()
     assert len(salts) == 18 and max(r["count"] for r in salts) <= 2 * 1800 / 18
 
 
@@ -140,3 +140,40 @@ def test_denylist(spark):
     assert rows_of(counting.denylist_filter(counts, deny)) == [("b", 2)]
     assert counting.denylist_dropped(counts, deny).first().dropped == 4
     assert counting.denylist_dropped(counts, deny.where("word = 'z'")).first().dropped == 0
+
+
+def jobs(spark, group, run):
+    """How many jobs a call starts."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_small_sides_are_joined_without_a_look_at_their_keys(spark, tmp_path):
+    for name, n in (("left", 5000), ("right", 50)):
+        spark.range(n).select((F.col("id") % 40).alias("k"), F.col("id").alias(name)).write.parquet(str(tmp_path / name))
+    left, right = (spark.read.parquet(str(tmp_path / n)) for n in ("left", "right"))
+    assert jobs(spark, "plain", lambda: relational.inner_join(left, right, "k")) == 0
+    assert jobs(spark, "counted", lambda: relational.inner_join(left, right, "k", hot_rows=10**6)) > 0
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert jobs(spark, "large", lambda: relational.left_join(left, right, "k")) > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_sketch_never_misses_a_hot_key(spark, monkeypatch):
+    """With few buckets many keys share one; those that are hot are found, and no others."""
+    monkeypatch.setattr(hot, "BUCKETS", 3)
+    rows = [(k, i) for k in range(50) for i in range(30 if k in (7, 11) else 4)] + [(None, i) for i in range(90)]
+    side = spark.createDataFrame(rows, "key int, v int")
+    other = spark.createDataFrame([(k, k) for k in range(50)] + [(20, i) for i in range(25)], "key int, w int")
+    found = hot.hot_keys([side, other], "key", 20)
+    assert sorted((r["key"], r["_salts"], r["_hot"]) for r in found.collect()) == [(7, 2, [0]), (11, 2, [0]), (20, 2, [1])]
+    assert hot.hot_keys([side, other], "key", 20, unique=(0, 1)) is None
+    assert [r["key"] for r in hot.hot_keys([side, other], "key", 20, unique=(0,)).collect()] == [20]
+    assert hot.hot_keys([side, other], "key", 500) is None

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerbrook import jobs, session
-from ledgerbrook.sources import jdbc, streams
+from ledgerbrook.sources import jdbc, streams, tables
 
 URL = {"url": "jdbc:none:x", "user": "u"}
 
@@ -189,3 +190,47 @@ def test_scratch_is_cleared(spark, tmp_path, monkeypatch):
     assert len(list(tmp_path.glob("ledgerbrook-*/kept-*"))) == 1
     session.clear_scratch(spark)
     assert list(tmp_path.iterdir()) == []
+
+
+@pytest.fixture
+def by_day(spark, tmp_path):
+    """Three days of rows in a table partitioned by day."""
+    name = f"by_day_{tmp_path.name.replace('-', '_')}"
+    rows = spark.range(30).select("id", F.lit("old").alias("state"), F.concat(F.lit("2024010"), F.col("id") % 3 + 1).alias("ptt_day"))
+    tables.write_table(rows, name, partition_by=["ptt_day"], path=str(tmp_path / "table"))
+    yield name
+    spark.sql(f"DROP TABLE {name}")
+
+
+def days(spark, name):
+    return {(r["ptt_day"], r["state"]): r["n"] for r in spark.table(name).groupBy("ptt_day", "state").agg(F.count("*").alias("n")).collect()}
+
+
+def test_overwriting_a_day_leaves_the_others(spark, by_day):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    new = spark.range(5).select(F.lit("20240102").alias("ptt_day"), F.lit("new").alias("state"), "id")
+    tables.overwrite_days(new, by_day)
+    assert days(spark, by_day) == {("20240101", "old"): 10, ("20240102", "new"): 5, ("20240103", "old"): 10}
+    tables.overwrite_days(spark.range(1).select(F.lit("20240109").alias("ptt_day"), F.lit("new").alias("state"), "id"), by_day)
+    assert days(spark, by_day)[("20240109", "new")] == 1 and len(days(spark, by_day)) == 4
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+
+
+def test_a_failing_overwrite_leaves_the_old_day(spark, by_day):
+    new = spark.range(200).repartition(4).select(
+        F.lit("20240102").alias("ptt_day"), "id",
+        F.when(F.col("id") == 150, F.raise_error(F.lit("broken row"))).otherwise("new").alias("state"),
+    )
+    with pytest.raises(Exception, match="broken row"):
+        tables.overwrite_days(new, by_day)
+    assert days(spark, by_day) == {(f"2024010{i}", "old"): 10 for i in (1, 2, 3)}
+
+
+def test_a_day_can_be_overwritten_from_its_own_rows(spark, by_day):
+    later = tables.partition_day(spark.table(by_day), "20240103").withColumn("state", F.upper("state"))
+    tables.overwrite_days(tables_copy(spark, later), by_day)
+    assert days(spark, by_day) == {("20240101", "old"): 10, ("20240102", "old"): 10, ("20240103", "OLD"): 10}
+
+
+def tables_copy(spark, df):
+    return session.materialise(df, "day-copy")
