@@ -602,6 +602,7 @@ WITH seen AS (SELECT max(ts) - INTERVAL 1 HOUR AS watermark FROM events WHERE ev
 tagged AS (SELECT event_type, event_id % 2 = 1 AND date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 DAY <= watermark AS late FROM events, seen)
 SELECT event_type, count(*) FILTER (NOT late) AS n_on_time, count(*) FILTER (late) AS n_late FROM tagged GROUP BY event_type
 """
+SQL["score_company_bucketed"] = SQL["score_company"]
 SQL["stream_static_join"] = f"""
 WITH {VIEWS} SELECT event_id, user_id, c_name AS user_name FROM views JOIN customer ON c_custkey = user_id
 """

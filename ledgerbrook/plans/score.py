@@ -24,6 +24,11 @@ from ledgerbrook.sources.tables import partition_day
 CLOSED_MARK = "销"
 HIGH_TECH_TAG = "高新技术企业"
 
+# The inputs of the score; all are joined by company_name.
+INPUTS = (
+    "remarks", "register", "customers", "statistics", "property", "run", "products", "ads_boss", "ads_lg", "ads_zhilian",
+)
+
 # Fixed order: the scored columns, in the order in which their scores are added up.
 SCORED = [
     "reg_capital", "scale_count", "establish_date", "tag_gaoxin", "prod_name_num", "website_total",

@@ -85,3 +85,12 @@ def overwrite_days(df: DataFrame, table: str, columns: Sequence[str] = (PARTITIO
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
+    """Overwrite a table bucketed and sorted by a join key, one file per bucket.
+
+    Joins and aggregations on the key of tables with equally many buckets need no exchange.
+    """
+    writer = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(table)

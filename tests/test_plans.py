@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerbrook import jobs
+from ledgerbrook.catalog import batch, bindings
 from ledgerbrook.plans import address, profile, score
 
 DAY = "20191210"
+SF_DIR = "/root/testdata/sf0.001"
 
 
 def rows_of(df, *columns):
@@ -179,3 +181,22 @@ def test_renamed_input_columns(spark, company):
         spark, {"inputs": {"remarks": "raw_remarks"}, "columns": {"remarks": {"words": "business_keywords"}}}, []
     )
     assert "business_keywords" in run.table("remarks").columns
+
+
+def test_score_of_bucketed_tables_needs_no_exchange(spark):
+    """Joins, distinct names and counts on the bucketed key take the buckets as they are.
+
+    Only the distinct names of the three recruiting tables, a union, are exchanged.
+    """
+    inputs = batch.bucketed_company_inputs(spark, SF_DIR, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scored = score.company_score(inputs, bindings.DAY, bindings.DAY, F.lit(bindings.AS_OF).cast("date"))
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = [line.strip(" :+-*") for line in plan.splitlines()]
+    exchanges = [i for i, line in enumerate(lines) if line.startswith("Exchange")]
+    assert len(exchanges) == 1 and any(line.startswith("Union") for line in lines[exchanges[0] : exchanges[0] + 4])
+    assert sum(line.startswith("SortMergeJoin") for line in lines) == 8
