@@ -27,10 +27,13 @@ from ledgerbrook.llm.common import uniform
 
 #: Bound of the fit: bytes of dictionary per language, filled with pieces of at most so many characters.
 DICT_BYTES, SAMPLE_CHARS = 512 << 10, 1500
-PIECE = 2048
+#: Bytes that are compressed at once. Words that a text repeats are cheap inside a piece in any language, so short
+#: pieces let the language of most of a text decide, and not that of most of its different words.
+PIECE = 512
 LEVELS = (3, 12)
-#: A text is rejected if the best language saves less than this share of the next one's bytes.
-MARGIN = 0.001
+#: A text is rejected if the best language saves less than this share of the next one's bytes. Of 700 held-out
+#: texts of sf0.1 less than 1 % lie below it, of 200 texts of random letters more than 99 %.
+MARGIN = 0.0125
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -40,27 +43,31 @@ PREDICTION = "lang_pred string, score double, margin double, rejected boolean"
 def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", seed: str = "langid") -> dict[str, bytes]:
     """One dictionary per language, from a seeded draw of its labelled texts.
 
-    The draw takes about twice the bytes a dictionary holds, whatever the table's size, and only the
-    drawn pieces reach the driver: languages x 2 x DICT_BYTES, in the order of their draws.
+    A text's piece begins at a seeded place of the whole text. The draw hangs on id and text, so rows without an id
+    or with one id are drawn apart, and equal rows count once. It takes about twice the bytes a dictionary
+    holds, whatever the table's size, and only the drawn pieces reach the driver: languages x 2 x DICT_BYTES, in the
+    order of their draws.
     """
-    piece = F.substring(text_col, 1, SAMPLE_CHARS)
-    rows = train.select(
-        F.col(lang_col).alias("lang"), piece.alias("piece"), uniform(F.col(id_col), seed).alias("u")
-    ).filter(F.col("lang").isNotNull() & (F.octet_length(piece) > 0))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    key = F.concat_ws(":", F.col(id_col).cast("string"), F.xxhash64(text).cast("string"))
+    start = F.floor(uniform(key, f"{seed}:place") * F.greatest(F.length(text) - SAMPLE_CHARS, F.lit(0))).cast("int") + 1
+    rows = train.filter(F.col(lang_col).isNotNull() & (F.octet_length(text) > 0)).select(
+        F.col(lang_col).alias("lang"), F.substr(text, start, F.lit(SAMPLE_CHARS)).alias("piece"), uniform(key, seed).alias("u")
+    )
     sizes = {r["lang"]: r["size"] for r in rows.groupBy("lang").agg(F.sum(F.octet_length("piece")).alias("size")).collect()}
     drawn = F.lit(False)
     for lang, size in sizes.items():
         drawn = drawn | ((F.col("lang") == lang) & (F.col("u") < min(1.0, 2.0 * DICT_BYTES / size)))
     pieces: dict[str, list] = {lang: [] for lang in sorted(sizes)}
-    for r in rows.filter(drawn).collect():
+    for r in rows.filter(drawn).distinct().collect():
         pieces[r["lang"]].append((r["u"], r["piece"]))
     # zstandard reaches the end of a dictionary cheapest, so the last bytes are kept.
     return {lang: b"\n".join(letters(p) for _, p in sorted(found))[-DICT_BYTES:] for lang, found in pieces.items()}
 
 
 def letters(text: str) -> bytes:
-    """The distinct words of letters of a text, in order."""
-    return " ".join(dict.fromkeys(LETTERS.findall(text.lower()))).encode("utf-8", "surrogatepass")
+    """All words of letters of a text, in order."""
+    return " ".join(LETTERS.findall(text.lower())).encode("utf-8", "surrogatepass")
 
 
 class Classifier:
