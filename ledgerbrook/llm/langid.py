@@ -1,14 +1,15 @@
 """Language ID by compression: the language whose dictionary compresses a text best.
 
-Texts are read as their distinct words of letters, in lower case and in order, so that neither capitals
-nor repetition hide the language. Fit: per language, pieces of labelled texts fill a raw-content
+Texts are read as all their words of letters, in lower case and in order, so that capitals and
+signs do not hide the language. Fit: per language, pieces of labelled texts fill a raw-content
 zstandard dictionary. Predict: a text is cut into pieces of PIECE bytes, every piece is compressed
 with every dictionary, and the language with the smallest total wins; where the margin is narrow, the
 pieces are compressed again at a stronger level, and if it stays narrow the text is rejected. All
 pieces count, so no text is cut short.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0 and rejected; rows
-without a label teach nothing; ties go to the language first in code point order and are rejected;
+without a label teach nothing; training rows without an id, or with one that repeats, are drawn by their text
+as well; repeated rows teach once; ties go to the language first in code point order and are rejected;
 without any labelled row every text is ``und``; equal texts get equal answers; an empty table gives
 no rows. Other columns are ignored and pass through ``keep_identified`` untouched.
 """

@@ -12,6 +12,7 @@ from collections import Counter
 import cases
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -62,6 +63,57 @@ def test_language_id_capitals_repetition_and_length():
         assert classifier.predict(cases.sentence(draws, lang, 30_000))[0] == lang
 
 
+def test_language_of_most_words_wins_over_that_of_most_different_words():
+    draws = random.Random(8)
+    classifier = langid.Classifier({k: langid.letters(cases.sentence(draws, k, 20_000)) for k in cases.SYLLABLES})
+    few = cases.sentence(draws, "en", 100).split()
+    text = " ".join(draws.choices(few, k=810)) + " " + " ".join(dict.fromkeys(cases.sentence(draws, "de", 160).split()))
+    assert classifier.predict(text)[0] == "en"
+    assert langid.letters("Ab ab, 1 AB") == b"ab ab ab"
+
+
+def test_prediction_equals_plain_compression():
+    """Sizes with each dictionary, added up piece by piece in plain Python."""
+    draws = random.Random(9)
+    dictionaries = {k: langid.letters(cases.sentence(draws, k, 4000)) for k in cases.SYLLABLES}
+    classifier = langid.Classifier(dictionaries)
+    for lang in [*cases.SYLLABLES] * 4:
+        text = cases.sentence(draws, lang, draws.choice((3, 20, 400))) + " " + cases.sentence(draws, "en", draws.choice((0, 10)))
+        words = " ".join(langid.LETTERS.findall(text.lower())).encode()
+        for level in langid.LEVELS:
+            sizes = {}
+            for name, content in dictionaries.items():
+                raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                packer = zstandard.ZstdCompressor(level=level, dict_data=raw, write_content_size=False, write_dict_id=False)
+                sizes[name] = sum(len(packer.compress(words[i : i + langid.PIECE])) for i in range(0, len(words), langid.PIECE))
+            (least, best), (following, _) = sorted((n, name) for name, n in sizes.items())[:2]
+            if 1 - least / following > langid.MARGIN:
+                break
+        found = classifier.predict(text)
+        assert found[0] == best and abs(found[1] - following / (following + least)) < 1e-12
+
+
+def test_letter_salad_is_rejected_and_clean_texts_are_not(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    classifier = langid.Classifier(langid.fit(docs.filter(fold(F.col("doc_id"), 3) != 1)))
+    clean = docs.filter((fold(F.col("doc_id"), 15) == 1) & F.col("text").rlike(r"[A-Za-z]{3}.*[A-Za-z]{3}")).select("text", "lang").collect()
+    found = [classifier.predict(r["text"]) for r in clean]
+    assert len(found) > 400 and sum(f[3] for f in found) < 0.01 * len(found)
+    assert sum(f[0] == r["lang"] for f, r in zip(found, clean, strict=True)) >= 0.985 * len(found)
+    draws = random.Random(2)
+    words = lambda n: ["".join(draws.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(draws.randint(2, 9))) for _ in range(n)]
+    salad = [" ".join(words(draws.choice((5, 20, 80, 300)))) for _ in range(200)]
+    assert sum(classifier.predict(t)[3] for t in salad) >= 0.95 * len(salad)
+
+
+def test_draw_of_rows_without_an_id_is_bounded(spark):
+    """A third of the rows are one row, another third have no id: the drawn pieces stay near the bound."""
+    data = [(i, cases.sentence(random.Random(i), "en", 300), "en", "s", None) for i in range(900)]
+    data += [(None, cases.sentence(random.Random(-i), "en", 300), "en", "s", None) for i in range(1, 901)] + [(5, data[5][1], "en", "s", None)] * 900
+    dictionaries = langid.fit(cases.table(spark, data, extra=False))
+    assert 0.5 * langid.DICT_BYTES < len(dictionaries["en"]) <= langid.DICT_BYTES
+
+
 def test_language_id_without_labels(spark):
     assert langid.fit(cases.table(spark, [])) == {}
     found = langid.identify(cases.table(spark), {}).collect()
