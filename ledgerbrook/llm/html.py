@@ -14,7 +14,8 @@ pages and all blocks, goes through the network.
 Defined results: null html counts as empty and has an empty text; a page without a block of main text
 has an empty text; character references are decoded, white space inside a block is one space, blocks are
 trimmed and joined in page order by one space; text is never cut; unclosed and stray tags end where
-their parents do; without a page to learn from all blocks outside raw-text elements are kept; repeated
+their parents do; of elements only scripts, styles, templates, form fields, drawings and foreign frames are left
+out unread, while formulas and the contents of ``noscript`` and ``object`` are blocks to be labelled; without a page to learn from all blocks outside raw-text elements are kept; repeated
 pages give equal rows; an empty table gives no rows. Other columns are ignored.
 """
 
@@ -46,7 +47,7 @@ NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)
 SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
 
 # Elements of HTML by how they take part in a page.
-RAW = frozenset("script style noscript template iframe svg canvas object textarea math".split())
+RAW = frozenset("script style template iframe svg canvas textarea".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "html head body title article section main aside nav header footer address div p pre blockquote h1 h2 h3 h4 h5 h6 ul ol li "
@@ -81,7 +82,7 @@ def leaves(page: str | None) -> list[Leaf]:
     out: list[Leaf] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     text: list[str] = []
-    linked, skip = 0, None
+    linked, skip, links = 0, None, 0
 
     def flush():
         nonlocal linked
@@ -93,6 +94,8 @@ def leaves(page: str | None) -> list[Leaf]:
         linked = 0
 
     def close(upto: int):
+        nonlocal links
+        links -= sum(t == "a" for t, _ in stack[upto:])
         if any(t in BLOCK for t, _ in stack[upto:]):
             flush()
         del stack[upto:]
@@ -110,7 +113,7 @@ def leaves(page: str | None) -> list[Leaf]:
             if not m[0].startswith(("<!", "<?")):
                 part = html.unescape(m[0])
                 text.append(part)
-                if any(t == "a" for t, _ in stack):
+                if links:
                     linked += len(part.strip())
             continue
         tag = tag.lower()
@@ -138,6 +141,7 @@ def leaves(page: str | None) -> list[Leaf]:
                 if stack[i][0] in BLOCK:
                     break
         names = [".".join(("", w)) for v in NAMES.findall(m[3]) for w in SPLIT.split("".join(v).lower()) if w]
+        links += tag == "a"
         stack.append((tag, (tag, *names)))
     flush()
     return out

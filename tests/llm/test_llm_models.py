@@ -331,6 +331,24 @@ def test_page_texts_of_articles_with_other_blocks(spark):
     assert sum(r["text"] == data[r["page_id"]][3].removesuffix(" a b") + added for r in got) >= 0.9 * len(data)
 
 
+def test_formulas_and_fallbacks_are_read():
+    page = "<p>a <math><mi>x</mi> = <mn>1</mn></math> b</p><noscript><p>n</p></noscript><object>o</object><svg><text>no</text></svg>"
+    assert [text for _, text, _ in html.leaves(page)] == ["a x = 1 b", "n", "o"]
+    assert "noscript" in html.leaves(page)[1][0]
+    deep = "<div>" * 3000 + "<a>x</a> y " * 3000
+    assert html.leaves(deep)[0][2] == pytest.approx(3000 / len(" ".join(["x y"] * 3000)))
+
+
+def test_labeller_keeps_formulas_of_an_article(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    weights = html.fit(pages)
+    plain = {r["page_id"]: r["text"] for r in html.extract(pages, weights).collect()}
+    marked = pages.withColumn("html", F.regexp_replace("html", r"(<p[^>]*>)(\w+) (\w+)", "$1$2 <math><mi>$3</mi></math>"))
+    assert marked.filter("html LIKE '%<math>%'").count() > 0.5 * len(plain)
+    for r in html.extract(marked, weights).collect():
+        assert r["text"].replace(" ", "") == plain[r["page_id"]].replace(" ", "")
+
+
 def test_page_texts_without_training_pages(spark):
     frame = spark.createDataFrame([(1, "<p>a</p><p>b")], "page_id long, html string")
     assert html.fit(frame) is None
