@@ -6,17 +6,21 @@ sum is large enough for the threshold, and the same holds for a tree node whose
 coordinates below it. Surviving pairs are verified on the shingle sets.
 
 Points of unrelated texts of one length lie close together in any number of dimensions, so one tree
-over all documents would compare all pairs. The points are therefore dealt into tiles first: documents
-with equal bands of min-hashes (BANDS bands of ROWS) share a tile and every tile has its tree. A link
-at the threshold misses all tiles with probability (1 - threshold ** ROWS) ** BANDS, 2.5e-7 at 0.75,
-and less above it. All draws are fixed, so reruns agree.
-
-Documents of equal sets are one class and its smallest id stands for it. Links are found in two rounds.
-First each point asks its tree for the smallest id within the bound; these links form components.
-Then only tiles that still hold several components are asked for all pairs between different ones. So
-large groups of near copies cost one question per member and no pair is lost. Tiles over TILE
-points are cut; the first round ties the pieces together by the tile's smallest id, the second
-compares all pairs of pieces.
+over all documents would compare all pairs. The points are therefore dealt into tiles first and every
+tile has its tree. Documents of equal sets are one class and its smallest id stands for it. Links are
+found in two rounds.
+
+The first round is quick and need not be complete: documents with equal bands of min-hashes share a
+tile, each point asks its tree for the smallest id within the bound, and these links form components.
+
+The second round is exact. All shingles have one order, from rare to common by a sketch of counts and
+then by hash. Of n shingles, a linked document shares at least ceil(PERCENT n / 100), so two linked
+documents share one of their first n - ceil(PERCENT n / 100) + 1: these shingles are the tiles. Only tiles
+that hold several components are asked, for all pairs between different ones, and of tiles with the same
+members one. So large groups of near copies cost one question per member and no link is lost. The sketch
+has a fixed size; it decides how large tiles are, not what is found. Tiles over TILE points are cut;
+the first round ties the pieces together by the tile's smallest id, the second compares all pairs of
+pieces. All draws are fixed, so reruns agree.
 
 Defined results: a null text, or one without words, has no shingles and is a component of its own; with
 fewer words than a shingle the whole sequence is the only one; repeated words and rows count once in
@@ -44,8 +48,10 @@ SHINGLE = 5
 #: Links need 100 * overlap >= PERCENT * union.
 PERCENT = 75
 GROUPS = 256
-BANDS, ROWS = 40, 4
+BANDS, ROWS = 12, 4
 TILE = 20_000
+#: Counters of the shingle sketch, and those in one row of it.
+SKETCH, CHUNK = 1 << 20, 1 << 14
 #: Points of a leaf and children of a node.
 FAN = 16
 
@@ -98,16 +104,24 @@ def bands(found: np.ndarray) -> np.ndarray:
 class RTree:
     """Packed R-tree over points (rows of counts) in the order of their sizes."""
 
-    def __init__(self, counts: np.ndarray, ids: np.ndarray):
+    def __init__(self, counts: np.ndarray, ids: np.ndarray, components: np.ndarray | None = None):
         sizes = counts.sum(axis=1)
-        self.order = np.lexsort((*counts[:, 3::-1].T, sizes))
+        labels = np.arange(len(ids)) if components is None else components
+        # The members of a large component lie together, so that it can pass them by at once.
+        _, which, members = np.unique(labels, return_inverse=True, return_counts=True)
+        self.order = np.lexsort((*counts[:, 3::-1].T, sizes, np.where(members[which] > FAN, which, -1)))
         self.counts, self.sizes, self.ids = counts[self.order], sizes[self.order], ids[self.order]
         self.levels = []  # from leaves to root: (largest coordinates, smallest size, smallest id)
         top, size, least = self.counts, self.sizes, self.ids
+        self.labels = labels[self.order]
+        self.spans = []  # smallest and largest component per node
+        low = high = self.labels
         while True:
             cuts = np.arange(0, len(size), FAN)
             top, size, least = np.maximum.reduceat(top, cuts), np.minimum.reduceat(size, cuts), np.minimum.reduceat(least, cuts)
+            low, high = np.minimum.reduceat(low, cuts), np.maximum.reduceat(high, cuts)
             self.levels.append((top, size, least))
+            self.spans.append((low, high))
             if len(size) == 1:
                 break
 
@@ -133,14 +147,16 @@ class RTree:
                 heapq.heappush(queue, (int(ids[child]), level - 1, int(child)))
         return None
 
-    def all(self, counts: np.ndarray, size: int) -> np.ndarray:
-        """Places in tree order of all points within the bound."""
+    def all(self, counts: np.ndarray, size: int, component: int = -1) -> np.ndarray:
+        """Places in tree order of all points within the bound, but for those of one component."""
         found, stack = [], [(len(self.levels) - 1, 0)]
         while stack:
             level, at = stack.pop()
             lo = at * FAN
             hi = min(lo + FAN, len(self.ids) if level == 0 else len(self.levels[level - 1][1]))
             passing = self._passing(level - 1, lo, hi, counts, size)
+            low, high = (self.labels, self.labels) if level == 0 else self.spans[level - 1]
+            passing = passing[(low[passing] != component) | (high[passing] != component)]
             if level == 0:
                 found.append(passing)
             else:
@@ -148,14 +164,19 @@ class RTree:
         return np.concatenate(found) if found else np.empty(0, np.int64)
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate(([0], np.cumsum([len(a) for a in arrays]))).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, np.concatenate(arrays) if arrays else np.empty(0, np.int64))
+
+
 def features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, n, a 128-bit hash of the set (s1, s2), its point and its band keys."""
+    """id, n, a 128-bit hash of the set (s1, s2), its point, its band keys and the set."""
     kind = dict(docs.dtypes)[id_col]
     salt = np.uint64(0x51)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in few_rows(batches):
-            n, s1, s2, points, keys = [], [], [], [], []
+            n, s1, s2, points, keys, sets = [], [], [], [], [], []
             for text in batch.column(1):
                 found = shingles(text.as_py())
                 n.append(len(found))
@@ -163,16 +184,15 @@ def features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 s2.append(int(signed(mixed(found + salt).sum(dtype=np.uint64, keepdims=True))[0]))
                 points.append(point(found))
                 keys.append(signed(bands(found)) if len(found) else np.empty(0, np.int64))
-            offsets = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
-            flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
+                sets.append(signed(found))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
-                 pa.array(points, pa.binary()), pa.ListArray.from_arrays(offsets, flat)],
-                names=["id", "n", "s1", "s2", "point", "bands"],
+                 pa.array(points, pa.binary()), _lists(keys), _lists(sets)],
+                names=["id", "n", "s1", "s2", "point", "bands", "set"],
             )
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, n long, s1 long, s2 long, point binary, bands array<long>")
+    return rows.mapInArrow(run, f"id {kind}, n long, s1 long, s2 long, point binary, bands array<long>, set array<long>")
 
 
 def _tiles(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list[np.ndarray]]:
@@ -224,26 +244,23 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Second round: all pairs of a tile within the bound whose components differ.
 
-    Two points may share many tiles; the one of their first equal band names the pair. A piece that
-    meets another one only looks at pairs across.
+    A piece that meets another one only looks at pairs across.
     """
     a, b = [], []
-    names = ["key", "piece", "id", "point", "component", "bands", "band", "part", "alone"]
-    for _, _, ids, points, component, keys, band, part, alone in _tiles(batches, names):
+    for _, _, ids, points, component, part, alone in _tiles(batches, ["key", "piece", "id", "point", "component", "part", "alone"]):
         keep = np.unique(ids, return_index=True)[1]
-        ids, points, component, keys, part = ids[keep], points[keep], component[keep], np.stack(keys[keep]), part[keep]
-        if len(ids) < 2 or (component == component[0]).all():
+        ids, points, component, part = ids[keep], points[keep], component[keep], part[keep]
+        if (component == component[0]).all():
             continue
         counts = np.stack([coordinates(p) for p in points])
         sizes = counts.sum(axis=1)
-        tree = RTree(counts, ids)
-        labels, sides, bands_of = component[tree.order], part[tree.order], keys[tree.order]
+        tree = RTree(counts, ids, component)
+        sides = part[tree.order]
         for i in range(len(ids)):
-            found = tree.all(counts[i], sizes[i])
-            found = found[(tree.ids[found] < ids[i]) & (labels[found] != component[i])]
+            found = tree.all(counts[i], sizes[i], component[i])
+            found = found[tree.ids[found] < ids[i]]
             if not alone[0]:
                 found = found[sides[found] != part[i]]
-            found = found[(bands_of[found] == keys[i]).argmax(axis=1) == band[0]]
             a += [int(ids[i])] * len(found)
             b += tree.ids[found].tolist()
             if len(a) > 50_000:
@@ -265,29 +282,71 @@ def _in_tiles(rows: DataFrame, *extra: str) -> DataFrame:
     return rows.select(*columns).repartition("key", "piece").sortWithinPartitions("key", "piece")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, shingles) of the documents that share a tile with another."""
-    kind = dict(docs.dtypes)[id_col]
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes.view(np.uint64) >> np.uint64(44)).astype(np.int64)
+
+
+def commonness(found: DataFrame) -> bytes:
+    """One byte per counter of the sketch: the bits of the number of shingles that fall into it."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(SKETCH, np.int64)
+        for batch in few_rows(batches):
+            sums += np.bincount(_bucket(batch.column(0).flatten().to_numpy()), minlength=SKETCH)
+        chunks = sums.reshape(-1, CHUNK)
+        some = np.flatnonzero(chunks.any(axis=1))
+        width = "<u4" if sums.max() < 1 << 32 else "<u8"
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some, pa.int64()), pa.array([chunks[c].astype(width).tobytes() for c in some], pa.binary())], names=["chunk", "counts"]
+        )
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                sums[chunk] = sums.get(chunk, 0) + np.frombuffer(counts, f"<u{len(counts) // CHUNK}").astype(np.int64)
+        bits = [np.frexp(c.astype(np.float64))[1].astype(np.uint8).tobytes() for c in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(bits, pa.binary())], names=["chunk", "counts"])
+
+    kind = "chunk long, counts binary"
+    out = np.zeros((SKETCH // CHUNK, CHUNK), np.uint8)
+    # One row per chunk, whatever the table's size.
+    for row in found.select("set").mapInArrow(count, kind).repartition("chunk").mapInArrow(add, kind).collect():
+        out[row["chunk"]] = np.frombuffer(row["counts"], np.uint8)
+    return out.tobytes()
+
+
+def prefix(found: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The shingles of a set of which every linked set has one among its own."""
+    keep = len(found) + 1 + (-PERCENT * len(found)) // 100 if len(found) else 0
+    return found[np.lexsort((found, common[_bucket(found)]))[:keep]]
+
+
+def prefixes(found: DataFrame, bits: bytes) -> DataFrame:
+    """id, n, s1, s2 and the set's prefix."""
+    kind = dict(found.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = np.frombuffer(bits, np.uint8)
         for batch in few_rows(batches):
-            found = [signed(shingles(t.as_py())) for t in batch.column(1)]
-            offsets = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
-            flat = np.concatenate(found) if found else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, flat)], names=["id", "set"])
+            sets = batch.column(4)
+            ends = np.cumsum(sets.value_lengths().to_numpy())[:-1]
+            kept = [prefix(s, common) for s in np.split(sets.flatten().to_numpy(), ends)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], _lists(kept)], names=["id", "n", "s1", "s2", "keys"])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    wanted = rows.join(ids, "id", "left_semi").dropDuplicates(["id"])
-    return materialise(wanted.mapInArrow(run, f"id {kind}, set array<long>"), "jaccard-sets")
+    return found.select("id", "n", "s1", "s2", "set").mapInArrow(run, f"id {kind}, n long, s1 long, s2 long, keys array<long>")
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+def verified(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough; only sets that a pair names are moved."""
+    pairs = materialise(pairs.distinct(), "jaccard-pairs")
+    named = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    sets = materialise(found.select("id", "set").join(named, "id", "left_semi").dropDuplicates(["id"]), "jaccard-sets")
     left = sets.select(F.col("id").alias("a"), F.col("set").alias("set_a"))
     right = sets.select(F.col("id").alias("b"), F.col("set").alias("set_b"))
     both = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - both
-    return pairs.distinct().join(left, "a").join(right, "b").filter(100 * both >= PERCENT * union).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").filter(100 * both >= PERCENT * union).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -298,36 +357,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .agg(F.min("id").alias("class_id"), F.first("point").alias("point"), F.first("bands").alias("bands")),
         "jaccard-classes",
     )
-    keys = classes.select(F.posexplode("bands").alias("band", "key"), F.col("class_id").alias("id"))
+    keys = classes.select(F.explode("bands").alias("key"), F.col("class_id").alias("id"))
     shared = keys.groupBy("key").agg(F.count("*").alias("k"), F.min("id").alias("pivot")).filter("k > 1")
-    tiled = materialise(
-        keys.join(shared, "key").withColumn("cut", F.ceil(F.col("k") / TILE).cast("int")), "jaccard-tiles"
-    )
-    points = classes.select(F.col("class_id").alias("id"), "point", "bands")
-    ids = tiled.select("id").distinct()
-    sets = _sets(docs, ids, id_col, text_col)
+    tiled = keys.join(shared, "key").withColumn("cut", F.ceil(F.col("k") / TILE).cast("int"))
+    points = classes.select(F.col("class_id").alias("id"), "point")
 
     # The pieces of a cut tile all get the tile's smallest id.
     piece = F.when(F.col("cut") > 1, F.pmod(F.xxhash64("id"), F.col("cut"))).otherwise(0).cast("long")
     pieces = F.when(F.col("id") == F.col("pivot"), F.sequence(F.lit(0).cast("long"), F.col("cut").cast("long") - 1)).otherwise(F.array(piece))
-    first = tiled.withColumn("piece", F.explode(pieces)).join(points.drop("bands"), "id")
-    links = materialise(verified(_in_tiles(first).mapInArrow(_near, "a long, b long"), sets), "jaccard-links")
+    first = tiled.withColumn("piece", F.explode(pieces)).join(points, "id")
+    links = materialise(verified(_in_tiles(first).mapInArrow(_near, "a long, b long"), found), "jaccard-links")
     linked = components(links)
 
-    label = F.coalesce("component", "id")
-    labelled = tiled.join(linked, F.col("id") == F.col("node"), "left").withColumn("component", label).drop("node")
-    mixed_tiles = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
+    labels = classes.select("n", "s1", "s2", F.col("class_id").alias("id")).join(linked, F.col("id") == F.col("node"), "left")
+    labels = labels.select("n", "s1", "s2", "id", F.coalesce("component", "id").alias("component"))
+    rare = materialise(
+        prefixes(found, commonness(found)).join(labels, ["n", "s1", "s2", "id"]).select("id", "component", "keys"), "jaccard-prefixes"
+    )
+    keys = rare.select("id", "component", F.explode("keys").alias("key"))
+    several = keys.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
+    members = materialise(keys.join(materialise(several, "jaccard-keys"), "key").distinct(), "jaccard-members")
+    tiles = members.groupBy("key").agg(
+        F.count("*").alias("k"), F.bit_xor(F.xxhash64("id")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("x2")
+    )
+    tiles = tiles.groupBy("k", "x1", "x2").agg(F.min("key").alias("key"))
+    tiles = tiles.select("key", F.ceil(F.col("k") / TILE).cast("int").alias("cut"))
     # Every pair of a cut tile's pieces meets once: a piece is sent to itself and to its pairs with all others.
     other = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("cut").cast("long") - 1),
         lambda j: F.struct((F.least("part", j) * F.col("cut") + F.greatest("part", j)).alias("piece"), (j == F.col("part")).alias("alone")),
     )
     second = (
-        labelled.join(mixed_tiles, "key", "left_semi").withColumn("part", piece).withColumn("other", F.explode(other))
-        .select("key", "other.*", "id", "component", "band", "part").join(points, "id")
+        members.join(tiles, "key").withColumn("part", piece).withColumn("other", F.explode(other))
+        .select("key", "other.*", "id", "component", "part").join(points, "id")
     )
-    sent = _in_tiles(second, "component", "bands", "band", "part", "alone")
-    more = verified(sent.mapInArrow(_between, "a long, b long"), sets)
+    more = verified(_in_tiles(second, "component", "part", "alone").mapInArrow(_between, "a long, b long"), found)
     joined_up = components(links.unionByName(more))
 
     grouped = classes.select("n", "s1", "s2", "class_id").join(joined_up, F.col("class_id") == F.col("node"), "left")

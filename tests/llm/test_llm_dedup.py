@@ -177,6 +177,44 @@ def test_rtree_bound_finds_what_a_scan_finds():
         assert tree.smallest(counts[i], sizes[i], int(ids[i])) == (min(below) if below else None)
 
 
+def test_rtree_leaves_out_one_component():
+    draws = np.random.default_rng(4)
+    counts = draws.poisson(3, (1, jaccard.GROUPS)) + (draws.random((400, jaccard.GROUPS)) < 0.05)
+    ids = draws.permutation(400)
+    component = np.where(ids % 3 > 0, 7, ids)
+    tree, sizes = jaccard.RTree(counts, ids, component), counts.sum(axis=1)
+    for i in range(0, 400, 7):
+        fits = 175 * np.minimum(counts, counts[i]).sum(axis=1) >= 75 * (sizes + sizes[i])
+        expected = set(ids[fits & (component != component[i])].tolist())
+        assert set(tree.ids[tree.all(counts[i], sizes[i], component[i])].tolist()) == expected
+
+
+def test_jaccard_links_without_a_common_band(spark):
+    """Pairs at exactly 75 %: 30 shingles shared, five more on each side."""
+    data = []
+    for k in range(400):
+        common = " ".join(f"p{k}w{i}" for i in range(34))
+        for side in "ab":
+            data.append((len(data), common + " " + " ".join(f"{side}{k}x{i}" for i in range(5)), None, None, None))
+    bands = [set(jaccard.bands(jaccard.shingles(r[1])).tolist()) for r in data]
+    apart = [k for k in range(400) if not bands[2 * k] & bands[2 * k + 1]]
+    assert apart
+    got = jaccard.near_duplicates(cases.table(spark, data, extra=False)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == {i: (35, i - i % 2) for i in range(800)}
+
+
+def test_prefixes_of_linked_sets_meet():
+    draws = np.random.default_rng(6)
+    common = draws.integers(0, 9, jaccard.SKETCH).astype(np.uint8)
+    for n in (1, 2, 3, 4, 7, 8, 40, 333):
+        for gone in range(n // 4 + 1):
+            whole = draws.integers(-(1 << 63), (1 << 63) - 1, n)
+            part = whole[draws.permutation(n)[gone:]]
+            if 100 * len(part) >= 75 * n:
+                assert np.intersect1d(jaccard.prefix(whole, common), jaccard.prefix(part, common)).size
+    assert len(jaccard.prefix(np.empty(0, np.int64), common)) == 0
+
+
 def test_components_of_paths_stars_and_rings(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
     got = components(spark.createDataFrame(links, "a long, b long")).collect()
