@@ -164,19 +164,61 @@ class RTree:
         return np.concatenate(found) if found else np.empty(0, np.int64)
 
 
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes.view(np.uint64) >> np.uint64(44)).astype(np.int64)
+
+
+def commonness(docs: DataFrame, text_col: str) -> bytes:
+    """One byte per counter of the sketch: the bits of the number of shingles that fall into it."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(SKETCH, np.int64)
+        for batch in few_rows(batches):
+            found = [_bucket(shingles(text.as_py())) for text in batch.column(0)]
+            sums += np.bincount(np.concatenate(found), minlength=SKETCH)
+        chunks = sums.reshape(-1, CHUNK)
+        some = np.flatnonzero(chunks.any(axis=1))
+        width = "<u4" if sums.max() < 1 << 32 else "<u8"
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some, pa.int64()), pa.array([chunks[c].astype(width).tobytes() for c in some], pa.binary())], names=["chunk", "counts"]
+        )
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                sums[chunk] = sums.get(chunk, 0) + np.frombuffer(counts, f"<u{len(counts) // CHUNK}").astype(np.int64)
+        bits = [np.frexp(c.astype(np.float64))[1].astype(np.uint8).tobytes() for c in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(bits, pa.binary())], names=["chunk", "counts"])
+
+    kind = "chunk long, counts binary"
+    out = np.zeros((SKETCH // CHUNK, CHUNK), np.uint8)
+    # One row per chunk, whatever the table's size.
+    for row in docs.select(text_col).mapInArrow(count, kind).repartition("chunk").mapInArrow(add, kind).collect():
+        out[row["chunk"]] = np.frombuffer(row["counts"], np.uint8)
+    return out.tobytes()
+
+
+def prefix(found: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The shingles of a set of which every linked set has one among its own."""
+    keep = len(found) + 1 + (-PERCENT * len(found)) // 100 if len(found) else 0
+    return found[np.lexsort((found, common[_bucket(found)]))[:keep]]
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     offsets = np.concatenate(([0], np.cumsum([len(a) for a in arrays]))).astype(np.int32)
     return pa.ListArray.from_arrays(offsets, np.concatenate(arrays) if arrays else np.empty(0, np.int64))
 
 
-def features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, n, a 128-bit hash of the set (s1, s2), its point, its band keys and the set."""
+def features(docs: DataFrame, id_col: str, text_col: str, bits: bytes) -> DataFrame:
+    """id, n, a 128-bit hash of the set (s1, s2), its point, its band keys and its prefix."""
     kind = dict(docs.dtypes)[id_col]
     salt = np.uint64(0x51)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = np.frombuffer(bits, np.uint8)
         for batch in few_rows(batches):
-            n, s1, s2, points, keys, sets = [], [], [], [], [], []
+            n, s1, s2, points, keys, firsts = [], [], [], [], [], []
             for text in batch.column(1):
                 found = shingles(text.as_py())
                 n.append(len(found))
@@ -184,15 +226,15 @@ def features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 s2.append(int(signed(mixed(found + salt).sum(dtype=np.uint64, keepdims=True))[0]))
                 points.append(point(found))
                 keys.append(signed(bands(found)) if len(found) else np.empty(0, np.int64))
-                sets.append(signed(found))
+                firsts.append(prefix(signed(found), common))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
-                 pa.array(points, pa.binary()), _lists(keys), _lists(sets)],
-                names=["id", "n", "s1", "s2", "point", "bands", "set"],
+                 pa.array(points, pa.binary()), _lists(keys), _lists(firsts)],
+                names=["id", "n", "s1", "s2", "point", "bands", "prefix"],
             )
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, n long, s1 long, s2 long, point binary, bands array<long>, set array<long>")
+    return rows.mapInArrow(run, f"id {kind}, n long, s1 long, s2 long, point binary, bands array<long>, prefix array<long>")
 
 
 def _tiles(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list[np.ndarray]]:
@@ -282,66 +324,24 @@ def _in_tiles(rows: DataFrame, *extra: str) -> DataFrame:
     return rows.select(*columns).repartition("key", "piece").sortWithinPartitions("key", "piece")
 
 
-def _bucket(hashes: np.ndarray) -> np.ndarray:
-    return (hashes.view(np.uint64) >> np.uint64(44)).astype(np.int64)
-
-
-def commonness(found: DataFrame) -> bytes:
-    """One byte per counter of the sketch: the bits of the number of shingles that fall into it."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(SKETCH, np.int64)
-        for batch in few_rows(batches):
-            sums += np.bincount(_bucket(batch.column(0).flatten().to_numpy()), minlength=SKETCH)
-        chunks = sums.reshape(-1, CHUNK)
-        some = np.flatnonzero(chunks.any(axis=1))
-        width = "<u4" if sums.max() < 1 << 32 else "<u8"
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some, pa.int64()), pa.array([chunks[c].astype(width).tobytes() for c in some], pa.binary())], names=["chunk", "counts"]
-        )
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sums[chunk] = sums.get(chunk, 0) + np.frombuffer(counts, f"<u{len(counts) // CHUNK}").astype(np.int64)
-        bits = [np.frexp(c.astype(np.float64))[1].astype(np.uint8).tobytes() for c in sums.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(bits, pa.binary())], names=["chunk", "counts"])
-
-    kind = "chunk long, counts binary"
-    out = np.zeros((SKETCH // CHUNK, CHUNK), np.uint8)
-    # One row per chunk, whatever the table's size.
-    for row in found.select("set").mapInArrow(count, kind).repartition("chunk").mapInArrow(add, kind).collect():
-        out[row["chunk"]] = np.frombuffer(row["counts"], np.uint8)
-    return out.tobytes()
-
-
-def prefix(found: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The shingles of a set of which every linked set has one among its own."""
-    keep = len(found) + 1 + (-PERCENT * len(found)) // 100 if len(found) else 0
-    return found[np.lexsort((found, common[_bucket(found)]))[:keep]]
-
-
-def prefixes(found: DataFrame, bits: bytes) -> DataFrame:
-    """id, n, s1, s2 and the set's prefix."""
-    kind = dict(found.dtypes)["id"]
+def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, set) of the documents of some ids."""
+    kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = np.frombuffer(bits, np.uint8)
         for batch in few_rows(batches):
-            sets = batch.column(4)
-            ends = np.cumsum(sets.value_lengths().to_numpy())[:-1]
-            kept = [prefix(s, common) for s in np.split(sets.flatten().to_numpy(), ends)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], _lists(kept)], names=["id", "n", "s1", "s2", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists([signed(shingles(t.as_py())) for t in batch.column(1)])], names=["id", "set"])
 
-    return found.select("id", "n", "s1", "s2", "set").mapInArrow(run, f"id {kind}, n long, s1 long, s2 long, keys array<long>")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    wanted = rows.join(ids, "id", "left_semi").dropDuplicates(["id"])
+    return materialise(wanted.mapInArrow(run, f"id {kind}, set array<long>"), "jaccard-sets")
 
 
-def verified(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough; only sets that a pair names are moved."""
+def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough; only texts that a pair names are moved."""
     pairs = materialise(pairs.distinct(), "jaccard-pairs")
     named = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = materialise(found.select("id", "set").join(named, "id", "left_semi").dropDuplicates(["id"]), "jaccard-sets")
+    sets = _sets(docs, named, id_col, text_col)
     left = sets.select(F.col("id").alias("a"), F.col("set").alias("set_a"))
     right = sets.select(F.col("id").alias("b"), F.col("set").alias("set_b"))
     both = F.size(F.array_intersect("set_a", "set_b"))
@@ -351,7 +351,7 @@ def verified(pairs: DataFrame, found: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, class_id (smallest id of its equal sets), component_id."""
-    found = materialise(features(docs, id_col, text_col), "jaccard-features")
+    found = materialise(features(docs, id_col, text_col, commonness(docs, text_col)), "jaccard-features")
     classes = materialise(
         found.filter("n > 0 and id is not null").groupBy("n", "s1", "s2")
         .agg(F.min("id").alias("class_id"), F.first("point").alias("point"), F.first("bands").alias("bands")),
@@ -366,15 +366,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     piece = F.when(F.col("cut") > 1, F.pmod(F.xxhash64("id"), F.col("cut"))).otherwise(0).cast("long")
     pieces = F.when(F.col("id") == F.col("pivot"), F.sequence(F.lit(0).cast("long"), F.col("cut").cast("long") - 1)).otherwise(F.array(piece))
     first = tiled.withColumn("piece", F.explode(pieces)).join(points, "id")
-    links = materialise(verified(_in_tiles(first).mapInArrow(_near, "a long, b long"), found), "jaccard-links")
+    links = materialise(verified(_in_tiles(first).mapInArrow(_near, "a long, b long"), docs, id_col, text_col), "jaccard-links")
     linked = components(links)
 
-    labels = classes.select("n", "s1", "s2", F.col("class_id").alias("id")).join(linked, F.col("id") == F.col("node"), "left")
-    labels = labels.select("n", "s1", "s2", "id", F.coalesce("component", "id").alias("component"))
-    rare = materialise(
-        prefixes(found, commonness(found)).join(labels, ["n", "s1", "s2", "id"]).select("id", "component", "keys"), "jaccard-prefixes"
+    # Most documents are their class's smallest id and not linked yet; only the others have a row here.
+    known = classes.select("n", "s1", "s2", "class_id").join(linked, F.col("class_id") == F.col("node"), "left").drop("node")
+    moved = materialise(
+        found.filter("id is not null").select("id", "n", "s1", "s2").distinct().join(known, ["n", "s1", "s2"])
+        .filter("id <> class_id or component is not null"),
+        "jaccard-labels",
     )
-    keys = rare.select("id", "component", F.explode("keys").alias("key"))
+    ones = found.filter("n > 0 and id is not null").select("id", "n", "s1", "s2", "prefix").join(moved, ["id", "n", "s1", "s2"], "left")
+    ones = ones.filter("class_id is null or class_id = id")
+    keys = ones.select("id", F.coalesce("component", "id").alias("component"), F.explode("prefix").alias("key"))
     several = keys.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
     members = materialise(keys.join(materialise(several, "jaccard-keys"), "key").distinct(), "jaccard-members")
     tiles = members.groupBy("key").agg(
@@ -391,7 +395,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         members.join(tiles, "key").withColumn("part", piece).withColumn("other", F.explode(other))
         .select("key", "other.*", "id", "component", "part").join(points, "id")
     )
-    more = verified(_in_tiles(second, "component", "part", "alone").mapInArrow(_between, "a long, b long"), found)
+    more = verified(_in_tiles(second, "component", "part", "alone").mapInArrow(_between, "a long, b long"), docs, id_col, text_col)
     joined_up = components(links.unionByName(more))
 
     grouped = classes.select("n", "s1", "s2", "class_id").join(joined_up, F.col("class_id") == F.col("node"), "left")
