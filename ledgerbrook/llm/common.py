@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -15,6 +16,7 @@ from ledgerbrook.session import materialise
 WORD = r"[^\x20\x09-\x0D]+"
 #: A table of one row per key is broadcast up to this size; beyond it the join is left to Spark.
 BROADCAST_BYTES = 8 << 20
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def importable(spark: SparkSession) -> None:
@@ -28,6 +30,17 @@ def importable(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = f"{known}:{root}" if known else root
 
 
+@contextmanager
+def shuffles_cleared(spark: SparkSession) -> Iterator[None]:
+    """For passes that store their results: the shuffle files of a pass go when it ends."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
+
+
 def few_rows(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, so that a task holds the results of few texts at once."""
     for whole in batches:

@@ -15,12 +15,16 @@ tile, each point asks its tree for the smallest id within the bound, and these l
 
 The second round is exact. All shingles have one order, from rare to common by a sketch of counts and
 then by hash. Of n shingles, a linked document shares at least ceil(PERCENT n / 100), so two linked
-documents share one of their first n - ceil(PERCENT n / 100) + 1: these shingles are the tiles. Only tiles
-that hold several components are asked, for all pairs between different ones, and of tiles with the same
-members one. So large groups of near copies cost one question per member and no link is lost. The sketch
-has a fixed size; it decides how large tiles are, not what is found. Tiles over TILE points are cut;
-the first round ties the pieces together by the tile's smallest id, the second compares all pairs of
-pieces. All draws are fixed, so reruns agree.
+documents share one of their first n - ceil(PERCENT n / 100) + 1. Of these shingles only those that
+several components hold matter. A group of texts that are alike, yet not enough to be linked, shares
+many of them, so the holders of all shingles with the same smallest holder make one tile: a row per
+document and tile, whatever number of shingles and pairs it stands for. A tile keeps its members that
+some other component comes near, by their points and, for long texts, by finer ones; these meet again
+with their sets, and a tile gives the links that join its components, less than it has members. So no
+pair is moved or stored before it is known to be linked, and no link is lost. The sketch has a fixed
+size; it decides how large tiles are, not what is found. Tiles over TILE points or SHINGLES shingles are
+cut; the first round ties the pieces together by the tile's smallest id, the second compares all pairs
+of pieces. All draws are fixed, so reruns agree.
 
 Defined results: a null text, or one without words, has no shingles and is a component of its own; with
 fewer words than a shingle the whole sequence is the only one; repeated words and rows count once in
@@ -36,10 +40,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerbrook.llm.common import few_rows
+from ledgerbrook.llm.common import few_rows, shuffles_cleared
 from ledgerbrook.llm.components import components
 from ledgerbrook.llm.hashing import joined, mixed, signed, windows, word_hashes
 from ledgerbrook.session import materialise
@@ -50,6 +54,10 @@ PERCENT = 75
 GROUPS = 256
 BANDS, ROWS = 12, 4
 TILE = 20_000
+#: Shingles of the sets that one piece of a tile holds.
+SHINGLES = 4_000_000
+#: Places of a set of marks, which tells most rows apart that a join would drop.
+MARKS = 1 << 23
 #: Counters of the shingle sketch, and those in one row of it.
 SKETCH, CHUNK = 1 << 20, 1 << 14
 #: Points of a leaf and children of a node.
@@ -85,6 +93,25 @@ def coordinates(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{len(data) // GROUPS}").astype(np.int64)
 
 
+def fine(found: np.ndarray) -> bytes:
+    """Sizes, 255 at most, of so many groups that some four shingles fall into each; none where ``point`` has as many."""
+    bits = len(found).bit_length() - 2
+    if len(found) <= 4 * GROUPS:
+        return b""
+    sizes = np.bincount((found >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(sizes, 255).astype("<u1").tobytes()
+
+
+def may_link(a: bytes, b: bytes, sizes: int) -> bool:
+    """Whether two sets with so many shingles together can be linked: fine sizes differ by no more than the sets do."""
+    x, y = (np.frombuffer(d, "<u1").astype(np.int64) for d in (a, b))
+    least = min(len(x), len(y))
+    if not least:
+        return True
+    x, y = x.reshape(least, -1).sum(axis=1), y.reshape(least, -1).sum(axis=1)
+    return (100 + PERCENT) * int(np.abs(x - y).sum()) <= (100 - PERCENT) * sizes
+
+
 def bands(found: np.ndarray) -> np.ndarray:
     """One 64-bit key per band: the least values of ROWS hash functions."""
     low = (found ^ (found >> np.uint64(32))).astype(np.uint32)
@@ -211,30 +238,31 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def features(docs: DataFrame, id_col: str, text_col: str, bits: bytes) -> DataFrame:
-    """id, n, a 128-bit hash of the set (s1, s2), its point, its band keys and its prefix."""
+    """id, n, a 128-bit hash of the set (s1, s2), its points, its band keys and its prefix."""
     kind = dict(docs.dtypes)[id_col]
     salt = np.uint64(0x51)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = np.frombuffer(bits, np.uint8)
         for batch in few_rows(batches):
-            n, s1, s2, points, keys, firsts = [], [], [], [], [], []
+            n, s1, s2, points, finer, keys, firsts = [], [], [], [], [], [], []
             for text in batch.column(1):
                 found = shingles(text.as_py())
                 n.append(len(found))
                 s1.append(int(signed(mixed(found).sum(dtype=np.uint64, keepdims=True))[0]))
                 s2.append(int(signed(mixed(found + salt).sum(dtype=np.uint64, keepdims=True))[0]))
                 points.append(point(found))
+                finer.append(fine(found))
                 keys.append(signed(bands(found)) if len(found) else np.empty(0, np.int64))
                 firsts.append(prefix(signed(found), common))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
-                 pa.array(points, pa.binary()), _lists(keys), _lists(firsts)],
-                names=["id", "n", "s1", "s2", "point", "bands", "prefix"],
+                 pa.array(points, pa.binary()), pa.array(finer, pa.binary()), _lists(keys), _lists(firsts)],
+                names=["id", "n", "s1", "s2", "point", "fine", "bands", "prefix"],
             )
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, n long, s1 long, s2 long, point binary, bands array<long>, prefix array<long>")
+    return rows.mapInArrow(run, f"id {kind}, n long, s1 long, s2 long, point binary, fine binary, bands array<long>, prefix array<long>")
 
 
 def _tiles(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list[np.ndarray]]:
@@ -284,30 +312,65 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Second round: all pairs of a tile within the bound whose components differ.
+    """Second round: the members of a tile that another component's point comes near, each once.
 
     A piece that meets another one only looks at pairs across.
     """
-    a, b = [], []
-    for _, _, ids, points, component, part, alone in _tiles(batches, ["key", "piece", "id", "point", "component", "part", "alone"]):
+    names = ["key", "piece", "id", "point", "fine", "component", "part", "alone"]
+    for key, _, ids, points, finer, component, part, alone in _tiles(batches, names):
         keep = np.unique(ids, return_index=True)[1]
-        ids, points, component, part = ids[keep], points[keep], component[keep], part[keep]
+        ids, points, finer, component, part = ids[keep], points[keep], finer[keep], component[keep], part[keep]
         if (component == component[0]).all():
             continue
         counts = np.stack([coordinates(p) for p in points])
         sizes = counts.sum(axis=1)
         tree = RTree(counts, ids, component)
-        sides = part[tree.order]
+        near = np.zeros(len(ids), bool)
         for i in range(len(ids)):
-            found = tree.all(counts[i], sizes[i], component[i])
-            found = found[tree.ids[found] < ids[i]]
+            if near[i]:
+                continue
+            found = tree.order[tree.all(counts[i], sizes[i], component[i])]
+            found = found[component[found] != component[i]]
             if not alone[0]:
-                found = found[sides[found] != part[i]]
-            a += [int(ids[i])] * len(found)
-            b += tree.ids[found].tolist()
-            if len(a) > 50_000:
-                yield _pairs(a, b)
-                a, b = [], []
+                found = found[part[found] != part[i]]
+            for j in found.tolist():
+                if may_link(finer[i], finer[j], int(sizes[i] + sizes[j])):
+                    near[[i, j]] = True
+                    break
+        if near.any():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x.astype(np.int64)) for x in (key[: near.sum()], ids[near], component[near], sizes[near])], names=["key", "id", "component", "n"]
+            )
+
+
+def _joining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of a tile between components that none of its links has joined so far, by the members' sets."""
+    a, b = [], []
+    for _, _, ids, component, part, alone, sets in _tiles(batches, ["key", "piece", "id", "component", "part", "alone", "set"]):
+        keep = np.unique(ids, return_index=True)[1]
+        ids, part, sets = ids[keep], part[keep], sets[keep]
+        label = np.unique(component[keep], return_inverse=True)[1]
+        sizes = np.array([len(x) for x in sets])
+        holders = np.repeat(np.arange(len(ids)), sizes)
+        _, shingle = np.unique(np.concatenate(sets), return_inverse=True)
+        order, starts = np.argsort(shingle, kind="stable"), np.concatenate(([0], np.cumsum(np.bincount(shingle))))
+        holders, own = holders[order], np.split(shingle, np.cumsum(sizes)[:-1])
+        for i in range(1, len(ids)):
+            if (label == label[i]).all():
+                continue
+            lists = [holders[starts[x] : starts[x + 1]] for x in own[i].tolist()]
+            both = np.bincount(np.concatenate(lists), minlength=len(ids))[:i]
+            fits = 100 * both >= PERCENT * (sizes[i] + sizes[:i] - both)
+            if not alone[0]:
+                fits &= part[:i] != part[i]
+            for j in np.flatnonzero(fits).tolist():
+                if label[j] != label[i]:
+                    label[label == label[j]] = label[i]
+                    a.append(int(ids[i]))
+                    b.append(int(ids[j]))
+        if len(a) > 50_000:
+            yield _pairs(a, b)
+            a, b = [], []
     yield _pairs(a, b)
 
 
@@ -320,21 +383,57 @@ def _pairs(a: list[int], b: list[int]) -> pa.RecordBatch:
 
 
 def _in_tiles(rows: DataFrame, *extra: str) -> DataFrame:
-    columns = ["key", "piece", "id", "point", *extra]
+    columns = ["key", "piece", "id", *extra]
     return rows.select(*columns).repartition("key", "piece").sortWithinPartitions("key", "piece")
 
 
+def _marks(at: DataFrame) -> bytes:
+    """A bit for each of MARKS places, set for those in the only column: one size whatever the number of rows."""
+    column = F.col(at.columns[0]) + 1
+    found = at.groupBy(F.bitmap_bucket_number(column).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(column)).alias("bits"))
+    out = np.zeros((MARKS >> 15, 4096), np.uint8)
+    for row in found.collect():
+        out[row["bucket"] - 1] = np.frombuffer(row["bits"], np.uint8)
+    return out.tobytes()
+
+
+def _marked(bits: bytes, at: np.ndarray) -> np.ndarray:
+    return (np.frombuffer(bits, np.uint8)[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _place(id_col: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(MARKS))
+
+
 def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, set) of the documents of some ids."""
-    kind = dict(docs.dtypes)[id_col]
+    """(id, set) of the documents of some ids. No text is moved, and few sets of other documents."""
+    kind, bits = dict(docs.dtypes)[id_col], _marks(ids.select(_place("id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in few_rows(batches):
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists([signed(shingles(t.as_py())) for t in batch.column(1)])], names=["id", "set"])
+            some = batch.filter(pa.array(_marked(bits, batch.column(2).to_numpy())))
+            yield pa.RecordBatch.from_arrays([some.column(0), _lists([signed(shingles(t.as_py())) for t in some.column(1)])], names=["id", "set"])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    wanted = rows.join(ids, "id", "left_semi").dropDuplicates(["id"])
-    return materialise(wanted.mapInArrow(run, f"id {kind}, set array<long>"), "jaccard-sets")
+    rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _place(id_col).alias("at"))
+    found = rows.mapInArrow(run, f"id {kind}, set array<long>")
+    return materialise(found.join(ids, "id", "left_semi").dropDuplicates(["id"]), "jaccard-sets")
+
+
+def _holders(rows: DataFrame, several: DataFrame) -> DataFrame:
+    """(shingle, id, component) of the prefixes, for few shingles but those of ``several``."""
+    bits = _marks(several.select(F.col("shingle").bitwiseAND(MARKS - 1)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in few_rows(batches):
+            found = batch.column(2).flatten().to_numpy()
+            keep = _marked(bits, found & (MARKS - 1))
+            held = np.repeat(np.arange(batch.num_rows), batch.column(2).value_lengths().to_numpy())[keep]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found[keep]), *[batch.column(c).take(pa.array(held)) for c in (0, 1)]], names=["shingle", "id", "component"]
+            )
+
+    kind = dict(rows.dtypes)
+    return rows.select("id", "component", "prefix").mapInArrow(run, f"shingle long, id {kind['id']}, component {kind['component']}")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -349,24 +448,43 @@ def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> D
     return pairs.join(left, "a").join(right, "b").filter(100 * both >= PERCENT * union).select("a", "b")
 
 
+def _part() -> Column:
+    return F.when(F.col("cut") > 1, F.pmod(F.xxhash64("id"), F.col("cut"))).otherwise(0).cast("long")
+
+
+def _cut(members: DataFrame, pieces: Column) -> DataFrame:
+    """Members of tiles (key) in pieces. Every pair of a tile's parts meets once: a part is sent to itself and to its pairs with all others."""
+    other = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("cut").cast("long") - 1),
+        lambda j: F.struct((F.least("part", j) * F.col("cut") + F.greatest("part", j)).alias("piece"), (j == F.col("part")).alias("alone")),
+    )
+    tiles = members.groupBy("key").agg(pieces.cast("int").alias("cut"))
+    return members.join(tiles, "key").withColumn("part", _part()).withColumn("other", F.explode(other)).select(*members.columns, "other.*", "part")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, class_id (smallest id of its equal sets), component_id."""
+    with shuffles_cleared(docs.sparkSession):
+        return _near_duplicates(docs, id_col, text_col)
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     found = materialise(features(docs, id_col, text_col, commonness(docs, text_col)), "jaccard-features")
     classes = materialise(
         found.filter("n > 0 and id is not null").groupBy("n", "s1", "s2")
-        .agg(F.min("id").alias("class_id"), F.first("point").alias("point"), F.first("bands").alias("bands")),
+        .agg(F.min("id").alias("class_id"), F.first("point").alias("point"), F.first("fine").alias("fine"), F.first("bands").alias("bands")),
         "jaccard-classes",
     )
     keys = classes.select(F.explode("bands").alias("key"), F.col("class_id").alias("id"))
     shared = keys.groupBy("key").agg(F.count("*").alias("k"), F.min("id").alias("pivot")).filter("k > 1")
     tiled = keys.join(shared, "key").withColumn("cut", F.ceil(F.col("k") / TILE).cast("int"))
-    points = classes.select(F.col("class_id").alias("id"), "point")
+    points = classes.select(F.col("class_id").alias("id"), "point", "fine")
 
     # The pieces of a cut tile all get the tile's smallest id.
-    piece = F.when(F.col("cut") > 1, F.pmod(F.xxhash64("id"), F.col("cut"))).otherwise(0).cast("long")
+    piece = _part()
     pieces = F.when(F.col("id") == F.col("pivot"), F.sequence(F.lit(0).cast("long"), F.col("cut").cast("long") - 1)).otherwise(F.array(piece))
     first = tiled.withColumn("piece", F.explode(pieces)).join(points, "id")
-    links = materialise(verified(_in_tiles(first).mapInArrow(_near, "a long, b long"), docs, id_col, text_col), "jaccard-links")
+    links = materialise(verified(_in_tiles(first, "point").mapInArrow(_near, "a long, b long"), docs, id_col, text_col), "jaccard-links")
     linked = components(links)
 
     # Most documents are their class's smallest id and not linked yet; only the others have a row here.
@@ -378,24 +496,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     ones = found.filter("n > 0 and id is not null").select("id", "n", "s1", "s2", "prefix").join(moved, ["id", "n", "s1", "s2"], "left")
     ones = ones.filter("class_id is null or class_id = id")
-    keys = ones.select("id", F.coalesce("component", "id").alias("component"), F.explode("prefix").alias("key"))
-    several = keys.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
-    members = materialise(keys.join(materialise(several, "jaccard-keys"), "key").distinct(), "jaccard-members")
-    tiles = members.groupBy("key").agg(
-        F.count("*").alias("k"), F.bit_xor(F.xxhash64("id")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("x2")
-    )
-    tiles = tiles.groupBy("k", "x1", "x2").agg(F.min("key").alias("key"))
-    tiles = tiles.select("key", F.ceil(F.col("k") / TILE).cast("int").alias("cut"))
-    # Every pair of a cut tile's pieces meets once: a piece is sent to itself and to its pairs with all others.
-    other = F.transform(
-        F.sequence(F.lit(0).cast("long"), F.col("cut").cast("long") - 1),
-        lambda j: F.struct((F.least("part", j) * F.col("cut") + F.greatest("part", j)).alias("piece"), (j == F.col("part")).alias("alone")),
-    )
-    second = (
-        members.join(tiles, "key").withColumn("part", piece).withColumn("other", F.explode(other))
-        .select("key", "other.*", "id", "component", "part").join(points, "id")
-    )
-    more = verified(_in_tiles(second, "component", "part", "alone").mapInArrow(_between, "a long, b long"), docs, id_col, text_col)
+    ones = ones.select("id", F.coalesce("component", "id").alias("component"), "prefix")
+    keys = ones.select("id", "component", F.explode("prefix").alias("shingle"))
+    several = keys.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("key"))
+    several = materialise(several.filter("low < high").select("shingle", "key"), "jaccard-keys")
+    members = materialise(_holders(ones, several).join(several, "shingle").select("key", "id", "component").distinct(), "jaccard-members")
+    second = _cut(members, F.ceil(F.count("*") / TILE)).join(points, "id")
+    kind = "key long, id long, component long, n long"
+    near = _in_tiles(second, "point", "fine", "component", "part", "alone").mapInArrow(_between, kind)
+    near = materialise(near.distinct(), "jaccard-near")
+    third = _cut(near, F.ceil(F.sum("n") / SHINGLES)).join(_sets(docs, near.select("id").distinct(), id_col, text_col), "id")
+    more = _in_tiles(third, "component", "part", "alone", "set").mapInArrow(_joining, "a long, b long")
+    more = materialise(more.distinct(), "jaccard-joining")
     joined_up = components(links.unionByName(more))
 
     grouped = classes.select("n", "s1", "s2", "class_id").join(joined_up, F.col("class_id") == F.col("node"), "left")

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerbrook.llm.common import fold
+from ledgerbrook.llm.common import fold, shuffles_cleared
 from ledgerbrook.session import delete_path, materialise
 
 #: Bytes of text in a block, and what a row adds to it; its distinct words and grams are held by one task.
@@ -48,9 +48,6 @@ CONTEXT_LEAST, GRAM_LEAST = 4, 2
 DIVERGENCE = 0.02
 ADD = 0.1
 
-#: Every pass stores its result, so its shuffle files can go when it ends.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
 FOUND = "block long, gram long, n long, total double, gain double, listed double, q double, entries long"
 
 
@@ -331,13 +328,8 @@ class Tree:
 
 def train(blocked: DataFrame) -> tuple[Tree, DataFrame, dict]:
     """(tree, training counts by block and word, totals) of documents in blocks."""
-    conf = blocked.sparkSession.conf
-    before = conf.get(CLEANUP, None)
-    conf.set(CLEANUP, "true")
-    try:
+    with shuffles_cleared(blocked.sparkSession):
         return _train(blocked)
-    finally:
-        conf.set(CLEANUP, before) if before is not None else conf.unset(CLEANUP)
 
 
 def _train(blocked: DataFrame) -> tuple[Tree, DataFrame, dict]:

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import cases
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerbrook.llm import exact_dedup, jaccard, substring
@@ -203,6 +204,70 @@ def test_jaccard_links_without_a_common_band(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == {i: (35, i - i % 2) for i in range(800)}
 
 
+def alike(n: int, size: int, changed: int, seed: int = 5) -> list[str]:
+    """Texts that share most of their words with one text, yet less with each other."""
+    draws = np.random.default_rng(seed)
+    texts = []
+    for k in range(n):
+        words = [f"b{i}" for i in range(size)]
+        for at in draws.choice(size, changed, replace=False):
+            words[at] = f"n{k}x{at}"
+        texts.append(" ".join(words))
+    return texts
+
+
+def tile_batch(texts: list[str], **more) -> pa.RecordBatch:
+    found = [jaccard.shingles(t) for t in texts]
+    n = len(texts)
+    columns = {"key": np.zeros(n, np.int64), "piece": np.zeros(n, np.int64), "id": np.arange(n), "component": np.arange(n),
+               "part": np.zeros(n, np.int64), "alone": np.ones(n, bool), "point": [jaccard.point(f) for f in found],
+               "fine": [jaccard.fine(f) for f in found], "set": [f.view(np.int64) for f in found]}
+    return pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
+
+
+def test_jaccard_rows_of_a_tile_do_not_grow_with_its_pairs():
+    """60 texts that are alike give a row each, not one per pair; 60 linked ones the links that join them."""
+    tile = tile_batch(alike(60, 400, 8))
+    near = [b for b in jaccard._between(iter([tile]))]
+    assert sum(b.num_rows for b in near) == 60
+    links = [b for b in jaccard._joining(iter([tile_batch(alike(60, 400, 2))]))]
+    assert sum(b.num_rows for b in links) == 59
+    assert sum(b.num_rows for b in jaccard._joining(iter([tile_batch(alike(20, 400, 20))]))) == 0
+
+
+def test_fine_sizes_lose_no_link_and_tell_long_texts_apart():
+    draws = np.random.default_rng(9)
+    for n in (1000, 1400, 5000, 20_000):
+        whole = draws.integers(0, 1 << 64, n, np.uint64)
+        for gone in (0, 1, n // 8, n // 4):
+            part = whole[gone:]
+            assert jaccard.may_link(jaccard.fine(whole), jaccard.fine(part), len(whole) + len(part))
+        other = draws.integers(0, 1 << 64, n, np.uint64)
+        assert jaccard.may_link(jaccard.fine(whole), jaccard.fine(other), 2 * n) == (n <= 1024)
+    assert jaccard.may_link(jaccard.fine(np.full(3000, 7, np.uint64)), jaccard.fine(np.full(2900, 7, np.uint64)), 5900)
+
+
+def test_jaccard_of_texts_alike_and_long(spark, monkeypatch):
+    """Families on either side of the bound, short and long, in whole and in cut tiles."""
+    texts = [t for size, changed in ((400, 6), (400, 8), (150, 2), (2500, 40), (2500, 50)) for t in alike(12, size, changed, size + changed)]
+    data = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    expected = brute_jaccard(data)
+    assert len({c for _, c in expected.values()}) > 5
+    for limits in ({}, {"TILE": 5, "SHINGLES": 2000}):
+        for name, value in limits.items():
+            monkeypatch.setattr(jaccard, name, value)
+        got = jaccard.near_duplicates(cases.table(spark, data, extra=False)).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == expected
+
+
+def test_marks_hold_every_place(spark):
+    places = [0, 1, 7, 8, 32767, 32768, 70_000, jaccard.MARKS - 1]
+    bits = jaccard._marks(spark.createDataFrame([(p,) for p in places], "at long"))
+    some = np.unique([max(0, p - 1) for p in places] + places + [5, 99])
+    assert some[jaccard._marked(bits, some)].tolist() == places
+    assert not any(jaccard._marks(spark.createDataFrame([], "at long")))
+
+
 def test_prefixes_of_linked_sets_meet():
     draws = np.random.default_rng(6)
     common = draws.integers(0, 9, jaccard.SKETCH).astype(np.uint8)
