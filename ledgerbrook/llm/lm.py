@@ -9,10 +9,13 @@ distribution. Every token is scored by the longest state that fits, so a text's
 probability of its token sequence. The two bounds are counts, not shares, so the tree grows with the input.
 
 Every task packs its documents into blocks of bounded size: the block's own words, and the texts as places
-among them. Words and then, level by level, grams are counted per block; counts meet by word or gram and
-come back to the blocks that hold it, and so do the states, by their context. A block scores its documents
-with its own words, grams and states. So neither the vocabulary, nor the corpus, nor the tree is ever in one
-place. A gram is counted only where its two shorter grams are frequent enough, which loses none.
+among them. Words and then, level by level, grams are counted per block and meet in buckets, ranges of their
+hashes: a block sends each bucket one packed row of its sorted grams and counts, and gets back a row of the
+sums in the same order, so no gram returns; so it is with the states, by their context. There are as many
+buckets as blocks, so a bucket's share is bounded like a block. A block finds its grams again from its texts and what it was told,
+and scores its documents with its own words, grams and states. So neither the vocabulary, nor the corpus, nor
+the tree is ever in one place. A gram is counted only where its two shorter grams are frequent enough, which
+loses none.
 
 Defined results: a null text counts as empty and has one token, its end; words are counted in whole
 texts; documents held out by the fold teach nothing; without training documents all counts are 0; a
@@ -22,9 +25,9 @@ rows. Other columns are ignored. Words and grams are matched by 64-bit hash.
 
 from __future__ import annotations
 
-import math
 from array import array
-from collections.abc import Callable, Iterator
+from collections import defaultdict
+from collections.abc import Iterator
 from functools import cached_property, reduce
 
 import numpy as np
@@ -32,14 +35,14 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerbrook.llm.common import fold, shuffles_cleared
-from ledgerbrook.session import delete_path, materialise
+from ledgerbrook.session import materialise
 
 #: Bytes of text in a block, and what a row adds to it; its distinct words and grams are held by one task.
-BLOCK_BYTES, ROW_BYTES = 16 << 20, 16
+BLOCK_BYTES, ROW_BYTES = 8 << 20, 16
 #: Longest context in words.
 DEPTH = 3
 #: Least counts of a context, and of a context with its next token.
@@ -48,7 +51,9 @@ CONTEXT_LEAST, GRAM_LEAST = 4, 2
 DIVERGENCE = 0.02
 ADD = 0.1
 
-FOUND = "block long, gram long, n long, total double, gain double, listed double, q double, entries long"
+#: What a block asks of a bucket, and what it is told.
+ASKED = "bucket int, block long, level int, state boolean, grams binary, n binary, more binary"
+TOLD = "block long, level int, state boolean, bucket int, n binary, more binary, sums array<long>"
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -65,32 +70,45 @@ def word_key(word: bytes) -> int:
 EDGE = word_key(b" ")
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Values by the place of their bytes, compressed; most high bytes are zero."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes)
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
 def blocks(docs: DataFrame, id_col: str, text_col: str, folds: int) -> DataFrame:
     """One stored row per block. A task's rows fill its blocks as they come, so no id can fill one."""
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (fold(F.col(id_col), folds) == 0).alias("held_out"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, squeeze = TaskContext.get().partitionId() << 32, zstandard.ZstdCompressor(level=1)
+        block = TaskContext.get().partitionId() << 32
+
+        def numbered() -> dict[bytes, int]:
+            index = defaultdict(None, {b" ": 0})
+            index.default_factory = index.__len__
+            return index
 
         def close():
-            keys = np.fromiter((EDGE, *map(word_key, index)), np.int64, len(index) + 1)
+            keys = np.fromiter(map(word_key, index), np.int64, len(index))
             found = pa.concat_arrays(ids)
             one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
             return pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int64()), one(found), one(pa.array(held, pa.bool_())), one(pa.array(sizes, pa.int32())),
-                 pa.array([keys.tobytes()], pa.binary()), pa.array([squeeze.compress(seq.tobytes())], pa.binary())],
+                 pa.array([keys.tobytes()], pa.binary()), pa.array([packed(np.frombuffer(seq, np.int32))], pa.binary())],
                 names=["block", "ids", "held", "sizes", "words", "places"],
             )
 
-        index, ids, held, sizes, seq, size = {}, [], [], [], array("i"), 0
+        index, ids, held, sizes, seq, size = numbered(), [], [], [], array("i"), 0
         for batch in batches:
             start = 0
             for i, (text, out) in enumerate(zip(batch.column(1), batch.column(2), strict=True), 1):
                 words = tokens(text.as_py())
-                for w in words:
-                    if w not in index:
-                        index[w] = len(index) + 1
                 seq.append(0)
                 seq.extend(map(index.__getitem__, words))
                 seq.append(0)
@@ -101,7 +119,7 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, folds: int) -> DataFrame
                     ids.append(batch.column(0).slice(start, i - start))
                     yield close()
                     block += 1
-                    start, index, ids, held, sizes, seq, size = i, {}, [], [], [], array("i"), 0
+                    start, index, ids, held, sizes, seq, size = i, numbered(), [], [], [], array("i"), 0
             if start < batch.num_rows:
                 ids.append(batch.column(0).slice(start))
         if sizes:
@@ -128,71 +146,112 @@ def extend(codes: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 class Level:
-    """What is known of grams of one length: count, whether the block reports it, and its state as a context."""
+    """What is known of grams of one length: count, whether the block reports it, and which of the states it is, if any."""
+
+    def __init__(self, gram: np.ndarray, n: np.ndarray, mine: np.ndarray):
+        self.gram, self.n, self.mine = gram, n, mine
+        self.state, self.remainder, self.whole = None, np.empty(0), np.empty(0)
+
+    def contexts(self) -> np.ndarray:
+        """Whether each gram may be a state."""
+        return self.n >= CONTEXT_LEAST
+
+    def become(self, at: np.ndarray, remainder: np.ndarray, whole: np.ndarray) -> None:
+        """The grams in some places are states."""
+        self.state, self.remainder, self.whole = np.full(len(self.n), -1, np.int32), remainder, whole
+        self.state[at] = np.arange(len(at))
+
+    def by_gram(self, values: np.ndarray) -> np.ndarray:
+        """Values of states; 0 for other grams."""
+        return np.append(values, 0.0)[np.full(len(self.n), -1) if self.state is None else self.state]
+
+
+class Told:
+    """The buckets' answers to one block, in the order of its grams."""
 
     def __init__(self, rows: pa.Table):
-        gram = rows.column("gram").to_numpy()
-        order = np.argsort(gram)
-        self.gram = gram[order]
-        self.n, self.remainder, self.whole = (rows.column(c).to_numpy().astype(float)[order] for c in ("n", "remainder", "whole"))
-        self.mine = rows.column("mine").to_numpy(zero_copy_only=False).astype(bool)[order]
+        kinds = ("level", "state", "bucket", "n", "more")
+        self.parts: dict[tuple, list] = {}
+        for level, state, _, n, more in sorted(zip(*(rows.column(c).to_pylist() for c in kinds), strict=True), key=lambda r: r[:3]):
+            self.parts.setdefault((level, state), []).append((n, more))
 
+    def _read(self, level: int, state: bool, place: int, kind: type) -> np.ndarray:
+        return np.concatenate([np.empty(0, kind), *(unpacked(part[place], kind) for part in self.parts.get((level, state), []))])
 
-def known_levels(rows: pa.Table) -> list[Level]:
-    level = rows.column("level").to_numpy()
-    return [Level(rows.filter(pa.array(level == k))) for k in range(DEPTH + 1)]
+    def level(self, k: int, grams: np.ndarray) -> Level:
+        level = Level(grams, self._read(k, False, 0, np.int64), self._read(k, False, 1, np.uint8).astype(bool))
+        if (k, True) in self.parts:
+            entries, listed = self._read(k, True, 0, np.int64), self._read(k, True, 1, np.int64)
+            some = entries > 0
+            at = np.flatnonzero(level.contexts())[some]
+            whole = (level.n[at] + entries[some] + 1).astype(float)
+            level.become(at, whole - listed[some], whole)
+        return level
 
 
 class Walk:
-    """Texts as keys, each after its start; all arrays are by position."""
-
-    def __init__(self, words: np.ndarray, places: np.ndarray, depth: np.ndarray, levels: list[Level]):
-        self.words, self.places, self.depth, self.levels = words, places, depth, levels
-        self.keys = words[places]
-        self.codes = [self.keys]
-        found, at = _find(levels[0].gram, words)
-        self.where = [np.where(found, at, -1)[places]]  # of the word, then of longer grams, in their level
-
-    def count(self, level: int) -> np.ndarray:
-        at = self.where[level]
-        return np.where(at >= 0, np.append(self.levels[level].n, 0.0)[at], 0.0)
-
-    def longer(self, level: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions that may end a frequent gram of ``level`` words and one more, and the grams' codes."""
-        n = self.count(level - 1)
-        at = 1 + np.flatnonzero((n[:-1] >= CONTEXT_LEAST) & (n[1:] >= GRAM_LEAST) & (self.depth[1:] >= level))
-        return at, extend(self.codes[-1][at - 1], self.keys[at])
-
-    def step(self, level: int) -> None:
-        """Look up the grams of ``level`` words and one more."""
-        at, code = self.longer(level)
-        found, place = _find(self.levels[level].gram, code)
-        where, codes = np.full(len(self.keys), -1, np.int64), np.zeros(len(self.keys), np.int64)
-        where[at], codes[at] = np.where(found, place, -1), code
+    """Texts as keys, each after its start; all arrays are by position but those of the levels, which are by gram."""
+
+    def __init__(self, words: np.ndarray, places: np.ndarray, depth: np.ndarray):
+        self.keys, self.depth = words[places], depth
+        self.grams, owner = np.unique(words, return_inverse=True)
+        self.at, self.owner = None, owner.astype(np.int32)[places]
+        self.levels: list[Level] = []
+        self.where: list[np.ndarray] = []  # of the word, then of longer grams, in their level; -1 if not known
+
+    def learn(self, level: Level) -> None:
+        """What is known of ``grams``; one not counted is not known."""
+        where = np.where(level.n > 0, np.arange(len(level.n), dtype=np.int32), np.int32(-1))[self.owner]
+        if self.at is not None:
+            found, where = where, np.full(len(self.keys), -1, np.int32)
+            where[self.at] = found
+        self.levels.append(level)
         self.where.append(where)
-        self.codes.append(codes)
+        self.grams = None
+        for before in self.levels[:-2]:  # of these only counts and states are needed from here on
+            before.gram = before.mine = None
+
+    def count(self, level: int, at: np.ndarray | slice = slice(None)) -> np.ndarray:
+        return np.append(self.levels[level].n, 0)[self.where[level][at]]
+
+    def longer(self) -> None:
+        """Find the grams one word longer than the last level's that may be frequent."""
+        of, where = self.levels[-1], self.where[-1]
+        context, gram = (np.append(of.n >= least, False)[where] for least in (CONTEXT_LEAST, GRAM_LEAST))
+        self.at = 1 + np.flatnonzero(context[:-1] & gram[1:] & (self.depth[1:] >= len(self.levels)))
+        self.grams, owner = np.unique(extend(of.gram[where[self.at - 1]], self.keys[self.at]), return_inverse=True)
+        self.owner = owner.astype(np.int32)
 
     def probabilities(self, root: np.ndarray, depth: int) -> np.ndarray:
         """Of every token after states of at most ``depth`` words; those of starts mean nothing."""
         p = root.copy()
         for k in range(1, depth + 1):
-            if len(self.where) <= k:
-                self.step(k)
-            of, before = self.levels[k - 1], np.append(-1, self.where[k - 1][:-1])
-            whole = np.where((before >= 0) & (self.depth >= k), np.append(of.whole, 0.0)[before], 0.0)
-            state = whole > 0
-            p[state] = (self.count(k)[state] + of.remainder[before[state]] * p[state]) / whole[state]
+            of = self.levels[k - 1]
+            if of.state is None:
+                continue
+            state = np.append(of.state, np.int32(-1))[self.where[k - 1][:-1]]
+            at = 1 + np.flatnonzero((state >= 0) & (self.depth[1:] >= k))
+            state = state[at - 1]
+            p[at] = (self.count(k, at) + of.remainder[state] * p[at]) / of.whole[state]
         return p
 
 
-def opened(row: pa.Table, levels: list[Level]) -> tuple[Walk, np.ndarray, np.ndarray]:
+def opened(row: pa.Table) -> tuple[Walk, np.ndarray, np.ndarray]:
     """(the texts of a block, their numbers of tokens, whether each is held out)."""
     sizes = row.column("sizes")[0].values.to_numpy()
     held = row.column("held")[0].values.to_numpy(zero_copy_only=False)
-    places = np.frombuffer(zstandard.ZstdDecompressor().decompress(row.column("places")[0].as_py()), np.int32)
+    places = unpacked(row.column("places")[0].as_py(), np.int32)
     starts = np.cumsum(sizes + 1) - (sizes + 1)
-    depth = np.arange(len(places)) - np.repeat(starts, sizes + 1)
-    return Walk(np.frombuffer(row.column("words")[0].as_py(), np.int64), places, depth, levels), sizes, held
+    depth = (np.arange(len(places)) - np.repeat(starts, sizes + 1)).astype(np.int32)
+    return Walk(np.frombuffer(row.column("words")[0].as_py(), np.int64), places, depth), sizes, held
+
+
+def walked(walk: Walk, told: Told, levels: int) -> None:
+    """Learn the first ``levels`` levels."""
+    for k in range(levels):
+        if k:
+            walk.longer()
+        walk.learn(told.level(k, walk.grams))
 
 
 def roots(walk: Walk, totals: dict) -> np.ndarray:
@@ -200,112 +259,156 @@ def roots(walk: Walk, totals: dict) -> np.ndarray:
     return np.where(count > 0, count / max(n, 1) * (1 - totals["unknown"]), totals["unknown"])
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Training counts of each block's words (0 for words of held-out texts alone); the edge counts texts."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = pa.Table.from_batches([batch.slice(i, 1)])
-            words = np.frombuffer(row.column("words")[0].as_py(), np.int64)
-            places = np.frombuffer(zstandard.ZstdDecompressor().decompress(row.column("places")[0].as_py()), np.int32)
-            held = row.column("held")[0].values.to_numpy(zero_copy_only=False)
-            train = np.repeat(~held, row.column("sizes")[0].values.to_numpy() + 1)
-            n = np.bincount(places[train], minlength=len(words))
-            n[0] = (~held).sum()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(words), batch.column(0)[i].as_py(), np.int64)), pa.array(words), pa.array(n.astype(np.int64))],
-                names=["block", "gram", "n"],
-            )
-
-
-def _grams(level: int, totals: dict) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """Counts of a block's grams of ``level`` words and one more; and of contexts one word shorter, what
-    the grams that this block reports add to their distributions."""
-
-    def run(row: pa.Table, known: pa.Table) -> pa.Table:
-        out = pa.schema([("block", pa.int64()), ("gram", pa.int64()), ("n", pa.int64()), *[(c, pa.float64()) for c in ("total", "gain", "listed", "q")], ("entries", pa.int64())])
-        block, tables = row.column("block")[0].as_py(), []
-
-        def add(**columns: np.ndarray) -> None:
-            size = len(columns["gram"])
-            columns["block"] = np.full(size, block, np.int64)
-            tables.append(pa.table([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in out], schema=out))
-
-        walk, sizes, held = opened(row, known_levels(known))
-        for k in range(1, level):
-            if k == level - 1:
-                q = walk.probabilities(roots(walk, totals), k - 1)
-            if len(walk.where) <= k:
-                walk.step(k)
-        if level > 1:
-            k, of = level - 1, walk.levels[level - 1]
-            at = np.flatnonzero(walk.where[k] >= 0)
-            at = at[of.mine[walk.where[k][at]]]
-            _, first = np.unique(walk.where[k][at], return_index=True)
-            at = at[first]
-            n, total, q = of.n[walk.where[k][at]], walk.count(k - 1)[at - 1], q[at]
-            contexts, place, owner = np.unique(walk.codes[k - 1][at - 1], return_index=True, return_inverse=True)
-            p, several = n / total, lambda x: np.bincount(owner, x, len(contexts)).astype(float)
-            add(gram=contexts, total=total[place], gain=several(p * np.log(p / q)), listed=several(n), q=several(q),
-                entries=np.bincount(owner, minlength=len(contexts)))
-        if level <= DEPTH:
-            at, code = walk.longer(level)
-            grams, owner = np.unique(code, return_inverse=True)
-            train = np.repeat(~held, sizes + 1)[at]
-            add(gram=grams, n=np.bincount(owner[train], minlength=len(grams)))
-        return pa.concat_tables(tables)
-
-    return run
-
-
-def _states(pieces: DataFrame) -> DataFrame:
-    """(gram, remainder, whole) of the contexts that become states; what is not listed counts as one symbol."""
-    sums = pieces.groupBy("gram").agg(F.max("total").alias("total"), *[F.sum(c).alias(c) for c in ("gain", "listed", "q", "entries")])
-    rest, rest_q = 1 - F.col("listed") / F.col("total"), 1 - F.col("q")
-    more = F.when((rest > 1e-9) & (rest_q > 1e-9), rest * F.log(rest / rest_q)).otherwise(0.0)
-    whole = F.col("total") + F.col("entries") + 1
-    kept = sums.filter(F.col("gain") + more >= DIVERGENCE)
-    return materialise(kept.select("gram", (whole - F.col("listed")).alias("remainder"), whole.alias("whole")), "lm-states")
-
-
-def _known(counted: DataFrame, level: int, least: int) -> DataFrame:
-    """Rows of the grams that were counted often enough, in all blocks that hold them; one block reports each."""
-    every = Window.partitionBy("gram")
-    none = F.lit(0.0)
-    rows = counted.select("block", "gram", F.sum("n").over(every).alias("n"), (F.col("block") == F.min("block").over(every)).alias("mine"))
-    return materialise(
-        rows.filter(F.col("n") >= least).select("block", F.lit(level).alias("level"), "gram", "n", "mine", none.alias("remainder"), none.alias("whole")),
-        "lm-known",
+def _edges(buckets: int) -> np.ndarray:
+    """The hash after the last one of each bucket but the last."""
+    return np.array([((b << 64) // buckets) - (1 << 63) for b in range(1, buckets)], np.int64)
+
+
+def _asked(block: int, level: int, state: bool, grams: np.ndarray, n: np.ndarray, more: list[np.ndarray], buckets: int) -> pa.RecordBatch:
+    """One row per bucket that has some of a block's sorted grams."""
+    cuts = np.concatenate(([0], np.searchsorted(grams, _edges(buckets)), [len(grams)]))
+    rows = [
+        (b, block, level, state, packed(np.diff(grams[i:j].view(np.uint64), prepend=np.uint64(0))), packed(n[i:j]), b"" if not state else packed(np.concatenate([m[i:j] for m in more])))
+        for b, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if i < j
+    ]
+    names = ["bucket", "block", "level", "state", "grams", "n", "more"]
+    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()]
+    columns = zip(*rows, strict=True) if rows else [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, kind in zip(columns, kinds, strict=True)], names=names)
+
+
+def _ask(row: pa.Table, told: Told, level: int, totals: dict, buckets: int) -> list[pa.RecordBatch]:
+    """A block's training counts of its grams of ``level`` words and one more; and of its contexts one word shorter
+    than the last level's grams, what the grams that this block reports add to their distributions."""
+    block, out = row.column("block")[0].as_py(), []
+    walk, sizes, held = opened(row)
+    walked(walk, told, level)
+    train = np.repeat(~held, sizes + 1)
+    if level > 1:
+        k, of, context = level - 1, walk.levels[level - 1], walk.levels[level - 2]
+        q = walk.probabilities(roots(walk, totals), k - 1)
+        first = np.full(len(of.n), -1, np.int64)
+        at = np.flatnonzero(walk.where[k] >= 0)
+        first[walk.where[k][at[::-1]]] = at[::-1]
+        at = first[(first >= 0) & of.mine]
+        n, total, q = walk.count(k, at), walk.count(k - 1, at - 1), q[at]
+        mine = context.contexts()
+        owner, size = (np.cumsum(mine) - 1)[walk.where[k - 1][at - 1]], int(mine.sum())
+        p, several = n / total, lambda x: np.bincount(owner, x, size).astype(float)
+        more = [several(p * np.log(p / q)), several(n), several(q), several(np.ones(len(at)))]
+        out.append(_asked(block, level - 2, True, context.gram[mine], context.n[mine], more, buckets))
+    if level <= DEPTH:
+        if level:
+            walk.longer()
+            n = np.bincount(walk.owner[train[walk.at]], minlength=len(walk.grams)).astype(np.int64)
+        else:
+            # An edge stands at both ends of a text, and counts once.
+            n = np.bincount(walk.owner[train], minlength=len(walk.grams)).astype(np.int64)
+            n[np.searchsorted(walk.grams, EDGE)] = (~held).sum()
+        out.append(_asked(block, level, False, walk.grams, n, [], buckets))
+    return out
+
+
+def _answer(rows: pa.Table) -> pa.Table:
+    """Sums over the blocks of one bucket, and the contexts that become states, for every block in its own order."""
+    out = []
+    for state in (False, True):
+        some = rows.filter(pa.array(rows.column("state").to_numpy(zero_copy_only=False) == state)).sort_by("block")
+        if not some.num_rows:
+            continue
+        grams = [np.cumsum(unpacked(g.as_py(), np.uint64), dtype=np.uint64).view(np.int64) for g in some.column("grams")]
+        cuts = np.cumsum([len(g) for g in grams])[:-1]
+        gram, n = np.concatenate(grams), np.concatenate([unpacked(x.as_py(), np.int64) for x in some.column("n")])
+        order = np.argsort(gram, kind="stable")
+        starts = np.flatnonzero(np.concatenate(([True], gram[order][1:] != gram[order][:-1])))
+        level, sums = some.column("level")[0].as_py(), None
+
+        def each(values: np.ndarray) -> list[np.ndarray]:
+            """Values of different grams, as the blocks hold them."""
+            by_row = np.empty(len(gram), values.dtype)  # noqa: B023
+            by_row[order] = np.repeat(values, np.diff(np.append(starts, len(gram))))  # noqa: B023
+            return np.split(by_row, cuts)  # noqa: B023
+
+        if state:
+            total = n[order][starts].astype(float)
+            parts = [unpacked(x.as_py(), np.float64).reshape(4, -1) for x in some.column("more")]
+            gain, listed, q, entries = (np.add.reduceat(x[order], starts) for x in np.concatenate(parts, axis=1))
+            # What is not listed counts as one symbol.
+            rest, rest_q = 1 - listed / total, 1 - q
+            left = (rest > 1e-9) & (rest_q > 1e-9)
+            gain[left] += rest[left] * np.log(rest[left] / rest_q[left])
+            kept = (gain >= DIVERGENCE) & (entries > 0)
+            told = zip(each(np.where(kept, entries, 0).astype(np.int64)), each(np.where(kept, listed, 0).astype(np.int64)), strict=True)
+        else:
+            n = np.add.reduceat(n[order], starts)
+            mine = np.zeros(len(gram), np.uint8)
+            mine[order[starts]] = 1
+            if level == 0:
+                edge = gram[order[starts]] == EDGE
+                sums = [int(n[~edge].sum()), int((n[~edge] > 0).sum()), int((n[~edge] == 1).sum()), int(n[edge].sum())]
+            told = zip(each(np.where(n >= (GRAM_LEAST if level else 1), n, 0)), np.split(mine, cuts), strict=True)
+        bucket = some.column("bucket")[0].as_py()
+        for i, (block, (a, b)) in enumerate(zip(some.column("block").to_pylist(), told, strict=True)):
+            out.append((block, level, state, bucket, packed(a), packed(b), sums if i == 0 else None))
+    kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+    names = ["block", "level", "state", "bucket", "n", "more", "sums"]
+    return pa.table([pa.array(list(c), kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+
+
+PARTS = ("held", "sizes", "words", "places")
+
+
+def _with_told(blocked: DataFrame, answers: list[DataFrame], run, schema: str, columns: tuple[str, ...] = PARTS) -> DataFrame:
+    """``run`` of each block and what it was told."""
+    if not answers:
+
+        def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    yield from run(pa.Table.from_batches([batch.slice(i, 1)]), None).to_batches()
+
+        return blocked.select("block", *columns).mapInArrow(alone, schema)
+    told = reduce(DataFrame.unionByName, answers).drop("sums")
+    return blocked.select("block", *columns).groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
+        lambda row, rows: run(row, Told(rows)), schema
     )
 
 
-def _with_states(known: DataFrame, states: DataFrame) -> DataFrame:
-    joined = known.drop("remainder", "whole").join(states, "gram", "left").fillna(0.0, ["remainder", "whole"])
-    return joined.select("block", "level", "gram", "n", "mine", "remainder", "whole")
-
-
-def _drop(stored: DataFrame) -> None:
-    """Delete a stored table that nothing reads any more."""
-    path = stored.inputFiles()
-    if path:
-        delete_path(stored.sparkSession, path[0].rsplit("/", 1)[0])
+class Tree:
+    """The tree, as the stored answers to the blocks. Only ``digits`` and ``score``, which are there to look
+    into small trees, read it on the driver. A digit is a word's place among the known ones."""
 
+    def __init__(self, blocked: DataFrame, answers: list[DataFrame]):
+        self.blocked, self.answers = blocked, answers
 
-def _cogroup(blocked: DataFrame, levels: list[DataFrame], run: Callable, schema: str, columns: list[str]) -> DataFrame:
-    known = reduce(DataFrame.unionByName, levels)
-    return blocked.select("block", *columns).groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, schema)
+    @cached_property
+    def levels(self) -> list[DataFrame]:
+        """Known grams by block, from single words on."""
 
+        def rows(k: int) -> DataFrame:
+            def run(row: pa.Table, told: Told) -> pa.Table:
+                walk = opened(row)[0]
+                walked(walk, told, k + 1)
+                of, some = walk.levels[k], walk.levels[k].n > 0
+                return pa.table({
+                    "block": pa.array(np.full(some.sum(), row.column("block")[0].as_py(), np.int64)), "gram": of.gram[some],
+                    "n": of.n[some], "mine": of.mine[some], "remainder": of.by_gram(of.remainder)[some], "whole": of.by_gram(of.whole)[some],
+                })
 
-class Tree:
-    """The stored tree. The tables are joined to blocks; only ``digits`` and ``score``, which are there to
-    look into small trees, read them on the driver. A digit is a word's place among the known ones."""
+            return _with_told(self.blocked, self.answers, run, "block long, gram long, n long, mine boolean, remainder double, whole double")
 
-    def __init__(self, levels: list[DataFrame]):
-        self.levels = levels  # known grams by block, from single words on
+        return [rows(k) for k in range(DEPTH + 1)]
 
     @cached_property
     def _tables(self) -> list[Level]:
-        once = [level.dropDuplicates(["gram"]) for level in self.levels]
-        return known_levels(reduce(DataFrame.unionByName, once).toArrow())
+        out = []
+        for rows in self.levels:
+            found = rows.dropDuplicates(["gram"]).orderBy("gram").toArrow()
+            gram, n, mine, remainder, whole = (found.column(c).to_numpy() for c in ("gram", "n", "mine", "remainder", "whole"))
+            level, at = Level(gram, n, mine), np.flatnonzero(whole)
+            level.become(at, remainder[at], whole[at])
+            out.append(level)
+        return out
 
     @cached_property
     def heavy(self) -> np.ndarray:
@@ -322,7 +425,17 @@ class Tree:
     def score(self, digits: np.ndarray, root: np.ndarray) -> np.ndarray:
         """log10 probabilities of the tokens after the first digit, the edge; ``root`` are those of the root."""
         words = np.concatenate((self.heavy, [EDGE, word_key(b"unknown words")]))
-        walk = Walk(words, np.asarray(digits), np.arange(len(digits)), self._tables)
+        walk = Walk(words, np.asarray(digits), np.arange(len(digits)))
+        for k, of in enumerate(self._tables):
+            if k:
+                walk.longer()
+            found, at = _find(of.gram, walk.grams)
+            here = Level(walk.grams, np.zeros(len(at), np.int64), np.zeros(len(at), bool))
+            here.n[found] = of.n[at[found]]
+            remainder, whole = (np.where(found, np.append(of.by_gram(x), 0.0)[np.where(found, at, -1)], 0.0) for x in (of.remainder, of.whole))
+            states = np.flatnonzero(whole)
+            here.become(states, remainder[states], whole[states])
+            walk.learn(here)
         return np.log10(walk.probabilities(np.append(1.0, 10.0**root), DEPTH)[1:])
 
 
@@ -333,29 +446,21 @@ def train(blocked: DataFrame) -> tuple[Tree, DataFrame, dict]:
 
 
 def _train(blocked: DataFrame) -> tuple[Tree, DataFrame, dict]:
-    counts = blocked.select("block", "held", "sizes", "words", "places").mapInArrow(_count_words, "block long, gram long, n long")
-    words = _known(counts, 0, 1)
-    one = words.filter("mine")
-    sums = one.agg(
-        F.sum(F.when(F.col("gram") != EDGE, F.col("n"))).alias("n"), F.count_if(F.col("gram") != EDGE).alias("v"),
-        F.count_if((F.col("gram") != EDGE) & (F.col("n") == 1)).alias("once"), F.sum(F.when(F.col("gram") == EDGE, F.col("n"))).alias("texts"),
-    ).first()
-    totals = {"texts": sums["texts"] or 0, "words": sums["n"] or 0, "distinct": sums["v"]}
-    totals["unknown"] = (sums["once"] + 1) / (totals["words"] + totals["texts"] + 2)
-    levels = [words]
-    for k in range(1, DEPTH + 2):
-        found = _cogroup(blocked, levels, _grams(k, totals), FOUND, ["held", "sizes", "words", "places"])
-        if k > 1:
-            found = materialise(found, "lm-grams")
-            before, levels[k - 2] = levels[k - 2], _with_states(levels[k - 2], _states(found.filter("total is not null")))
-        if k <= DEPTH:
-            levels.append(_known(found.filter("n is not null"), k, GRAM_LEAST))
-        if k > 1:
-            levels[k - 2] = materialise(levels[k - 2], "lm-known")
-            _drop(before)
-            _drop(found)
-    known = levels[0].filter(F.col("gram") != EDGE).select("block", F.col("gram").alias("word"), F.col("n").alias("c"))
-    return Tree(levels), known, totals
+    buckets, totals, answers = max(1, blocked.count()), {}, []
+    for level in range(DEPTH + 2):
+        known = dict(totals)
+
+        def ask(row: pa.Table, told: Told | None, level: int = level, known: dict = known) -> pa.Table:
+            return pa.Table.from_batches(_ask(row, told, level, known, buckets))
+
+        asked = _with_told(blocked, answers, ask, ASKED)
+        answers = [*answers, materialise(asked.groupBy("bucket").applyInArrow(_answer, TOLD), "lm-told")]
+        if level == 0:
+            words, distinct, once, texts = (x or 0 for x in answers[0].agg(*[F.sum(F.col("sums")[i]) for i in range(4)]).first())
+            totals = {"texts": texts, "words": words, "distinct": distinct, "unknown": (once + 1) / (words + texts + 2)}
+    tree = Tree(blocked, answers)
+    known = tree.levels[0].filter(F.col("gram") != EDGE).select("block", F.col("gram").alias("word"), F.col("n").alias("c"))
+    return tree, known, totals
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10) -> DataFrame:
@@ -366,8 +471,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     n, v = totals["words"] + totals["texts"], totals["distinct"] + (totals["texts"] > 0)
     whole = n + ADD * (v + 1)
 
-    def run(row: pa.Table, known: pa.Table) -> pa.Table:
-        walk, sizes, held = opened(row, known_levels(known))
+    def run(row: pa.Table, told: Told) -> pa.Table:
+        walk, sizes, held = opened(row)
+        walked(walk, told, DEPTH + 1)
         counted = walk.count(0)
         token, starts = walk.depth > 0, np.cumsum(sizes) - sizes
         each = lambda x: np.add.reduceat(x[token], starts)
@@ -380,4 +486,4 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
         })
 
     schema = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return _cogroup(blocked, tree.levels, run, schema, ["ids", "held", "sizes", "words", "places"]).withColumnRenamed("id", id_col)
+    return _with_told(blocked, tree.answers, run, schema, ("ids", *PARTS)).withColumnRenamed("id", id_col)

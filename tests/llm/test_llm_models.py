@@ -261,6 +261,20 @@ def test_lm_blocks_of_one_id(spark, monkeypatch):
     assert lm.score(docs).count() == 200
 
 
+def test_lm_moves_rows_of_grams_packed(spark, monkeypatch):
+    """Blocks send buckets a row each, not one per gram, and where texts are cut into blocks changes no score."""
+    docs = cases.table(spark, phrases(200), extra=False).coalesce(1)
+    whole = {r["doc_id"]: r["score"] for r in lm.score(docs).collect()}
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 4_000)
+    blocked = lm.blocks(docs, "doc_id", "text", 10)
+    tree, known, _ = lm.train(blocked)
+    several = blocked.count()
+    assert several >= 4 and known.count() > 2 * several**2
+    assert all(told.count() <= 2 * several**2 for told in tree.answers)
+    cut = {r["doc_id"]: r["score"] for r in lm.score(docs).collect()}
+    assert cut.keys() == whole.keys() and all(math.isclose(cut[i], whole[i], rel_tol=1e-9) for i in whole)
+
+
 def test_lm_without_training_texts(spark):
     only_held = [(i, "some words here", None, None, None) for i in range(200) if held(i)][:5]
     got = lm.score(cases.table(spark, only_held)).collect()
