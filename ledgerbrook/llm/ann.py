@@ -197,18 +197,22 @@ def first_graph(nodes: DataFrame, count: int) -> DataFrame:
 
 def improve(graph: DataFrame, nodes: DataFrame, step: int) -> DataFrame:
     """One round: neighbours of one node meet, and each learns of the closer ones."""
-    edges = graph.select(F.col("id").alias("v"), F.explode(F.arrays_zip("ids", "fresh")).alias("e")).select(
-        "v", F.col("e.ids").alias("u"), F.col("e.fresh").alias("fresh")
+    edges = graph.select(F.col("id").alias("v"), F.explode(F.arrays_zip("ids", "fresh")).alias("e"))
+    back = edges.select(
+        F.col("e.ids").alias("center"), F.xxhash64("v", "e.ids", F.lit(step)).alias("draw"),
+        F.array(F.struct(F.col("v").alias("m"), F.col("e.fresh").alias("fresh"))).alias("near"),
     )
-    drawn = Window.partitionBy("u").orderBy(F.xxhash64("v", "u", F.lit(step)))
-    back = edges.withColumn("part", F.floor((F.row_number().over(drawn) - 1) / REVERSE))
-    parts = back.groupBy("u").agg(F.max("part").alias("last")).withColumnRenamed("u", "id")
-    own = graph.join(parts, "id", "left").select(
-        F.col("id").alias("center"), F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("last", F.lit(0)))).alias("part"), "ids", "fresh"
-    ).select("center", "part", F.explode(F.arrays_zip("ids", "fresh")).alias("e"))
+    own = graph.select(
+        F.col("id").alias("center"), F.lit(None).cast("long").alias("draw"),
+        F.transform(F.arrays_zip("ids", "fresh"), lambda e: F.struct(e["ids"].alias("m"), e["fresh"].alias("fresh"))).alias("near"),
+    )
+    # A node's own list comes after all vectors that it is a neighbour of, so its place tells how many parts there are.
+    place = F.row_number().over(Window.partitionBy("center").orderBy(F.col("draw").asc_nulls_last())).cast("long")
+    part = lambda r: F.floor((r - 1) / REVERSE)
+    parts = F.when(F.col("draw").isNotNull(), F.array(part(F.col("r")))).otherwise(F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0).cast("long"), part(F.col("r") - 1))))
     members = materialise(
-        own.select("center", "part", F.col("e.ids").alias("m"), F.col("e.fresh").alias("fresh"))
-        .unionByName(back.select(F.col("u").alias("center"), "part", F.col("v").alias("m"), "fresh")), "ann-members",
+        back.unionByName(own).withColumn("r", place).select("center", F.explode(parts).alias("part"), "near")
+        .select("center", "part", F.explode("near").alias("e")).select("center", "part", "e.*"), "ann-members",
     )
     bound = F.when(F.size("scores") < K, F.lit(float("-inf"))).otherwise(F.array_min("scores")).cast("float")
     known = nodes.select("id", "small", "scale").join(graph.select("id", bound.alias("bound")), "id").withColumnRenamed("id", "m")
@@ -284,8 +288,10 @@ def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame) -> DataFrame:
         F.concat(F.array("own.s"), F.coalesce("scores", F.array().cast("array<float>"))).alias("scores"),
         F.concat(F.array(F.lit(False)), F.transform(F.coalesce("ids", F.array().cast("array<long>")), lambda _: F.lit(True))).alias("fresh"),
     )
-    state = materialise(state, "ann-beam")
-    sides = nodes.select("id", F.col("small").alias("q_small"), F.col("scale").alias("q_scale"))
+    # The first row of a query carries its vector from step to step.
+    asking = nodes.select("id", F.col("small").alias("q_small"), F.col("scale").alias("q_scale"))
+    state = materialise(state.join(asking, "id"), "ann-beam")
+    kind = f"{LISTS}, q_small binary, q_scale float"
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -299,25 +305,31 @@ def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame) -> DataFrame:
             yield _list_batch(out)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = []
+        out, vectors = [], []
         for g in _groups(batches):
             ids, scores = g["ids"].flatten().to_numpy(), g["scores"].flatten().to_numpy()
             fresh = g["fresh"].flatten().to_numpy(zero_copy_only=False)
             known = ids[~fresh]
             place = _best(ids, scores, BEAM + 1)
             out.append((g["id"][0].as_py(), ids[place], scores[place], ~np.isin(ids[place], known)))
-        yield _list_batch(out)
+            with_vector = g["q_small"].is_valid().index(True).as_py()
+            vectors.append((g["q_small"][with_vector].as_py(), g["q_scale"][with_vector].as_py()))
+        lists = _list_batch(out)
+        small, scale = zip(*vectors, strict=True) if vectors else ([], [])
+        yield pa.RecordBatch.from_arrays(
+            [*lists.columns, pa.array(small, pa.binary()), pa.array(scale, pa.float32())], names=[*lists.schema.names, "q_small", "q_scale"]
+        )
 
     while True:
         todo = F.slice(F.filter(F.arrays_zip("ids", "fresh"), lambda e: e["fresh"]), 1, EXPAND)
-        frontier = state.select(F.col("id").alias("query"), F.explode(F.transform(todo, lambda e: e["ids"])).alias("id"))
+        frontier = state.select(F.col("id").alias("query"), "q_small", "q_scale", F.explode(F.transform(todo, lambda e: e["ids"])).alias("id"))
         if frontier.isEmpty():
             break
-        asked = frontier.join(linked, "id").join(sides.withColumnRenamed("id", "query"), "query")
+        asked = frontier.join(linked, "id")
         found = asked.select("query", "q_small", "q_scale", "near").mapInArrow(expand, LISTS)
         done = F.transform(F.arrays_zip("ids", "fresh"), lambda e: e["fresh"] & ~F.array_contains(F.transform(todo, lambda t: t["ids"]), e["ids"]))
-        both = state.withColumn("fresh", done).unionByName(found)
-        state = materialise(both.repartition("id").sortWithinPartitions("id").mapInArrow(keep, LISTS), "ann-beam")
+        both = state.withColumn("fresh", done).unionByName(found, allowMissingColumns=True)
+        state = materialise(both.repartition("id").sortWithinPartitions("id").mapInArrow(keep, kind), "ann-beam")
     return state.select(F.col("id").alias("query"), F.explode(F.slice("ids", 1, EXACT + 1)).alias("id"))
 
 
@@ -332,7 +344,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
     ), "ann-rows")
     nodes = nodes_of(valid)
     graph = build(nodes)
-    members = valid.join(nodes.select("id", "vector"), "vector").select("id", "vec_id", "query")
+    members = materialise(valid.join(nodes.select("id", "vector"), "vector").select("id", "vec_id", "query"), "ann-ids")
     # A result needs no more members of a vector than it has places, and one for the query itself.
     first = Window.partitionBy("id").orderBy("vec_id")
     few = members.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= k + 1).select("id", "vec_id")

@@ -450,6 +450,28 @@ def test_nearest_recall_with_many_pieces(spark, monkeypatch):
     assert len(got) == 20 * 120 and hits >= 0.95 * 20 * 120
 
 
+def test_nearest_deals_its_rows_out_few_times(spark, monkeypatch):
+    """A round's members take one exchange, a step of the search three: the query's vector goes along."""
+    dealt, real = {}, ann.materialise
+
+    def counted(df, name):
+        dealt.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return real(df, name)
+
+    monkeypatch.setattr(ann, "materialise", counted)
+    x = np.random.default_rng(3).normal(size=(300, 8)).astype(np.float32)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = ann.nearest(rows, F.col("vec_id") % 20 == 0).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(got) == 15 * 20
+    assert max(dealt["ann-members"]) == 1
+    assert len(dealt["ann-beam"]) > 1 and max(dealt["ann-beam"][1:]) <= 3
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 9])
 def test_nearest_in_tiny_tables(spark, n):
     data = [(i * 20, [float(i), 1.0]) for i in range(n)]
