@@ -419,6 +419,26 @@ def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFr
     return materialise(found.join(ids, "id", "left_semi").dropDuplicates(["id"]), "jaccard-sets")
 
 
+def _labelled(found: DataFrame, moved: DataFrame) -> DataFrame:
+    """(id, component, prefix) of the classes' smallest ids. Rows that ``moved`` does not name, but for few, go around the join, and
+    the others are joined once, so no prefix is moved that keeps its label."""
+    rows = found.filter("n > 0 and id is not null").select("id", "n", "s1", "s2", "prefix", _place("id").alias("at"))
+    bits = _marks(moved.select(_place("id")))
+
+    def part(named: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in few_rows(batches):
+                keep = _marked(bits, batch.column(5).to_numpy()) == named
+                yield batch.filter(pa.array(keep))
+
+        return rows.mapInArrow(run, rows.schema).drop("at")
+
+    named = part(True).join(moved, ["id", "n", "s1", "s2"], "left").filter("class_id is null or class_id = id")
+    named = materialise(named.select("id", F.coalesce("component", "id").alias("component"), "prefix"), "jaccard-labelled")
+    kind = dict(named.dtypes)["component"]
+    return part(False).select("id", F.col("id").cast(kind).alias("component"), "prefix").unionByName(named)
+
+
 def _holders(rows: DataFrame, several: DataFrame) -> DataFrame:
     """(shingle, id, component) of the prefixes, for few shingles but those of ``several``."""
     bits = _marks(several.select(F.col("shingle").bitwiseAND(MARKS - 1)))
@@ -494,9 +514,7 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         .filter("id <> class_id or component is not null"),
         "jaccard-labels",
     )
-    ones = found.filter("n > 0 and id is not null").select("id", "n", "s1", "s2", "prefix").join(moved, ["id", "n", "s1", "s2"], "left")
-    ones = ones.filter("class_id is null or class_id = id")
-    ones = ones.select("id", F.coalesce("component", "id").alias("component"), "prefix")
+    ones = _labelled(found, moved)
     keys = ones.select("id", "component", F.explode("prefix").alias("shingle"))
     several = keys.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("key"))
     several = materialise(several.filter("low < high").select("shingle", "key"), "jaccard-keys")

@@ -247,6 +247,18 @@ def test_fine_sizes_lose_no_link_and_tell_long_texts_apart():
     assert jaccard.may_link(jaccard.fine(np.full(3000, 7, np.uint64)), jaccard.fine(np.full(2900, 7, np.uint64)), 5900)
 
 
+def test_jaccard_moves_prefixes_of_few_documents(spark, monkeypatch):
+    """Only rows whose label changes, and few others, go through the join that labels them."""
+    stored, real = {}, jaccard.materialise
+    monkeypatch.setattr(jaccard, "materialise", lambda df, name: stored.setdefault(name, real(df, name)))
+    found = spark.createDataFrame([(i, 3, i % 2, i, [i, -i]) for i in range(2000)], "id long, n long, s1 long, s2 long, prefix array<long>")
+    moved = [(i, 3, i % 2, i, i if i < 30 else 0, 5 if i < 30 else None) for i in range(40)]
+    moved = spark.createDataFrame(moved, "id long, n long, s1 long, s2 long, class_id long, component long")
+    got = {r["id"]: (r["component"], r["prefix"]) for r in jaccard._labelled(found, moved).collect()}
+    assert got == {i: (5 if i < 30 else i, [i, -i]) for i in range(2000) if not 30 <= i < 40}
+    assert stored["jaccard-labelled"].count() <= 40
+
+
 def test_jaccard_of_texts_alike_and_long(spark, monkeypatch):
     """Families on either side of the bound, short and long, in whole and in cut tiles."""
     texts = [t for size, changed in ((400, 6), (400, 8), (150, 2), (2500, 40), (2500, 50)) for t in alike(12, size, changed, size + changed)]
