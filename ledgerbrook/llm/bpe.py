@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerbrook.llm.common import few_rows
+from ledgerbrook.llm.common import bounded_batches, few_rows
 
 #: The pattern that splits normalised text into words, a fixed value of the vocabulary.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
@@ -211,6 +211,7 @@ def codec(path: str) -> Codec:
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id and ids (array of int)."""
+    bounded_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,6 +225,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """One row per list of ids: id and the decoded text; a null list decodes to the empty text."""
+    bounded_batches(encoded.sparkSession)
     kind = dict(encoded.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,6 +239,7 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Encode, then decode the ids, in one pass: id, n_tokens, ids_sha256, decoded_sha256, and ids if asked. No shuffle."""
+    bounded_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
 
     def digests(text: str | None) -> tuple:

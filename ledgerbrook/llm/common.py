@@ -17,6 +17,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: A table of one row per key is broadcast up to this size; beyond it the join is left to Spark.
 BROADCAST_BYTES = 8 << 20
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Bytes of rows that go to a Python worker at once. Spark's own bound is 10,000 rows, however long their texts are.
+BATCHES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 2 << 20
 
 
 def importable(spark: SparkSession) -> None:
@@ -30,6 +32,13 @@ def importable(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = f"{known}:{root}" if known else root
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold few bytes, unless the session has a bound of its own. Spark plans a frame when it
+    is run, so the setting stays. Results do not depend on it."""
+    if spark.conf.get(BATCHES, None) is None:
+        spark.conf.set(BATCHES, str(BATCH_BYTES))
+
+
 @contextmanager
 def shuffles_cleared(spark: SparkSession) -> Iterator[None]:
     """For passes that store their results: the shuffle files of a pass go when it ends."""

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerbrook.llm.common import few_rows, shuffles_cleared
+from ledgerbrook.llm.common import bounded_batches, few_rows, shuffles_cleared
 from ledgerbrook.llm.components import components
 from ledgerbrook.llm.hashing import joined, mixed, signed, windows, word_hashes
 from ledgerbrook.session import materialise
@@ -419,41 +419,55 @@ def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFr
     return materialise(found.join(ids, "id", "left_semi").dropDuplicates(["id"]), "jaccard-sets")
 
 
-def _labelled(found: DataFrame, moved: DataFrame) -> DataFrame:
-    """(id, component, prefix) of the classes' smallest ids. Rows that ``moved`` does not name, but for few, go around the join, and
+def _parted(found: DataFrame, moved: DataFrame) -> tuple[DataFrame, bytes]:
+    """(id, component, prefix, at) of the classes' smallest ids, ``at`` being -1 where ``moved`` has been joined, and marks: a row whose
+    place ``at`` is marked is left out, see ``_settled``. Rows that ``moved`` does not name, but for few, go around the join, and
     the others are joined once, so no prefix is moved that keeps its label."""
     rows = found.filter("n > 0 and id is not null").select("id", "n", "s1", "s2", "prefix", _place("id").alias("at"))
     bits = _marks(moved.select(_place("id")))
 
-    def part(named: bool) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in few_rows(batches):
-                keep = _marked(bits, batch.column(5).to_numpy()) == named
-                yield batch.filter(pa.array(keep))
-
-        return rows.mapInArrow(run, rows.schema).drop("at")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in few_rows(batches):
+            yield batch.filter(pa.array(_marked(bits, batch.column(5).to_numpy())))
 
-    named = part(True).join(moved, ["id", "n", "s1", "s2"], "left").filter("class_id is null or class_id = id")
+    named = rows.mapInArrow(run, rows.schema).drop("at").join(moved, ["id", "n", "s1", "s2"], "left").filter("class_id is null or class_id = id")
     named = materialise(named.select("id", F.coalesce("component", "id").alias("component"), "prefix"), "jaccard-labelled")
     kind = dict(named.dtypes)["component"]
-    return part(False).select("id", F.col("id").cast(kind).alias("component"), "prefix").unionByName(named)
+    around = rows.select("id", F.col("id").cast(kind).alias("component"), "prefix", "at")
+    return around.unionByName(named.withColumn("at", F.lit(-1).cast("long"))), bits
+
+
+def _settled(batches: Iterator[pa.RecordBatch], bits: bytes) -> Iterator[pa.RecordBatch]:
+    """The rows of ``_parted``'s frame that are not left out, in small batches; what a task does next with them needs no second Python worker."""
+    for batch in few_rows(batches):
+        at = batch.column(3).to_numpy()
+        yield batch.filter(pa.array((at < 0) | ~_marked(bits, np.maximum(at, 0))))
 
 
-def _holders(rows: DataFrame, several: DataFrame) -> DataFrame:
+def _rows(parted: DataFrame, bits: bytes) -> DataFrame:
+    return parted.mapInArrow(lambda batches: _settled(batches, bits), parted.schema).drop("at")
+
+
+def _labelled(found: DataFrame, moved: DataFrame) -> DataFrame:
+    """(id, component, prefix) of the classes' smallest ids."""
+    return _rows(*_parted(found, moved))
+
+
+def _holders(parted: DataFrame, bits: bytes, several: DataFrame) -> DataFrame:
     """(shingle, id, component) of the prefixes, for few shingles but those of ``several``."""
-    bits = _marks(several.select(F.col("shingle").bitwiseAND(MARKS - 1)))
+    common = _marks(several.select(F.col("shingle").bitwiseAND(MARKS - 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in few_rows(batches):
+        for batch in _settled(batches, bits):
             found = batch.column(2).flatten().to_numpy()
-            keep = _marked(bits, found & (MARKS - 1))
+            keep = _marked(common, found & (MARKS - 1))
             held = np.repeat(np.arange(batch.num_rows), batch.column(2).value_lengths().to_numpy())[keep]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found[keep]), *[batch.column(c).take(pa.array(held)) for c in (0, 1)]], names=["shingle", "id", "component"]
             )
 
-    kind = dict(rows.dtypes)
-    return rows.select("id", "component", "prefix").mapInArrow(run, f"shingle long, id {kind['id']}, component {kind['component']}")
+    kind = dict(parted.dtypes)
+    return parted.mapInArrow(run, f"shingle long, id {kind['id']}, component {kind['component']}")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -484,6 +498,7 @@ def _cut(members: DataFrame, pieces: Column) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, class_id (smallest id of its equal sets), component_id."""
+    bounded_batches(docs.sparkSession)
     with shuffles_cleared(docs.sparkSession):
         return _near_duplicates(docs, id_col, text_col)
 
@@ -514,11 +529,11 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         .filter("id <> class_id or component is not null"),
         "jaccard-labels",
     )
-    ones = _labelled(found, moved)
-    keys = ones.select("id", "component", F.explode("prefix").alias("shingle"))
+    parted, bits = _parted(found, moved)
+    keys = _rows(parted, bits).select("id", "component", F.explode("prefix").alias("shingle"))
     several = keys.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("key"))
     several = materialise(several.filter("low < high").select("shingle", "key"), "jaccard-keys")
-    members = materialise(_holders(ones, several).join(several, "shingle").select("key", "id", "component").distinct(), "jaccard-members")
+    members = materialise(_holders(parted, bits, several).join(several, "shingle").select("key", "id", "component").distinct(), "jaccard-members")
     second = _cut(members, F.ceil(F.count("*") / TILE)).join(points, "id")
     kind = "key long, id long, component long, n long"
     near = _in_tiles(second, "point", "fine", "component", "part", "alone").mapInArrow(_between, kind)

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerbrook.llm.common import uniform
+from ledgerbrook.llm.common import bounded_batches, uniform
 
 #: Bound of the fit: bytes of dictionary per language, filled with pieces of at most so many characters.
 DICT_BYTES, SAMPLE_CHARS = 512 << 10, 1500
@@ -105,6 +105,7 @@ class Classifier:
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, lang_pred, score, margin, rejected. No shuffle."""
+    bounded_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,22 +124,13 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
 
 
 def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text") -> DataFrame:
-    """The rows whose text is not rejected, with all their columns, in one pass."""
+    """The rows whose text is not rejected, with all their columns, in one pass. Only texts go to Python."""
+    bounded_batches(docs.sparkSession)
 
-    @F.pandas_udf("boolean")
-    def known(texts):
-        classifier = _classifier(dictionaries)
-        return texts.map(lambda t: not classifier.predict(t)[3]).astype(bool)
+    @F.arrow_udf("boolean")
+    def known(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        classifier = Classifier(dictionaries)
+        for texts in batches:
+            yield pa.array([not classifier.predict(t.as_py())[3] for t in texts], pa.bool_())
 
     return docs.filter(known(text_col))
-
-
-_MADE: list = []
-
-
-def _classifier(dictionaries: dict[str, bytes]) -> Classifier:
-    """The last classifier of this worker is kept from batch to batch."""
-    if not _MADE or _MADE[0] != dictionaries:
-        _MADE[:] = [dictionaries, Classifier(dictionaries)]
-    return _MADE[1]
-

@@ -259,6 +259,17 @@ def test_jaccard_moves_prefixes_of_few_documents(spark, monkeypatch):
     assert stored["jaccard-labelled"].count() <= 40
 
 
+def test_jaccard_holders_take_one_python_worker_a_task(spark):
+    """Rows are told apart and their shingles picked in one Python pass, on the way round the join too."""
+    found = spark.createDataFrame([(i, 3, 0, i, [i % 5, 100 + i]) for i in range(50)], "id long, n long, s1 long, s2 long, prefix array<long>")
+    moved = spark.createDataFrame([(i, 3, 0, i, 0, 7) for i in range(10)], "id long, n long, s1 long, s2 long, class_id long, component long")
+    several = spark.createDataFrame([(1, 1), (2, 2)], "shingle long, key long")
+    got = jaccard._holders(*jaccard._parted(found, moved), several)
+    rows = sorted((r["shingle"], r["id"], r["component"]) for r in got.collect())
+    assert rows == sorted((i % 5, i, 7 if i == 0 else i) for i in [0, *range(10, 50)] if i % 5 in (1, 2))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
 def test_jaccard_of_texts_alike_and_long(spark, monkeypatch):
     """Families on either side of the bound, short and long, in whole and in cut tiles."""
     texts = [t for size, changed in ((400, 6), (400, 8), (150, 2), (2500, 40), (2500, 50)) for t in alike(12, size, changed, size + changed)]

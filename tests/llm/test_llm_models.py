@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import math
 import random
@@ -11,12 +12,13 @@ from collections import Counter
 
 import cases
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgerbrook.llm import ann, bpe, html, langid, lm
+from ledgerbrook.llm import ann, bpe, common, html, langid, lm
 from ledgerbrook.llm.common import fold
 from ledgerbrook.llm.queries import VOCABULARY
 
@@ -122,6 +124,31 @@ def test_language_id_without_labels(spark):
     assert langid.identify(cases.table(spark, []), {"en": b"the"}).count() == 0
 
 
+def test_language_id_leaves_nothing_in_a_worker_and_bounds_its_batches(spark):
+    """Batches are cut by their bytes, and no classifier waits in a worker for its next task."""
+    dictionaries = langid.fit(cases.table(spark, languages(), extra=False))
+    docs = cases.table(spark, [(i, cases.sentence(random.Random(i), "en", 50_000), "en", "s", None) for i in range(24)], extra=False).coalesce(1)
+    before = spark.conf.get(common.BATCHES, None)
+    spark.conf.unset(common.BATCHES)
+    try:
+        assert langid.keep_identified(docs, dictionaries).count() == 24
+        assert spark.conf.get(common.BATCHES) == str(common.BATCH_BYTES)
+
+        def seen(batches):
+            kept = sum(type(x).__name__ == "Classifier" for x in gc.get_objects())
+            yield from (pa.RecordBatch.from_pydict({"bytes": [b.nbytes], "kept": [kept]}) for b in batches)
+
+        found = docs.select("text").mapInArrow(seen, "bytes long, kept long").collect()
+        longest = max(r["n"] for r in docs.select(F.octet_length("text").alias("n")).collect())
+        assert len(found) > 1 and max(r["bytes"] for r in found) < common.BATCH_BYTES + 2 * longest
+        assert not any(r["kept"] for r in found)
+        spark.conf.set(common.BATCHES, "1m")
+        langid.identify(docs, dictionaries)
+        assert spark.conf.get(common.BATCHES) == "1m"
+    finally:
+        spark.conf.unset(common.BATCHES) if before is None else spark.conf.set(common.BATCHES, before)
+
+
 # ---- BPE
 
 
